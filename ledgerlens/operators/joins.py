@@ -70,3 +70,20 @@ def year_coverage(left: DataFrame, right: DataFrame, year: str,
         F.col(year), lc.alias(f"{left_name}_rows"), rc.alias(f"{right_name}_rows"),
         F.when((lc > 0) & (rc > 0), "both").when(lc > 0, f"only_{left_name}")
         .otherwise(f"only_{right_name}").alias("coverage"))
+
+
+def red_blue_link(red: DataFrame, blue: DataFrame, ref: str, blue_key: str,
+                  blue_cols=()) -> DataFrame:
+    """Attach the original (blue) invoice to each red invoice by its remark key.
+
+    Only rows with a non-null ``ref`` take part; a red invoice whose blue
+    one is absent keeps null blue columns (left join).
+    """
+    r = red.filter(F.col(ref).isNotNull())
+    b = blue.select(F.col(blue_key).alias("__blue_key"), *[F.col(c).alias(f"blue_{c}") for c in blue_cols])
+    return r.join(b, r[ref] == b["__blue_key"], "left").drop("__blue_key")
+
+
+def distinct_keys(df: DataFrame, keys) -> DataFrame:
+    """Distinct key tuples (null tuples included, as in a set of keys)."""
+    return df.select(*as_list(keys)).distinct()
