@@ -1,3 +1,128 @@
-"""Bound queries."""
+"""Sources, sinks and streaming bound to the driver tables.
 
-from ledgerlens.plans.registry import bound  # noqa: F401
+Workbooks, CSV exports and landing drops are derived from the tables by
+Spark jobs and written under the session's checkpoint folder (a fresh
+sub-folder per call), then read back through the library's sources.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ledgerlens import sinks
+from ledgerlens.plans.registry import bound
+from ledgerlens.plans.tables import table
+from ledgerlens.session import scratch_path
+from ledgerlens.sources import charset, files, xlsx, xlsx_writer
+from ledgerlens.streaming.incremental import start_incremental_import
+
+# spreadsheet titles for the orders columns written to workbooks
+ORDER_TITLES = {"发票号码": "o_orderkey", "购买方名称": "o_custkey", "发票状态": "o_orderstatus",
+                "价税合计": "o_totalprice", "开票日期": "o_orderdate", "备注": "o_orderpriority"}
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _orders_as_text(spark, d):
+    o = table(spark, d, "orders", *ORDER_TITLES.values())
+    return o.select(*[(F.col(c).cast("date") if c == "o_orderdate" else F.col(c)).cast("string").alias(t)
+                      for t, c in ORDER_TITLES.items()])
+
+
+def _workbooks(spark, d, parts: int = 4):
+    out = _scratch(spark, "workbooks")
+    src = _orders_as_text(spark, d).repartition(parts, "发票号码")
+    xlsx_writer.write_workbooks(src, out, "信息汇总表").count()
+    return out
+
+
+@bound("xlsx_scan")
+def xlsx_scan(spark, d):
+    rows = xlsx.read_workbooks(spark, _workbooks(spark, d))
+    return xlsx.sheet_table(rows, list(ORDER_TITLES))
+
+
+@bound("sheet_columns")
+def sheet_columns(spark, d):
+    return xlsx.sheet_catalogue(xlsx.read_workbooks(spark, _workbooks(spark, d)))
+
+
+@bound("charset_profile")
+def charset_profile(spark, d):
+    out = _scratch(spark, "csv")
+    spark.conf.set(charset.LEGACY_CHARSETS_CONF, "true")
+    src = _orders_as_text(spark, d)
+    src.write.option("header", True).option("encoding", "UTF-8").csv(out + "/utf8")
+    src.write.option("header", True).option("encoding", "GBK").csv(out + "/gbk")
+    return charset.read_csv_any_charset(spark, out)
+
+
+@bound("file_admission")
+def file_admission(spark, d):
+    return files.admitted_files(spark, d)
+
+
+@bound("overwrite_years", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS invoice_year
+FROM orders WHERE year(o_orderdate) <> 1997 OR o_orderstatus = 'F'
+""")
+def overwrite_years(spark, d):
+    path = _scratch(spark, "ledger")
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    sinks.write_partitioned(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                     F.year("o_orderdate").alias("invoice_year")), path)
+    current = spark.read.parquet(path)
+    fresh = current.filter((F.col("invoice_year") == 1997) & (F.col("o_orderstatus") == "F"))
+    sinks.overwrite_same_table(spark, fresh, path)
+    return spark.read.parquet(path)
+
+
+@bound("layer_promote", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, 'dwd' AS layer FROM orders WHERE o_orderstatus = 'O'
+""")
+def layer_promote(spark, d):
+    src = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    return sinks.promote(spark, src, _scratch(spark, "dwd"),
+                         lambda df: df.filter(F.col("o_orderstatus") == "O").drop("o_orderstatus")
+                         .withColumn("layer", F.lit("dwd")))
+
+
+@bound("table_sample", """
+SELECT * FROM orders ORDER BY o_orderkey LIMIT 100
+""")
+def table_sample(spark, d):
+    return sinks.table_sample(table(spark, d, "orders"), "o_orderkey", 100)
+
+
+@bound("describe_table")
+def describe_table(spark, d):
+    return sinks.describe_table(table(spark, d, "lineitem"))
+
+
+LANDING_SCHEMA = ("l_orderkey bigint, l_linenumber int, l_suppkey bigint, l_extendedprice double, "
+                  "l_shipdate timestamp_ntz, invoice_year int")
+
+
+@bound("incremental_import")
+def incremental_import(spark, d):
+    """Three landing drops (lines by ship year), imported in two stream runs;
+    the target holds the accepted lines."""
+    base = _scratch(spark, "incremental")
+    landing, target, held, ckpt = (f"{base}/landing", f"{base}/target", f"{base}/quarantine", f"{base}/_ckpt")
+    li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate")
+    li = li.withColumn("invoice_year", F.year("l_shipdate"))
+    drops = [F.col("invoice_year") <= 1996, F.col("invoice_year").between(1997, 1998), F.col("invoice_year") >= 1999]
+    li.filter(drops[0]).write.parquet(f"{landing}/drop=1")
+    q = start_incremental_import(spark, landing, LANDING_SCHEMA, target, held, ckpt,
+                                 ["l_orderkey", "l_linenumber"])
+    q.awaitTermination()
+    for i, cond in enumerate(drops[1:], start=2):
+        li.filter(cond).write.parquet(f"{landing}/drop={i}")
+    q = start_incremental_import(spark, landing, LANDING_SCHEMA, target, held, ckpt,
+                                 ["l_orderkey", "l_linenumber"])
+    q.awaitTermination()
+    return spark.read.parquet(target)
