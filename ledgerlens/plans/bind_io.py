@@ -116,12 +116,12 @@ def incremental_import(spark, d):
     li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate")
     li = li.withColumn("invoice_year", F.year("l_shipdate"))
     drops = [F.col("invoice_year") <= 1996, F.col("invoice_year").between(1997, 1998), F.col("invoice_year") >= 1999]
-    li.filter(drops[0]).write.parquet(f"{landing}/drop=1")
+    li.filter(drops[0]).write.parquet(f"{landing}/drop_1")
     q = start_incremental_import(spark, landing, LANDING_SCHEMA, target, held, ckpt,
                                  ["l_orderkey", "l_linenumber"])
     q.awaitTermination()
     for i, cond in enumerate(drops[1:], start=2):
-        li.filter(cond).write.parquet(f"{landing}/drop={i}")
+        li.filter(cond).write.parquet(f"{landing}/drop_{i}")
     q = start_incremental_import(spark, landing, LANDING_SCHEMA, target, held, ckpt,
                                  ["l_orderkey", "l_linenumber"])
     q.awaitTermination()

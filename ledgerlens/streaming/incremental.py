@@ -49,7 +49,8 @@ def start_incremental_import(spark: SparkSession, landing: str, schema, target:
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing)
+    # drops are sub-folders of the landing folder
+    stream = reader.load(landing.rstrip("/") + "/*")
 
     def run(batch_df: DataFrame, epoch: int) -> None:
         import_batch(batch_df.sparkSession, batch_df, epoch, target, quarantine_path, key, year)
