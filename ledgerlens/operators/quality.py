@@ -74,16 +74,23 @@ def balance_check(header: DataFrame, detail: DataFrame | None, key, total: str =
     ``balance_diff = |detail_total - total|`` and status '平账' (diff 0),
     '差异可接受' (diff <= tolerance, null tolerance = default) or '不平账'.
     A header without detail lines has a null total and stays unchecked.
+    With ``detail`` and ``detail_totals`` both None the header must already
+    carry ``detail_total_amount``.
     Manual states such as '强制通过' are never touched. Check time/by are
     written only where the status changed. Arithmetic is DECIMAL.
     """
     keys = as_list(key)
-    totals = detail_totals if detail_totals is not None else \
-        detail_total_per_header(detail, keys, detail_amount)
     h = header
-    if "detail_total_amount" in h.columns:
-        h = h.drop("detail_total_amount")
-    h = h.join(totals, keys, "left")
+    if detail is None and detail_totals is None:
+        # totals already attached by the caller (one join, no second aggregate)
+        if "detail_total_amount" not in h.columns:
+            raise ValueError("need detail, detail_totals or a detail_total_amount column")
+    else:
+        totals = detail_totals if detail_totals is not None else \
+            detail_total_per_header(detail, keys, detail_amount)
+        if "detail_total_amount" in h.columns:
+            h = h.drop("detail_total_amount")
+        h = h.join(totals, keys, "left")
     for c, t in (("balance_diff", MONEY), ("balance_check_time", T.TimestampType()),
                  ("balance_check_by", T.StringType())):
         if c not in h.columns:

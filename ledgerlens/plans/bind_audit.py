@@ -277,7 +277,9 @@ SELECT file, sheet, classification, max(array_to_string(columns, ';')) AS column
 FROM c GROUP BY file, sheet, classification
 """)
 def sheet_manifest(spark, d):
-    return SH.sheet_manifest(SH.classify_sheets(_sheets(spark, d), "sheet"))
+    sheets = _sheets(spark, d)
+    catalogue = SH.classify_sheets(sheets.select("file", "sheet", "columns").distinct(), "sheet")
+    return SH.sheet_manifest(catalogue, sheets.select("file", "sheet"))
 
 
 @bound("route_and_union", """

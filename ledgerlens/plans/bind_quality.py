@@ -13,22 +13,22 @@ CHECKED_BY = "ledgerlens.dq"
 
 
 def _balance_header(spark, d):
-    """orders as headers whose total is the line sum plus 0/.05/.10/.15,
-    with some null tolerances overridden, some manual states and some rows
-    already flagged."""
+    """orders with their line totals attached once; the header total is the
+    line sum plus 0/.05/.10/.15, some tolerances are overridden, some states
+    are manual and some rows are already flagged."""
     o = table(spark, d, "orders", "o_orderkey", "o_totalprice")
     li = table(spark, d, "lineitem", "l_orderkey", "l_extendedprice")
     totals = Q.detail_total_per_header(li, "l_orderkey", "l_extendedprice") \
         .withColumnRenamed("l_orderkey", "o_orderkey")
     k = F.col("o_orderkey")
-    h = (o.join(totals.withColumnRenamed("detail_total_amount", "__sum"), "o_orderkey", "left")
-         .select(
-             "o_orderkey",
-             money(F.coalesce(F.col("__sum"), money("o_totalprice")) + (k % 4) * F.lit(0.05).cast("decimal(3,2)")).alias("jshj"),
-             F.when(k % 10 == 3, F.lit(0.20).cast("decimal(18,2)")).alias("balance_tolerance"),
-             F.when(k % 50 == 7, F.lit("强制通过")).otherwise(F.lit("未校验")).alias("is_balanced"),
-             F.when(k % 97 == 5, F.lit("明细缺失")).alias("clean_status")))
-    return h, totals
+    return (o.join(totals, "o_orderkey", "left")
+            .select(
+                "o_orderkey", "detail_total_amount",
+                money(F.coalesce(F.col("detail_total_amount"), money("o_totalprice"))
+                      + (k % 4) * F.lit(0.05).cast("decimal(3,2)")).alias("jshj"),
+                F.when(k % 10 == 3, F.lit(0.20).cast("decimal(18,2)")).alias("balance_tolerance"),
+                F.when(k % 50 == 7, F.lit("强制通过")).otherwise(F.lit("未校验")).alias("is_balanced"),
+                F.when(k % 97 == 5, F.lit("明细缺失")).alias("clean_status")))
 
 
 @bound("balance_check", """
@@ -52,8 +52,7 @@ SELECT o_orderkey, jshj, detail_total_amount,
 FROM c
 """)
 def balance_check(spark, d):
-    h, totals = _balance_header(spark, d)
-    out = Q.balance_check(h, None, "o_orderkey", detail_totals=totals,
+    out = Q.balance_check(_balance_header(spark, d), None, "o_orderkey",
                           checked_at=CHECKED_AT, checked_by=CHECKED_BY)
     return out.select("o_orderkey", "jshj", "detail_total_amount", "balance_diff",
                       "is_balanced", "balance_check_by")
