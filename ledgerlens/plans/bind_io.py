@@ -11,7 +11,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ledgerlens import sinks
+from ledgerlens import ingest, sinks
+from ledgerlens.plans.bind_scalars import RAW_CODE, RAW_ENO, RAW_NUMBER, RAW_REMARK
 from ledgerlens.plans.registry import bound
 from ledgerlens.plans.tables import table
 from ledgerlens.session import scratch_path
@@ -126,3 +127,27 @@ def incremental_import(spark, d):
                                  ["l_orderkey", "l_linenumber"])
     q.awaitTermination()
     return spark.read.parquet(target)
+
+
+# header export: invoice keys with blanks and repeats, dates, amounts, remarks
+HEADER_EXPORT = {
+    "发票代码": RAW_CODE, "发票号码": RAW_NUMBER, "数电发票号码": RAW_ENO,
+    "开票日期": "CAST(CAST(o_orderdate AS DATE) AS STRING) || CASE WHEN o_orderkey % 3 = 0 THEN ' 10:11' ELSE '' END",
+    "金额": "CAST(o_totalprice AS STRING)", "税额": "CAST(ROUND(o_totalprice * 0.13, 2) AS STRING)",
+    "价税合计": "CAST(ROUND(o_totalprice * 1.13, 2) AS STRING)",
+    "购买方名称": "'Customer#' || CAST(o_custkey AS STRING)", "备注": RAW_REMARK,
+}
+
+
+def header_export(spark, d):
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return o.select(*[F.expr(e).alias(t) for t, e in HEADER_EXPORT.items()])
+
+
+@bound("workbook_import")
+def workbook_import(spark, d):
+    """Header workbooks written from orders, imported into a fresh ledger."""
+    src = _scratch(spark, "header-export")
+    xlsx_writer.write_workbooks(header_export(spark, d).repartition(4), src, "发票基础信息").count()
+    res = ingest.import_headers(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=_scratch(spark, "header-ledger"))
+    return res.accepted
