@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import as_list, null_safe_on
+from ledgerlens.operators.joins import as_list, join_unique
+from ledgerlens.session import ensure_checkpoint_dir
 
 _FIRST = "__first_ord"
 _COUNT = "__group_rows"
@@ -27,25 +28,21 @@ def _ord(order) -> F.Column:
 
 
 def _key_stats(df: DataFrame, keys, order=None, keep: str = "first") -> DataFrame:
+    """Per key: row count and the first (or last) order struct, written once
+    to the shared checkpoint folder so hot-key detection and the join-back
+    read the same small table instead of aggregating the rows twice."""
     aggs = [F.count(F.lit(1)).alias(_COUNT)]
     if order is not None:
         pick = F.min if keep == "first" else F.max
         aggs.append(pick(_ord(order)).alias(_FIRST))
-    return df.groupBy(*keys).agg(*aggs)
+    stats = df.groupBy(*keys).agg(*aggs)
+    ensure_checkpoint_dir(df.sparkSession)
+    return stats.checkpoint(eager=True)
 
 
 def _join_back(df: DataFrame, stats: DataFrame, keys, null_safe: bool) -> DataFrame:
-    keys = as_list(keys)
-    if not null_safe:
-        return df.join(stats, keys, "left")
-    renamed = stats.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)],
-                           *[c for c in stats.columns if c not in keys])
-    cond = None
-    for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(renamed[f"__k_{i}"])
-        cond = c if cond is None else cond & c
-    out = df.join(renamed, cond, "left")
-    return out.drop(*[f"__k_{i}" for i in range(len(keys))])
+    """Rows with their key's stats; hot keys take a broadcast path."""
+    return join_unique(df, stats, as_list(keys), "left", null_safe, counts=stats, count_col=_COUNT)
 
 
 def flag_duplicates(df: DataFrame, keys, order, keep: str = "first",
@@ -57,8 +54,8 @@ def flag_duplicates(df: DataFrame, keys, order, keep: str = "first",
     """
     keys = as_list(keys)
     stats = _key_stats(df, keys, order, keep)
-    out = _join_back(df, stats.drop(_COUNT), keys, null_safe)
-    return out.withColumn(flag, ~_ord(order).eqNullSafe(F.col(_FIRST))).drop(_FIRST)
+    out = _join_back(df, stats, keys, null_safe)
+    return out.withColumn(flag, ~_ord(order).eqNullSafe(F.col(_FIRST))).drop(_FIRST, _COUNT)
 
 
 def keep_first(df: DataFrame, keys, order, keep: str = "first", null_safe: bool = True) -> DataFrame:
@@ -102,8 +99,9 @@ def mark_uuid_duplicates(df: DataFrame, key, order, label: str, clean: str = "cl
     ``updated_at`` / ``updated_by`` are stamped on marked rows when given.
     """
     keys = as_list(key)
-    stats = _key_stats(df, keys, order, "first").drop(_COUNT)
-    out = df.join(stats, keys, "left")
+    stats = _key_stats(df, keys, order, "first")
+    # null keys never match (plain equality), as pandas groupby drops them
+    out = _join_back(df, stats, keys, null_safe=False).drop(_COUNT)
     hit = F.col(_FIRST).isNotNull() & ~_ord(order).eqNullSafe(F.col(_FIRST))
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
     if updated_at is not None:
@@ -132,7 +130,7 @@ def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_ke
     """
     keys = as_list(key)
     stats = _key_stats(df, keys, order if mode == "keep_first" else None, "first")
-    out = df.join(stats, keys, "left")
+    out = _join_back(df, stats, keys, null_safe=False)
     if mode == "keep_first":
         repeated = (F.col(_COUNT) > 1) & ~_ord(order).eqNullSafe(F.col(_FIRST))
     else:
@@ -141,7 +139,7 @@ def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_ke
         kk = as_list(known_key) or keys
         marks = (known_keys.select(*[F.col(a).alias(b) for a, b in zip(kk, keys)])
                  .distinct().withColumn("__known", F.lit(True)))
-        out = out.join(marks, keys, "left")
+        out = join_unique(out, marks, keys, "left", counts=stats, count_col=_COUNT)
         known = F.coalesce(F.col("__known"), F.lit(False))
     else:
         known = F.lit(False)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.dedup import mark_uuid_duplicates
-from ledgerlens.operators.joins import as_list
+from ledgerlens.operators.joins import as_list, join_unique
 from ledgerlens.schemas import (
     BALANCED, DEFAULT_TOLERANCE, DETAIL_MISSING, DUPLICATE_KEY, HEADER_MISSING, MONEY, UNBALANCED,
     UNCHECKED, WITHIN_TOLERANCE,
@@ -37,14 +37,14 @@ def flag_orphans(left: DataFrame, right: DataFrame, key, label: str,
 
     Only rows with null ``clean`` take part on either side; already flagged
     rows keep their flag. The right side is reduced to its distinct keys
-    (an aggregate, skew-safe) before the join.
+    (an aggregate, skew-safe); hot keys of ``left`` are joined by broadcast.
     """
     keys = as_list(key)
     rkeys = as_list(right_key) or keys
     present = (right.filter(F.col(clean).isNull())
                .select(*[F.col(a).alias(b) for a, b in zip(rkeys, keys)])
                .distinct().withColumn("__present", F.lit(True)))
-    out = left.join(present, keys, "left")
+    out = join_unique(left, present, keys, "left")
     hit = F.col(clean).isNull() & F.col("__present").isNull()
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
     if updated_at is not None:

@@ -255,3 +255,44 @@ def year_coverage(spark, d):
     h = table(spark, d, "orders", "o_orderdate").select(F.year("o_orderdate").alias("invoice_year"))
     li = table(spark, d, "lineitem", "l_shipdate").select(F.year("l_shipdate").alias("invoice_year"))
     return J.year_coverage(h, li, "invoice_year", "header", "detail")
+
+
+# ---- a hot key: a third of all lines share invoice key 0 ----------------------
+_HOT = "CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END"
+
+
+def _hot_lines(spark, d):
+    li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", *line_order())
+    return li.withColumn("hot_key", F.expr(_HOT))
+
+
+@bound("dedup_hot_key", f"""
+SELECT hot_key, l_linenumber, {", ".join(line_order())} FROM (
+  SELECT *, {_HOT} AS hot_key,
+         row_number() OVER (PARTITION BY {_HOT} ORDER BY {LINE_ORDER_SQL}, l_linenumber) AS rn FROM lineitem)
+WHERE rn = 1
+""")
+def dedup_hot_key(spark, d):
+    ledger, _ = D.build_ledger(_hot_lines(spark, d), "hot_key", line_order() + ["l_linenumber"],
+                               columns=["hot_key", "l_linenumber", *line_order()])
+    return ledger
+
+
+@bound("quarantine_hot_key", f"""
+WITH h AS (SELECT {_HOT} AS hot_key, l_linenumber, {", ".join(line_order())} FROM lineitem),
+c AS (SELECT hot_key, COUNT(*) AS n FROM h GROUP BY hot_key)
+SELECT h.*, 'repeated_in_batch' AS quarantine_reason FROM h JOIN c USING (hot_key) WHERE c.n > 1
+""")
+def quarantine_hot_key(spark, d):
+    _, held = D.quarantine(_hot_lines(spark, d).drop("l_orderkey"), "hot_key")
+    return held
+
+
+@bound("detail_total_hot_key", f"""
+SELECT {_HOT} AS hot_key, CAST(COALESCE(SUM(CAST(l_extendedprice AS DECIMAL(18,2))), 0) AS DECIMAL(18,2))
+       AS detail_total_amount
+FROM lineitem GROUP BY 1
+""")
+def detail_total_hot_key(spark, d):
+    from ledgerlens.operators.quality import detail_total_per_header
+    return detail_total_per_header(_hot_lines(spark, d), "hot_key", "l_extendedprice")

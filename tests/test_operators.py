@@ -145,3 +145,22 @@ def test_top_n_uses_window_group_limit(spark, sf_small, capsys):
     out = D.top_n_per_group(li, "l_suppkey", [F.desc("l_extendedprice"), F.asc("l_orderkey")], 3)
     out.explain()
     assert "WindowGroupLimit" in capsys.readouterr().out
+
+
+def test_hot_key_takes_broadcast_path(spark, sf_small, capsys, monkeypatch):
+    """A third of the lines share one key. With a low hot-key threshold that
+    key's rows go through a broadcast join (no shuffle of the hot rows) and
+    the results equal the plain shuffle-join run."""
+    from ledgerlens.operators import joins as J
+    from ledgerlens.plans.bind_dedup import _hot_lines
+    keys, order = "hot_key", line_order() + ["l_linenumber"]
+    monkeypatch.setattr(J, "HOT_KEY_ROWS", 10 ** 12)
+    base = {tuple(r) for r in D.flag_duplicates(_hot_lines(spark, sf_small), keys, order).collect()}
+    held0 = D.quarantine(_hot_lines(spark, sf_small), keys)[1].count()
+    monkeypatch.setattr(J, "HOT_KEY_ROWS", 100)
+    flagged = D.flag_duplicates(_hot_lines(spark, sf_small), keys, order)
+    flagged.explain()
+    plan = capsys.readouterr().out
+    assert {tuple(r) for r in flagged.collect()} == base
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+    assert D.quarantine(_hot_lines(spark, sf_small), keys)[1].count() == held0
