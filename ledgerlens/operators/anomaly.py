@@ -132,9 +132,8 @@ def price_deviation(df: DataFrame, group: str, amount: str, quantity: str,
     The group sums are a partial aggregate joined back (skew-safe).
     """
     d = df.filter(F.col(quantity) > 0)
-    stats = d.groupBy(group).agg(F.sum(amount).alias("group_amount"), F.sum(quantity).alias("group_qty"),
-                                 F.count(F.lit(1)).alias("__rows"))
-    j = join_unique(d, stats, [group], "left", counts=stats, count_col="__rows").drop("__rows")
+    stats = d.groupBy(group).agg(F.sum(amount).alias("group_amount"), F.sum(quantity).alias("group_qty"))
+    j = join_unique(d, stats, [group], "left")
     a, q = F.col(amount), F.col(quantity)
     dev = F.abs(a * F.col("group_qty") - q * F.col("group_amount"))
     limit = F.lit(max_rel).cast("decimal(4,2)") * q * F.col("group_amount")

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.joins import as_list, join_unique
-from ledgerlens.session import ensure_checkpoint_dir
 
 _FIRST = "__first_ord"
 _COUNT = "__group_rows"
@@ -28,21 +27,17 @@ def _ord(order) -> F.Column:
 
 
 def _key_stats(df: DataFrame, keys, order=None, keep: str = "first") -> DataFrame:
-    """Per key: row count and the first (or last) order struct, written once
-    to the shared checkpoint folder so hot-key detection and the join-back
-    read the same small table instead of aggregating the rows twice."""
+    """Per key: row count and the first (or last) order struct."""
     aggs = [F.count(F.lit(1)).alias(_COUNT)]
     if order is not None:
         pick = F.min if keep == "first" else F.max
         aggs.append(pick(_ord(order)).alias(_FIRST))
-    stats = df.groupBy(*keys).agg(*aggs)
-    ensure_checkpoint_dir(df.sparkSession)
-    return stats.checkpoint(eager=True)
+    return df.groupBy(*keys).agg(*aggs)
 
 
 def _join_back(df: DataFrame, stats: DataFrame, keys, null_safe: bool) -> DataFrame:
     """Rows with their key's stats; hot keys take a broadcast path."""
-    return join_unique(df, stats, as_list(keys), "left", null_safe, counts=stats, count_col=_COUNT)
+    return join_unique(df, stats, as_list(keys), "left", null_safe)
 
 
 def flag_duplicates(df: DataFrame, keys, order, keep: str = "first",
@@ -139,7 +134,7 @@ def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_ke
         kk = as_list(known_key) or keys
         marks = (known_keys.select(*[F.col(a).alias(b) for a, b in zip(kk, keys)])
                  .distinct().withColumn("__known", F.lit(True)))
-        out = join_unique(out, marks, keys, "left", counts=stats, count_col=_COUNT)
+        out = join_unique(out, marks, keys, "left")
         known = F.coalesce(F.col("__known"), F.lit(False))
     else:
         known = F.lit(False)

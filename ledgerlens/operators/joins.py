@@ -102,38 +102,43 @@ def _cond(left: DataFrame, right: DataFrame, keys, null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
-def find_hot_keys(counts: DataFrame, keys, count_col: str, hot_rows: int | None = None,
-                  max_hot: int | None = None) -> DataFrame | None:
-    """Keys with at least ``hot_rows`` rows, as a small frame (at most
-    ``max_hot`` rows, fetched with a limit), or None when there are none or
-    too many to broadcast."""
+def find_hot_keys(rows: DataFrame, keys, hot_rows: int | None = None,
+                  max_hot: int | None = None, seed: int = 17) -> DataFrame | None:
+    """Keys holding at least ``hot_rows`` rows of ``rows``, as a small frame
+    (at most ``max_hot`` rows, fetched with a limit), or None when there are
+    none or too many to broadcast.
+
+    Detection reads only the key columns of a sample sized so that a hot key
+    shows up about 100 times. A missed borderline key only takes the shuffle
+    path; results never depend on the detection.
+    """
     hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
     max_hot = MAX_HOT_KEYS if max_hot is None else max_hot
-    schema = counts.select(*keys).schema
-    hot = counts.filter(F.col(count_col) >= hot_rows).select(*keys).limit(max_hot + 1).collect()
+    fraction = min(1.0, 100.0 / hot_rows)
+    sample = rows.select(*keys)
+    if fraction < 1.0:
+        sample = sample.sample(fraction=fraction, seed=seed)
+    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.filter(F.col("__n") >= hot_rows * fraction).select(*keys).limit(max_hot + 1).collect()
     if not hot or len(hot) > max_hot:
         return None
-    return counts.sparkSession.createDataFrame(hot, schema)
+    return rows.sparkSession.createDataFrame(hot, rows.select(*keys).schema)
 
 
 def join_unique(rows: DataFrame, right: DataFrame, keys, how: str = "left", null_safe: bool = False,
-                counts: DataFrame | None = None, count_col: str = "__rows",
                 hot_rows: int | None = None, max_hot: int | None = None) -> DataFrame:
     """``rows`` joined to ``right`` on ``keys`` where ``right`` holds at most
     one row per key (per-key stats, distinct key sets). Output columns: all
     of ``rows`` then the non-key columns of ``right``.
 
-    Hot keys of ``rows`` (from ``counts``, per-key row counts of ``rows``;
-    computed when not given) are split off: their rows meet their partner
+    Hot keys of ``rows`` (``find_hot_keys``) are split off: their rows meet their partner
     rows in a broadcast join and never cross a shuffle, so one key holding a
     large share of the data does not land in a single task. The remaining
     keys take an ordinary shuffle join.
     """
     keys = as_list(keys)
     extra = [c for c in right.columns if c not in keys]
-    if counts is None:
-        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-    hot = find_hot_keys(counts, keys, count_col, hot_rows, max_hot)
+    hot = find_hot_keys(rows, keys, hot_rows, max_hot)
 
     def plain(left, r):
         if null_safe:
