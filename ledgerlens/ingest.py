@@ -69,7 +69,7 @@ def _common(df: DataFrame, batch_id: str, batch_ts: str) -> DataFrame:
         "je": L.to_money("je"), "se": L.to_money("se"), "jshj": L.to_money("jshj"),
         "import_batch_id": F.lit(batch_id), "source_system": F.lit(DEFAULT_SOURCE_SYSTEM),
         "clean_status": F.lit(None).cast("string"), "sync_status": F.lit(None).cast("string"),
-        "import_ts": F.lit(batch_ts).cast("timestamp"),
+        "import_ts": F.lit(batch_ts).cast("timestamp_ntz"),
     })
 
 
@@ -100,7 +100,7 @@ def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
     h = _common(ok, batch_id, batch_ts).withColumns({
         "header_uuid": L.header_uuid("fpdm", "fphm", "sdfphm"),
         "related_blue_invoice_uuid": L.blue_invoice_ref("bz"),
-        "created_at": F.lit(batch_ts).cast("timestamp"), "created_by": F.lit(DEFAULT_CREATED_BY),
+        "created_at": F.lit(batch_ts).cast("timestamp_ntz"), "created_by": F.lit(DEFAULT_CREATED_BY),
         "is_balanced": F.lit(UNCHECKED), "balance_tolerance": F.lit(DEFAULT_TOLERANCE).cast("decimal(18,2)"),
     })
     return _finish(spark, h, "header_uuid", ledger, mode, rejected, chosen, batch_id)
@@ -122,7 +122,7 @@ def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
         "header_uuid": F.md5(F.col("__inv")),
         "detail_uuid": L.detail_uuid("fpdm", "fphm", "sdfphm", "logic_line_no"),
         "sl": L.truncate_decimals("sl", 8), "dj": L.truncate_decimals("dj", 8),
-        "updated_at": F.lit(None).cast("timestamp"), "updated_by": F.lit(None).cast("string"),
+        "updated_at": F.lit(None).cast("timestamp_ntz"), "updated_by": F.lit(None).cast("string"),
     }).drop("__inv")
     return _finish(spark, d, "detail_uuid", ledger, mode, rejected, chosen, batch_id)
 

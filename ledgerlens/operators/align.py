@@ -81,7 +81,7 @@ def audit_columns(df: DataFrame, import_ts: str, source_col: str = "source_file"
     """Add the source file name (from the scan's file metadata) and the batch
     import time."""
     return df.withColumns({source_col: F.col("_metadata.file_name"),
-                           "import_ts": F.lit(import_ts).cast("timestamp")})
+                           "import_ts": F.lit(import_ts).cast("timestamp_ntz")})
 
 
 def default_fill(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

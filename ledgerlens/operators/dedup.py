@@ -70,7 +70,7 @@ def build_ledger(df: DataFrame, keys, order, columns=None, keep: str = "first",
     ledger = flagged.filter(~F.col("__dup")).select(*cols)
     dups = flagged.filter(F.col("__dup")).select(*cols)
     if captured_at is not None:
-        dups = dups.withColumn("dedup_captured_at", F.lit(captured_at).cast("timestamp"))
+        dups = dups.withColumn("dedup_captured_at", F.lit(captured_at).cast("timestamp_ntz"))
     return ledger, dups
 
 
@@ -100,7 +100,7 @@ def mark_uuid_duplicates(df: DataFrame, key, order, label: str, clean: str = "cl
     hit = F.col(_FIRST).isNotNull() & ~_ord(order).eqNullSafe(F.col(_FIRST))
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
     if updated_at is not None:
-        out = out.withColumn("updated_at", F.when(hit, F.lit(updated_at).cast("timestamp"))
+        out = out.withColumn("updated_at", F.when(hit, F.lit(updated_at).cast("timestamp_ntz"))
                              .otherwise(F.col("updated_at")))
     if updated_by is not None:
         out = out.withColumn("updated_by", F.when(hit, F.lit(updated_by)).otherwise(F.col("updated_by")))

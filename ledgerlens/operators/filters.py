@@ -77,7 +77,7 @@ def tax_rate_unexpected(df: DataFrame, rate: str, expected=tuple(EXPECTED_RATE_F
     out = df.filter(~F.coalesce(r.isin(list(expected)), F.lit(False)))
     out = out.withColumn("anomaly_type", F.lit(anomaly_type))
     if detected_at is not None:
-        out = out.withColumn("detected_at", F.lit(detected_at).cast("timestamp"))
+        out = out.withColumn("detected_at", F.lit(detected_at).cast("timestamp_ntz"))
     if year_from is not None:
         out = out.withColumn("invoice_year", F.year(F.col(year_from)))
     return out

@@ -48,7 +48,7 @@ def flag_orphans(left: DataFrame, right: DataFrame, key, label: str,
     hit = F.col(clean).isNull() & F.col("__present").isNull()
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
     if updated_at is not None:
-        out = out.withColumn("updated_at", F.when(hit, F.lit(updated_at).cast("timestamp"))
+        out = out.withColumn("updated_at", F.when(hit, F.lit(updated_at).cast("timestamp_ntz"))
                              .otherwise(F.col("updated_at")))
     if updated_by is not None:
         out = out.withColumn("updated_by", F.when(hit, F.lit(updated_by)).otherwise(F.col("updated_by")))
@@ -91,7 +91,7 @@ def balance_check(header: DataFrame, detail: DataFrame | None, key, total: str =
         if "detail_total_amount" in h.columns:
             h = h.drop("detail_total_amount")
         h = h.join(totals, keys, "left")
-    for c, t in (("balance_diff", MONEY), ("balance_check_time", T.TimestampType()),
+    for c, t in (("balance_diff", MONEY), ("balance_check_time", T.TimestampNTZType()),
                  ("balance_check_by", T.StringType())):
         if c not in h.columns:
             h = h.withColumn(c, F.lit(None).cast(t))
@@ -108,7 +108,7 @@ def balance_check(header: DataFrame, detail: DataFrame | None, key, total: str =
     changed = eligible & ~new_status.eqNullSafe(F.col(status))
     h = h.withColumns({
         "balance_diff": F.when(eligible, diff.cast(MONEY)).otherwise(F.col("balance_diff").cast(MONEY)),
-        "balance_check_time": F.when(changed, F.lit(checked_at).cast("timestamp"))
+        "balance_check_time": F.when(changed, F.lit(checked_at).cast("timestamp_ntz"))
         .otherwise(F.col("balance_check_time")) if checked_at is not None else F.col("balance_check_time"),
         "balance_check_by": F.when(changed, F.lit(checked_by)).otherwise(F.col("balance_check_by"))
         if checked_by is not None else F.col("balance_check_by"),

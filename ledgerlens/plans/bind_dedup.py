@@ -153,9 +153,9 @@ q AS (SELECT b.*, CASE WHEN EXISTS (SELECT 1 FROM idx i WHERE i.l_orderkey = b.l
 
 def _batch(spark, d):
     li = table(spark, d, "lineitem", *DKEY, *line_order())
-    batch = li.filter(F.col("l_shipdate") >= F.lit(BATCH_START).cast("timestamp"))
+    batch = li.filter(F.col("l_shipdate") >= F.lit(BATCH_START).cast("timestamp_ntz"))
     index = table(spark, d, "lineitem", *DKEY, "l_shipdate") \
-        .filter(F.col("l_shipdate") < F.lit(BATCH_START).cast("timestamp")).select(*DKEY)
+        .filter(F.col("l_shipdate") < F.lit(BATCH_START).cast("timestamp_ntz")).select(*DKEY)
     return batch, index
 
 

@@ -92,11 +92,11 @@ def _s(name, t=T.StringType()):
 
 
 HEADER_SCHEMA = T.StructType(
-    [_s("header_uuid"), _s("created_at", T.TimestampType()), _s("created_by"),
-     _s("updated_at", T.TimestampType()), _s("updated_by"), _s("import_batch_id"),
+    [_s("header_uuid"), _s("created_at", T.TimestampNTZType()), _s("created_by"),
+     _s("updated_at", T.TimestampNTZType()), _s("updated_by"), _s("import_batch_id"),
      _s("source_system"), _s("source_file"), _s("sync_status"), _s("clean_status"),
      _s("detail_total_amount", MONEY), _s("is_balanced"), _s("balance_diff", MONEY),
-     _s("balance_tolerance", MONEY), _s("balance_check_time", T.TimestampType()),
+     _s("balance_tolerance", MONEY), _s("balance_check_time", T.TimestampNTZType()),
      _s("balance_check_by"), _s("balance_notes"), _s("related_blue_invoice_uuid")]
     + [_s(c) for c in ["fpdm", "fphm", "sdfphm", "xfsbh", "xfmc", "gfsbh", "gfmc", "kprq"]]
     + [_s("invoice_date", T.DateType()), _s("invoice_time")]
@@ -107,7 +107,7 @@ HEADER_SCHEMA = T.StructType(
 
 DETAIL_SCHEMA = T.StructType(
     [_s("detail_uuid"), _s("header_uuid"), _s("logic_line_no", T.IntegerType()),
-     _s("updated_at", T.TimestampType()), _s("updated_by"), _s("import_batch_id"),
+     _s("updated_at", T.TimestampNTZType()), _s("updated_by"), _s("import_batch_id"),
      _s("source_system"), _s("source_file"), _s("sync_status"), _s("clean_status")]
     + [_s(c) for c in ["fpdm", "fphm", "sdfphm", "xfsbh", "xfmc", "gfsbh", "gfmc", "kprq"]]
     + [_s("invoice_date", T.DateType()), _s("invoice_time")]
