@@ -151,3 +151,34 @@ def workbook_import(spark, d):
     xlsx_writer.write_workbooks(header_export(spark, d).repartition(4), src, "发票基础信息").count()
     res = ingest.import_headers(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=_scratch(spark, "header-ledger"))
     return res.accepted
+
+
+# detail export: lines of lineitem with unit prices carrying long fractions
+DETAIL_EXPORT = {
+    "发票代码": "'0' || lpad(CAST(l_orderkey % 97 AS STRING), 11, '0')",
+    "发票号码": "lpad(CAST(l_orderkey AS STRING), 8, '0')",
+    "数电发票号码": "CASE WHEN l_orderkey % 7 = 0 THEN '2' || lpad(CAST(l_orderkey AS STRING), 19, '0') END",
+    "开票日期": "CAST(CAST(l_shipdate AS DATE) AS STRING)",
+    "货物或应税劳务名称": "'part ' || CAST(l_partkey AS STRING)",
+    "数量": "CAST(l_quantity AS STRING)",
+    "单价": "CAST(l_extendedprice / l_quantity AS STRING)",
+    "金额": "CAST(l_extendedprice AS STRING)",
+    "税率": "CAST(CAST(ROUND(l_tax * 100) AS INT) AS STRING) || '%'",
+    "税额": "CAST(ROUND(l_extendedprice * l_tax, 2) AS STRING)",
+    "价税合计": "CAST(ROUND(l_extendedprice * (1 + l_tax), 2) AS STRING)",
+}
+
+
+def detail_export(spark, d):
+    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_tax",
+               "l_shipdate")
+    return li.select(*[F.expr(e).alias(t) for t, e in DETAIL_EXPORT.items()])
+
+
+@bound("detail_workbook_import")
+def detail_workbook_import(spark, d):
+    """Detail workbooks ('信息汇总表') written from lineitem, imported into a fresh ledger."""
+    src = _scratch(spark, "detail-export")
+    xlsx_writer.write_workbooks(detail_export(spark, d).repartition(4), src, "信息汇总表").count()
+    res = ingest.import_details(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=_scratch(spark, "detail-ledger"))
+    return res.accepted

@@ -170,3 +170,25 @@ def test_workbook_import_equals_direct_operators(spark, sf_small):
     again = ingest.import_headers(spark, f"{d}/wb", "b2", "2024-01-02 00:00:00", ledger=f"{d}/ledger")
     assert again.accepted.count() == 0
     assert spark.read.parquet(f"{d}/ledger").count() == got.count()
+
+
+def test_detail_import_invariants(spark, sf_small):
+    from ledgerlens import ingest
+    d = local_scratch_dir()
+    src = bind_io.detail_export(spark, sf_small)
+    xlsx_writer.write_workbooks(src.repartition(3), f"{d}/wb", "信息汇总表").count()
+    res = ingest.import_details(spark, f"{d}/wb", "b1", "2024-01-01 00:00:00", ledger=f"{d}/ledger")
+    acc = res.accepted
+    total = src.count()
+    assert acc.count() + res.quarantined.count() + res.rejected_keys.count() + res.missing_year.count() == total
+    assert acc.select("detail_uuid").distinct().count() == acc.count()
+    # line numbers run 1..n per (file, sheet, invoice) in row order, before quarantine
+    lines = acc.unionByName(res.quarantined.drop("quarantine_reason"), allowMissingColumns=True)
+    chk = lines.groupBy("source_file", "source_sheet", "header_uuid").agg(
+        F.count(F.lit(1)).alias("n"), F.max("logic_line_no").alias("mx"), F.min("logic_line_no").alias("mn"))
+    assert chk.filter((F.col("mn") != 1) | (F.col("mx") != F.col("n"))).count() == 0
+    # unit prices are cut, never rounded, to 8 decimals
+    row = acc.filter(F.col("dj").isNotNull()).select("dj").first()
+    assert row.dj.as_tuple().exponent == -8
+    again = ingest.import_details(spark, f"{d}/wb", "b2", "2024-01-02 00:00:00", ledger=f"{d}/ledger")
+    assert again.accepted.count() == 0
