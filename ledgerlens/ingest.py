@@ -13,6 +13,7 @@ the column lists.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,10 +75,20 @@ def _common(df: DataFrame, batch_id: str, batch_ts: str) -> DataFrame:
 
 
 def _rows(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    return xlsx.stage_workbooks(spark, path, scratch_path(spark, f"raw-rows-{batch_id}"))
+    return xlsx.stage_workbooks(spark, path, scratch_path(spark, f"raw-rows-{batch_id}-{uuid.uuid4().hex[:12]}"))
+
+
+def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write the keyed rows once to the shared checkpoint folder and read
+    them back: quarantine reads them twice (hot-key sample, final join), and
+    the parse, line numbers and keys must not be computed twice."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id) -> ImportResult:
+    df = _stage(spark, df, f"keyed-{batch_id}")
     accepted, held = quarantine(df, key, known_keys=_known_keys(spark, ledger, key), mode=mode,
                                 order=["source_file", "source_sheet", "row_no"])
     accepted = accepted.withColumn("invoice_year", L.invoice_year("invoice_date"))
