@@ -74,11 +74,14 @@ def parse_tax_rate(c, text_to_zero: bool = True) -> Column:
     return _guarded_double(s)
 
 
-# Date layouts accepted row by row (month-first for the x-x-yyyy layout),
-# each rewritten to 'y-m-d' in turn; the first that applies wins.
-_ISO_DATE = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2}).*$"
-_US_DATE = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4}).*$"
-_COMPACT_DATE = r"^(\d{4})(\d{2})(\d{2})$"
+# Date layouts accepted row by row, first match wins: 'yyyy-m-d' (also '/'
+# or '.', anything after the day ignored), month-first 'm-d-yyyy' (also
+# '/'), and 'yyyymmdd'. One alternation rewrites each to 'y-m-d': groups of
+# the alternatives that did not match are replaced by nothing.
+_DATE_LAYOUTS = (r"^(?:(\d{4})[-/.](\d{1,2})[-/.](\d{1,2}).*"
+                 r"|(\d{1,2})[-/](\d{1,2})[-/](\d{4}).*"
+                 r"|(\d{4})(\d{2})(\d{2}))$")
+_TO_YMD = "$1$6$7-$2$4$8-$3$5$9"
 _SERIAL = r"^\d+(\.\d+)?$"
 
 
@@ -93,8 +96,7 @@ def parse_invoice_date(c, serial_base: str = "1899-12-30", min_serial: int = 100
     such as '2023' gives null.
     """
     s = strip(c)
-    ymd = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, _ISO_DATE, "$1-$2-$3"),
-                                            _US_DATE, "$3-$1-$2"), _COMPACT_DATE, "$1-$2-$3")
+    ymd = F.regexp_replace(s, _DATE_LAYOUTS, _TO_YMD)
     serial_num = F.nullif(F.regexp_extract(ymd, _SERIAL, 0), F.lit("")).try_cast(T.DoubleType())
     serial = F.when(serial_num.between(min_serial, max_serial),
                     F.date_add(F.to_date(F.lit(serial_base)), F.floor(serial_num).cast("int")))
