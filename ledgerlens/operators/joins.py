@@ -35,19 +35,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys) -> Column:
-    """Join condition treating nulls as equal (pandas groupby/duplicated semantics)."""
-    conds = [left[k].eqNullSafe(right[k]) for k in as_list(keys)]
-    return reduce(lambda a, b: a & b, conds)
-
-
-def split_known_keys(df: DataFrame, known_keys: DataFrame, key, known_key=None):
+def split_known_keys(df: DataFrame, known_keys: DataFrame, key, known_key=None, normalize: bool = False):
     """Split rows into (new, known) by membership of ``key`` in ``known_keys``.
 
     ``known_keys`` may hold duplicates; semi/anti joins need no distinct.
+    ``normalize`` compares keys trimmed and lower-cased on both sides (the
+    tolerant second check against a target table).
     """
     keys = as_list(key)
     kk = as_list(known_key) or keys
+    if normalize:
+        names = [f"__nk_{i}" for i in range(len(keys))]
+        left = df.withColumns({n: normalized_key(k) for n, k in zip(names, keys)})
+        right = known_keys.select(*[normalized_key(a).alias(n) for a, n in zip(kk, names)])
+        return (left.join(right, names, "left_anti").drop(*names),
+                left.join(right, names, "left_semi").drop(*names))
     right = known_keys.select(*[F.col(a).alias(b) for a, b in zip(kk, keys)])
     new = df.join(right, keys, "left_anti")
     known = df.join(right, keys, "left_semi")

@@ -31,12 +31,6 @@ def money(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
-def detail_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as invoice lines with a numeric rate (percent) and its raw text."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.withColumn("rate_num", (F.col("l_tax") * 100).cast("decimal(9,2)"))
-
-
 def line_order(prefix: str = "l_") -> list[str]:
     """A total order over lineitem rows (all columns after the key)."""
     return [f"{prefix}shipdate", f"{prefix}partkey", f"{prefix}suppkey", f"{prefix}quantity",

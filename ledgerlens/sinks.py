@@ -71,6 +71,15 @@ def write_side_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str =
         w.parquet(path)
 
 
+def write_error_log(errors: DataFrame, path: str) -> None:
+    """Error rows enriched with remedy and category, written as CSV (with a
+    header) and as JSON lines under ``path``/csv and ``path``/json."""
+    from ledgerlens.operators.audit import enrich_errors
+    enriched = enrich_errors(errors)
+    write_side_table(enriched, f"{path}/csv", fmt="csv", mode="overwrite")
+    write_side_table(enriched, f"{path}/json", fmt="json", mode="overwrite")
+
+
 def describe_table(df: DataFrame) -> DataFrame:
     """(col_name, data_type, nullable) of a frame's schema, as rows."""
     spark = df.sparkSession

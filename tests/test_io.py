@@ -192,3 +192,26 @@ def test_detail_import_invariants(spark, sf_small):
     assert row.dj.as_tuple().exponent == -8
     again = ingest.import_details(spark, f"{d}/wb", "b2", "2024-01-02 00:00:00", ledger=f"{d}/ledger")
     assert again.accepted.count() == 0
+
+
+def test_error_log_export(spark):
+    d = local_scratch_dir()
+    errs = spark.createDataFrame([("a.xlsx", "S1", "read", "ValueError", "bad"),
+                                  ("b.xlsx", None, "scan", "Weird", "permission denied")],
+                                 "file string, sheet string, stage string, error_type string, message string")
+    sinks.write_error_log(errs, f"{d}/errors")
+    csv = spark.read.option("header", True).csv(f"{d}/errors/csv")
+    js = spark.read.json(f"{d}/errors/json")
+    assert csv.count() == js.count() == 2
+    got = {r.file: (r.suggestion, r.category) for r in js.collect()}
+    assert got["a.xlsx"][0].startswith("数据格式错误") and got["b.xlsx"][0].startswith("检查该文件")
+
+
+def test_split_known_keys_normalized(spark):
+    from ledgerlens.operators.joins import split_known_keys
+    df = spark.createDataFrame([(" AB ",), ("cd",), ("ef",)], "k string")
+    known = spark.createDataFrame([("ab",), ("CD ",)], "k string")
+    new, seen = split_known_keys(df, known, "k", normalize=True)
+    assert [r.k for r in new.collect()] == ["ef"] and sorted(r.k for r in seen.collect()) == [" AB ", "cd"]
+    new2, _ = split_known_keys(df, known, "k")
+    assert new2.count() == 3
