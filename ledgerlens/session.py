@@ -66,3 +66,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_scratch_dir(prefix: str = "ledgerlens-") -> str:
     """Tests only: a fresh local folder (never used by library operators)."""
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerlens`` importable in executor Python workers.
+
+    Operators that run Python on executors (workbook parsing and writing)
+    pickle functions of this package by reference. The package is zipped
+    once per application and added with ``addPyFile`` (what ``--py-files``
+    does), so it works whatever the workers' working directory or install.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="ledgerlens-pyfiles-"), "ledgerlens.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(pkg_dir):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)

@@ -23,6 +23,8 @@ from ledgerlens.operators.joins import as_list
 
 
 def _known_keys(spark: SparkSession, target: str, keys: list[str], epoch: int) -> DataFrame | None:
+    if epoch == 0:
+        return None
     try:
         t = spark.read.parquet(target)
     except AnalysisException:
