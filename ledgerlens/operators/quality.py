@@ -150,14 +150,13 @@ def run_dq(header: DataFrame, detail: DataFrame, header_key="header_uuid",
 
 def issue_counts(header: DataFrame, detail: DataFrame, clean: str = "clean_status",
                  status: str = "is_balanced") -> DataFrame:
-    """Counts per (table, field, value) of the quality flags, one pass per table."""
-    h = (header.groupBy(F.lit("header").alias("table_name"), F.lit(clean).alias("field"),
-                        F.coalesce(F.col(clean), F.lit("")).alias("value"))
-         .agg(F.count(F.lit(1)).alias("rows")))
-    b = (header.groupBy(F.lit("header").alias("table_name"), F.lit(status).alias("field"),
-                        F.coalesce(F.col(status), F.lit("")).alias("value"))
-         .agg(F.count(F.lit(1)).alias("rows")))
-    d = (detail.groupBy(F.lit("detail").alias("table_name"), F.lit(clean).alias("field"),
-                        F.coalesce(F.col(clean), F.lit("")).alias("value"))
-         .agg(F.count(F.lit(1)).alias("rows")))
-    return h.unionByName(b).unionByName(d)
+    """Counts per (table, field, value) of the quality flags: one pass per
+    table (both header fields are unpivoted and counted together)."""
+    def counted(df: DataFrame, table_name: str, fields: list[str]) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f), F.lit("")).alias("value"))
+                          for f in fields])
+        return (df.select(F.explode(pairs).alias("__p"))
+                .groupBy(F.lit(table_name).alias("table_name"), F.col("__p.field").alias("field"),
+                         F.col("__p.value").alias("value"))
+                .agg(F.count(F.lit(1)).alias("rows")))
+    return counted(header, "header", [clean, status]).unionByName(counted(detail, "detail", [clean]))

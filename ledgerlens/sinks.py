@@ -17,6 +17,14 @@ from pyspark.sql import functions as F
 from ledgerlens.session import ensure_checkpoint_dir
 
 
+def create_table(spark: SparkSession, schema, path: str, by=("invoice_year",)) -> DataFrame:
+    """Create an empty parquet table with a fixed schema at ``path`` (kept as
+    is when it already exists, like CREATE TABLE IF NOT EXISTS) and return it
+    read with that schema."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*by).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, by=("invoice_year",), mode: str = "overwrite",
                       sort_within=None) -> None:
     """Write parquet partitioned by ``by``; with mode 'overwrite' only the

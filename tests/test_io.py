@@ -215,3 +215,15 @@ def test_split_known_keys_normalized(spark):
     assert [r.k for r in new.collect()] == ["ef"] and sorted(r.k for r in seen.collect()) == [" AB ", "cd"]
     new2, _ = split_known_keys(df, known, "k")
     assert new2.count() == 3
+
+
+def test_create_table_then_append(spark):
+    from ledgerlens.schemas import HEADER_SCHEMA
+    d = local_scratch_dir()
+    t = sinks.create_table(spark, HEADER_SCHEMA, f"{d}/header")
+    assert t.count() == 0 and t.schema == HEADER_SCHEMA
+    row = spark.createDataFrame([{"header_uuid": "x", "invoice_year": 2023}], HEADER_SCHEMA)
+    sinks.write_partitioned(row, f"{d}/header", mode="append")
+    sinks.create_table(spark, HEADER_SCHEMA, f"{d}/header")          # exists: kept
+    again = spark.read.schema(HEADER_SCHEMA).parquet(f"{d}/header")
+    assert [(r.header_uuid, r.invoice_year) for r in again.collect()] == [("x", 2023)]
