@@ -476,3 +476,18 @@ def invoice_struct(spark, d):
     li = li.withColumn("rate_num", parse_tax_rate("raw"))
     out = AL.invoice_struct(li, {"invoice_no": "l_orderkey", "line_no": "l_linenumber"}, "rate_num", "raw")
     return out.select("l_orderkey", "l_linenumber", "record.*")
+
+
+@bound("error_log_export", f"""
+WITH {_ERR_SQL}
+SELECT event_id, error_type, message, level, {_D_SUGGEST} AS suggestion, {_D_CATEGORY} AS category FROM errs
+""")
+def error_log_export(spark, d):
+    """Error rows written as CSV and JSON logs, read back from the JSON."""
+    import uuid
+    from ledgerlens import sinks
+    from ledgerlens.session import scratch_path
+    path = scratch_path(spark, f"error-log-{uuid.uuid4().hex[:12]}")
+    sinks.write_error_log(_errors(spark, d), path)
+    return spark.read.schema("event_id bigint, error_type string, message string, level string, "
+                             "suggestion string, category string").json(f"{path}/json")
