@@ -137,3 +137,57 @@ def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
     }).drop("__inv")
     return _finish(spark, d, "detail_uuid", ledger, mode, rejected, chosen, batch_id)
 
+
+
+@dataclass
+class LedgerBuild:
+    ledger: DataFrame          # kept rows, year-partitioned
+    duplicates: DataFrame      # later copies of a dedup key, with capture time
+    metrics: DataFrame         # rows before / after / dropped per year
+    cast_stats: DataFrame      # per (file, sheet, column, method)
+    cast_failures: DataFrame   # one row per value that did not parse
+    manifest: DataFrame        # one row per sheet
+    anomalies: DataFrame       # tax-rate anomalies over the ledger
+
+
+def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, batch_ts: str,
+                                kind: str = "summary", keys=None) -> LedgerBuild:
+    """Scan, classify, cast and record, then dedup into the year ledger.
+
+    Sheets of class ``kind`` ('summary' sheets feed the detail ledger) are
+    united by title (missing titles null), dates, amounts and rates are
+    parsed next to their text with statistics and failure rows, the year
+    comes from the parsed date, rows are de-duplicated keep-first on the
+    dedup titles present (arrival order: file, sheet, row), the ledger is
+    written partitioned by year and the tax-rate rule runs over it.
+    """
+    from ledgerlens.operators import audit, dedup, filters, sheets as sh
+    from ledgerlens.schemas import DETAIL_DEDUP_COLUMNS, INVOICE_DATE
+    rows = _rows(spark, path, f"ledger-{uuid.uuid4().hex[:8]}")
+    catalogue = sh.classify_sheets(xlsx.sheet_catalogue(rows), "sheet")
+    manifest = sh.sheet_manifest(catalogue, xlsx.data_rows(rows))
+    picked = catalogue.filter(F.col("classification") == kind).select("file", "sheet")
+    titles = xlsx.title_union(rows.join(picked, ["file", "sheet"], "left_semi"))
+    data = xlsx.sheet_table(rows.join(picked, ["file", "sheet"], "left_semi"), titles)
+    data = data.withColumnRenamed("row_no", "row_index")
+    specs = {c: k for c, k in (("开票日期", audit.DATE), ("金额", audit.NUMERIC), ("税额", audit.NUMERIC),
+                               ("单价", audit.NUMERIC), ("数量", audit.NUMERIC), ("价税合计", audit.NUMERIC),
+                               ("税率", audit.TAX_RATE)) if c in titles}
+    keys_present = [c for c in ("发票代码", "发票号码") if c in titles]
+    stats = audit.cast_stats(data, specs)
+    failures = audit.cast_failures(data, specs, keys=keys_present)
+    typed = audit.typed_frame(data, specs).withColumn("invoice_year", L.invoice_year(INVOICE_DATE))
+    typed, _ = filters.split_missing_year(typed, "invoice_year")
+    dedup_keys = [c for c in (keys or DETAIL_DEDUP_COLUMNS) if c in titles]
+    order = ["file", "sheet", "row_index"]
+    flagged = _stage(spark, dedup.flag_duplicates(typed, dedup_keys, order, flag="is_duplicate"), "flagged")
+    metrics = dedup.dedup_metrics(flagged, "invoice_year", kind="detail")
+    kept = flagged.filter(~F.col("is_duplicate")).drop("is_duplicate")
+    dups = (flagged.filter(F.col("is_duplicate")).drop("is_duplicate")
+            .withColumn("dedup_captured_at", F.lit(batch_ts).cast("timestamp_ntz")))
+    write_partitioned(kept, ledger)
+    written = spark.read.parquet(ledger)
+    rate_num = "税率" + audit.RATE_NUM_SUFFIX
+    anomalies = (filters.tax_rate_anomaly(written, rate_num, "税率")
+                 if rate_num in written.columns else written.limit(0))
+    return LedgerBuild(written, dups, metrics, stats, failures, manifest, anomalies)

@@ -182,3 +182,12 @@ def detail_workbook_import(spark, d):
     xlsx_writer.write_workbooks(detail_export(spark, d).repartition(4), src, "信息汇总表").count()
     res = ingest.import_details(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=_scratch(spark, "detail-ledger"))
     return res.accepted
+
+
+@bound("workbook_ledger")
+def workbook_ledger(spark, d):
+    """Detail workbooks written from lineitem, cast, de-duplicated and
+    written as the year-partitioned ledger (the ledger is returned)."""
+    src = _scratch(spark, "ledger-export")
+    xlsx_writer.write_workbooks(detail_export(spark, d).repartition(4), src, "信息汇总表").count()
+    return ingest.build_ledger_from_workbooks(spark, src, _scratch(spark, "ledger"), "2024-01-01 00:00:00").ledger

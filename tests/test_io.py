@@ -227,3 +227,25 @@ def test_create_table_then_append(spark):
     sinks.create_table(spark, HEADER_SCHEMA, f"{d}/header")          # exists: kept
     again = spark.read.schema(HEADER_SCHEMA).parquet(f"{d}/header")
     assert [(r.header_uuid, r.invoice_year) for r in again.collect()] == [("x", 2023)]
+
+
+def test_ledger_from_workbooks(spark, sf_small):
+    from ledgerlens import ingest
+    d = local_scratch_dir()
+    src = bind_io.detail_export(spark, sf_small)
+    # deliver a slice of the lines twice, in a second file: exact copies must be dropped
+    again = src.limit(50)
+    xlsx_writer.write_workbooks(src.repartition(2), f"{d}/wb", "信息汇总表").count()
+    xlsx_writer.write_workbooks(again.coalesce(1), f"{d}/wb2", "信息汇总表").count()
+    import shutil  # copy the second delivery beside the first (test fixture layout only)
+    shutil.copy(f"{d}/wb2/part-00000.xlsx", f"{d}/wb/again.xlsx")
+    res = ingest.build_ledger_from_workbooks(spark, f"{d}/wb", f"{d}/ledger", "2024-01-01 00:00:00")
+    n = src.count()
+    assert res.ledger.count() + res.duplicates.count() == n + 50
+    assert res.duplicates.count() >= 50
+    m = res.metrics.agg(F.sum("rows_before").alias("b"), F.sum("rows_dropped").alias("x")).first()
+    assert m.b == n + 50 and m.x == res.duplicates.count()
+    assert set(res.ledger.columns) >= {"开票日期", "金额", "税率", "税率_数值", "invoice_year"}
+    assert res.anomalies.count() >= 0 and res.cast_stats.count() > 0
+    man = res.manifest.collect()
+    assert len(man) == 3 and all(r.classification == "summary" and r.target_table == "detail" for r in man)
