@@ -4,40 +4,80 @@
 sheet, row number, or any total order the caller gives); Spark rows have
 no inherent order.
 
-Skew: a group of copies may hold a large share of all rows. Keep-first and
-group-size flags are therefore computed as a partial aggregate per key
-(map-side combine, one small row per key) joined back to the rows, never as
-a window that would put a whole hot group into one task. AQE's skew-join
-split handles a hot key on the row side of the join-back.
+Skew: a group of copies may hold a large share of all rows. Group flags
+(``group_flags``: group size and first-row flag) are computed in two
+paths. Hot keys, found from a sample of the key columns (at most
+``joins.MAX_HOT_KEYS`` of them), are aggregated map-side (partial count and
+min/max of the order struct, one small row per key and task) and their few
+result rows are broadcast back to the hot rows, which never cross a
+shuffle. Every other key holds fewer than ``joins.HOT_KEY_ROWS`` rows, so a
+window over it is bounded: one shuffle and one sort, cheaper than an
+aggregate joined back.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import as_list, join_unique
+from ledgerlens.operators.joins import DETECT, as_list, find_hot_keys, join_unique
 
 _FIRST = "__first_ord"
 _COUNT = "__group_rows"
+_IS_FIRST = "__is_first"
 
 
 def _ord(order) -> F.Column:
     return F.struct(*[F.col(c) for c in as_list(order)])
 
 
-def _key_stats(df: DataFrame, keys, order=None, keep: str = "first") -> DataFrame:
-    """Per key: row count and the first (or last) order struct."""
+def _null_safe_cond(left: DataFrame, right: DataFrame, lkeys, rkeys) -> F.Column:
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in zip(lkeys, rkeys)])
+
+
+def group_flags(df: DataFrame, keys, order=None, keep: str = "first", hot=DETECT) -> DataFrame:
+    """``df`` plus ``__group_rows`` (rows sharing the key; null keys form one
+    group) and, with ``order``, ``__is_first`` (the first row of its group by
+    ``order``, or the last with ``keep='last'``). ``order`` must be a total
+    order within a group."""
+    keys = as_list(keys)
+    order = as_list(order) if order is not None else []
+    cols = df.columns
+
+    def windowed(part: DataFrame) -> DataFrame:
+        if not order:
+            return part.withColumn(_COUNT, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        sort = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in order]
+        w = Window.partitionBy(*keys).orderBy(*sort)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return part.withColumns({_COUNT: F.count(F.lit(1)).over(whole),
+                                 _IS_FIRST: F.row_number().over(w) == 1})
+
+    if isinstance(hot, str):
+        hot = find_hot_keys(df, keys)
+    if hot is None:
+        return windowed(df)
+    hb = F.broadcast(hot)
+    hot_rows = df.join(hb, _null_safe_cond(df, hb, keys, keys), "left_semi")
+    cold_rows = df.join(hb, _null_safe_cond(df, hb, keys, keys), "left_anti")
     aggs = [F.count(F.lit(1)).alias(_COUNT)]
-    if order is not None:
-        pick = F.min if keep == "first" else F.max
-        aggs.append(pick(_ord(order)).alias(_FIRST))
-    return df.groupBy(*keys).agg(*aggs)
+    if order:
+        aggs.append((F.max if keep == "last" else F.min)(_ord(order)).alias(_FIRST))
+    stats = hot_rows.groupBy(*keys).agg(*aggs)          # one row per hot key
+    stats = stats.select(*[F.col(k).alias(f"__h_{i}") for i, k in enumerate(keys)], *[a for a in stats.columns
+                                                                                      if a not in keys])
+    sb = F.broadcast(stats)
+    hj = hot_rows.join(sb, _null_safe_cond(hot_rows, sb, keys, [f"__h_{i}" for i in range(len(keys))]), "left")
+    if order:
+        hj = hj.withColumn(_IS_FIRST, _ord(order).eqNullSafe(F.col(_FIRST)))
+    out_cols = cols + [_COUNT] + ([_IS_FIRST] if order else [])
+    return windowed(cold_rows).select(*out_cols).unionByName(hj.select(*out_cols))
 
 
-def _join_back(df: DataFrame, stats: DataFrame, keys, null_safe: bool) -> DataFrame:
-    """Rows with their key's stats; hot keys take a broadcast path."""
-    return join_unique(df, stats, as_list(keys), "left", null_safe)
+def _keys_present(keys) -> F.Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in as_list(keys)])
 
 
 def flag_duplicates(df: DataFrame, keys, order, keep: str = "first",
@@ -45,12 +85,15 @@ def flag_duplicates(df: DataFrame, keys, order, keep: str = "first",
     """Add boolean ``flag``: True for every row but the first (or last) per key.
 
     Nulls in key columns compare equal (``null_safe``), like pandas
-    ``duplicated``. ``order`` must be a total order within a key group.
+    ``duplicated``; with ``null_safe=False`` a row with a null key is never a
+    duplicate. ``order`` must be a total order within a key group.
     """
     keys = as_list(keys)
-    stats = _key_stats(df, keys, order, keep)
-    out = _join_back(df, stats, keys, null_safe)
-    return out.withColumn(flag, ~_ord(order).eqNullSafe(F.col(_FIRST))).drop(_FIRST, _COUNT)
+    out = group_flags(df, keys, order, keep)
+    dup = ~F.col(_IS_FIRST)
+    if not null_safe:
+        dup = _keys_present(keys) & dup
+    return out.withColumn(flag, dup).drop(_IS_FIRST, _COUNT)
 
 
 def keep_first(df: DataFrame, keys, order, keep: str = "first", null_safe: bool = True) -> DataFrame:
@@ -94,17 +137,16 @@ def mark_uuid_duplicates(df: DataFrame, key, order, label: str, clean: str = "cl
     ``updated_at`` / ``updated_by`` are stamped on marked rows when given.
     """
     keys = as_list(key)
-    stats = _key_stats(df, keys, order, "first")
-    # null keys never match (plain equality), as pandas groupby drops them
-    out = _join_back(df, stats, keys, null_safe=False).drop(_COUNT)
-    hit = F.col(_FIRST).isNotNull() & ~_ord(order).eqNullSafe(F.col(_FIRST))
+    out = group_flags(df, keys, order, "first")
+    # rows with a null key are never marked (pandas groupby drops null keys)
+    hit = _keys_present(keys) & ~F.col(_IS_FIRST)
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
     if updated_at is not None:
         out = out.withColumn("updated_at", F.when(hit, F.lit(updated_at).cast("timestamp_ntz"))
                              .otherwise(F.col("updated_at")))
     if updated_by is not None:
         out = out.withColumn("updated_by", F.when(hit, F.lit(updated_by)).otherwise(F.col("updated_by")))
-    return out.drop(_FIRST)
+    return out.drop(_IS_FIRST, _COUNT)
 
 
 def repeated_keys(df: DataFrame, key, by=(), min_count: int = 2) -> DataFrame:
@@ -124,23 +166,22 @@ def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_ke
     = input, always.
     """
     keys = as_list(key)
-    stats = _key_stats(df, keys, order if mode == "keep_first" else None, "first")
-    out = _join_back(df, stats, keys, null_safe=False)
+    hot = find_hot_keys(df, keys)        # once, for the flags and the known-key join
+    out = group_flags(df, keys, order if mode == "keep_first" else None, "first", hot=hot)
+    repeated = _keys_present(keys) & (F.col(_COUNT) > 1)
     if mode == "keep_first":
-        repeated = (F.col(_COUNT) > 1) & ~_ord(order).eqNullSafe(F.col(_FIRST))
-    else:
-        repeated = F.col(_COUNT) > 1
+        repeated = repeated & ~F.col(_IS_FIRST)
     if known_keys is not None:
         kk = as_list(known_key) or keys
         marks = (known_keys.select(*[F.col(a).alias(b) for a, b in zip(kk, keys)])
                  .distinct().withColumn("__known", F.lit(True)))
-        out = join_unique(out, marks, keys, "left")
+        out = join_unique(out, marks, keys, "left", hot=hot)
         known = F.coalesce(F.col("__known"), F.lit(False))
     else:
         known = F.lit(False)
     out = out.withColumn(reason, F.when(known, "already_imported")
                          .when(repeated, "repeated_in_batch"))
-    drop = [c for c in (_COUNT, _FIRST, "__known") if c in out.columns]
+    drop = [c for c in (_COUNT, _IS_FIRST, "__known") if c in out.columns]
     out = out.drop(*drop)
     return out.filter(F.col(reason).isNull()).drop(reason), out.filter(F.col(reason).isNotNull())
 

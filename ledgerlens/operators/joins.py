@@ -127,20 +127,25 @@ def find_hot_keys(rows: DataFrame, keys, hot_rows: int | None = None,
     return rows.sparkSession.createDataFrame(hot, rows.select(*keys).schema)
 
 
+DETECT = "detect"
+
+
 def join_unique(rows: DataFrame, right: DataFrame, keys, how: str = "left", null_safe: bool = False,
-                hot_rows: int | None = None, max_hot: int | None = None) -> DataFrame:
+                hot_rows: int | None = None, max_hot: int | None = None, hot=DETECT) -> DataFrame:
     """``rows`` joined to ``right`` on ``keys`` where ``right`` holds at most
     one row per key (per-key stats, distinct key sets). Output columns: all
     of ``rows`` then the non-key columns of ``right``.
 
-    Hot keys of ``rows`` (``find_hot_keys``) are split off: their rows meet their partner
+    Hot keys of ``rows`` (``find_hot_keys``, or ``hot`` when the caller
+    already knows them; None = none) are split off: their rows meet their partner
     rows in a broadcast join and never cross a shuffle, so one key holding a
     large share of the data does not land in a single task. The remaining
     keys take an ordinary shuffle join.
     """
     keys = as_list(keys)
     extra = [c for c in right.columns if c not in keys]
-    hot = find_hot_keys(rows, keys, hot_rows, max_hot)
+    if isinstance(hot, str):
+        hot = find_hot_keys(rows, keys, hot_rows, max_hot)
 
     def plain(left, r):
         if null_safe:
