@@ -131,10 +131,15 @@ def split_date_time(c) -> Column:
     return F.struct(date_part(c).alias("invoice_date"), time_part(c).alias("invoice_time"))
 
 
+# four digits, or a decimal whose integer part is a four-digit number
+# (a dotted value goes through float -> int, so '0999.0' is 999: not a year)
+_YEAR = r"^(?:(\d{4})|([1-9]\d{3})\.\d*)$"
+
+
 def normalize_year(c) -> Column:
-    """'2023', '2023.0', 2023.0, '2023.5' -> 2023; '', 'abc', null -> null."""
+    """'2023', '2023.0', 2023.0, '2023.5' -> 2023; '', 'abc', '0999.0', null -> null."""
     s = strip(c)
-    y = F.regexp_extract(s, r"^(\d{4})(\.\d*)?$", 1)
+    y = F.concat(F.regexp_extract(s, _YEAR, 1), F.regexp_extract(s, _YEAR, 2))
     return F.when(y != "", y.cast("int"))
 
 

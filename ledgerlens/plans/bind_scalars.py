@@ -77,7 +77,7 @@ RAW_YEAR = f"""CASE o_orderkey % 8
   WHEN 4 THEN 'abc'
   WHEN 5 THEN ''
   WHEN 6 THEN NULL
-  ELSE {_Y} || '1' END"""
+  ELSE CASE WHEN o_orderkey % 16 = 7 THEN '0' || CAST(o_orderkey % 1000 AS STRING) || '.0' ELSE {_Y} || '1' END END"""
 
 # invoice code / number / e-number with blanks, leading zeros, 20-digit
 # e-numbers, full-width dash and spaces
@@ -189,7 +189,9 @@ def split_date_time(spark, d):
 
 @bound("normalize_year", f"""
 WITH r AS (SELECT o_orderkey, {RAW_YEAR} AS raw FROM orders),
-c AS (SELECT o_orderkey, raw, regexp_extract(trim(raw, {_DUCK_WS}), '^(\\d{{4}})(\\.\\d*)?$', 1) AS y FROM r)
+c AS (SELECT o_orderkey, raw,
+             regexp_extract(trim(raw, {_DUCK_WS}), '^(?:(\\d{{4}})|([1-9]\\d{{3}})\\.\\d*)$', 1) ||
+             regexp_extract(trim(raw, {_DUCK_WS}), '^(?:(\\d{{4}})|([1-9]\\d{{3}})\\.\\d*)$', 2) AS y FROM r)
 SELECT o_orderkey, raw, CASE WHEN y <> '' THEN CAST(y AS INTEGER) END AS invoice_year FROM c
 """)
 def normalize_year(spark, d):

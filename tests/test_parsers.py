@@ -24,6 +24,12 @@ def test_normalize_year_text(spark):
     assert got == [e for _, e in YEAR_CASES]
 
 
+def test_normalize_year_edges(spark):
+    # a dotted value goes through float -> int: its integer part must have 4 digits
+    got = _eval(spark, ["0999.0", "2023.", " 2023.0 ", "12023.0", "-2023.0", "0999"], L.normalize_year)
+    assert got == [None, 2023, 2023, None, None, 999]
+
+
 def test_normalize_year_numeric(spark):
     assert _eval(spark, [2023.0, 2023.5], L.normalize_year, "double") == [2023, 2023]
     assert _eval(spark, [2023], L.normalize_year, "int") == [2023]
