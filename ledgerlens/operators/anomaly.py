@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import as_list, bounded_broadcast, join_unique
+from ledgerlens.operators.dedup import with_group_aggregates
+from ledgerlens.operators.joins import as_list, bounded_broadcast
 
 # re-exported: the two rate rules live with the other filters
 from ledgerlens.operators.filters import tax_rate_anomaly, tax_rate_unexpected  # noqa: F401
@@ -129,11 +130,11 @@ def price_deviation(df: DataFrame, group: str, amount: str, quantity: str,
 
     Tested exactly in DECIMAL without division:
     |amount * Sq - qty * Sa| > max_rel * qty * Sa (rows with qty > 0).
-    The group sums are a partial aggregate joined back (skew-safe).
+    Group sums come from ``with_group_aggregates`` (window for ordinary
+    groups, map-side aggregate + broadcast for hot ones).
     """
     d = df.filter(F.col(quantity) > 0)
-    stats = d.groupBy(group).agg(F.sum(amount).alias("group_amount"), F.sum(quantity).alias("group_qty"))
-    j = join_unique(d, stats, [group], "left")
+    j = with_group_aggregates(d, [group], {"group_amount": F.sum(amount), "group_qty": F.sum(quantity)})
     a, q = F.col(amount), F.col(quantity)
     dev = F.abs(a * F.col("group_qty") - q * F.col("group_amount"))
     limit = F.lit(max_rel).cast("decimal(4,2)") * q * F.col("group_amount")

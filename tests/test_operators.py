@@ -164,3 +164,15 @@ def test_hot_key_takes_broadcast_path(spark, sf_small, capsys, monkeypatch):
     assert {tuple(r) for r in flagged.collect()} == base
     assert "Union" in plan and "BroadcastHashJoin" in plan
     assert D.quarantine(_hot_lines(spark, sf_small), keys)[1].count() == held0
+
+
+def test_group_aggregates_hot_path_equals_groupby(spark, sf_small, monkeypatch):
+    from ledgerlens.operators import joins as J
+    from ledgerlens.plans.bind_dedup import _hot_lines
+    li = _hot_lines(spark, sf_small).withColumn("amt", F.col("l_extendedprice").cast("decimal(18,2)"))
+    sums = li.groupBy("hot_key").agg(F.sum("amt").alias("s"), F.count("amt").alias("n"))
+    want = {tuple(r) for r in li.join(sums, "hot_key").select(*li.columns, "s", "n").collect()}
+    for threshold in (10 ** 12, 100):          # window path, then hot-key path
+        monkeypatch.setattr(J, "HOT_KEY_ROWS", threshold)
+        got = D.with_group_aggregates(li, "hot_key", {"s": F.sum("amt"), "n": F.count("amt")})
+        assert {tuple(r) for r in got.select(*li.columns, "s", "n").collect()} == want
