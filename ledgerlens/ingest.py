@@ -46,10 +46,13 @@ class ImportResult:
 
 
 def _chosen_rows(rows: DataFrame, chosen: DataFrame, title_map: dict[str, str]) -> DataFrame:
+    """Rows of the chosen sheets, titles renamed to columns. Rows were read
+    with ``cells`` aligned to ``title_map``'s titles, so each column is a
+    positional lookup."""
     data = xlsx.data_rows(rows).join(chosen.select("file", "sheet"), ["file", "sheet"], "left_semi")
     return data.select(F.col("file").alias("source_file"), F.col("sheet").alias("source_sheet"),
                        F.col("row_no"),
-                       *[F.col("values").getItem(t).alias(c) for t, c in title_map.items()])
+                       *[F.col("cells")[i].alias(c) for i, c in enumerate(title_map.values())])
 
 
 def _known_keys(spark: SparkSession, ledger: str | None, key: str) -> DataFrame | None:
@@ -74,8 +77,9 @@ def _common(df: DataFrame, batch_id: str, batch_ts: str) -> DataFrame:
     })
 
 
-def _rows(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
-    return xlsx.stage_workbooks(spark, path, scratch_path(spark, f"raw-rows-{batch_id}-{uuid.uuid4().hex[:12]}"))
+def _rows(spark: SparkSession, path: str, batch_id: str, titles: list[str] | None = None) -> DataFrame:
+    return xlsx.stage_workbooks(spark, path, scratch_path(spark, f"raw-rows-{batch_id}-{uuid.uuid4().hex[:12]}"),
+                                titles=titles)
 
 
 def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -103,7 +107,7 @@ def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id) -> ImportR
 def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
                    min_overlap: int = 5, mode: str = "reject_all") -> ImportResult:
     """Import the header sheet ('发票基础信息…') of every workbook under ``path``."""
-    rows = _rows(spark, path, batch_id)
+    rows = _rows(spark, path, batch_id, list(HEADER_TITLE_MAP))
     cat = xlsx.sheet_catalogue(rows).filter(F.col("sheet").contains(HEADER_SHEET_MARK))
     chosen = best_sheet_by_overlap(cat, list(HEADER_TITLE_MAP), min_overlap, prefer_prefix=None)
     df = _chosen_rows(rows, chosen, HEADER_TITLE_MAP)
@@ -122,7 +126,7 @@ def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
                    line_scope=("source_file", "source_sheet")) -> ImportResult:
     """Import the detail sheet of every workbook under ``path``: a sheet named
     '信息汇总表…' wins, else the sheet sharing most detail titles (≥ min_overlap)."""
-    rows = _rows(spark, path, batch_id)
+    rows = _rows(spark, path, batch_id, list(DETAIL_TITLE_MAP))
     chosen = best_sheet_by_overlap(xlsx.sheet_catalogue(rows), list(DETAIL_TITLE_MAP), min_overlap,
                                    prefer_prefix=SUMMARY_SHEET_PREFIX)
     df = _chosen_rows(rows, chosen, DETAIL_TITLE_MAP)
