@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.dedup import with_group_aggregates
+from ledgerlens.operators.dedup import group_flags, with_group_aggregates
 from ledgerlens.operators.joins import as_list, bounded_broadcast
 
 # re-exported: the two rate rules live with the other filters
@@ -76,15 +76,13 @@ def similar_names(df: DataFrame, name: str, max_distance: int = 1) -> DataFrame:
 
 
 def first_transactions(df: DataFrame, party: str, order, amount: str, threshold) -> DataFrame:
-    """First transaction of each party (by ``order``) when its amount exceeds
-    ``threshold``. ``min_by`` is a partial aggregate: skew-safe."""
+    """First transaction of each party (by ``order``, a total order) when its
+    amount exceeds ``threshold``. The first row comes from ``group_flags``:
+    a bounded window for ordinary parties, a map-side aggregate for hot ones."""
     ordcols = [c for c in as_list(order) if c != party]
-    first = df.groupBy(party).agg(
-        F.min_by(F.struct(*[F.col(c) for c in ordcols], F.col(amount).alias("__amt")),
-                 F.struct(*[F.col(c) for c in ordcols])).alias("__f"))
-    out = first.select(party, *[F.col(f"__f.{c}").alias(c) for c in ordcols],
-                       F.col("__f.__amt").alias(amount))
-    return out.filter(F.col(amount) > F.lit(threshold))
+    flagged = group_flags(df.select(party, *ordcols, amount), party, ordcols)
+    return (flagged.filter(F.col("__is_first") & (F.col(amount) > F.lit(threshold)))
+            .select(party, *ordcols, amount))
 
 
 def month_end_concentration(df: DataFrame, party: str, date: str, last_days: int = 3,
