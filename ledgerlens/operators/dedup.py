@@ -130,14 +130,14 @@ def dedup_metrics(flagged: DataFrame, year: str, flag: str = "is_duplicate",
 
 
 def mark_uuid_duplicates(df: DataFrame, key, order, label: str, clean: str = "clean_status",
-                         updated_at=None, updated_by=None) -> DataFrame:
+                         updated_at=None, updated_by=None, hot=DETECT) -> DataFrame:
     """Earliest row per key stays as is; later copies get ``clean = label``.
 
     Rows with a null key are never marked (pandas groupby drops null keys).
     ``updated_at`` / ``updated_by`` are stamped on marked rows when given.
     """
     keys = as_list(key)
-    out = group_flags(df, keys, order, "first")
+    out = group_flags(df, keys, order, "first", hot=hot)
     # rows with a null key are never marked (pandas groupby drops null keys)
     hit = _keys_present(keys) & ~F.col(_IS_FIRST)
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))

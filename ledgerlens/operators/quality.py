@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.dedup import mark_uuid_duplicates
-from ledgerlens.operators.joins import as_list, join_unique
+from ledgerlens.operators.joins import DETECT, as_list, find_hot_keys, join_unique
 from ledgerlens.schemas import (
     BALANCED, DEFAULT_TOLERANCE, DETAIL_MISSING, DUPLICATE_KEY, HEADER_MISSING, MONEY, UNBALANCED,
     UNCHECKED, WITHIN_TOLERANCE,
@@ -32,7 +32,7 @@ def detail_total_per_header(detail: DataFrame, key, amount: str,
 
 def flag_orphans(left: DataFrame, right: DataFrame, key, label: str,
                  clean: str = "clean_status", right_key=None, updated_at=None,
-                 updated_by=None) -> DataFrame:
+                 updated_by=None, hot=DETECT) -> DataFrame:
     """Mark clean ``left`` rows whose key is absent from clean ``right`` rows.
 
     Only rows with null ``clean`` take part on either side; already flagged
@@ -44,7 +44,7 @@ def flag_orphans(left: DataFrame, right: DataFrame, key, label: str,
     present = (right.filter(F.col(clean).isNull())
                .select(*[F.col(a).alias(b) for a, b in zip(rkeys, keys)])
                .distinct().withColumn("__present", F.lit(True)))
-    out = join_unique(left, present, keys, "left")
+    out = join_unique(left, present, keys, "left", hot=hot)
     hit = F.col(clean).isNull() & F.col("__present").isNull()
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
     if updated_at is not None:
@@ -126,19 +126,20 @@ def run_dq(header: DataFrame, detail: DataFrame, header_key="header_uuid",
     a clean status keeps it. Orphan checks use only rows still clean after
     the uniqueness step; detail totals include every detail row.
     """
-    h = mark_uuid_duplicates(header, header_key, list(header_order), DUPLICATE_KEY,
-                             updated_at=checked_at if "updated_at" in header.columns else None,
-                             updated_by=checked_by if "updated_by" in header.columns else None)
-    d = mark_uuid_duplicates(detail, detail_key, list(detail_order), DUPLICATE_KEY,
-                             updated_at=checked_at if "updated_at" in detail.columns else None,
-                             updated_by=checked_by if "updated_by" in detail.columns else None)
+    # hot keys are found once, on the raw inputs' key columns: sampling a
+    # derived frame would compute its windows twice
+    hot_h = find_hot_keys(header, as_list(header_key))
+    hot_d = find_hot_keys(detail, as_list(detail_key))
+    hot_link = find_hot_keys(detail, as_list(link_key))
+    h_stamp = dict(updated_at=checked_at if "updated_at" in header.columns else None,
+                   updated_by=checked_by if "updated_by" in header.columns else None)
+    d_stamp = dict(updated_at=checked_at if "updated_at" in detail.columns else None,
+                   updated_by=checked_by if "updated_by" in detail.columns else None)
+    h = mark_uuid_duplicates(header, header_key, list(header_order), DUPLICATE_KEY, hot=hot_h, **h_stamp)
+    d = mark_uuid_duplicates(detail, detail_key, list(detail_order), DUPLICATE_KEY, hot=hot_d, **d_stamp)
     # both checks read the state after the uniqueness step
-    d2 = flag_orphans(d, h, link_key, HEADER_MISSING, right_key=header_key,
-                      updated_at=checked_at if "updated_at" in detail.columns else None,
-                      updated_by=checked_by if "updated_by" in detail.columns else None)
-    h2 = flag_orphans(h, d, header_key, DETAIL_MISSING, right_key=link_key,
-                      updated_at=checked_at if "updated_at" in header.columns else None,
-                      updated_by=checked_by if "updated_by" in header.columns else None)
+    d2 = flag_orphans(d, h, link_key, HEADER_MISSING, right_key=header_key, hot=hot_link, **d_stamp)
+    h2 = flag_orphans(h, d, header_key, DETAIL_MISSING, right_key=link_key, hot=hot_h, **h_stamp)
     totals = detail_total_per_header(detail, link_key, detail_amount)
     if as_list(link_key) != as_list(header_key):
         totals = totals.select(*[F.col(a).alias(b) for a, b in
