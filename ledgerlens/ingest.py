@@ -43,6 +43,7 @@ class ImportResult:
     rejected_keys: DataFrame   # no usable invoice key (with reason)
     missing_year: DataFrame    # no parseable invoice date
     sheets: DataFrame          # the sheet chosen per file
+    errors: DataFrame          # unreadable files as error-log rows
 
 
 def _chosen_rows(rows: DataFrame, chosen: DataFrame, title_map: dict[str, str]) -> DataFrame:
@@ -91,7 +92,7 @@ def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id) -> ImportResult:
+def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id, rows) -> ImportResult:
     df = _stage(spark, df, f"keyed-{batch_id}")
     accepted, held = quarantine(df, key, known_keys=_known_keys(spark, ledger, key), mode=mode,
                                 order=["source_file", "source_sheet", "row_no"])
@@ -101,7 +102,7 @@ def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id) -> ImportR
         write_partitioned(with_year, ledger, mode="append")
         # the written rows, read back (no second evaluation of the import)
         with_year = spark.read.parquet(ledger).filter(F.col("import_batch_id") == batch_id)
-    return ImportResult(with_year, held, rejected, no_year, chosen)
+    return ImportResult(with_year, held, rejected, no_year, chosen, xlsx.error_rows(rows))
 
 
 def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
@@ -118,7 +119,7 @@ def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
         "created_at": F.lit(batch_ts).cast("timestamp_ntz"), "created_by": F.lit(DEFAULT_CREATED_BY),
         "is_balanced": F.lit(UNCHECKED), "balance_tolerance": F.lit(DEFAULT_TOLERANCE).cast("decimal(18,2)"),
     })
-    return _finish(spark, h, "header_uuid", ledger, mode, rejected, chosen, batch_id)
+    return _finish(spark, h, "header_uuid", ledger, mode, rejected, chosen, batch_id, rows)
 
 
 def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
@@ -139,7 +140,7 @@ def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
         "sl": L.truncate_decimals("sl", 8), "dj": L.truncate_decimals("dj", 8),
         "updated_at": F.lit(None).cast("timestamp_ntz"), "updated_by": F.lit(None).cast("string"),
     }).drop("__inv")
-    return _finish(spark, d, "detail_uuid", ledger, mode, rejected, chosen, batch_id)
+    return _finish(spark, d, "detail_uuid", ledger, mode, rejected, chosen, batch_id, rows)
 
 
 

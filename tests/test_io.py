@@ -60,6 +60,10 @@ def test_workbook_cells_dates_and_errors(spark):
                     (5, {"发票号码": None, "开票日期": "2021-01-01 12:00:00", "金额": "TRUE"})]
     errors = rows.filter(F.col("error").isNotNull()).collect()
     assert len(errors) == 1 and errors[0].file.endswith("broken.xlsx")
+    log = xlsx.error_rows(rows).collect()
+    assert len(log) == 1 and log[0].stage == "read" and log[0].error_type == "BadZipFile"
+    # the size limit keeps a file from being read at all
+    assert xlsx.read_workbooks(spark, d, max_mb=0.0000001).count() == 0
 
 
 def test_file_admission(spark):
