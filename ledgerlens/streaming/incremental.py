@@ -46,8 +46,12 @@ def import_batch(spark: SparkSession, batch: DataFrame, epoch: int, target: str,
 
 def start_incremental_import(spark: SparkSession, landing: str, schema, target: str, quarantine_path: str,
                              checkpoint: str, key, year: str = "invoice_year", fmt: str = "parquet",
-                             available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the import stream; returns the StreamingQuery."""
+                             available_now: bool = True, max_files_per_trigger: int | None = 1000):
+    """Start the import stream; returns the StreamingQuery.
+
+    ``max_files_per_trigger`` bounds a micro-batch, so a large backlog in
+    the landing folder is imported as several epochs instead of one huge
+    batch (``availableNow`` honours it)."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
