@@ -176,3 +176,23 @@ def test_group_aggregates_hot_path_equals_groupby(spark, sf_small, monkeypatch):
         monkeypatch.setattr(J, "HOT_KEY_ROWS", threshold)
         got = D.with_group_aggregates(li, "hot_key", {"s": F.sum("amt"), "n": F.count("amt")})
         assert {tuple(r) for r in got.select(*li.columns, "s", "n").collect()} == want
+
+
+def test_results_independent_of_row_order_and_partitions(spark, sf_small):
+    from ledgerlens.operators.anomaly import number_gaps, similar_names
+    li = table(spark, sf_small, "lineitem")
+    shuffled = li.repartition(7).orderBy(F.rand(5))
+    keys = ["l_orderkey", "l_linenumber"]
+
+    def run(df):
+        ledger, dups = D.build_ledger(df, keys, line_order())
+        acc, held = D.quarantine(df.select(*keys, *line_order()), keys)
+        totals = Q.detail_total_per_header(df, "l_orderkey", "l_extendedprice")
+        gaps = number_gaps(df, "l_suppkey", "l_orderkey", bucket=100)
+        lines = D.logic_line_no(df, "l_orderkey", line_order(), scope=())
+        return [{tuple(r) for r in x.collect()} for x in (ledger, dups, acc, held, totals, gaps, lines)]
+
+    assert run(li) == run(shuffled)
+    names = table(spark, sf_small, "supplier", "s_name")
+    assert {tuple(r) for r in similar_names(names, "s_name").collect()} == \
+        {tuple(r) for r in similar_names(names.repartition(3), "s_name").collect()}
