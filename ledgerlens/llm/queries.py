@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerlens.llm import ngram_join
+from ledgerlens.llm import decontaminate, ngram_join, substring
 from ledgerlens.llm.common import read_table
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -20,3 +21,15 @@ def query(fn):
 def op1_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.ngram_jaccard_join(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                          n=3, num=90, den=100)
+
+
+@query
+def op2_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                    read_table(spark, sf_dir, "benchmark", "item_id", "text"), n=5, threshold=0.8)
+
+
+@query
+def op7_substring_dedup(spark, sf_dir):
+    out = substring.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"), k=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
