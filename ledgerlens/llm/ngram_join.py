@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from ledgerlens.llm.common import (
     Stages, binary_text, by_key, connected_components, hash_words, lower_ascii, window_hashes,
@@ -194,6 +195,21 @@ def block_links(reps, sizes, sets, before, num: int, den: int, side=None):
     return out
 
 
+def _with_partner(posts: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows (of ``rep, size, pos, gram, holders, lead``) that can link with
+    another holder of the n-gram by size and place: linked sizes differ by
+    ``num/den`` at most, and of two linked sets no more than their allowed
+    difference may stand ahead of their first common n-gram. An n-gram with
+    more than ``BLOCK_SETS`` holders is passed on whole."""
+    by_size = Window.partitionBy("gram").orderBy("size")
+    few = (posts.where(F.col("holders") <= BLOCK_SETS)
+           .withColumn("below", F.lag("size").over(by_size)).withColumn("above", F.lead("size").over(by_size))
+           .where((den * F.col("below") >= num * F.col("size")) | (num * F.col("above") <= den * F.col("size")))
+           .where((F.col("pos") + F.col("lead")) * num <= (den - num) * F.col("size"))
+           .drop("below", "above"))
+    return few.union(posts.where(F.col("holders") > BLOCK_SETS))
+
+
 ROUTED = pa.schema([("block", pa.string()), ("rep", pa.int64()), ("side", pa.int32()),
                     ("before", pa.list_(pa.int64())), ("grams", pa.binary())])
 
@@ -239,40 +255,39 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = st.write(texts.mapInArrow(prefixes, "doc_id long, size long, sid binary, prefix array<long>"), "sets")
     live = sets.where("size > 0 and doc_id is not null")
     reps = live.groupBy("sid").agg(F.min("doc_id").alias("rep"))
-    rep_sets = (live.join(reps, "sid").where("doc_id = rep").select("rep", "sid", "size", "prefix")
-                .dropDuplicates(["rep", "sid"]))
-    posts = st.write(rep_sets.select("rep", "sid", "size", F.posexplode("prefix").alias("pos", "gram")), "posts")
+    posts = st.write(live.join(reps, "sid").where("doc_id = rep")
+                     .select("rep", "size", F.posexplode("prefix").alias("pos", "gram")), "posts")
+    shared = posts.groupBy("gram").agg(F.count("*").alias("holders"), F.min("pos").alias("lead")).where("holders > 1")
+    near = st.write(_with_partner(posts.join(shared, "gram"), num, den), "near")
     # n-grams held by the same sets make the same pairs: keep the first of them
-    grams = (posts.groupBy("gram").agg(F.count("*").alias("holders"), F.sum("size").alias("weight"),
-                                       F.min("pos").alias("lead"), F.min("rep").alias("least"),
-                                       F.bit_xor(F.xxhash64("sid")).alias("x"),
-                                       F.sum(F.xxhash64("sid", F.lit(7)).cast("decimal(38,0)")).alias("s"))
-             .where("holders > 1"))
-    grams = (grams.groupBy("holders", "least", "x", "s", "weight")
+    grams = (near.groupBy("gram").agg(F.count("*").alias("holders"), F.sum("size").alias("weight"),
+                                      F.min("pos").alias("lead"), F.min("rep").alias("least"),
+                                      F.bit_xor(F.xxhash64("rep")).alias("x"),
+                                      F.sum(F.xxhash64("rep", F.lit(7)).cast("decimal(38,0)")).alias("s"))
+             .where("holders > 1").groupBy("holders", "least", "x", "s", "weight")
              .agg(F.min(F.struct("lead", "gram")).getField("gram").alias("gram")))
-    held = st.write(posts.join(grams, "gram").select("gram", "rep", "sid", "size", "pos", "holders", "weight", "least"),
-                    "held")
+    held = st.write(near.select("gram", "rep", "size", "pos").join(grams, "gram"), "held")
     groups = connected_components(held.select(F.col("rep").alias("u"), F.col("least").alias("v")), st)
-    member = held.groupBy("rep", "sid").agg(
-        F.first("size").alias("size"),
+    member = held.groupBy("rep").agg(
+        F.max("size").alias("size"),
         F.array_sort(F.collect_list(F.struct("pos", "gram", "holders", "weight"))).alias("kept"))
     member = member.join(groups, member.rep == groups.node, "left").select(
-        "rep", "sid", "size", "kept", F.coalesce("component", "rep").alias("grp"))
+        "rep", "size", "kept", F.coalesce("component", "rep").alias("grp"))
     member = st.write(member, "members")
     sizes = member.groupBy("grp").agg(F.count("*").alias("g_sets"), F.sum("size").alias("g_grams"))
     routed = member.join(sizes, "grp").select(
-        "rep", "sid", F.when((F.col("g_sets") <= BLOCK_SETS) & (F.col("g_grams") <= BLOCK_GRAMS), F.col("grp"))
+        "rep", F.when((F.col("g_sets") <= BLOCK_SETS) & (F.col("g_grams") <= BLOCK_GRAMS), F.col("grp"))
         .alias("grp"), "kept")
-    wanted = texts.join(routed, texts.doc_id == routed.rep).select("rep", "sid", "grp", "kept", "text")
+    wanted = texts.join(routed, texts.doc_id == routed.rep).select("rep", "grp", "kept", "text")
 
     def route(batches):
         """One row per block of a set, with the set in global order."""
         rows, held_bytes = [], 0
         for b in batches:
-            for rep, sid, grp, kept, text in zip(*(c.to_pylist() for c in b.columns)):
+            for rep, grp, kept, text in zip(*(c.to_pylist() for c in b.columns)):
                 g = ngram_set(text, n)
-                if _digest(g) != sid:
-                    continue  # another row of the same id
+                if not len(g):
+                    continue  # another row of the id
                 body = _order(g, rank.value).tobytes()
                 if grp is not None:
                     rows.append((f"g{grp}", rep, -1, [], body))
@@ -281,7 +296,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 ahead = []
                 for k in kept:
                     chunks = max(1, -(-k["holders"] // BLOCK_SETS), -(-k["weight"] // BLOCK_GRAMS))
-                    mine = xxhash.xxh3_64_intdigest(sid) % chunks
+                    mine = xxhash.xxh3_64_intdigest(body) % chunks
                     for c in range(chunks):
                         low, high = min(c, mine), max(c, mine)
                         rows.append((f"n{k['gram']}/{low}/{high}", rep, -1 if low == high else int(mine == high),
@@ -313,5 +328,5 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = connected_components(links.union(copies), st)
     out = sets.join(found, sets.doc_id == found.node, "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    st.drop(posts, held, member)
+    st.drop(posts, near, held, member)
     return out
