@@ -76,7 +76,7 @@ def hash_words(words: list[bytes]) -> np.ndarray:
 _P = 0x9E3779B97F4A7C15
 
 
-def _fmix(x: np.ndarray) -> np.ndarray:
+def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xFF51AFD7ED558CCD)
     x = x ^ (x >> np.uint64(33))
@@ -108,7 +108,7 @@ def window_hashes(h: np.ndarray, n: int, base: int = _P) -> np.ndarray:
             cur = cur[:m] * np.uint64(p) + cur[power:power + m]
             p = (p * p) & mask
             power *= 2
-    return _fmix(out)
+    return mix64(out)
 
 
 def by_key(batches, column: int):

@@ -1,7 +1,7 @@
 """Removal of repeated word spans by De Bruijn compaction.
 
-Every run of ``k`` consecutive words is an edge of the corpus' word-level
-De Bruijn graph; an edge walked from two places is a repeated span.
+Every run of ``k`` consecutive words (a window) is an edge of the corpus'
+word-level De Bruijn graph; an edge walked from two places is repeated.
 
 1. Every window is represented by its *minimizer*, the smallest hash among
    the short word runs inside it. Equal windows have equal minimizers, so a
@@ -9,15 +9,17 @@ De Bruijn graph; an edge walked from two places is a repeated span.
    are counted over the whole corpus into slots of a bitmap of fixed size
    (a slot shared by chance only lets a few more windows through; when a
    corpus fills the bitmap, all windows pass and the result is the same).
-2. The remaining windows are shuffled by their hash as edges
-   ``(hash, check, document, position)``. Sorted runs of equal edges give
-   the repeated ones, each with its *source*: the first place that walks it.
-   The run is scanned as a stream, so a passage in any number of documents
-   costs no memory. The independent ``check`` hash and the source coordinate
-   verify an edge (96 bits in all).
-3. Per document, consecutive edges whose source coordinates advance together
+2. Consecutive windows with one minimizer are a locally compacted path. The
+   paths, not their windows, are shuffled by minimizer. Sorted runs of equal
+   paths are repeated as a whole; only paths that share a minimizer with a
+   different path are taken apart into windows, and one more shuffle by
+   window finds the repeated ones. Both scans look at neighbouring rows of a
+   sorted stream, so a passage in any number of documents costs no memory.
+3. Each repeated piece carries its *source coordinates*, the first place that
+   walks it. Per document, pieces whose source coordinates advance together
    are a nonbranching path and are compacted to one span; spans are joined
-   back to their documents.
+   back to their documents. Identity of a window is 80 bits of independent
+   hashes (minimizer and window), of a whole path 104 bits.
 """
 
 from __future__ import annotations
@@ -27,15 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import binary_text, hash_words, window_hashes
+from ledgerlens.llm.common import mix64, binary_text, hash_words, window_hashes
 from ledgerlens.session import ship_package
 
 #: slots of the minimizer bitmap: 8 MB when broadcast, whatever the input
 SLOT_BITS = 26
 #: words of the runs among which a window's minimizer is chosen
 SHORT = 8
-_CHECK_BASE = 0xC2B2AE3D27D4EB4F
 _POS_BITS = 24
+#: bytes kept of a window's hash beside its 40-bit minimizer
+_KEPT = 5
 
 
 def _slide_min(a: np.ndarray, width: int) -> np.ndarray:
@@ -89,74 +92,142 @@ def repeated_slots(texts: DataFrame, k: int) -> np.ndarray:
     return out
 
 
+def _paths(h: np.ndarray, k: int, bitmap: np.ndarray):
+    """The locally compacted paths of one document that may repeat: minimizer,
+    digest, start, number of windows, and the kept bytes of their windows."""
+    packed = minimizers(h, k)
+    start = np.flatnonzero(np.diff(packed, prepend=~packed[:1]))
+    slot = _slot(packed[start])
+    pick = (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+    if not pick.any():
+        return None
+    count = np.diff(np.append(start, len(packed)))
+    w = window_hashes(h, k)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w)])
+    flagged = np.repeat(pick, count)
+    start, count = start[pick], count[pick]
+    digest = mix64((total[start + count] - total[start]) + w[start] * np.uint64(0x9E3779B97F4A7C15)
+                   + w[start + count - 1] * np.uint64(0xC2B2AE3D27D4EB4F) + count.astype(np.uint64))
+    body = np.ascontiguousarray(w[flagged].view(np.uint8).reshape(-1, 8)[:, :_KEPT])
+    return ((packed[start] >> np.uint64(_POS_BITS)).view(np.int64), digest.view(np.int64),
+            start.astype(np.int32), count.astype(np.int32), body)
+
+
 def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
     """``doc_id, th, start, words, src_doc, src_start`` of the compacted
     repeated paths; ``texts`` has ``doc_id, th, text``."""
     bitmap = texts.sparkSession.sparkContext.broadcast(repeated_slots(texts, k))
 
-    def edges(batches):
+    def paths(batches):
         for b in batches:
-            rows, n = [], 0
+            rows, size = [], 0
             for doc, th, t in zip(*(c.to_pylist() for c in b.columns)):
                 words = t.split() if t else []
                 if len(words) < k:
                     continue
-                h = hash_words(words)
-                slot = _slot(minimizers(h, k))
-                at = np.flatnonzero(bitmap.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
-                if not len(at):
-                    continue
-                check = (window_hashes(h, k, _CHECK_BASE)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                rows.append((window_hashes(h, k)[at].view(np.int64), check, doc, th, at.astype(np.int32)))
-                n += len(at)
-                if n > 1 << 18:
-                    yield _edges(rows)
-                    rows, n = [], 0
+                found = _paths(hash_words(words), k, bitmap.value)
+                if found is not None:
+                    rows.append((NO_ID if doc is None else doc, th, *found))
+                    size += found[4].size
+                    if size > 1 << 22:
+                        yield _path_batch(rows)
+                        rows, size = [], 0
             if rows:
-                yield _edges(rows)
-
-    def repeated(batches):
-        held = None  # the last row so far, with its source and whether an equal row went before
+                yield _path_batch(rows)
+
+    def settle(batches):
+        """Equal paths pass whole; paths that differ under one minimizer are
+        taken apart, with an example of each repeated one among them."""
+        held = src = None
+        went = False  # a path equal to the held one went before
+        under = False  # a different path under its minimizer went before
         for b in batches:
-            if not b.num_rows:
-                continue
-            cols = [c.to_numpy(zero_copy_only=False) if c.null_count == 0 else
-                    c.fill_null(NO_ID).to_numpy(zero_copy_only=False) for c in b.columns]
             if held is not None:
-                cols = [np.concatenate([[x], c]).astype(c.dtype) for x, c in zip(held[0], cols)]
-            edge, check, doc, th, pos = cols
-            same = np.zeros(len(edge) + 1, dtype=bool)  # same[i]: row i equals row i - 1
-            same[1:-1] = (edge[1:] == edge[:-1]) & (check[1:] == check[:-1])
-            first = np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(edge))))
-            src_doc, src_pos = doc[first], pos[first]
+                b = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns, b.columns)],
+                                               schema=b.schema)
+            if b.num_rows == 0:
+                continue
+            m, digest, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in b.columns[:6])
+            same_m = np.zeros(len(m) + 1, dtype=bool)
+            same = np.zeros(len(m) + 1, dtype=bool)
+            same_m[1:-1] = m[1:] == m[:-1]
+            same[1:-1] = same_m[1:-1] & (digest[1:] == digest[:-1])
+            same_m[0], same[0] = went or under, went
+            first = np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(m))))
+            s_doc, s_pos = doc[first], start[first]
             if held is not None:
                 own = first == 0
-                src_doc[own], src_pos[own] = held[1]
-                same[0] = held[2]
-            out = (same[:-1] | same[1:])[:-1]
-            yield _spans_in(doc[:-1][out], th[:-1][out], pos[:-1][out], src_doc[:-1][out], src_pos[:-1][out])
-            held = ([c[-1] for c in cols], (src_doc[-1], src_pos[-1]), bool(same[-2]))
-        if held is not None and held[2]:
-            _, _, doc, th, pos = held[0]
-            yield _spans_in(*([x] for x in (doc, th, pos, *held[1])))
+                s_doc[own], s_pos[own] = src
+            last = len(m) - 1
+            out = []
+            twice = same[:-1] | same[1:]
+            apart = (same_m[:-1] & ~same[:-1]) | (same_m[1:] & ~same[1:])
+            twice[last] = apart[last] = False
+            out.append(_piece_batch(digest[twice], digest[twice], doc[twice], th[twice], start[twice], count[twice],
+                                    s_doc[twice], s_pos[twice]))
+            if apart.any():
+                out.append(_windows(b.filter(pa.array(apart))))
+            yield from out
+            held, src = b.slice(last), (s_doc[last], s_pos[last])
+            went, under = bool(same[last]), bool(same_m[last] and not same[last])
+        if held is not None:
+            if went:
+                _, digest, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in held.columns[:6])
+                yield _piece_batch(digest, digest, doc, th, start, count, np.array([src[0]]), np.array([src[1]]))
+            elif under:
+                yield _windows(held)
+
+    def repeated(batches):
+        held = src = None
+        went = ends = False
+        for b in batches:
+            if held is not None:
+                b = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns, b.columns)],
+                                               schema=b.schema)
+            if b.num_rows == 0:
+                continue
+            m, w, doc, th, pos, count, s_doc, s_pos = (c.to_numpy(zero_copy_only=False).copy() for c in b.columns)
+            piece = count == 0  # a single window; whole paths pass as they are
+            same = np.zeros(len(m) + 1, dtype=bool)
+            same[1:-1] = (m[1:] == m[:-1]) & (w[1:] == w[:-1]) & piece[1:] & piece[:-1]
+            same[0] = went
+            first = np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(m))))
+            own = (first == 0) & went
+            s_doc = np.where(piece, doc[first], s_doc)
+            s_pos = np.where(piece, pos[first], s_pos)
+            if went:
+                s_doc[own & piece], s_pos[own & piece] = src
+            last = len(m) - 1
+            out = ~piece | same[:-1] | same[1:]
+            keep = out.copy()
+            keep[last] = False
+            yield _span_batch(doc[keep], th[keep], pos[keep], np.maximum(count[keep], 1), s_doc[keep], s_pos[keep])
+            held, src, went = b.slice(last), (s_doc[last], s_pos[last]), bool(same[last])
+            ends = bool(not piece[last])
+        if held is not None and (went or ends):
+            _, _, doc, th, pos, count = (c.to_numpy(zero_copy_only=False) for c in held.columns[:6])
+            yield _span_batch(doc, th, pos, np.maximum(count, 1), np.array([src[0]]), np.array([src[1]]))
 
     def compact(batches):
         for b in batches:
-            doc, th, pos, src, src_pos = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            doc, th, pos, count, src, src_pos = (c.to_numpy(zero_copy_only=False) for c in b.columns)
             if not len(doc):
                 continue
-            step = np.ones(len(doc), dtype=bool)  # a path starts here
-            step[1:] = ~((doc[1:] == doc[:-1]) & (th[1:] == th[:-1]) & (pos[1:] == pos[:-1] + 1)
-                         & (src[1:] == src[:-1]) & (src_pos[1:] == src_pos[:-1] + 1))
-            at = np.flatnonzero(step)
-            words = (np.diff(np.append(at, len(doc))) + k - 1).astype(np.int32)
+            new = np.ones(len(doc), dtype=bool)  # a path starts here
+            new[1:] = ~((doc[1:] == doc[:-1]) & (th[1:] == th[:-1]) & (pos[1:] == pos[:-1] + count[:-1])
+                        & (src[1:] == src[:-1]) & (src_pos[1:] == src_pos[:-1] + count[:-1]))
+            at = np.flatnonzero(new)
+            end = np.append(at[1:], len(doc)) - 1
+            words = (pos[end] + count[end] - pos[at] + k - 1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[at], th[at], pos[at], words, src[at], src_pos[at])],
                                              ["doc_id", "th", "start", "words", "src_doc", "src_start"])
 
-    found = (texts.mapInArrow(edges, "edge long, chk int, doc_id long, th int, pos int")
-             .repartition("edge").sortWithinPartitions("edge", "chk", "doc_id", "pos", "th")
-             .mapInArrow(repeated, "doc_id long, th int, pos int, src_doc long, src_pos int"))
-    return (found.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "pos")
+    found = (texts.mapInArrow(paths, "m long, digest long, doc_id long, th int, start int, windows int, body binary")
+             .repartition("m").sortWithinPartitions("m", "digest", "doc_id", "start")
+             .mapInArrow(settle, "m long, w long, doc_id long, th int, pos int, windows int, src_doc long, src_pos int")
+             .repartition("m", "w").sortWithinPartitions("m", "w", "windows", "doc_id", "pos")
+             .mapInArrow(repeated, "doc_id long, th int, pos int, windows int, src_doc long, src_pos int"))
+    return (found.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "pos", "windows")
             .mapInArrow(compact, "doc_id long, th int, start int, words int, src_doc long, src_start int"))
 
 
@@ -164,20 +235,44 @@ def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
 NO_ID = -(1 << 63)
 
 
-def _edges(rows):
-    lengths = [len(r[0]) for r in rows]
+def _path_batch(rows):
+    lengths = [len(r[2]) for r in rows]
+    counts = np.concatenate([r[5] for r in rows])
+    offsets = np.concatenate([[0], np.cumsum(counts * _KEPT)]).astype(np.int32)
+    body = pa.Array.from_buffers(pa.binary(), len(counts),
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate([r[6] for r in rows]).tobytes())])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([r[2] for r in rows])), pa.array(np.concatenate([r[3] for r in rows])),
+         pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), lengths)),
+         pa.array(np.repeat(np.array([r[1] for r in rows], np.int32), lengths)),
+         pa.array(np.concatenate([r[4] for r in rows])), pa.array(counts), body],
+        ["m", "digest", "doc_id", "th", "start", "windows", "body"])
+
+
+def _piece_batch(m, w, doc, th, pos, count, src, src_pos):
+    kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([r[0] for r in rows])), pa.array(np.concatenate([r[1] for r in rows])),
-         pa.array(np.repeat(np.array([NO_ID if r[2] is None else r[2] for r in rows], dtype=np.int64), lengths)),
-         pa.array(np.repeat(np.array([r[3] for r in rows], dtype=np.int32), lengths)),
-         pa.array(np.concatenate([r[4] for r in rows]))], ["edge", "chk", "doc_id", "th", "pos"])
+        [pa.array(np.asarray(x).astype(t)) for x, t in zip((m, w, doc, th, pos, count, src, src_pos), kinds)],
+        ["m", "w", "doc_id", "th", "pos", "windows", "src_doc", "src_pos"])
+
+
+def _windows(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The single windows of paths."""
+    m, _, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in b.columns[:6])
+    raw = np.frombuffer(b"".join(b.column(6).to_pylist()), dtype=np.uint8).reshape(-1, _KEPT)
+    w = np.zeros((len(raw), 8), dtype=np.uint8)
+    w[:, :_KEPT] = raw
+    at = np.repeat(np.arange(len(m)), count)
+    step = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+    zero = np.zeros(len(at))
+    return _piece_batch(m[at], w.view(np.int64)[:, 0], doc[at], th[at], start[at] + step, zero, zero, zero)
 
 
-def _spans_in(doc, th, pos, src, src_pos):
+def _span_batch(doc, th, pos, count, src, src_pos):
+    kinds = (np.int64, np.int32, np.int32, np.int32, np.int64, np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(doc, np.int64)), pa.array(np.asarray(th, np.int32)), pa.array(np.asarray(pos, np.int32)),
-         pa.array(np.asarray(src, np.int64)), pa.array(np.asarray(src_pos, np.int32))],
-        ["doc_id", "th", "pos", "src_doc", "src_pos"])
+        [pa.array(np.asarray(x).astype(t)) for x, t in zip((doc, th, pos, count, src, src_pos), kinds)],
+        ["doc_id", "th", "pos", "windows", "src_doc", "src_pos"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 35) -> DataFrame:
