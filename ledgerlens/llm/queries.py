@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerlens.llm import decontaminate, ngram_join, substring
+from ledgerlens.llm import decontaminate, language, ngram_join, substring
 from ledgerlens.llm.common import read_table
 from pyspark.sql import functions as F
 
@@ -29,6 +29,11 @@ def op2_benchmark_decontamination(spark, sf_dir):
                                     read_table(spark, sf_dir, "benchmark", "item_id", "text"), n=5, threshold=0.8)
 
 
+@query
+def op3_language_id(spark, sf_dir):
+    return language.identify_documents(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 @query
 def op7_substring_dedup(spark, sf_dir):
     out = substring.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"), k=35)
