@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerlens.llm import decontaminate, language, ngram_join, substring
+from ledgerlens.llm import decontaminate, language, ngram_join, quality, substring, tokens
 from ledgerlens.llm.common import read_table
 from pyspark.sql import functions as F
 
@@ -34,7 +34,17 @@ def op3_language_id(spark, sf_dir):
     return language.identify_documents(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+@query
+def op6_token_counts(spark, sf_dir):
+    return tokens.count_tokens(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokens.load_vocabulary())
+
+
 @query
 def op7_substring_dedup(spark, sf_dir):
     out = substring.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"), k=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    return quality.quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
