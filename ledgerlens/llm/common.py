@@ -50,6 +50,28 @@ class Stages:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: slots of a broadcast bitmap: 8 MB, whatever the input
+SLOT_BITS = 26
+
+
+def slot_bitmap(slots: DataFrame) -> np.ndarray:
+    """Bitmap of a ``slot`` column (0 to 2**SLOT_BITS - 1). Spark builds it in
+    pieces of 4 KB; the driver joins at most 2**SLOT_BITS bits."""
+    maps = (slots.groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")).toArrow())
+    out = np.zeros((1 << SLOT_BITS) // 8, dtype=np.uint8)
+    # bit 0 of Spark's bucket b > 0 is slot (b - 1) * 32768 + 1; slot 0 alone is in bucket 0
+    for bucket, bits in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist()):
+        found = np.flatnonzero(np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little"))
+        at = found + (bucket - 1) * 32768 + 1 if bucket else found * 0
+        np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, memoised up to a bound."""
 

@@ -7,17 +7,22 @@ Every text becomes the set of its word n-grams. Two sets link when
    n-grams first (any order is right; a rare-first one makes short lists).
 2. Texts with equal sets collapse to one representative.
 3. Linked sets share an n-gram in their *prefixes* (the first
-   ``n - ceil(t*n) + 1`` n-grams in global order). Prefix n-grams held by one
-   set are dropped, those held by the same sets are kept once.
-4. Sets that share prefix n-grams form candidate groups. A group of bounded
-   size is one block and each of its sets travels once; a larger group is
-   split by prefix n-gram, and a hot n-gram again into pairs of bounded
-   chunks, so no block grows with the data.
-5. In a block the ordered sets go into a trie. A probe walks it, shares the
-   partial overlap of common paths and leaves a subtree when the overlap so
-   far plus the remaining length cannot reach the required overlap. Pairs
-   already connected in the block are skipped, so a block emits a spanning
-   forest of its links, never all pairs.
+   ``n - ceil(t*n) + 1`` n-grams in global order). Prefix n-grams without a
+   second holder of linkable size are dropped, those held by the
+   same sets are kept once, with their number as weight.
+4. The kept prefixes meet in blocks, one per prefix n-gram, and a trie of
+   them finds the pairs whose prefixes overlap enough for a link; a hot
+   n-gram is split into pairs of bounded chunks.
+5. Sets connected by such pairs form candidate groups. A group of bounded
+   size is one block to which each of its sets travels once, whole; a larger
+   one is split by prefix n-gram (and chunks) again, so no block grows with
+   the data. There the whole sets go into a trie.
+
+In both steps a probe walks the trie, shares the partial overlap of common
+paths and leaves a subtree when the overlap so far plus the remaining length
+cannot reach the required overlap. Pairs already connected in the block are
+skipped, so a block emits a spanning forest of its pairs, never all pairs.
+
 6. Connected components of the links.
 """
 
@@ -31,12 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ledgerlens.llm.common import (
-    Stages, binary_text, by_key, connected_components, hash_words, lower_ascii, window_hashes,
+    SLOT_BITS, Stages, binary_text, by_key, connected_components, hash_words, in_bitmap, lower_ascii, slot_bitmap,
+    window_hashes,
 )
 from ledgerlens.session import ship_package
 
-#: slots of the count sketch (2 bytes each when broadcast: 2 MB, whatever the input)
-SKETCH_BITS = 20
+#: slots of the count sketch (2 bytes each when broadcast: 1 MB, whatever the input)
+SKETCH_BITS = 19
 #: sets, and n-grams in all of them, that one block may hold
 BLOCK_SETS, BLOCK_GRAMS = 2000, 4_000_000
 
@@ -87,26 +93,24 @@ def sketch_ranks(texts: DataFrame, n: int) -> np.ndarray:
 
 
 class _Trie:
-    """Radix trie of ordered sets; every node knows the longest set and the
-    smallest size below it."""
+    """Radix trie of ordered sets; every node knows the greatest weight of a
+    set and the smallest size below it."""
 
     __slots__ = ("seg", "kids", "ends", "longest", "least")
 
-    def __init__(self, seg):
-        self.seg, self.kids, self.ends, self.longest, self.least = seg, {}, [], 0, 1 << 60
+    def __init__(self, seg, longest=0, least=1 << 60):
+        self.seg, self.kids, self.ends, self.longest, self.least = seg, {}, [], longest, least
 
-    def insert(self, grams: list[int], size: int, ident: int) -> None:
+    def insert(self, grams: list[int], weight: int, size: int, ident: int) -> None:
         node, at = self, 0
         while True:
-            node.longest, node.least = max(node.longest, len(grams)), min(node.least, size)
+            node.longest, node.least = max(node.longest, weight), min(node.least, size)
             if at == len(grams):
                 node.ends.append(ident)
                 return
             kid = node.kids.get(grams[at])
             if kid is None:
-                kid = _Trie(grams[at:])
-                node.kids[grams[at]] = kid
-                kid.longest, kid.least = len(grams), size
+                kid = node.kids[grams[at]] = _Trie(grams[at:], weight, size)
                 kid.ends.append(ident)
                 return
             k, seg = 0, kid.seg
@@ -114,22 +118,23 @@ class _Trie:
             while k < most and seg[k] == grams[at + k]:
                 k += 1
             if k < len(seg):  # split the edge
-                mid = _Trie(seg[:k])
-                mid.longest, mid.least = kid.longest, kid.least
+                mid = _Trie(seg[:k], kid.longest, kid.least)
                 mid.kids[seg[k]] = kid
                 kid.seg = seg[k:]
-                node.kids[grams[at]] = mid
-                kid = mid
+                node.kids[grams[at]] = kid = mid
             node, at = kid, at + k
 
 
-def block_links(reps, sizes, sets, before, num: int, den: int, side=None):
-    """Spanning forest of the links inside one block, as index pairs.
+def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weights=None, spare=None):
+    """Spanning forest of the linked pairs inside one block, as index pairs.
 
-    ``sets``: arrays of n-grams in global order; ``before``: for a block that
-    is one prefix n-gram, each set's kept prefix n-grams ahead of it (a pair
-    sharing one of those is met in that block), else None; ``side``: 0/1 of a
-    block between two chunks, where only pairs across are tested.
+    ``sets``: arrays of n-grams in global order; ``weights``: how many n-grams
+    each entry of a set stands for (default 1); ``spare``: n-grams of each set
+    that are not listed but might still overlap (prefixes; a larger set must
+    not have fewer); ``before``: for a block that is one prefix n-gram, each
+    set's kept n-grams ahead of it (a pair sharing one of those is met in that
+    block), else None; ``side``: 0/1 of a block between two chunks, where only
+    pairs across are tested.
     """
     root = list(range(len(reps)))
 
@@ -139,83 +144,99 @@ def block_links(reps, sizes, sets, before, num: int, den: int, side=None):
             x = root[x]
         return x
 
-    # n-grams of one set of the block cannot overlap: only their number counts
+    # n-grams that one set of the block holds cannot overlap
     ids, where = np.unique(np.concatenate(sets), return_inverse=True)
     shared = np.bincount(where, minlength=len(ids)) > 1
+    weight_of = [1] * len(ids)
+    if weights is not None:
+        flat = np.zeros(len(ids), dtype=np.int64)
+        flat[where] = np.concatenate(weights)
+        weight_of = flat.tolist()
     cut = np.cumsum([0, *map(len, sets)])
-    lists = []
-    for i in range(len(sets)):
-        w = where[cut[i]:cut[i + 1]]
-        lists.append(w[shared[w]].tolist())
     trie, out = _Trie([]), []
     for x in sorted(range(len(reps)), key=lambda i: (sizes[i], reps[i])):
-        nx, mine = sizes[x], lists[x]
-        least_y = -(-num * nx // den)
-        at_x = {g: k for k, g in enumerate(mine)}
-        sx = len(mine)
-
-        def need(ny):  # smallest overlap that links sizes nx and ny
-            return -(-num * (nx + ny) // (num + den))
+        w = where[cut[x]:cut[x + 1]]
+        mine = w[shared[w]].tolist()
+        nx, least_y = sizes[x], -(-num * sizes[x] // den)
+        extra = spare[x] if spare is not None else 0
+        left, total = {}, 0  # weight of the set behind each of its n-grams
+        for g in reversed(mine):
+            left[g] = total
+            total += weight_of[g]
+
+        def need(ny):  # smallest listed overlap that links sizes nx and ny
+            return -(-num * (nx + ny) // (num + den)) - extra
 
         stack = [(trie, 0, 0)]
         while stack:
             node, overlap, depth = stack.pop()
             must = need(max(node.least, least_y))
-            room_x, alive = sx, True
-            if overlap + min(node.longest - depth, sx) < must and node is not trie:
-                continue
             for g in node.seg:
-                depth += 1
-                k = at_x.get(g)
-                if k is None:
+                depth += weight_of[g]
+                rest = left.get(g)
+                if rest is None:
                     if overlap + node.longest - depth < must:
-                        alive = False
                         break
                 else:
-                    overlap += 1
-                    room_x = sx - k - 1
-                    if overlap + room_x < must:
-                        alive = False
+                    overlap += weight_of[g]
+                    if overlap + rest < must:
                         break
-            if not alive:
-                continue
-            for y in node.ends:
-                ny = sizes[y]
-                if ny >= least_y and overlap >= need(ny):
-                    if side is not None and side[x] == side[y]:
-                        continue
-                    a, b = find(x), find(y)
-                    if a != b and (before is None or before[x].isdisjoint(before[y])):
-                        root[max(a, b)] = min(a, b)
-                        out.append((x, y))
-            for kid in node.kids.values():
-                if overlap + kid.longest - depth >= need(max(kid.least, least_y)):
-                    stack.append((kid, overlap, depth))
-        trie.insert(mine, nx, x)
+            else:
+                for y in node.ends:
+                    if sizes[y] >= least_y and overlap >= need(sizes[y]):
+                        if side is not None and side[x] == side[y]:
+                            continue
+                        a, b = find(x), find(y)
+                        if a != b and (before is None or before[x].isdisjoint(before[y])):
+                            root[max(a, b)] = min(a, b)
+                            out.append((x, y))
+                for kid in node.kids.values():
+                    if overlap + min(kid.longest - depth, total) >= need(max(kid.least, least_y)):
+                        stack.append((kid, overlap, depth))
+        trie.insert(mine, total, nx, x)
     return out
 
 
 def _with_partner(posts: DataFrame, num: int, den: int) -> DataFrame:
-    """Rows (of ``rep, size, pos, gram, holders, lead``) that can link with
-    another holder of the n-gram by size and place: linked sizes differ by
-    ``num/den`` at most, and of two linked sets no more than their allowed
-    difference may stand ahead of their first common n-gram. An n-gram with
-    more than ``BLOCK_SETS`` holders is passed on whole."""
-    by_size = Window.partitionBy("gram").orderBy("size")
-    few = (posts.where(F.col("holders") <= BLOCK_SETS)
-           .withColumn("below", F.lag("size").over(by_size)).withColumn("above", F.lead("size").over(by_size))
-           .where((den * F.col("below") >= num * F.col("size")) | (num * F.col("above") <= den * F.col("size")))
-           .where((F.col("pos") + F.col("lead")) * num <= (den - num) * F.col("size"))
-           .drop("below", "above"))
-    return few.union(posts.where(F.col("holders") > BLOCK_SETS))
+    """Rows (of ``rep, size, pos, gram``) that can link with another holder of
+    the n-gram: linked sizes differ by ``num/den`` at most. ``first`` tells
+    whether it can be the first one the two share: no more than the allowed
+    difference of two linked sets stands ahead of that. Only neighbours by
+    size are looked at, as a sorted stream."""
+    holders = Window.partitionBy("gram")
+    by_size = holders.orderBy("size")
+    return (posts.withColumn("below", F.lag("size").over(by_size)).withColumn("above", F.lead("size").over(by_size))
+            .withColumn("lead", F.min("pos").over(holders))
+            .where((den * F.col("below") >= num * F.col("size")) | (num * F.col("above") <= den * F.col("size")))
+            .withColumn("first", (F.col("pos") + F.col("lead")) * num <= (den - num) * F.col("size"))
+            .drop("below", "above", "lead"))
 
 
 ROUTED = pa.schema([("block", pa.string()), ("rep", pa.int64()), ("side", pa.int32()),
                     ("before", pa.list_(pa.int64())), ("grams", pa.binary())])
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+PREFIXES = pa.schema([("block", pa.string()), ("rep", pa.int64()), ("size", pa.int32()), ("side", pa.int32()),
+                      ("ahead", pa.int32()), ("grams", pa.binary()), ("weight", pa.binary())])
+
+
+class _Rows:
+    """Rows gathered into Arrow batches of a bounded size."""
+
+    def __init__(self, schema: pa.Schema):
+        self.schema, self.rows, self.size = schema, [], 0
+
+    def add(self, row: tuple, size: int):
+        self.rows.append(row)
+        self.size += size + 64
+        if self.size > 1 << 22:
+            yield from self.rest()
+
+    def rest(self):
+        if self.rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*self.rows), self.schema)], schema=self.schema)
+        self.rows, self.size = [], 0
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3,
@@ -255,62 +276,95 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = st.write(texts.mapInArrow(prefixes, "doc_id long, size long, sid binary, prefix array<long>"), "sets")
     live = sets.where("size > 0 and doc_id is not null")
     reps = live.groupBy("sid").agg(F.min("doc_id").alias("rep"))
-    posts = st.write(live.join(reps, "sid").where("doc_id = rep")
-                     .select("rep", "size", F.posexplode("prefix").alias("pos", "gram")), "posts")
-    shared = posts.groupBy("gram").agg(F.count("*").alias("holders"), F.min("pos").alias("lead")).where("holders > 1")
-    near = st.write(_with_partner(posts.join(shared, "gram"), num, den), "near")
+    posts = (live.join(reps, "sid").where("doc_id = rep")
+             .select("rep", F.col("size").cast("int"), F.posexplode("prefix").alias("pos", "gram")))
+    near = st.write(_with_partner(posts, num, den), "near")
     # n-grams held by the same sets make the same pairs: keep the first of them
-    grams = (near.groupBy("gram").agg(F.count("*").alias("holders"), F.sum("size").alias("weight"),
-                                      F.min("pos").alias("lead"), F.min("rep").alias("least"),
-                                      F.bit_xor(F.xxhash64("rep")).alias("x"),
+    grams = (near.groupBy("gram").agg(F.count("*").alias("holders"), F.sum("size").alias("load"),
+                                      F.min("pos").alias("lead"), F.bit_xor(F.xxhash64("rep")).alias("x"),
                                       F.sum(F.xxhash64("rep", F.lit(7)).cast("decimal(38,0)")).alias("s"))
-             .where("holders > 1").groupBy("holders", "least", "x", "s", "weight")
-             .agg(F.min(F.struct("lead", "gram")).getField("gram").alias("gram")))
-    held = st.write(near.select("gram", "rep", "size", "pos").join(grams, "gram"), "held")
-    groups = connected_components(held.select(F.col("rep").alias("u"), F.col("least").alias("v")), st)
-    member = held.groupBy("rep").agg(
+             .where("holders > 1").groupBy("holders", "x", "s", "load")
+             .agg(F.min(F.struct("lead", "gram")).getField("gram").alias("gram"), F.count("*").alias("weight"))
+             .select("gram", "holders", "load", "weight"))
+    member = st.write(near.join(grams, "gram").groupBy("rep").agg(
         F.max("size").alias("size"),
-        F.array_sort(F.collect_list(F.struct("pos", "gram", "holders", "weight"))).alias("kept"))
-    member = member.join(groups, member.rep == groups.node, "left").select(
-        "rep", "size", "kept", F.coalesce("component", "rep").alias("grp"))
-    member = st.write(member, "members")
-    sizes = member.groupBy("grp").agg(F.count("*").alias("g_sets"), F.sum("size").alias("g_grams"))
-    routed = member.join(sizes, "grp").select(
-        "rep", F.when((F.col("g_sets") <= BLOCK_SETS) & (F.col("g_grams") <= BLOCK_GRAMS), F.col("grp"))
-        .alias("grp"), "kept")
-    wanted = texts.join(routed, texts.doc_id == routed.rep).select("rep", "grp", "kept", "text")
+        F.array_sort(F.collect_list(F.struct("pos", "gram", "holders", "load", "weight", "first"))).alias("kept")),
+        "members")
+
+    def blocks_of(kept, body):
+        """(block, side, kept n-grams ahead) of a set for each prefix n-gram
+        that can be the first one it shares with a linked set."""
+        ahead = []
+        for k in kept:
+            if not k["first"]:
+                ahead.append(k["gram"])
+                continue
+            chunks = max(1, -(-k["holders"] // BLOCK_SETS), -(-k["load"] // BLOCK_GRAMS))
+            mine = xxhash.xxh3_64_intdigest(body) % chunks
+            for c in range(chunks):
+                low, high = min(c, mine), max(c, mine)
+                yield f"n{k['gram']}/{low}/{high}", -1 if low == high else int(mine == high), list(ahead)
+            ahead.append(k["gram"])
+
+    def route_prefixes(batches):
+        for b in batches:
+            out = _Rows(PREFIXES)
+            for rep, size, kept in zip(*(c.to_pylist() for c in b.columns)):
+                grams = np.array([k["gram"] for k in kept], dtype=np.int64).tobytes()
+                weight = np.array([k["weight"] for k in kept], dtype=np.int32).tobytes()
+                for block, side, ahead in blocks_of(kept, rep.to_bytes(8, "big", signed=True)):
+                    yield from out.add((block, rep, size, side, len(ahead), grams, weight), len(grams) * 2)
+            yield from out.rest()
+
+    def join_prefixes(batches):
+        for _, rows in by_key(batches, 0):
+            if len(rows) < 2:
+                continue
+            _, ids, size, sides, ahead, grams, weight = zip(*rows)
+            lists = [np.frombuffer(x, dtype=np.int64) for x in grams]
+            pairs = block_links(ids, size, lists, [set(x[:k].tolist()) for x, k in zip(lists, ahead)], num, den,
+                                None if sides[0] < 0 else sides, [np.frombuffer(x, dtype=np.int32) for x in weight],
+                                [n - prefix_length(n, num, den) for n in size])
+            if pairs:
+                yield pa.RecordBatch.from_pydict({"u": [ids[a] for a, _ in pairs], "v": [ids[b] for _, b in pairs]})
+
+    candidates = (member.mapInArrow(route_prefixes, "block string, rep long, size int, side int, ahead int, "
+                                                    "grams binary, weight binary")
+                  .repartition("block").sortWithinPartitions("block").mapInArrow(join_prefixes, "u long, v long"))
+    groups = st.write(connected_components(candidates, st), "groups")
+    sizes = member.join(groups, member.rep == groups.node).groupBy("component").agg(
+        F.count("*").alias("g_sets"), F.sum("size").alias("g_grams"))
+    small = (F.col("g_sets") <= BLOCK_SETS) & (F.col("g_grams") <= BLOCK_GRAMS)
+    routed = (member.join(groups, member.rep == groups.node).join(sizes, "component")
+              .select("rep", F.when(small, F.col("component")).alias("grp"),
+                      F.when(~small, F.col("kept")).alias("kept")))
+    slot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - SLOT_BITS)
+    grouped = spark.sparkContext.broadcast(slot_bitmap(
+        groups.withColumnRenamed("node", "doc_id").select(slot.alias("slot"))))
+
+    def only_grouped(batches):  # spares the shuffle most of the texts; the join decides
+        for b in batches:
+            yield b.filter(pa.array(in_bitmap(grouped.value, b.column(2).to_numpy()))).select([0, 1])
+
+    some = (texts.where("doc_id is not null").select("doc_id", "text", slot.alias("slot"))
+            .mapInArrow(only_grouped, "doc_id long, text binary"))
+    wanted = some.join(routed, some.doc_id == routed.rep).select("rep", "grp", "kept", "text")
 
     def route(batches):
         """One row per block of a set, with the set in global order."""
-        rows, held_bytes = [], 0
         for b in batches:
+            out = _Rows(ROUTED)
             for rep, grp, kept, text in zip(*(c.to_pylist() for c in b.columns)):
                 g = ngram_set(text, n)
                 if not len(g):
                     continue  # another row of the id
                 body = _order(g, rank.value).tobytes()
                 if grp is not None:
-                    rows.append((f"g{grp}", rep, -1, [], body))
-                    held_bytes += len(body)
-                    kept = []
-                ahead = []
-                for k in kept:
-                    chunks = max(1, -(-k["holders"] // BLOCK_SETS), -(-k["weight"] // BLOCK_GRAMS))
-                    mine = xxhash.xxh3_64_intdigest(body) % chunks
-                    for c in range(chunks):
-                        low, high = min(c, mine), max(c, mine)
-                        rows.append((f"n{k['gram']}/{low}/{high}", rep, -1 if low == high else int(mine == high),
-                                     list(ahead), body))
-                        held_bytes += len(body)
-                        if held_bytes > 1 << 22:
-                            yield _batch(rows, ROUTED)
-                            rows, held_bytes = [], 0
-                    ahead.append(k["gram"])
-                if held_bytes > 1 << 22:
-                    yield _batch(rows, ROUTED)
-                    rows, held_bytes = [], 0
-        if rows:
-            yield _batch(rows, ROUTED)
+                    yield from out.add((f"g{grp}", rep, -1, [], body), len(body))
+                else:
+                    for block, side, ahead in blocks_of(kept, rep.to_bytes(8, "big", signed=True)):
+                        yield from out.add((block, rep, side, ahead, body), len(body))
+            yield from out.rest()
 
     def join_blocks(batches):
         for block, rows in by_key(batches, 0):
@@ -328,5 +382,5 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = connected_components(links.union(copies), st)
     out = sets.join(found, sets.doc_id == found.node, "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    st.drop(posts, near, held, member)
+    st.drop(near, member, groups)
     return out

@@ -29,11 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import mix64, binary_text, hash_words, window_hashes
+from ledgerlens.llm.common import SLOT_BITS, binary_text, hash_words, in_bitmap, mix64, slot_bitmap, window_hashes
 from ledgerlens.session import ship_package
 
-#: slots of the minimizer bitmap: 8 MB when broadcast, whatever the input
-SLOT_BITS = 26
 #: words of the runs among which a window's minimizer is chosen
 SHORT = 8
 _POS_BITS = 24
@@ -80,16 +78,7 @@ def repeated_slots(texts: DataFrame, k: int) -> np.ndarray:
 
     twice = (texts.select("text").mapInArrow(places, "slot long, n long")
              .groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1"))
-    # a bitmap of 4 KB for each 32,768 slots
-    maps = (twice.groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
-            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")).toArrow())
-    out = np.zeros((1 << SLOT_BITS) // 8, dtype=np.uint8)
-    # Spark's bit 0 of bucket b is slot (b - 1) * 32768 + 1, and slot 0 lies in bucket 0
-    for bucket, bits in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist()):
-        flags = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little")
-        slots = np.flatnonzero(flags) + (max(bucket, 1) - 1) * 32768 + 1 if bucket else np.flatnonzero(flags) * 0
-        np.bitwise_or.at(out, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
-    return out
+    return slot_bitmap(twice)
 
 
 def _paths(h: np.ndarray, k: int, bitmap: np.ndarray):
@@ -98,7 +87,7 @@ def _paths(h: np.ndarray, k: int, bitmap: np.ndarray):
     packed = minimizers(h, k)
     start = np.flatnonzero(np.diff(packed, prepend=~packed[:1]))
     slot = _slot(packed[start])
-    pick = (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+    pick = in_bitmap(bitmap, slot)
     if not pick.any():
         return None
     count = np.diff(np.append(start, len(packed)))
