@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerlens.llm import decontaminate, language, ngram_join, quality, substring, tokens
-from ledgerlens.llm.common import read_table
+from ledgerlens.llm import decontaminate, language, mixing, ngram_join, quality, sharding, substring, tokens
+from ledgerlens.llm.common import Stages, read_table
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable] = {}
@@ -34,6 +34,56 @@ def op3_language_id(spark, sf_dir):
     return language.identify_documents(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+@query
+def op4_mixing(spark, sf_dir):
+    out = mixing.mix(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"), Stages(spark, "mixing"),
+                     weights=[3, 1, 2], total_share=1.5, max_epochs=2.0)
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op4_mixing"] = r"""
+WITH words AS (
+  SELECT doc_id, source, text,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         coalesce(len(regexp_extract_all(text, '[#*$%&|<>{}]')), 0) AS symbols,
+         (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/mix'), 1, 13))::BIGINT + 0.5::DOUBLE)
+           / 4503599627370496::DOUBLE AS u
+  FROM documents),
+docs AS (
+  SELECT doc_id, source, size, -ln(u) / greatest(
+           size / (size + 4.0::DOUBLE * symbols + (CASE WHEN size = 0 THEN 1 ELSE 0 END)::DOUBLE), 0.05::DOUBLE) AS key
+  FROM words),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [3, 1, 2][((row_number() OVER (ORDER BY (source IS NULL), encode(source)) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+  FROM docs GROUP BY source),
+caps AS (SELECT *, 2.0::DOUBLE * source_size AS cap, 2.0::DOUBLE * source_size / weight AS ratio FROM sources),
+levels AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM caps WINDOW before AS (ORDER BY ratio, (source IS NULL), encode(source)
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT source, source_size, CASE WHEN o.ratio IS NULL OR l.ratio < o.ratio THEN cap ELSE least(cap, weight * o.level) END AS target
+  FROM levels l LEFT JOIN (SELECT ratio, level FROM levels WHERE ratio > level ORDER BY ratio, level LIMIT 1) o ON true),
+plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM targets),
+ahead AS (
+  SELECT d.*, p.source_size, p.target, p.epochs, round(p.target - p.epochs * p.source_size)::BIGINT AS rest,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_size
+  FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+       (epochs * size + least(size, greatest(0, rest - before_size)))::BIGINT AS taken
+FROM ahead
+""".replace("\\\\", "\\")
+
+
+@query
+def op5_sharding(spark, sf_dir):
+    return sharding.shard(read_table(spark, sf_dir, "documents", "doc_id", "text"), Stages(spark, "sharding"), shards=40)
+
+
 @query
 def op6_token_counts(spark, sf_dir):
     return tokens.count_tokens(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokens.load_vocabulary())
