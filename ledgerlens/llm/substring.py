@@ -126,7 +126,8 @@ def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
 
     def settle(batches):
         """Equal paths pass whole; paths that differ under one minimizer are
-        taken apart, with an example of each repeated one among them."""
+        taken apart, with an example of each repeated one among them. Whole
+        paths go on dealt by their own place, windows by their hashes."""
         held = src = None
         went = False  # a path equal to the held one went before
         under = False  # a different path under its minimizer went before
@@ -152,7 +153,7 @@ def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
             twice = same[:-1] | same[1:]
             apart = (same_m[:-1] & ~same[:-1]) | (same_m[1:] & ~same[1:])
             twice[last] = apart[last] = False
-            out.append(_piece_batch(digest[twice], digest[twice], doc[twice], th[twice], start[twice], count[twice],
+            out.append(_piece_batch(doc[twice], start[twice], doc[twice], th[twice], start[twice], count[twice],
                                     s_doc[twice], s_pos[twice]))
             if apart.any():
                 out.append(_windows(b.filter(pa.array(apart))))
@@ -161,8 +162,8 @@ def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
             went, under = bool(same[last]), bool(same_m[last] and not same[last])
         if held is not None:
             if went:
-                _, digest, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in held.columns[:6])
-                yield _piece_batch(digest, digest, doc, th, start, count, np.array([src[0]]), np.array([src[1]]))
+                _, _, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in held.columns[:6])
+                yield _piece_batch(doc, start, doc, th, start, count, np.array([src[0]]), np.array([src[1]]))
             elif under:
                 yield _windows(held)
 
