@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerlens.llm import decontaminate, language, mixing, ngram_join, quality, sharding, substring, tokens
+from ledgerlens.llm import decontaminate, language, mixing, ngram_join, quality, sharding, substring, tokens, warc
 from ledgerlens.llm.common import Stages, read_table
 from pyspark.sql import functions as F
 
@@ -76,7 +76,7 @@ ahead AS (
 SELECT doc_id, size, source_size, target,
        (epochs * size + least(size, greatest(0, rest - before_size)))::BIGINT AS taken
 FROM ahead
-""".replace("\\\\", "\\")
+"""
 
 
 @query
@@ -98,3 +98,8 @@ def op7_substring_dedup(spark, sf_dir):
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality.quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query
+def op8_warc(spark, sf_dir):
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), min_bytes=0)
