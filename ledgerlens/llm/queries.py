@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerlens.llm import decontaminate, language, mixing, ngram_join, quality, sharding, substring, tokens, warc
+from ledgerlens.llm import decontaminate, htmltext, language, mixing, ngram_join, quality, sharding, substring, tokens, warc
 from ledgerlens.llm.common import Stages, read_table
 from pyspark.sql import functions as F
 
@@ -95,6 +95,11 @@ def op7_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_html_extraction(spark, sf_dir):
+    return htmltext.extract_main_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality.quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
