@@ -61,6 +61,8 @@ def ngram_slots(text: str | None) -> np.ndarray:
 def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """Languages in code-point order and their log-likelihoods ``[slot, language]``
     from all rows with a language; null texts count for nothing."""
+    ship_package(rows.sparkSession)
+
     def count(batches):
         total: dict[str, np.ndarray] = {}
         for b in batches:
