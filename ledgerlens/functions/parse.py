@@ -161,5 +161,6 @@ def truncate_decimals(c, scale: int = 8, precision: int = 18) -> Column:
 
 
 def to_money(c) -> Column:
-    """Numeric text or number -> DECIMAL(18,2)."""
-    return parse_numeric(c).try_cast(T.DecimalType(18, 2))
+    """Numeric text or number -> DECIMAL(18,2), never through a double."""
+    s = strip(F.translate(col_(c).cast("string"), ",，%", ""))
+    return F.nullif(F.regexp_extract(s, NUMBER_RE, 0), F.lit("")).try_cast(T.DecimalType(18, 2))

@@ -18,13 +18,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ledgerlens import functions as L
 from ledgerlens.operators.dedup import logic_line_no, quarantine
 from ledgerlens.operators.filters import split_missing_year, valid_invoice_keys
 from ledgerlens.operators.sheets import best_sheet_by_overlap
-from ledgerlens.session import scratch_path
+from ledgerlens.session import path_exists, scratch_path
 from ledgerlens.schemas import (
     DEFAULT_CREATED_BY, DEFAULT_SOURCE_SYSTEM, DEFAULT_TOLERANCE, DETAIL_TITLE_MAP, HEADER_TITLE_MAP, UNCHECKED,
 )
@@ -43,7 +42,7 @@ class ImportResult:
     rejected_keys: DataFrame   # no usable invoice key (with reason)
     missing_year: DataFrame    # no parseable invoice date
     sheets: DataFrame          # the sheet chosen per file
-    errors: DataFrame          # unreadable files as error-log rows
+    errors: DataFrame          # unreadable, oversized and unsupported files as error-log rows
 
 
 def _chosen_rows(rows: DataFrame, chosen: DataFrame, title_map: dict[str, str]) -> DataFrame:
@@ -57,12 +56,9 @@ def _chosen_rows(rows: DataFrame, chosen: DataFrame, title_map: dict[str, str])
 
 
 def _known_keys(spark: SparkSession, ledger: str | None, key: str) -> DataFrame | None:
-    if not ledger:
-        return None
-    try:
-        return spark.read.parquet(ledger).select(key)
-    except AnalysisException:
+    if not ledger or not path_exists(spark, ledger):
         return None
+    return spark.read.parquet(ledger).select(key)
 
 
 def _common(df: DataFrame, batch_id: str, batch_ts: str) -> DataFrame:
@@ -70,7 +66,7 @@ def _common(df: DataFrame, batch_id: str, batch_ts: str) -> DataFrame:
         df = df.withColumn(c, F.when(~L.is_blank(c), L.clean_identifier(c)))
     dt = L.split_date_time("kprq")
     return df.withColumns({
-        "invoice_date": dt["invoice_date"], "invoice_time": dt["invoice_time"],
+        "invoice_date": F.coalesce(dt["invoice_date"], L.parse_invoice_date("kprq")), "invoice_time": dt["invoice_time"],
         "je": L.to_money("je"), "se": L.to_money("se"), "jshj": L.to_money("jshj"),
         "import_batch_id": F.lit(batch_id), "source_system": F.lit(DEFAULT_SOURCE_SYSTEM),
         "clean_status": F.lit(None).cast("string"), "sync_status": F.lit(None).cast("string"),
@@ -78,9 +74,10 @@ def _common(df: DataFrame, batch_id: str, batch_ts: str) -> DataFrame:
     })
 
 
-def _rows(spark: SparkSession, path: str, batch_id: str, titles: list[str] | None = None) -> DataFrame:
+def _rows(spark: SparkSession, path: str, batch_id: str, titles: list[str] | None = None,
+          max_mb: float | None = 500.0) -> DataFrame:
     return xlsx.stage_workbooks(spark, path, scratch_path(spark, f"raw-rows-{batch_id}-{uuid.uuid4().hex[:12]}"),
-                                titles=titles)
+                                titles=titles, max_mb=max_mb)
 
 
 def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -106,9 +103,10 @@ def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id, rows) -> I
 
 
 def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
-                   min_overlap: int = 5, mode: str = "reject_all") -> ImportResult:
-    """Import the header sheet ('发票基础信息…') of every workbook under ``path``."""
-    rows = _rows(spark, path, batch_id, list(HEADER_TITLE_MAP))
+                   min_overlap: int = 5, mode: str = "reject_all", max_mb: float | None = 500.0) -> ImportResult:
+    """Import the header sheet ('发票基础信息…') of every workbook under ``path``
+    (files above ``max_mb`` are reported in ``errors``)."""
+    rows = _rows(spark, path, batch_id, list(HEADER_TITLE_MAP), max_mb)
     cat = xlsx.sheet_catalogue(rows).filter(F.col("sheet").contains(HEADER_SHEET_MARK))
     chosen = best_sheet_by_overlap(cat, list(HEADER_TITLE_MAP), min_overlap, prefer_prefix=None)
     df = _chosen_rows(rows, chosen, HEADER_TITLE_MAP)
@@ -124,10 +122,11 @@ def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
 
 def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
                    min_overlap: int = 3, mode: str = "reject_all",
-                   line_scope=("source_file", "source_sheet")) -> ImportResult:
+                   line_scope=("source_file", "source_sheet"), max_mb: float | None = 500.0) -> ImportResult:
     """Import the detail sheet of every workbook under ``path``: a sheet named
-    '信息汇总表…' wins, else the sheet sharing most detail titles (≥ min_overlap)."""
-    rows = _rows(spark, path, batch_id, list(DETAIL_TITLE_MAP))
+    '信息汇总表…' wins, else the sheet sharing most detail titles (≥ min_overlap);
+    files above ``max_mb`` are reported in ``errors``."""
+    rows = _rows(spark, path, batch_id, list(DETAIL_TITLE_MAP), max_mb)
     chosen = best_sheet_by_overlap(xlsx.sheet_catalogue(rows), list(DETAIL_TITLE_MAP), min_overlap,
                                    prefer_prefix=SUMMARY_SHEET_PREFIX)
     df = _chosen_rows(rows, chosen, DETAIL_TITLE_MAP)
@@ -153,10 +152,12 @@ class LedgerBuild:
     cast_failures: DataFrame   # one row per value that did not parse
     manifest: DataFrame        # one row per sheet
     anomalies: DataFrame       # tax-rate anomalies over the ledger
+    missing_year: DataFrame    # rows without a parseable invoice date
+    errors: DataFrame          # unreadable, oversized and unsupported files as error-log rows
 
 
 def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, batch_ts: str,
-                                kind: str = "summary", keys=None) -> LedgerBuild:
+                                kind: str = "summary", keys=None, max_mb: float | None = 500.0) -> LedgerBuild:
     """Scan, classify, cast and record, then dedup into the year ledger.
 
     Sheets of class ``kind`` ('summary' sheets feed the detail ledger) are
@@ -167,8 +168,8 @@ def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, bat
     written partitioned by year and the tax-rate rule runs over it.
     """
     from ledgerlens.operators import audit, dedup, filters, sheets as sh
-    from ledgerlens.schemas import DETAIL_DEDUP_COLUMNS, INVOICE_DATE
-    rows = _rows(spark, path, f"ledger-{uuid.uuid4().hex[:8]}")
+    from ledgerlens.schemas import DETAIL_DEDUP_COLUMNS, HEADER_DEDUP_COLUMNS, INVOICE_DATE
+    rows = _rows(spark, path, f"ledger-{uuid.uuid4().hex[:8]}", max_mb=max_mb)
     catalogue = sh.classify_sheets(xlsx.sheet_catalogue(rows), "sheet")
     manifest = sh.sheet_manifest(catalogue, xlsx.data_rows(rows))
     picked = catalogue.filter(F.col("classification") == kind).select("file", "sheet")
@@ -182,11 +183,12 @@ def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, bat
     stats = audit.cast_stats(data, specs)
     failures = audit.cast_failures(data, specs, keys=keys_present)
     typed = audit.typed_frame(data, specs).withColumn("invoice_year", L.invoice_year(INVOICE_DATE))
-    typed, _ = filters.split_missing_year(typed, "invoice_year")
-    dedup_keys = [c for c in (keys or DETAIL_DEDUP_COLUMNS) if c in titles]
+    typed, no_year = filters.split_missing_year(typed, "invoice_year")
+    default_keys = HEADER_DEDUP_COLUMNS if kind == "header" else DETAIL_DEDUP_COLUMNS
+    dedup_keys = [c for c in (keys or default_keys) if c in titles]
     order = ["file", "sheet", "row_index"]
     flagged = _stage(spark, dedup.flag_duplicates(typed, dedup_keys, order, flag="is_duplicate"), "flagged")
-    metrics = dedup.dedup_metrics(flagged, "invoice_year", kind="detail")
+    metrics = dedup.dedup_metrics(flagged, "invoice_year", kind="header" if kind == "header" else "detail")
     kept = flagged.filter(~F.col("is_duplicate")).drop("is_duplicate")
     dups = (flagged.filter(F.col("is_duplicate")).drop("is_duplicate")
             .withColumn("dedup_captured_at", F.lit(batch_ts).cast("timestamp_ntz")))
@@ -195,4 +197,4 @@ def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, bat
     rate_num = "税率" + audit.RATE_NUM_SUFFIX
     anomalies = (filters.tax_rate_anomaly(written, rate_num, "税率")
                  if rate_num in written.columns else written.limit(0))
-    return LedgerBuild(written, dups, metrics, stats, failures, manifest, anomalies)
+    return LedgerBuild(written, dups, metrics, stats, failures, manifest, anomalies, no_year, xlsx.error_rows(rows))

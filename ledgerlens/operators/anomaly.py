@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.dedup import group_flags, with_group_aggregates
-from ledgerlens.operators.joins import as_list, bounded_broadcast
+from ledgerlens.operators.joins import as_list, join_per_key
 
 # re-exported: the two rate rules live with the other filters
 from ledgerlens.operators.filters import tax_rate_anomaly, tax_rate_unexpected  # noqa: F401
@@ -77,12 +77,13 @@ def similar_names(df: DataFrame, name: str, max_distance: int = 1) -> DataFrame:
 
 def first_transactions(df: DataFrame, party: str, order, amount: str, threshold) -> DataFrame:
     """First transaction of each party (by ``order``, a total order) when its
-    amount exceeds ``threshold``. The first row comes from ``group_flags``:
-    a bounded window for ordinary parties, a map-side aggregate for hot ones."""
+    amount exceeds ``threshold``. A minimum of (order, amount) per party is a
+    partial aggregate, so a party's rows never meet in one task."""
     ordcols = [c for c in as_list(order) if c != party]
-    flagged = group_flags(df.select(party, *ordcols, amount), party, ordcols)
-    return (flagged.filter(F.col("__is_first") & (F.col(amount) > F.lit(threshold)))
-            .select(party, *ordcols, amount))
+    cols = [*ordcols, *([amount] if amount not in ordcols else [])]
+    first = df.groupBy(party).agg(F.min(F.struct(*cols)).alias("__first"))
+    return (first.select(party, *[F.col(f"__first.{c}").alias(c) for c in cols])
+            .filter(F.col(amount) > F.lit(threshold)))
 
 
 def month_end_concentration(df: DataFrame, party: str, date: str, last_days: int = 3,
@@ -128,11 +129,12 @@ def price_deviation(df: DataFrame, group: str, amount: str, quantity: str,
 
     Tested exactly in DECIMAL without division:
     |amount * Sq - qty * Sa| > max_rel * qty * Sa (rows with qty > 0).
-    Group sums come from ``with_group_aggregates`` (window for ordinary
-    groups, map-side aggregate + broadcast for hot ones).
+    Group sums are partial aggregates, joined back in a join that AQE can
+    split (``join_per_key``).
     """
     d = df.filter(F.col(quantity) > 0)
-    j = with_group_aggregates(d, [group], {"group_amount": F.sum(amount), "group_qty": F.sum(quantity)})
+    j = join_per_key(d, d.groupBy(group).agg(F.sum(amount).alias("group_amount"), F.sum(quantity).alias("group_qty")),
+                     group)
     a, q = F.col(amount), F.col(quantity)
     dev = F.abs(a * F.col("group_qty") - q * F.col("group_amount"))
     limit = F.lit(max_rel).cast("decimal(4,2)") * q * F.col("group_amount")
@@ -143,16 +145,15 @@ def monthly_rollup(df: DataFrame, date: str, sums: dict[str, str], by=(), dtype=
     """Per month (and ``by``): row count and sums."""
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for out, c in sums.items():
-        aggs.append(F.coalesce(F.sum(F.col(c).cast(dtype)), F.lit(0).cast(dtype)).cast(dtype).alias(out))
+        aggs.append(F.coalesce(F.sum(F.col(c).cast(dtype)), F.lit(0)).alias(out))
     return df.groupBy(F.trunc(F.col(date), "MM").alias("month"), *as_list(by)).agg(*aggs)
 
 
-def blacklist_hits(df: DataFrame, blacklist: DataFrame, key: str, black_key: str | None = None,
-                   max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Rows whose party is on the blacklist (semi join; the list is broadcast
-    only when proven small)."""
+def blacklist_hits(df: DataFrame, blacklist: DataFrame, key: str, black_key: str | None = None) -> DataFrame:
+    """Rows whose party is on the blacklist (semi join; Spark broadcasts the
+    list when its size in bytes allows)."""
     bk = blacklist.select(F.col(black_key or key).alias(key)).distinct()
-    return df.join(bounded_broadcast(bk, max_broadcast_rows), key, "left_semi")
+    return df.join(bk, key, "left_semi")
 
 
 def date_before_business(df: DataFrame, invoice_date: str, business_date: str) -> DataFrame:

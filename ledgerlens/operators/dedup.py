@@ -40,8 +40,8 @@ def _null_safe_cond(left: DataFrame, right: DataFrame, lkeys, rkeys) -> F.Column
 def group_flags(df: DataFrame, keys, order=None, keep: str = "first", hot=DETECT) -> DataFrame:
     """``df`` plus ``__group_rows`` (rows sharing the key; null keys form one
     group) and, with ``order``, ``__is_first`` (the first row of its group by
-    ``order``, or the last with ``keep='last'``). ``order`` must be a total
-    order within a group."""
+    ``order``, or the last with ``keep='last'``; of rows equal in ``order``
+    exactly one)."""
     keys = as_list(keys)
     order = as_list(order) if order is not None else []
     cols = df.columns
@@ -71,7 +71,11 @@ def group_flags(df: DataFrame, keys, order=None, keep: str = "first", hot=DETECT
     sb = F.broadcast(stats)
     hj = hot_rows.join(sb, _null_safe_cond(hot_rows, sb, keys, [f"__h_{i}" for i in range(len(keys))]), "left")
     if order:
-        hj = hj.withColumn(_IS_FIRST, _ord(order).eqNullSafe(F.col(_FIRST)))
+        # of rows equal in the order columns one is first, as in the window
+        ties = Window.partitionBy(*keys, "__at_first").orderBy(F.lit(0))
+        hj = hj.withColumn("__at_first", _ord(order).eqNullSafe(F.col(_FIRST)))
+        at = hj.filter("__at_first").withColumn(_IS_FIRST, F.row_number().over(ties) == 1)
+        hj = at.unionByName(hj.filter(~F.col("__at_first")).withColumn(_IS_FIRST, F.lit(False)))
     out_cols = cols + [_COUNT] + ([_IS_FIRST] if order else [])
     return windowed(cold_rows).select(*out_cols).unionByName(hj.select(*out_cols))
 

@@ -1,8 +1,7 @@
-"""Join helpers: key-set membership, null-safe equi-joins, bounded broadcast.
+"""Join helpers: key-set membership, null-safe equi-joins, hot keys.
 
 Invoice keys are high-cardinality, so key-set joins are shuffle joins that
-AQE may split when one key is hot. A side is broadcast only after a cheap
-check proves it holds at most ``max_rows`` rows.
+AQE may split when one key is hot.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def as_list(cols) -> list[str]:
@@ -21,18 +19,16 @@ def as_list(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows, so the check stays cheap on huge
-    inputs.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if its row count is proven small."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """``rows`` joined to per-key aggregates of any size. The aggregate is
+    dealt by the keys already, and Spark would join it as it stands, so a hot
+    key's rows could not be split; joining on the keys and a hash of them
+    gives both sides an exchange of the join's own, which AQE splits."""
+    keys = as_list(keys)
+    out = rows.columns + [c for c in per_key.columns if c not in keys]
+    mark = F.xxhash64(*keys)
+    return (rows.withColumn("__key_hash", mark)
+            .join(per_key.withColumn("__key_hash", mark), [*keys, "__key_hash"], how).select(*out))
 
 
 def split_known_keys(df: DataFrame, known_keys: DataFrame, key, known_key=None, normalize: bool = False):

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import as_list, bounded_broadcast
+from ledgerlens.operators.joins import as_list
 
 
 def find_where(df: DataFrame, predicate: Column | None = None, order_by=None,
@@ -35,14 +35,10 @@ def lookup(df: DataFrame, values: dict, order_by=None, limit: int | None = None)
     return find_where(df, pred, order_by, limit)
 
 
-def lookup_many(df: DataFrame, keys_df: DataFrame, on, max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys_df`` (semi join).
-
-    The key list is broadcast only when it is proven to have at most
-    ``max_broadcast_rows`` rows; a larger list takes a shuffle join.
-    """
-    keys = keys_df.select(*as_list(on)).distinct()
-    return df.join(bounded_broadcast(keys, max_broadcast_rows), as_list(on), "left_semi")
+def lookup_many(df: DataFrame, keys_df: DataFrame, on) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys_df`` (semi join; Spark broadcasts
+    the key list when its size in bytes allows)."""
+    return df.join(keys_df.select(*as_list(on)).distinct(), as_list(on), "left_semi")
 
 
 def param_sql(spark: SparkSession, query: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:

@@ -26,8 +26,7 @@ def detail_total_per_header(detail: DataFrame, key, amount: str,
     map-side, so a hot key costs one row per map task in the shuffle.
     """
     return (detail.groupBy(*as_list(key))
-            .agg(F.coalesce(F.sum(F.col(amount).cast(dtype)), F.lit(0).cast(dtype))
-                 .cast(dtype).alias(out)))
+            .agg(F.coalesce(F.sum(F.col(amount).cast(dtype)), F.lit(0)).alias(out)))
 
 
 def flag_orphans(left: DataFrame, right: DataFrame, key, label: str,
@@ -97,7 +96,7 @@ def balance_check(header: DataFrame, detail: DataFrame | None, key, total: str =
             h = h.withColumn(c, F.lit(None).cast(t))
     tol = F.coalesce(F.col(tolerance).cast(MONEY), F.lit(default_tolerance).cast(MONEY)) \
         if tolerance in h.columns else F.lit(default_tolerance).cast(MONEY)
-    diff = F.abs(F.col("detail_total_amount").cast(MONEY) - F.col(total).cast(MONEY))
+    diff = F.abs(F.col("detail_total_amount") - F.col(total).cast(MONEY))
     eligible = F.col(clean).isNull() & (F.col(status) == UNCHECKED) if clean in h.columns \
         else (F.col(status) == UNCHECKED)
     eligible = F.coalesce(eligible, F.lit(False))
@@ -107,7 +106,7 @@ def balance_check(header: DataFrame, detail: DataFrame | None, key, total: str =
                   .otherwise(F.col(status)))
     changed = eligible & ~new_status.eqNullSafe(F.col(status))
     h = h.withColumns({
-        "balance_diff": F.when(eligible, diff.cast(MONEY)).otherwise(F.col("balance_diff").cast(MONEY)),
+        "balance_diff": F.when(eligible, diff).otherwise(F.col("balance_diff")),
         "balance_check_time": F.when(changed, F.lit(checked_at).cast("timestamp_ntz"))
         .otherwise(F.col("balance_check_time")) if checked_at is not None else F.col("balance_check_time"),
         "balance_check_by": F.when(changed, F.lit(checked_by)).otherwise(F.col("balance_check_by"))
@@ -116,6 +115,14 @@ def balance_check(header: DataFrame, detail: DataFrame | None, key, total: str =
     return h.withColumn(status, new_status)
 
 
+#: where an imported row stood: decides among rows of one time stamp
+PLACE = ("source_file", "source_sheet", "row_no")
+
+
+def _with_place(df: DataFrame, order) -> list[str]:
+    return [*order, *[c for c in PLACE if c in df.columns and c not in order]]
+
+
 def run_dq(header: DataFrame, detail: DataFrame, header_key="header_uuid",
            detail_key="detail_uuid", link_key="header_uuid", header_order=("created_at",),
            detail_order=("updated_at",), total: str = "jshj", detail_amount: str = "jshj",
@@ -135,8 +142,8 @@ def run_dq(header: DataFrame, detail: DataFrame, header_key="header_uuid",
                    updated_by=checked_by if "updated_by" in header.columns else None)
     d_stamp = dict(updated_at=checked_at if "updated_at" in detail.columns else None,
                    updated_by=checked_by if "updated_by" in detail.columns else None)
-    h = mark_uuid_duplicates(header, header_key, list(header_order), DUPLICATE_KEY, hot=hot_h, **h_stamp)
-    d = mark_uuid_duplicates(detail, detail_key, list(detail_order), DUPLICATE_KEY, hot=hot_d, **d_stamp)
+    h = mark_uuid_duplicates(header, header_key, _with_place(header, header_order), DUPLICATE_KEY, hot=hot_h, **h_stamp)
+    d = mark_uuid_duplicates(detail, detail_key, _with_place(detail, detail_order), DUPLICATE_KEY, hot=hot_d, **d_stamp)
     # both checks read the state after the uniqueness step
     d2 = flag_orphans(d, h, link_key, HEADER_MISSING, right_key=header_key, hot=hot_link, **d_stamp)
     h2 = flag_orphans(h, d, header_key, DETAIL_MISSING, right_key=link_key, hot=hot_h, **h_stamp)

@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.joins import as_list
 
 
+def _sum(c: str, dtype: str | None) -> Column:
+    """Null-safe sum in the width Spark gives it (10 digits more than the input)."""
+    v = F.col(c).cast(dtype) if dtype else F.col(c)
+    return F.coalesce(F.sum(v), F.lit(0))
+
+
 def year_summary(df: DataFrame, year: str, sums: dict[str, str], dtype="decimal(18,2)") -> DataFrame:
-    """Per year: row count and null-safe sums (all-null sum -> 0)."""
+    """Per year (null included): row count and null-safe sums (all-null sum
+    -> 0); ``dtype`` None sums the columns as they are typed."""
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for out, c in sums.items():
-        aggs.append(F.coalesce(F.sum(F.col(c).cast(dtype)), F.lit(0).cast(dtype)).cast(dtype).alias(out))
+        aggs.append(_sum(c, dtype).alias(out))
     return df.groupBy(year).agg(*aggs)
 
 
@@ -69,11 +76,16 @@ def format_profile(df: DataFrame, col: str) -> DataFrame:
 
 
 def table_rowcounts(frames: dict[str, DataFrame], by: str | None = None) -> DataFrame:
-    """Row count per named table (and per ``by`` value) with a has-data flag."""
+    """Row count per named table, and per ``by`` value, with a has-data flag.
+    With ``by``, an empty table has one row (null ``by``, 0 rows)."""
     parts = []
     for name, df in frames.items():
-        g = [F.lit(name).alias("table_name")] + ([F.col(by)] if by else [])
-        parts.append(df.groupBy(*g).agg(F.count(F.lit(1)).alias("row_count")))
+        total = df.agg(F.count(F.lit(1)).alias("row_count"))  # a row for an empty table too
+        if by:
+            each = df.groupBy(F.col(by)).agg(F.count(F.lit(1)).alias("row_count"))
+            kind = df.schema[by].dataType
+            total = each.unionByName(total.filter("row_count = 0").withColumn(by, F.lit(None).cast(kind)))
+        parts.append(total.select(F.lit(name).alias("table_name"), *([by] if by else []), "row_count"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -90,15 +102,21 @@ def quality_report(header: DataFrame, detail: DataFrame, year: str, lo: float =
                    hi: float = 100.0) -> DataFrame:
     """Row counts per year and in total for header and detail, with issues.
 
-    One rollup pass over both tables. The total row (``is_total``) carries
+    Counts per year, and their sum as the total row, which is there for empty
+    tables too. The total row (``is_total``) carries
     the issues: ERROR when a table is empty, WARNING when detail/header lies
     outside [lo, hi] (several issues are joined with '; ').
     """
     u = (header.select(F.lit(True).alias("__h"), F.col(year))
          .unionByName(detail.select(F.lit(False).alias("__h"), F.col(year))))
-    r = u.rollup(year).agg(F.count_if(F.col("__h")).alias("header_rows"),
-                           F.count_if(~F.col("__h")).alias("detail_rows"),
-                           F.grouping(year).alias("__g"))
+    counts = [F.coalesce(F.count_if(F.col("__h")), F.lit(0)).alias("header_rows"),
+              F.coalesce(F.count_if(~F.col("__h")), F.lit(0)).alias("detail_rows")]
+    each = u.groupBy(year).agg(*counts).withColumn("__g", F.lit(0))
+    total_row = each.agg(F.coalesce(F.sum("header_rows"), F.lit(0)).alias("header_rows"),
+                         F.coalesce(F.sum("detail_rows"), F.lit(0)).alias("detail_rows"))
+    kind = each.schema[year].dataType
+    r = each.unionByName(total_row.select(F.lit(None).cast(kind).alias(year), "header_rows", "detail_rows",
+                                          F.lit(1).alias("__g")))
     hr, dr, total = F.col("header_rows"), F.col("detail_rows"), F.col("__g") == 1
     ratio = F.when(hr > 0, dr / hr)
     e_detail = F.when(total & (dr == 0), F.lit("ERROR"))
@@ -119,5 +137,5 @@ def anomaly_by(df: DataFrame, by, sums: dict[str, str], dtype="decimal(18,2)") -
     """Count and sums per group, for drill-downs (ordered by count desc)."""
     aggs = [F.count(F.lit(1)).alias("anomaly_count")]
     for out, c in sums.items():
-        aggs.append(F.coalesce(F.sum(F.col(c).cast(dtype)), F.lit(0).cast(dtype)).cast(dtype).alias(out))
+        aggs.append(_sum(c, dtype).alias(out))
     return df.groupBy(*as_list(by)).agg(*aggs).orderBy(F.desc("anomaly_count"), *as_list(by))

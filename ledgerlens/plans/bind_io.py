@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from ledgerlens import ingest, sinks
 from ledgerlens.plans.bind_scalars import RAW_CODE, RAW_ENO, RAW_NUMBER, RAW_REMARK
+from ledgerlens.plans.bind_scalars import _duck_key as duck_key
 from ledgerlens.plans.registry import bound
 from ledgerlens.plans.tables import table
+from ledgerlens.schemas import INVOICE_DATE
 from ledgerlens.session import scratch_path
-from ledgerlens.sources import charset, files, xlsx, xlsx_writer
+from ledgerlens.operators import sheets
+from ledgerlens.sources import charset, xlsx, xlsx_writer
 from ledgerlens.streaming.incremental import start_incremental_import
 
 # spreadsheet titles for the orders columns written to workbooks
@@ -41,30 +44,59 @@ def _workbooks(spark, d, parts: int = 4):
     return out
 
 
-@bound("xlsx_scan")
+_ORDER_TEXTS = ", ".join(f'CAST({"CAST(" + c + " AS DATE)" if c == "o_orderdate" else c} AS VARCHAR) AS "{t}"'
+                         for t, c in ORDER_TITLES.items())
+
+
+@bound("xlsx_scan", f"SELECT '信息汇总表' AS sheet, {_ORDER_TEXTS} FROM orders")
 def xlsx_scan(spark, d):
     rows = xlsx.read_workbooks(spark, _workbooks(spark, d))
-    return xlsx.sheet_table(rows, list(ORDER_TITLES))
+    return xlsx.sheet_table(rows, list(ORDER_TITLES)).drop("file", "row_no")
 
 
-@bound("sheet_columns")
+@bound("sheet_columns", f"""
+SELECT '信息汇总表' AS sheet, '{";".join(ORDER_TITLES)}' AS columns, COUNT(*) AS data_rows FROM orders
+""")
 def sheet_columns(spark, d):
-    return xlsx.sheet_catalogue(xlsx.read_workbooks(spark, _workbooks(spark, d)))
+    """Titles of the sheets, with the rows that stand under them."""
+    rows = xlsx.read_workbooks(spark, _workbooks(spark, d))
+    heads = xlsx.sheet_catalogue(rows).select("file", "sheet", F.array_join("columns", ";").alias("columns"))
+    return (xlsx.data_rows(rows).select("file", "sheet").join(heads, ["file", "sheet"])
+            .groupBy("sheet", "columns").agg(F.count(F.lit(1)).alias("data_rows")))
 
 
-@bound("charset_profile")
+@bound("charset_profile", f"""
+SELECT *, 'UTF-8' AS charset FROM (SELECT {_ORDER_TEXTS} FROM orders)
+UNION ALL SELECT *, 'GB18030' FROM (SELECT {_ORDER_TEXTS.replace("o_orderpriority", "'备注 ' || o_orderpriority")} FROM orders)
+""")
 def charset_profile(spark, d):
+    """The orders as CSV in two character sets and two column orders."""
     out = _scratch(spark, "csv")
-    spark.conf.set(charset.LEGACY_CHARSETS_CONF, "true")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     src = _orders_as_text(spark, d)
     src.write.option("header", True).option("encoding", "UTF-8").csv(out + "/utf8")
-    src.write.option("header", True).option("encoding", "GBK").csv(out + "/gbk")
-    return charset.read_csv_any_charset(spark, out)
+    gbk = src.withColumn("备注", F.concat(F.lit("备注 "), "备注"))
+    gbk.select(*reversed(gbk.columns)).write.option("header", True).option("encoding", "GBK").csv(out + "/gbk")
+    return charset.read_csv_any_charset(spark, out).drop("source_file")
+
 
+# a listing as long as the table: names and sizes made from documents
+_FILE_NAME = """CASE WHEN doc_id % 7 = 0 THEN '~$' ELSE '' END || CAST(doc_id AS STRING) || CASE doc_id % 4
+  WHEN 0 THEN '.xlsx' WHEN 1 THEN '.XLSM' WHEN 2 THEN '.csv' ELSE '.xls' END"""
 
-@bound("file_admission")
+
+@bound("file_admission", f"""
+WITH f AS (SELECT {_FILE_NAME} AS name, n_chars * 99991 AS length FROM documents),
+r AS (SELECT *, CASE WHEN starts_with(name, '~$') THEN 'temporary excel lock file'
+    WHEN NOT regexp_matches(lower(name), '\\.(xls|xlsx|xlsm)$') THEN 'unsupported extension'
+    WHEN length / 1048576.0 > 500 THEN printf('file too large (%.1fMB > 500.0MB limit)', (length / 1048576.0)::DOUBLE)
+    ELSE 'ok' END AS reason FROM f)
+SELECT name, length, reason, reason = 'ok' AS accepted FROM r
+""")
 def file_admission(spark, d):
-    return files.admitted_files(spark, d)
+    listed = table(spark, d, "documents", "doc_id", "n_chars").select(
+        F.expr(_FILE_NAME).alias("name"), (F.col("n_chars") * 99991).alias("length"))
+    return sheets.file_admission(listed, "name", "length", 500.0)
 
 
 @bound("overwrite_years", """
@@ -83,13 +115,11 @@ def overwrite_years(spark, d):
 
 
 @bound("layer_promote", """
-SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, 'dwd' AS layer FROM orders WHERE o_orderstatus = 'O'
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, 'dwd' AS layer FROM orders
 """)
 def layer_promote(spark, d):
-    src = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
-    return sinks.promote(spark, src, _scratch(spark, "dwd"),
-                         lambda df: df.filter(F.col("o_orderstatus") == "O").drop("o_orderstatus")
-                         .withColumn("layer", F.lit("dwd")))
+    src = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return sinks.promote(spark, src, _scratch(spark, "dwd"), lambda df: df.withColumn("layer", F.lit("dwd")))
 
 
 @bound("table_sample", """
@@ -99,41 +129,77 @@ def table_sample(spark, d):
     return sinks.table_sample(table(spark, d, "orders"), "o_orderkey", 100)
 
 
-@bound("describe_table")
+_LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@bound("describe_table", " UNION ALL ".join(
+    f"""SELECT '{c}' AS col_name, COUNT(*) AS "rows", COUNT(*) - COUNT({c}) AS nulls FROM lineitem""" for c in _LINE_COLUMNS))
 def describe_table(spark, d):
-    return sinks.describe_table(table(spark, d, "lineitem"))
+    return sinks.describe_table(table(spark, d, "lineitem", *_LINE_COLUMNS)).select("col_name", "rows", "nulls")
+
+
+@bound("delete_stored", """
+SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS invoice_year FROM orders
+WHERE year(o_orderdate) <> 1997 AND o_orderstatus <> 'P'
+""")
+def delete_stored(spark, d):
+    """A stored delete of one whole year and of some rows of every other."""
+    path = _scratch(spark, "delete")
+    o = table(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    sinks.write_partitioned(o.select("o_orderkey", "o_orderstatus", "o_totalprice",
+                                     F.year("o_orderdate").alias("invoice_year")), path)
+    left = sinks.delete_stored(spark, path, (F.col("invoice_year") == 1997) | (F.col("o_orderstatus") == "P"))
+    return left.select("o_orderkey", "o_totalprice", "invoice_year")
 
 
 LANDING_SCHEMA = ("l_orderkey bigint, l_linenumber int, l_suppkey bigint, l_extendedprice double, "
                   "l_shipdate timestamp_ntz, invoice_year int")
 
 
-@bound("incremental_import")
-def incremental_import(spark, d):
-    """Three landing drops (lines by ship year), imported in two stream runs;
-    the target holds the accepted lines."""
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+@bound("incremental_import", """
+WITH l AS (SELECT *, CAST(year(l_shipdate) AS INTEGER) AS invoice_year FROM (
+    SELECT l_orderkey, l_linenumber % 3 AS l_linenumber, l_suppkey, l_extendedprice, l_shipdate FROM lineitem)),
+n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
+        CASE WHEN invoice_year <= 1996 THEN 1 WHEN invoice_year <= 1998 THEN 2 ELSE 3 END,
+        l_shipdate, l_suppkey, l_extendedprice) AS k FROM l)
+SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_shipdate, invoice_year FROM n WHERE k = 1
+""")
+def incremental_import(spark, d, max_files_per_trigger: int | None = 1000):
+    """Three landing drops (lines by ship year; of one key, lines may stand
+    in all of them), imported in two stream runs; the target holds the first
+    line of every key."""
     base = _scratch(spark, "incremental")
     landing, target, held, ckpt = (f"{base}/landing", f"{base}/target", f"{base}/quarantine", f"{base}/_ckpt")
     li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate")
-    li = li.withColumn("invoice_year", F.year("l_shipdate"))
+    li = li.withColumns({"l_linenumber": F.col("l_linenumber") % 3, "invoice_year": F.year("l_shipdate")})
     drops = [F.col("invoice_year") <= 1996, F.col("invoice_year").between(1997, 1998), F.col("invoice_year") >= 1999]
-    li.filter(drops[0]).write.parquet(f"{landing}/drop_1")
-    q = start_incremental_import(spark, landing, LANDING_SCHEMA, target, held, ckpt,
-                                 ["l_orderkey", "l_linenumber"])
-    q.awaitTermination()
+
+    def run():
+        start_incremental_import(spark, landing, LANDING_SCHEMA, target, held, ckpt, LINE_KEY,
+                                 max_files_per_trigger=max_files_per_trigger,
+                                 order=["l_shipdate", "l_suppkey", "l_extendedprice"]).awaitTermination()
+
+    li.filter(drops[0]).repartition(1).write.parquet(f"{landing}/drop_1")
+    run()
     for i, cond in enumerate(drops[1:], start=2):
-        li.filter(cond).write.parquet(f"{landing}/drop_{i}")
-    q = start_incremental_import(spark, landing, LANDING_SCHEMA, target, held, ckpt,
-                                 ["l_orderkey", "l_linenumber"])
-    q.awaitTermination()
-    return spark.read.parquet(target)
+        li.filter(cond).repartition(1).write.parquet(f"{landing}/drop_{i}")
+    run()
+    return spark.read.parquet(target).drop("import_epoch")
 
 
-# header export: invoice keys with blanks and repeats, dates, amounts, remarks
+# header export: titles with blanks, invoice keys with blanks and repeats,
+# dates in several layouts, amounts beyond a double's digits, remarks
 HEADER_EXPORT = {
-    "发票代码": RAW_CODE, "发票号码": RAW_NUMBER, "数电发票号码": RAW_ENO,
-    "开票日期": "CAST(CAST(o_orderdate AS DATE) AS STRING) || CASE WHEN o_orderkey % 3 = 0 THEN ' 10:11' ELSE '' END",
-    "金额": "CAST(o_totalprice AS STRING)", "税额": "CAST(ROUND(o_totalprice * 0.13, 2) AS STRING)",
+    "发票 代码": RAW_CODE, "发票　号码": RAW_NUMBER, "数电发票号码": RAW_ENO,
+    "开票日期": """CASE o_orderkey % 4 WHEN 0 THEN CAST(datediff(CAST(o_orderdate AS DATE), DATE'1899-12-30') AS STRING)
+      WHEN 1 THEN date_format(o_orderdate, 'yyyyMMdd') WHEN 2 THEN date_format(o_orderdate, 'yyyy.M.d')
+      ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 10:11' END""",
+    "金额": "CASE WHEN o_orderkey % 50 = 9 THEN '1,234,567,890,123,456.78' ELSE CAST(o_totalprice AS STRING) END",
+    "税额": "CAST(ROUND(o_totalprice * 0.13, 2) AS STRING)",
     "价税合计": "CAST(ROUND(o_totalprice * 1.13, 2) AS STRING)",
     "购买方名称": "'Customer#' || CAST(o_custkey AS STRING)", "备注": RAW_REMARK,
 }
@@ -144,22 +210,51 @@ def header_export(spark, d):
     return o.select(*[F.expr(e).alias(t) for t, e in HEADER_EXPORT.items()])
 
 
-@bound("workbook_import")
+def _duck_clean(c: str) -> str:
+    return f"""nullif(trim({c}, ' 　'), '')"""
+
+
+_HEADER_IMPORT = f"""
+WITH r AS (SELECT o_orderdate, o_totalprice, o_orderkey, {_duck_clean(f"({RAW_CODE})")} AS code,
+                  {_duck_clean(f"({RAW_NUMBER})")} AS num, {_duck_clean(f"({RAW_ENO})")} AS eno FROM orders),
+k AS (SELECT *, md5({duck_key('code', 'num', 'eno')}) AS header_uuid FROM r
+      WHERE eno IS NOT NULL OR (code IS NOT NULL AND num IS NOT NULL)),
+n AS (SELECT *, COUNT(*) OVER (PARTITION BY header_uuid) AS copies FROM k)
+SELECT header_uuid, CAST(o_orderdate AS DATE) AS invoice_date, CAST(year(o_orderdate) AS INTEGER) AS invoice_year,
+       CASE WHEN o_orderkey % 50 = 9 THEN CAST('1234567890123456.78' AS DECIMAL(18,2))
+            ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS je
+FROM n WHERE copies = 1
+"""
+
+
+@bound("workbook_import", _HEADER_IMPORT)
 def workbook_import(spark, d):
     """Header workbooks written from orders, imported into a fresh ledger."""
     src = _scratch(spark, "header-export")
     xlsx_writer.write_workbooks(header_export(spark, d).repartition(4), src, "发票基础信息").count()
     res = ingest.import_headers(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=_scratch(spark, "header-ledger"))
-    return res.accepted
+    return res.accepted.select("header_uuid", "invoice_date", "invoice_year", "je")
 
 
-# detail export: lines of lineitem with unit prices carrying long fractions
+@bound("workbook_reimport", "SELECT 0 AS accepted_again, COUNT(*) AS held_again FROM (" + _HEADER_IMPORT + ")")
+def workbook_reimport(spark, d):
+    """The same workbooks imported twice: the second time nothing is accepted."""
+    src, ledger = _scratch(spark, "header-export"), _scratch(spark, "header-ledger")
+    xlsx_writer.write_workbooks(header_export(spark, d).repartition(4), src, " 发票基础信息").count()
+    ingest.import_headers(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=ledger)
+    again = ingest.import_headers(spark, src, "batch-2", "2024-01-02 00:00:00", ledger=ledger)
+    held = again.quarantined.groupBy("header_uuid").count().filter("count = 1")
+    return held.agg(F.count(F.lit(1)).alias("held_again")).join(
+        again.accepted.agg(F.count(F.lit(1)).cast("int").alias("accepted_again")), how="cross")
+
+
+# detail export: lines of lineitem, with long Chinese texts and unit prices with long fractions
 DETAIL_EXPORT = {
     "发票代码": "'0' || lpad(CAST(l_orderkey % 97 AS STRING), 11, '0')",
     "发票号码": "lpad(CAST(l_orderkey AS STRING), 8, '0')",
     "数电发票号码": "CASE WHEN l_orderkey % 7 = 0 THEN '2' || lpad(CAST(l_orderkey AS STRING), 19, '0') END",
     "开票日期": "CAST(CAST(l_shipdate AS DATE) AS STRING)",
-    "货物或应税劳务名称": "'part ' || CAST(l_partkey AS STRING)",
+    "货物或应税劳务名称": "repeat('货物或应税劳务，', 12) || CAST(l_partkey AS STRING)",
     "数量": "CAST(l_quantity AS STRING)",
     "单价": "CAST(l_extendedprice / l_quantity AS STRING)",
     "金额": "CAST(l_extendedprice AS STRING)",
@@ -167,27 +262,57 @@ DETAIL_EXPORT = {
     "税额": "CAST(ROUND(l_extendedprice * l_tax, 2) AS STRING)",
     "价税合计": "CAST(ROUND(l_extendedprice * (1 + l_tax), 2) AS STRING)",
 }
+_LINE_PLACE = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_tax"]
+
+
+def detail_export(spark, d, parts: int = 4, twice: str | None = None):
+    """The export's rows, the lines of an order in one partition and in
+    order; lines that meet ``twice`` stand in it twice."""
+    li = table(spark, d, "lineitem", *_LINE_PLACE)
+    if twice:
+        li = li.union(li.filter(twice))
+    return (li.repartition(parts, "l_orderkey").sortWithinPartitions(*_LINE_PLACE)
+            .select(*[F.expr(e).alias(t) for t, e in DETAIL_EXPORT.items()]))
 
 
-def detail_export(spark, d):
-    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_tax",
-               "l_shipdate")
-    return li.select(*[F.expr(e).alias(t) for t, e in DETAIL_EXPORT.items()])
+def _duck(t: str) -> str:
+    return DETAIL_EXPORT[t]
 
 
-@bound("detail_workbook_import")
+@bound("detail_workbook_import", f"""
+WITH l AS (SELECT *, coalesce({_duck("数电发票号码")}, {_duck("发票代码")} || {_duck("发票号码")}) AS inv,
+                  row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(_LINE_PLACE)}) AS line FROM lineitem)
+SELECT md5(inv) AS header_uuid, md5(inv || line) AS detail_uuid, CAST(line AS INTEGER) AS logic_line_no,
+       CAST(l_shipdate AS DATE) AS invoice_date, CAST(l_extendedprice AS DECIMAL(18,2)) AS je,
+       CAST(year(l_shipdate) AS INTEGER) AS invoice_year
+FROM l
+""")
 def detail_workbook_import(spark, d):
     """Detail workbooks ('信息汇总表') written from lineitem, imported into a fresh ledger."""
     src = _scratch(spark, "detail-export")
-    xlsx_writer.write_workbooks(detail_export(spark, d).repartition(4), src, "信息汇总表").count()
+    xlsx_writer.write_workbooks(detail_export(spark, d), src, "信息汇总表").count()
     res = ingest.import_details(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=_scratch(spark, "detail-ledger"))
-    return res.accepted
+    return res.accepted.select("header_uuid", "detail_uuid", "logic_line_no", "invoice_date", "je", "invoice_year")
+
 
+_LEDGER_TITLES = ["发票代码", "发票号码", "数电发票号码", "货物或应税劳务名称"]
 
-@bound("workbook_ledger")
+
+@bound("workbook_ledger", f"""
+SELECT {", ".join(f'{_duck(t).replace("STRING", "VARCHAR")} AS "{t}"' for t in _LEDGER_TITLES)},
+       CAST(l_quantity AS DECIMAL(18,2)) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
+       CAST(l_shipdate AS DATE) AS invoice_day, CAST(year(l_shipdate) AS INTEGER) AS invoice_year
+FROM (SELECT DISTINCT l_orderkey, l_partkey, l_quantity, l_extendedprice, l_tax, CAST(l_shipdate AS DATE) AS l_shipdate
+      FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_quantity, l_extendedprice,
+                                         CAST(l_shipdate AS DATE), ROUND(l_extendedprice * l_tax, 2)
+                                         ORDER BY l_tax) AS k FROM lineitem) WHERE k = 1)
+""")
 def workbook_ledger(spark, d):
-    """Detail workbooks written from lineitem, cast, de-duplicated and
-    written as the year-partitioned ledger (the ledger is returned)."""
+    """Detail workbooks written from lineitem, a tenth of the lines twice,
+    cast, de-duplicated and written as the year-partitioned ledger (the
+    ledger is returned)."""
     src = _scratch(spark, "ledger-export")
-    xlsx_writer.write_workbooks(detail_export(spark, d).repartition(4), src, "信息汇总表").count()
-    return ingest.build_ledger_from_workbooks(spark, src, _scratch(spark, "ledger"), "2024-01-01 00:00:00").ledger
+    xlsx_writer.write_workbooks(detail_export(spark, d, twice="l_orderkey % 10 = 3"), src, "信息汇总表").count()
+    out = ingest.build_ledger_from_workbooks(spark, src, _scratch(spark, "ledger"), "2024-01-01 00:00:00").ledger
+    return out.select(*_LEDGER_TITLES, F.col("数量").cast("decimal(18,2)").alias("quantity"),
+                      F.col("金额").cast("decimal(18,2)").alias("amount"), F.col(INVOICE_DATE).alias("invoice_day"), "invoice_year")

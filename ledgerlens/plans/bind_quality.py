@@ -60,7 +60,7 @@ def balance_check(spark, d):
 
 @bound("detail_total_per_header", """
 SELECT l_orderkey, CAST(COALESCE(SUM(CAST(CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_extendedprice END
-                                          AS DECIMAL(18,2))), 0) AS DECIMAL(18,2)) AS detail_total_amount
+                                          AS DECIMAL(18,2))), 0) AS DECIMAL(28,2)) AS detail_total_amount
 FROM lineitem GROUP BY l_orderkey
 """)
 def detail_total_per_header(spark, d):
@@ -70,14 +70,21 @@ def detail_total_per_header(spark, d):
     return Q.detail_total_per_header(li, "l_orderkey", "amt")
 
 
+# a key that no order has, for the lines of some orders
+_LINE_KEY = "CASE WHEN l_orderkey % 11 = 4 THEN -l_orderkey - 1 ELSE l_orderkey END"
+
+
 @bound("orphan_details", """
-SELECT l.l_orderkey, l.l_linenumber, l.l_extendedprice FROM lineitem l
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'P')
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM (SELECT -l_orderkey - 1 AS l_orderkey, l_linenumber, l_extendedprice
+  FROM lineitem WHERE l_orderkey % 11 = 4 UNION ALL
+  SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_orderkey % 11 <> 4) l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
 """)
 def orphan_details(spark, d):
-    # headers: orders not in status 'P'; lines of the other orders are orphans
-    h = table(spark, d, "orders", "o_orderkey", "o_orderstatus").filter(F.col("o_orderstatus") != "P")
+    # the lines of some orders carry a key that no order has
+    h = table(spark, d, "orders", "o_orderkey")
     li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
+    li = li.withColumn("l_orderkey", F.expr(_LINE_KEY))
     return Q.orphans(li, h, "l_orderkey", right_key="o_orderkey")
 
 
@@ -92,8 +99,7 @@ def headers_without_detail(spark, d):
 
 
 def _dq_inputs(spark, d):
-    o = (table(spark, d, "orders", "o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
-         .filter(F.col("o_orderstatus") != "P"))
+    o = table(spark, d, "orders", "o_orderkey", "o_orderdate", "o_totalprice")
     k = F.col("o_orderkey")
     header = o.select(
         F.col("o_orderkey").alias("header_uuid"),
@@ -104,7 +110,7 @@ def _dq_inputs(spark, d):
         money("o_totalprice").alias("jshj"))
     li = table(spark, d, "lineitem")
     detail = li.select(
-        F.col("l_orderkey").alias("header_uuid"), "l_linenumber", *line_order(),
+        F.expr(_LINE_KEY).alias("header_uuid"), "l_linenumber", *line_order(),
         F.lit(None).cast("string").alias("clean_status"),
         money("l_extendedprice").alias("jshj"))
     return header, detail
@@ -114,10 +120,10 @@ _DQ_SQL_PREFIX = f"""
 WITH h0 AS (SELECT o_orderkey AS header_uuid, o_orderdate AS created_at,
                    CASE WHEN o_orderkey % 50 = 7 THEN '强制通过' ELSE '未校验' END AS st,
                    CAST(o_totalprice AS DECIMAL(18,2)) AS jshj
-            FROM orders WHERE o_orderstatus <> 'P'),
+            FROM orders),
 h1 AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY header_uuid ORDER BY created_at) > 1
                       THEN 'UUID重复' END AS cs FROM h0),
-d1 AS (SELECT l_orderkey AS header_uuid, l_linenumber, {LINE_ORDER_SQL},
+d1 AS (SELECT {_LINE_KEY} AS header_uuid, l_linenumber, {LINE_ORDER_SQL},
               CAST(l_extendedprice AS DECIMAL(18,2)) AS jshj,
               CASE WHEN row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ORDER_SQL}) > 1
                    THEN 'UUID重复' END AS cs FROM lineitem),

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.session import ensure_checkpoint_dir, remove_path
 
 
 def create_table(spark: SparkSession, schema, path: str, by=("invoice_year",)) -> DataFrame:
@@ -29,23 +29,44 @@ def write_partitioned(df: DataFrame, path: str, by=("invoice_year",), mode: str
     """Write parquet partitioned by ``by``; with mode 'overwrite' only the
     partitions present in ``df`` are replaced.
 
-    No shuffle by year: year has few values, so hashing on it would funnel
-    the whole ledger through a handful of tasks. Each task instead sorts
-    its own rows by the partition columns and writes one file per year it
-    holds.
+    Rows are rebalanced on the partition columns: AQE splits large years and
+    joins small ones to tasks of the advisory size, so neither one task per
+    year nor one file per task and year comes about.
     """
     by = list(by)
-    out = df.sortWithinPartitions(*(by + list(sort_within or []))) if by or sort_within else df
+    out = df.hint("rebalance", *by) if by else df
+    out = out.sortWithinPartitions(*(by + list(sort_within or []))) if by or sort_within else out
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path))
 
 
 def overwrite_same_table(spark: SparkSession, df_from_table: DataFrame, path: str,
-                         by=("invoice_year",)) -> None:
-    """Replace partitions of the table ``df_from_table`` was read from."""
+                         by=("invoice_year",), replace=None) -> None:
+    """Replace partitions of the table ``df_from_table`` was read from.
+
+    ``replace`` lists the values of the (one) partition column that the frame
+    stands for: a listed partition without rows left is removed. Without it,
+    only partitions that still have rows are replaced."""
     ensure_checkpoint_dir(spark)
     stable = df_from_table.checkpoint(eager=True)
     write_partitioned(stable, path, by)
+    if replace is not None:
+        column, = by
+        left = {r[0] for r in stable.select(column).distinct().collect()}  # one row per partition
+        for value in set(replace) - left:
+            remove_path(spark, f"{path.rstrip('/')}/{column}={value}")
+
+
+def delete_stored(spark: SparkSession, path: str, where, by: str = "invoice_year") -> DataFrame:
+    """Delete the rows matching ``where`` from the stored table and return it
+    read again. Only partitions that hold such rows are rewritten."""
+    from pyspark.sql import functions as F
+    table = spark.read.parquet(path)
+    hit = F.coalesce(where, F.lit(False))
+    touched = [r[0] for r in table.filter(hit).select(by).distinct().collect()]
+    if touched:
+        overwrite_same_table(spark, table.filter(F.col(by).isin(touched) & ~hit), path, (by,), replace=touched)
+    return spark.read.schema(table.schema).parquet(path)
 
 
 def promote(spark: SparkSession, src: DataFrame, dst_path: str,
@@ -88,7 +109,13 @@ def write_error_log(errors: DataFrame, path: str) -> None:
 
 
 def describe_table(df: DataFrame) -> DataFrame:
-    """(col_name, data_type, nullable) of a frame's schema, as rows."""
-    spark = df.sparkSession
-    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "col_name string, data_type string, nullable boolean")
+    """Per column: type, rows, nulls, least and greatest text, from one
+    pass over the rows."""
+    from pyspark.sql import functions as F
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    stats = df.agg(*[F.struct(F.lit(c).alias("col_name"), F.lit(k).alias("data_type"), F.count(F.lit(1)).alias("rows"),
+                              F.count_if(F.col(f"`{c}`").isNull()).alias("nulls"),
+                              F.min(F.col(f"`{c}`").cast("string")).alias("min_text"),
+                              F.max(F.col(f"`{c}`").cast("string")).alias("max_text")).alias(f"c{i}")
+                     for i, (c, k) in enumerate(kinds.items())])
+    return stats.select(F.explode(F.array(*[f"c{i}" for i in range(len(kinds))])).alias("c")).select("c.*")

@@ -1,65 +1,93 @@
 """CSV exports in mixed character sets (UTF-8, UTF-8 with BOM, GBK family).
 
-The charset of each file is decided on the executors from its first bytes
-with JVM functions (BOM test, UTF-8 validity), then each charset class is
-read by one ``spark.read.csv`` with that encoding and the classes are
-united by column name.
+The charset of each file is decided on the executors from its whole content
+with JVM functions (BOM test, UTF-8 validity). Files are decoded and split
+into records on the executors too, each by its own header line, and aligned
+by column name; neither paths nor rows reach the driver.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import csv
+import io
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SAMPLE_BYTES = 10_000
-# Spark 4 accepts only a short list of charsets unless this is set
-LEGACY_CHARSETS_CONF = "spark.sql.legacy.javaCharsets"
+from ledgerlens.operators.align import clean_name
+from ledgerlens.session import ship_package
 
+_BATCH_ROWS = 5000
+#: characters of one cell (a whole text may stand in it)
+_CELL = (1 << 31) - 1
 
-def charset_profile(spark: SparkSession, path: str, glob: str = "*.csv", sample: int = SAMPLE_BYTES) -> DataFrame:
-    """(path, charset, has_bom) per file: 'UTF-8' when a BOM is present or
-    the sampled bytes are valid UTF-8, else 'GB18030' (a superset of GBK,
-    GB2312 and CP936).
 
-    A multi-byte character cut at the sample end would look invalid, so the
-    last 3 sampled bytes are left out of the validity test.
-    """
+def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path))
-    head = F.substring(F.col("content"), 1, sample)
-    full = F.length(F.col("content")) <= sample
-    body = F.when(full, head).otherwise(F.substring(head, 1, sample - 3))
-    bom = F.hex(F.substring(head, 1, 3)) == "EFBBBF"
-    utf8 = F.is_valid_utf8(body.cast("string"))
-    return files.select("path", F.when(bom | utf8, "UTF-8").otherwise("GB18030").alias("charset"),
-                        bom.alias("has_bom"))
-
-
-def read_csv_any_charset(spark: SparkSession, path: str, glob: str = "*.csv", header: bool = True,
-                         schema: str | None = None) -> DataFrame:
-    """Read every CSV under ``path`` with its detected charset; all columns
-    as text, plus ``source_file`` and ``charset``.
-
-    Only the per-file charset labels (one short row per file) reach the
-    driver, to group paths by encoding; rows never do.
-    """
-    if spark.conf.get(LEGACY_CHARSETS_CONF, "false") != "true":
-        spark.conf.set(LEGACY_CHARSETS_CONF, "true")
-    prof = charset_profile(spark, path, glob)
-    groups: dict[str, list[str]] = {}
-    for r in prof.select("path", "charset").collect():
-        groups.setdefault(r["charset"], []).append(r["path"])
-    frames = []
-    for cs, paths in sorted(groups.items()):
-        rd = spark.read.option("header", header).option("encoding", cs)
-        if schema:
-            rd = rd.schema(schema)
-        df = rd.csv(paths)
-        if header and cs == "UTF-8" and df.columns and df.columns[0].startswith("﻿"):
-            df = df.withColumnRenamed(df.columns[0], df.columns[0].lstrip("﻿"))
-        frames.append(df.withColumns({"source_file": F.col("_metadata.file_path"), "charset": F.lit(cs)}))
-    if not frames:
-        return spark.createDataFrame([], "source_file string, charset string")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    bom = F.hex(F.substring("content", 1, 3)) == "EFBBBF"
+    charset = F.when(bom | F.is_valid_utf8(F.col("content").cast("string")), "UTF-8").otherwise("GB18030")
+    return files.select("path", charset.alias("charset"), bom.alias("has_bom"), "content")
+
+
+def charset_profile(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """(path, charset, has_bom) per file: 'UTF-8' when a BOM is present or
+    the whole content is valid UTF-8, else 'GB18030' (a superset of GBK,
+    GB2312 and CP936)."""
+    return _files(spark, path, glob).select("path", "charset", "has_bom")
+
+
+def _records(content: bytes, charset: str):
+    text = io.TextIOWrapper(io.BytesIO(content), "utf-8-sig" if charset == "UTF-8" else "gb18030",
+                            errors="replace", newline="")
+    csv.field_size_limit(_CELL)
+    return csv.reader(text)
+
+
+def csv_titles(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
+    """Sorted union of the files' cleaned titles (only distinct ones are collected)."""
+    ship_package(spark)
+
+    def heads(it):
+        for pdf in it:
+            found = {clean_name(t) for c, cs in zip(pdf["content"], pdf["charset"])
+                     for t in next(_records(bytes(c), cs), [])}
+            yield pd.DataFrame({"t": sorted(t for t in found if t)}, dtype=object)
+
+    titles = _files(spark, path, glob).select("content", "charset").mapInPandas(heads, "t string").distinct()
+    return sorted(r["t"] for r in titles.collect())
+
+
+def read_csv_any_charset(spark: SparkSession, path: str, glob: str = "*.csv",
+                         titles: list[str] | None = None) -> DataFrame:
+    """Every CSV under ``path``, read with its own charset and header; all
+    columns as text (empty cells null), plus ``source_file`` and ``charset``.
+
+    ``titles`` names the wanted columns (default: the union of all headers,
+    one more pass over the headers). Columns are aligned by cleaned title; a
+    file lacking one gives nulls, of a repeated title the last column wins.
+    One file is one task's work."""
+    ship_package(spark)
+    titles = csv_titles(spark, path, glob) if titles is None else list(titles)
+
+    def parse(it):
+        for pdf in it:
+            for name, content, cs in zip(pdf["path"], pdf["content"], pdf["charset"]):
+                records = _records(bytes(content), cs)
+                place = {clean_name(t): i for i, t in enumerate(next(records, []))}
+                picks = [place.get(t) for t in titles]
+                rows = []
+                for r in records:
+                    if r:
+                        rows.append([r[i] or None if i is not None and i < len(r) else None for i in picks] + [name, cs])
+                    if len(rows) >= _BATCH_ROWS:
+                        yield pd.DataFrame(rows, columns=names, dtype=object)
+                        rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    names = [*titles, "source_file", "charset"]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return _files(spark, path, glob).select("path", "content", "charset").mapInPandas(parse, schema)

@@ -1,10 +1,13 @@
 """Incremental import with Structured Streaming.
 
 New files dropped in a landing folder are picked up by ``readStream``;
-each micro-batch is imported by ``foreachBatch``: rows whose key is
-repeated inside the batch or already in the target are quarantined, the
-rest are appended to the year-partitioned target. The streaming checkpoint
-remembers which files were processed.
+each micro-batch is imported by ``foreachBatch``: of rows with one key the
+first is appended to the year-partitioned target and the others are
+quarantined. "First" is by file time, file path and the caller's order
+columns, over all files ever seen: inside a batch by a window, against
+earlier batches by the keys already accepted. Files are taken in that order
+and never split, so the accepted set does not depend on how many files a
+micro-batch holds.
 
 Exactly-once: every write carries the micro-batch id as ``import_epoch``
 and replaces exactly that epoch's partitions (dynamic overwrite), and the
@@ -14,52 +17,63 @@ reproduces the same result instead of appending twice.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ledgerlens.operators.dedup import quarantine
 from ledgerlens.operators.joins import as_list
+from ledgerlens.session import path_exists, remove_path, scratch_path
+
+
+FILE_ORDER = ["__file_time", "__file_path"]
 
 
 def _known_keys(spark: SparkSession, target: str, keys: list[str], epoch: int) -> DataFrame | None:
-    if epoch == 0:
-        return None
-    try:
-        t = spark.read.parquet(target)
-    except AnalysisException:
+    if epoch == 0 or not path_exists(spark, target):
         return None
-    return t.filter(F.col("import_epoch") < epoch).select(*keys)
+    return spark.read.parquet(target).filter(F.col("import_epoch") < epoch).select(*keys)
 
 
 def import_batch(spark: SparkSession, batch: DataFrame, epoch: int, target: str, quarantine_path: str,
-                 key, year: str = "invoice_year", mode: str = "reject_all") -> None:
+                 key, year: str = "invoice_year", order=()) -> None:
+    """Import one micro-batch (with the ``FILE_ORDER`` columns). The split is
+    computed once, staged, and written to both places."""
     keys = as_list(key)
-    known = _known_keys(spark, target, keys, epoch)
-    accepted, held = quarantine(batch, keys, known_keys=known, mode=mode)
-    stamp = {"import_epoch": F.lit(epoch).cast("bigint")}
-    (accepted.withColumns(stamp).sortWithinPartitions(year).write.mode("overwrite")
+    reason = "quarantine_reason"
+    accepted, held = quarantine(batch, keys, known_keys=_known_keys(spark, target, keys, epoch), mode="keep_first",
+                                order=[*FILE_ORDER, *as_list(order)], reason=reason)
+    stage = scratch_path(spark, f"epoch-{epoch}-{uuid.uuid4().hex[:12]}")
+    (accepted.withColumn(reason, F.lit(None).cast("string")).unionByName(held).drop(*FILE_ORDER)
+     .withColumn("import_epoch", F.lit(epoch).cast("bigint")).write.parquet(stage))
+    done = spark.read.parquet(stage)
+    (done.filter(F.col(reason).isNull()).drop(reason).sortWithinPartitions(year).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("import_epoch", year).parquet(target))
-    (held.withColumns(stamp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (done.filter(F.col(reason).isNotNull()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("import_epoch").parquet(quarantine_path))
+    remove_path(spark, stage)
 
 
 def start_incremental_import(spark: SparkSession, landing: str, schema, target: str, quarantine_path: str,
                              checkpoint: str, key, year: str = "invoice_year", fmt: str = "parquet",
-                             available_now: bool = True, max_files_per_trigger: int | None = 1000):
+                             available_now: bool = True, max_files_per_trigger: int | None = 1000, order=()):
     """Start the import stream; returns the StreamingQuery.
 
     ``max_files_per_trigger`` bounds a micro-batch, so a large backlog in
     the landing folder is imported as several epochs instead of one huge
-    batch (``availableNow`` honours it)."""
+    batch (``availableNow`` honours it); it does not change what is accepted.
+    ``order`` names the columns that order the rows of one file."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     # drops are sub-folders of the landing folder
-    stream = reader.load(landing.rstrip("/") + "/*")
+    stream = reader.load(landing.rstrip("/") + "/*").select(
+        "*", F.col("_metadata.file_modification_time").alias(FILE_ORDER[0]),
+        F.col("_metadata.file_path").alias(FILE_ORDER[1]))
 
     def run(batch_df: DataFrame, epoch: int) -> None:
-        import_batch(batch_df.sparkSession, batch_df, epoch, target, quarantine_path, key, year)
+        import_batch(batch_df.sparkSession, batch_df, epoch, target, quarantine_path, key, year, order)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

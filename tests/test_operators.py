@@ -196,19 +196,3 @@ def test_results_independent_of_row_order_and_partitions(spark, sf_small):
     names = table(spark, sf_small, "supplier", "s_name")
     assert {tuple(r) for r in similar_names(names, "s_name").collect()} == \
         {tuple(r) for r in similar_names(names.repartition(3), "s_name").collect()}
-
-
-def test_bounded_broadcast_only_below_bound(spark, sf_small, capsys):
-    from ledgerlens.operators.joins import bounded_broadcast
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        li = table(spark, sf_small, "lineitem", "l_orderkey", "l_suppkey")
-        sup = table(spark, sf_small, "supplier", "s_suppkey").withColumnRenamed("s_suppkey", "l_suppkey")
-        li.join(bounded_broadcast(sup, max_rows=1000), "l_suppkey", "left_semi").explain()
-        small = capsys.readouterr().out
-        li.join(bounded_broadcast(sup, max_rows=5), "l_suppkey", "left_semi").explain()
-        big = capsys.readouterr().out
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small
-    assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
