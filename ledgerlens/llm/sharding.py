@@ -73,8 +73,8 @@ def minimax_cuts(sizes: list[int], shards: int) -> tuple[int, list[int]]:
 
 def shard(docs: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text", shards: int = 40,
           keep: list[str] | None = None) -> DataFrame:
-    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` (and the
-    columns ``keep`` of ``docs`` other than those), one row per input row.
+    """``doc_id, size, text_crc32, law, shard, slot, grown_shard``, or the
+    columns ``keep`` of ``docs`` with ``shard, slot``, one row per input row.
 
     ``size`` is the text's UTF-8 bytes (null: none) plus 16; the law is
     ``bytes``: shard sizes are as near equal as whole groups of equal texts
@@ -107,8 +107,7 @@ def shard(docs: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str
         F.sum("n").over(Window.partitionBy("unit").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("ahead"))
     number = F.row_number().over(Window.partitionBy("unit", "chunk").orderBy("doc_id", "text_crc32", "size")) - 1
-    own = {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}
     return rows.withColumn("number", number).join(chunks, ["unit", "chunk"]).select(
-        *[F.col(f"k_{c}").alias(c) for c in keep if c not in own], "doc_id", "size", "text_crc32",
-        F.lit("bytes").alias("law"), "shard", (F.col("base") + F.col("ahead") + F.col("number")).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+        *([F.col(f"k_{c}").alias(c) for c in keep] or ["doc_id", "size", "text_crc32", F.lit("bytes").alias("law")]),
+        "shard", (F.col("base") + F.col("ahead") + F.col("number")).cast("long").alias("slot"),
+        *([] if keep else [F.lit(None).cast("int").alias("grown_shard")]))

@@ -15,6 +15,12 @@ NEAR_WORDS, NEAR_NUM, NEAR_DEN = 5, 80, 100
 SHARDS = 40
 
 
+def _packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The rows as one struct ``whole`` beside the named columns, so that a
+    stage's own columns clash with no other column of the documents."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), *columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a recognisable language: null texts and texts
     without a letter. The model is trained on the labelled rows of ``docs``
@@ -23,7 +29,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     langs, loglik = language.train(docs.where(~language.held_out()))
     if not langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return language.identify(docs, langs, loglik).where(F.col("lang_pred") != language.UNDETERMINED).select(docs.columns)
+    judged = language.identify(_packed(docs, "text"), langs, loglik)
+    return judged.where(F.col("lang_pred") != language.UNDETERMINED).select("whole.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +39,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     with nothing and stay."""
     groups = ngram_join.ngram_jaccard_join(docs, n=NEAR_WORDS, num=NEAR_NUM, den=NEAR_DEN)
     stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("stay_id")).distinct()
-    order = [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    kept = (docs.where("doc_id is not null").join(stay, F.col("doc_id") == F.col("stay_id"), "left_semi")
-            .withColumn("stay_row", first).where("stay_row = 1").select(docs.columns))
-    return kept.union(docs.where("doc_id is null"))
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("whole")))
+    kept = (_packed(docs, "doc_id").where("doc_id is not null")
+            .join(stay, F.col("doc_id") == F.col("stay_id"), "left_semi").withColumn("nth", first).where("nth = 1"))
+    return kept.select("whole.*").union(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,17 +54,20 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Mixes the sources: a document comes as many times (0 to 2) as the mix
     takes it; the last one of a source is taken whole or not at all."""
     taken = mixing.mix(docs, Stages(spark, "mixing"), cut_last=False).where("taken > 0")
-    same = Window.partitionBy("doc_id", "th").orderBy(F.lit(0))
-    taken = taken.select(F.col("doc_id").alias("t_id"), F.col("th").alias("t_th"), "taken", "size")
-    copies = taken.withColumn("t_row", F.row_number().over(Window.partitionBy("t_id", "t_th").orderBy(F.desc("taken"))))
-    rows = docs.withColumn("th", F.xxhash64("text")).withColumn("mix_row", F.row_number().over(same))
+    copies = taken.select(
+        F.col("doc_id").alias("t_id"), F.col("th").alias("t_th"), (F.col("taken") / F.col("size")).cast("int").alias("times"),
+        F.row_number().over(Window.partitionBy("doc_id", "th").orderBy(F.desc("taken"))).alias("t_nth"))
+    same = Window.partitionBy("doc_id", "th").orderBy(F.xxhash64("whole"))
+    rows = (_packed(docs, "doc_id", "text").select("whole", "doc_id", F.xxhash64("text").alias("th"))
+            .withColumn("nth", F.row_number().over(same)))
     mixed = rows.join(copies, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("th") == F.col("t_th"))
-                      & (F.col("mix_row") == F.col("t_row")))
-    return mixed.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int")))) \
-        .select(docs.columns)
+                      & (F.col("nth") == F.col("t_nth")))
+    return mixed.select("whole", F.explode(F.sequence(F.lit(1), "times"))).select("whole.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ``shard`` and ``slot``."""
-    out = sharding.shard(docs, Stages(spark, "sharding"), shards=SHARDS, keep=docs.columns)
-    return out.select(*docs.columns, "shard", "slot")
+    """The documents with ``shard`` and ``slot`` (columns of these names are
+    replaced)."""
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    out = sharding.shard(docs, Stages(spark, "sharding"), shards=SHARDS, keep=kept)
+    return out.select(*kept, "shard", "slot")
