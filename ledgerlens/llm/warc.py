@@ -37,6 +37,8 @@ from ledgerlens.session import scratch_path, ship_package
 ARCHIVE_BYTES = 1 << 30
 #: index lines of one compressed block
 BLOCK_LINES = 1000
+#: blocks that one task reads back
+TASK_BLOCKS = 4
 _DATE = "2024-01-01T00:00:00Z"
 _TAIL = "<QI"  # place and length of an index file's directory
 
@@ -287,8 +289,10 @@ def read_all(spark: SparkSession, bounds: DataFrame, archives: str, index: str)
                 if rows:
                     yield _record_batch(rows)
 
+    total = bounds.agg(F.sum(F.ceil(F.col("n_lines") / BLOCK_LINES))).first()[0] or 0
+    # a fixed number of partitions: by the size of their names Spark would read all blocks in one task
     return (bounds.select("file").mapInArrow(blocks, "file string, block long")
-            .repartition("file", "block").mapInArrow(read, RECORDS))
+            .repartition(max(1, -(-total // TASK_BLOCKS)), "file", "block").mapInArrow(read, RECORDS))
 
 
 #: index files whose bounds may be broadcast to look keys up
