@@ -23,7 +23,7 @@ from ledgerlens import functions as L
 from ledgerlens.operators.dedup import logic_line_no, quarantine
 from ledgerlens.operators.filters import split_missing_year, valid_invoice_keys
 from ledgerlens.operators.sheets import best_sheet_by_overlap
-from ledgerlens.session import path_exists, scratch_path
+from ledgerlens.session import path_exists, remove_path, scratch_path
 from ledgerlens.schemas import (
     DEFAULT_CREATED_BY, DEFAULT_SOURCE_SYSTEM, DEFAULT_TOLERANCE, DETAIL_TITLE_MAP, HEADER_TITLE_MAP, UNCHECKED,
 )
@@ -43,6 +43,12 @@ class ImportResult:
     missing_year: DataFrame    # no parseable invoice date
     sheets: DataFrame          # the sheet chosen per file
     errors: DataFrame          # unreadable, oversized and unsupported files as error-log rows
+    staged: tuple[str, ...] = ()
+
+    def release(self, spark: SparkSession) -> None:
+        """Remove the import's stage tables, once its frames are used up."""
+        for path in self.staged:
+            remove_path(spark, path)
 
 
 def _chosen_rows(rows: DataFrame, chosen: DataFrame, title_map: dict[str, str]) -> DataFrame:
@@ -80,6 +86,11 @@ def _rows(spark: SparkSession, path: str, batch_id: str, titles: list[str] | Non
                                 titles=titles, max_mb=max_mb)
 
 
+def _paths(*staged: DataFrame) -> tuple[str, ...]:
+    """The folders of stage tables."""
+    return tuple(sorted({f.rsplit("/", 1)[0] for df in staged for f in df.inputFiles()}))
+
+
 def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write the keyed rows once to the shared checkpoint folder and read
     them back: quarantine reads them twice (hot-key sample, final join), and
@@ -99,7 +110,7 @@ def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id, rows) -> I
         write_partitioned(with_year, ledger, mode="append")
         # the written rows, read back (no second evaluation of the import)
         with_year = spark.read.parquet(ledger).filter(F.col("import_batch_id") == batch_id)
-    return ImportResult(with_year, held, rejected, no_year, chosen, xlsx.error_rows(rows))
+    return ImportResult(with_year, held, rejected, no_year, chosen, xlsx.error_rows(rows), _paths(rows, df))
 
 
 def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
@@ -157,11 +168,13 @@ class LedgerBuild:
 
 
 def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, batch_ts: str,
-                                kind: str = "summary", keys=None, max_mb: float | None = 500.0) -> LedgerBuild:
+                                kind="summary", keys=None, max_mb: float | None = 500.0) -> LedgerBuild:
     """Scan, classify, cast and record, then dedup into the year ledger.
 
-    Sheets of class ``kind`` ('summary' sheets feed the detail ledger) are
-    united by title (missing titles null), dates, amounts and rates are
+    Sheets of class ``kind`` (one class or several; 'summary' and 'detail'
+    sheets feed the detail ledger, 'header' sheets the header ledger, and
+    'special' stands for every special class, whose rows keep their target
+    table) are united by title (missing titles null), dates, amounts and rates are
     parsed next to their text with statistics and failure rows, the year
     comes from the parsed date, rows are de-duplicated keep-first on the
     dedup titles present (arrival order: file, sheet, row), the ledger is
@@ -172,10 +185,14 @@ def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, bat
     rows = _rows(spark, path, f"ledger-{uuid.uuid4().hex[:8]}", max_mb=max_mb)
     catalogue = sh.classify_sheets(xlsx.sheet_catalogue(rows), "sheet")
     manifest = sh.sheet_manifest(catalogue, xlsx.data_rows(rows))
-    picked = catalogue.filter(F.col("classification") == kind).select("file", "sheet")
+    kinds = [kind] if isinstance(kind, str) else list(kind)
+    wanted = F.col("classification").isin(kinds)
+    if "special" in kinds:
+        wanted = wanted | F.col("classification").startswith("special:")
+    picked = catalogue.filter(wanted).select("file", "sheet", sh.target_table("classification").alias("target_table"))
     titles = xlsx.title_union(rows.join(picked, ["file", "sheet"], "left_semi"))
     data = xlsx.sheet_table(rows.join(picked, ["file", "sheet"], "left_semi"), titles)
-    data = data.withColumnRenamed("row_no", "row_index")
+    data = data.join(picked, ["file", "sheet"]).withColumnRenamed("row_no", "row_index")
     specs = {c: k for c, k in (("开票日期", audit.DATE), ("金额", audit.NUMERIC), ("税额", audit.NUMERIC),
                                ("单价", audit.NUMERIC), ("数量", audit.NUMERIC), ("价税合计", audit.NUMERIC),
                                ("税率", audit.TAX_RATE)) if c in titles}
@@ -184,11 +201,11 @@ def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, bat
     failures = audit.cast_failures(data, specs, keys=keys_present)
     typed = audit.typed_frame(data, specs).withColumn("invoice_year", L.invoice_year(INVOICE_DATE))
     typed, no_year = filters.split_missing_year(typed, "invoice_year")
-    default_keys = HEADER_DEDUP_COLUMNS if kind == "header" else DETAIL_DEDUP_COLUMNS
-    dedup_keys = [c for c in (keys or default_keys) if c in titles]
+    default_keys = HEADER_DEDUP_COLUMNS if kinds == ["header"] else DETAIL_DEDUP_COLUMNS
+    dedup_keys = ["target_table", *[c for c in (keys or default_keys) if c in titles]]
     order = ["file", "sheet", "row_index"]
     flagged = _stage(spark, dedup.flag_duplicates(typed, dedup_keys, order, flag="is_duplicate"), "flagged")
-    metrics = dedup.dedup_metrics(flagged, "invoice_year", kind="header" if kind == "header" else "detail")
+    metrics = dedup.dedup_metrics(flagged, "invoice_year", kind="header" if kinds == ["header"] else "detail")
     kept = flagged.filter(~F.col("is_duplicate")).drop("is_duplicate")
     dups = (flagged.filter(F.col("is_duplicate")).drop("is_duplicate")
             .withColumn("dedup_captured_at", F.lit(batch_ts).cast("timestamp_ntz")))
@@ -198,3 +215,19 @@ def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, bat
     anomalies = (filters.tax_rate_anomaly(written, rate_num, "税率")
                  if rate_num in written.columns else written.limit(0))
     return LedgerBuild(written, dups, metrics, stats, failures, manifest, anomalies, no_year, xlsx.error_rows(rows))
+
+
+def check_quality(spark: SparkSession, header: str, detail: str, checked_at: str, checked_by: str,
+                  **options) -> tuple[DataFrame, DataFrame]:
+    """Run the quality pass over the stored header and detail ledgers and
+    write both back, year by year; returns them read again. ``options`` are
+    those of ``quality.run_dq``."""
+    from ledgerlens.operators.quality import run_dq
+    h, d = run_dq(spark.read.parquet(header), spark.read.parquet(detail), checked_at=checked_at,
+                  checked_by=checked_by, **options)
+    h, d = _stage(spark, h, "dq-header"), _stage(spark, d, "dq-detail")  # both before either ledger changes
+    for frame, path in ((h, header), (d, detail)):
+        write_partitioned(frame, path)
+    for path in _paths(h, d):
+        remove_path(spark, path)
+    return spark.read.parquet(header), spark.read.parquet(detail)

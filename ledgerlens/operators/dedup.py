@@ -177,7 +177,10 @@ def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_ke
         repeated = repeated & ~F.col(_IS_FIRST)
     if known_keys is not None:
         kk = as_list(known_key) or keys
+        # only the batch's keys matter: reduced by them before anything is shuffled
+        # when the batch is small enough for Spark to broadcast its keys
         marks = (known_keys.select(*[F.col(a).alias(b) for a, b in zip(kk, keys)])
+                 .join(df.select(*keys).distinct(), keys, "left_semi")
                  .distinct().withColumn("__known", F.lit(True)))
         out = join_unique(out, marks, keys, "left", hot=hot)
         known = F.coalesce(F.col("__known"), F.lit(False))

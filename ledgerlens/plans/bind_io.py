@@ -316,3 +316,24 @@ def workbook_ledger(spark, d):
     out = ingest.build_ledger_from_workbooks(spark, src, _scratch(spark, "ledger"), "2024-01-01 00:00:00").ledger
     return out.select(*_LEDGER_TITLES, F.col("数量").cast("decimal(18,2)").alias("quantity"),
                       F.col("金额").cast("decimal(18,2)").alias("amount"), F.col(INVOICE_DATE).alias("invoice_day"), "invoice_year")
+
+
+@bound("header_workbook_ledger", f"""
+SELECT {", ".join(f'CAST({e.replace("STRING", "VARCHAR")} AS VARCHAR) AS "{t}"' for t, e in
+                  (("发票代码", RAW_CODE), ("发票号码", RAW_NUMBER), ("数电发票号码", RAW_ENO)))},
+       CAST(o_orderdate AS DATE) AS invoice_day, CAST(year(o_orderdate) AS INTEGER) AS invoice_year
+FROM (SELECT *, row_number() OVER (PARTITION BY {RAW_CODE.replace("STRING", "VARCHAR")},
+          {RAW_NUMBER.replace("STRING", "VARCHAR")}, {RAW_ENO.replace("STRING", "VARCHAR")} ORDER BY o_orderkey) AS k FROM orders)
+WHERE k = 1
+""")
+def header_workbook_ledger(spark, d):
+    """The header ledger: orders written as header workbooks in one file, in
+    order, de-duplicated on the three invoice numbers."""
+    src = _scratch(spark, "header-ledger-export")
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").repartition(1) \
+        .sortWithinPartitions("o_orderkey")
+    rows = o.select(*[F.expr(e).alias(t) for t, e in HEADER_EXPORT.items()])
+    xlsx_writer.write_workbooks(rows, src, "发票基础信息").count()
+    out = ingest.build_ledger_from_workbooks(spark, src, _scratch(spark, "header-ledger"), "2024-01-01 00:00:00",
+                                             kind="header").ledger
+    return out.select("发票代码", "发票号码", "数电发票号码", F.col(INVOICE_DATE).alias("invoice_day"), "invoice_year")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ledgerlens import ingest, sinks
 from ledgerlens.operators import quality as Q
 from ledgerlens.plans.registry import bound
 from ledgerlens.plans.tables import LINE_ORDER_SQL, line_order, money, table
+from ledgerlens.session import scratch_path
 
 CHECKED_AT = "2024-01-01 00:00:00"
 CHECKED_BY = "ledgerlens.dq"
@@ -181,3 +185,18 @@ def dq_issue_counts(spark, d):
                      detail_key=["header_uuid", "l_linenumber"], link_key="header_uuid",
                      header_order=["created_at"], detail_order=line_order())
     return Q.issue_counts(h, dd)
+
+
+@bound("dq_write_back", _DQ_SQL_PREFIX + """
+SELECT header_uuid, jshj, clean_status, detail_total_amount, balance_diff, is_balanced FROM h4
+""")
+def dq_write_back(spark, d):
+    """The quality pass over stored ledgers, its flags written back and read again."""
+    header, detail = _dq_inputs(spark, d)
+    base = scratch_path(spark, f"dq-{uuid.uuid4().hex[:12]}")
+    for frame, date, name in ((header, "created_at", "header"), (detail, "l_shipdate", "detail")):
+        sinks.write_partitioned(frame.withColumn("invoice_year", F.year(date)), f"{base}/{name}")
+    h, _ = ingest.check_quality(spark, f"{base}/header", f"{base}/detail", CHECKED_AT, CHECKED_BY,
+                                header_key="header_uuid", detail_key=["header_uuid", "l_linenumber"],
+                                link_key="header_uuid", header_order=["created_at"], detail_order=line_order())
+    return h.select("header_uuid", "jshj", "clean_status", "detail_total_amount", "balance_diff", "is_balanced")

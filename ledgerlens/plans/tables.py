@@ -1,7 +1,7 @@
 """Reading the shared test tables and shaping them into invoice roles.
 
 The driver tables are a star schema; the invoice concepts bind to them as
-follows (same derivations are written in SQL in ``plans/oracle.py``):
+follows (same derivations are written in SQL in each ``plans/bind_*.py``):
 
 * header = ``orders``   (invoice key ``o_orderkey``, buyer ``o_custkey``,
   date ``o_orderdate``, status ``o_orderstatus``)
