@@ -30,14 +30,6 @@ MESSAGE_KEYWORDS = [
     (("lock", "access denied"), "FileLockedException"),
 ]
 
-# fixed values: error categories
-CATEGORIES = [
-    "FILE_READ", "FILE_WRITE", "FILE_NOT_FOUND", "PERMISSION", "DB_CONNECTION", "DB_QUERY",
-    "DB_TRANSACTION", "DATA_VALIDATION", "DATA_ENCODING", "DATA_TYPE", "EXCEL_PARSE",
-    "EXCEL_SHEET", "CONFIG_ERROR", "MEMORY_ERROR", "UNKNOWN",
-]
-LEVELS = ["CRITICAL", "ERROR", "WARNING", "INFO"]
-
 
 def error_suggestion(error_type, message=None) -> Column:
     """Remedy text: by error type, else by keywords in the message, else ''."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as L
+from ledgerlens.functions import keys
 from ledgerlens.operators import dedup as D
 from ledgerlens.operators import joins as J
 from ledgerlens.plans.registry import bound
@@ -223,11 +224,11 @@ _RED_REMARK = ("CASE WHEN o_orderkey % 9 = 0 AND o_orderkey >= 3 THEN '对应正
 WITH h AS (SELECT o_orderkey, o_totalprice, {_KEY_OF.format(k='o_orderkey')} AS invoice_key,
                   {_RED_REMARK} AS bz FROM orders),
 r AS (SELECT o_orderkey, bz,
-             CASE WHEN regexp_matches(bz, '对应正数发票代码[:：]?(\\d{{10,20}})[，, ]*号码[:：]?(\\d{{6,20}})')
-                  THEN regexp_extract(bz, '对应正数发票代码[:：]?(\\d{{10,20}})[，, ]*号码[:：]?(\\d{{6,20}})', 1) ||
-                       regexp_extract(bz, '对应正数发票代码[:：]?(\\d{{10,20}})[，, ]*号码[:：]?(\\d{{6,20}})', 2)
-                  WHEN regexp_matches(bz, '被红冲蓝字发票代码[:：]?(\\d{{10,20}})') AND regexp_matches(bz, '被红冲蓝字发票号码[:：]?(\\d{{6,20}})')
-                  THEN regexp_extract(bz, '被红冲蓝字发票代码[:：]?(\\d{{10,20}})', 1) || regexp_extract(bz, '被红冲蓝字发票号码[:：]?(\\d{{6,20}})', 1)
+             CASE WHEN regexp_matches(bz, '{keys.BLUE_REF_CODE_AND_NUMBER}')
+                  THEN regexp_extract(bz, '{keys.BLUE_REF_CODE_AND_NUMBER}', 1) ||
+                       regexp_extract(bz, '{keys.BLUE_REF_CODE_AND_NUMBER}', 2)
+                  WHEN regexp_matches(bz, '{keys.BLUE_REF_CODE}') AND regexp_matches(bz, '{keys.BLUE_REF_NUMBER}')
+                  THEN regexp_extract(bz, '{keys.BLUE_REF_CODE}', 1) || regexp_extract(bz, '{keys.BLUE_REF_NUMBER}', 1)
              END AS related_key FROM h)
 SELECT r.o_orderkey, r.related_key, b.o_orderkey AS blue_o_orderkey, b.o_totalprice AS blue_o_totalprice
 FROM r LEFT JOIN h b ON r.related_key = b.invoice_key

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as L
+from ledgerlens.functions import keys
 from ledgerlens.functions.parse import is_tax_free_token
 from ledgerlens.plans.registry import bound
 from ledgerlens.plans.tables import table
@@ -262,10 +263,8 @@ RAW_REMARK = f"""CASE o_orderkey % 7
   WHEN 5 THEN 'remark ' || CAST(o_orderkey AS STRING)
   ELSE NULL END"""
 
-_R1 = "'对应正数发票代码[:：]?(\\d{10,20})[，, ]*号码[:：]?(\\d{6,20})'"
-_R2C = "'被红冲蓝字发票代码[:：]?(\\d{10,20})'"
-_R2N = "'被红冲蓝字发票号码[:：]?(\\d{6,20})'"
-_R3 = "'被红冲蓝字.*?号码[:：]?(\\d{10,30})'"
+_R1, _R2C, _R2N, _R3 = (f"'{p}'" for p in (keys.BLUE_REF_CODE_AND_NUMBER, keys.BLUE_REF_CODE, keys.BLUE_REF_NUMBER,
+                                            keys.BLUE_REF_ANY_NUMBER))
 
 
 @bound("blue_invoice_ref", f"""

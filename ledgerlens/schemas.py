@@ -45,7 +45,6 @@ HEADER_STANDARD_ORDER = [
     "购买方名称", "开票日期", "金额", "税额", "价税合计", "发票来源", "发票票种",
     "发票状态", "是否正数发票", "发票风险等级", "开票人", "备注",
 ]
-HEADER_TECHNICAL_COLUMNS = ["header_uuid", "source_system", "created_at"]
 
 # Ledger dedup keys.
 DETAIL_DEDUP_COLUMNS = [
@@ -62,7 +61,6 @@ BALANCED = "平账"
 WITHIN_TOLERANCE = "差异可接受"
 UNBALANCED = "不平账"
 FORCED = "强制通过"           # manual override, never touched
-BALANCE_STATES = [UNCHECKED, BALANCED, UNBALANCED, WITHIN_TOLERANCE, FORCED]
 
 DUPLICATE_KEY = "UUID重复"    # clean_status for later copies of a key
 HEADER_MISSING = "主表缺失"   # detail line whose header is absent
@@ -81,10 +79,9 @@ LEGAL_RATE_TEXTS = ["13", "9", "6", "3", "0", "0%", "0.00%", "0.0%", "免税", "
 EXPECTED_RATE_FRACTIONS = [0.13, 0.06]
 
 # ---------------------------------------------------------------------------
-# Typed target schemas
+# fixed values: typed target schema of the header ledger
 # ---------------------------------------------------------------------------
 MONEY = T.DecimalType(18, 2)
-QTY = T.DecimalType(18, 8)
 
 
 def _s(name, t=T.StringType()):
@@ -104,20 +101,3 @@ HEADER_SCHEMA = T.StructType(
     + [_s(c) for c in ["fply", "fppz", "fpzt", "sfzsfp", "fpfxdj", "kpr", "bz"]]
     + [_s("invoice_year", T.IntegerType()), _s("source_sheet"), _s("row_no", T.IntegerType())]
 )
-
-DETAIL_SCHEMA = T.StructType(
-    [_s("detail_uuid"), _s("header_uuid"), _s("logic_line_no", T.IntegerType()),
-     _s("updated_at", T.TimestampNTZType()), _s("updated_by"), _s("import_batch_id"),
-     _s("source_system"), _s("source_file"), _s("sync_status"), _s("clean_status")]
-    + [_s(c) for c in ["fpdm", "fphm", "sdfphm", "xfsbh", "xfmc", "gfsbh", "gfmc", "kprq"]]
-    + [_s("invoice_date", T.DateType()), _s("invoice_time")]
-    + [_s(c) for c in ["ssflbm", "tdywlx", "hwlwmc", "ggxh", "dw"]]
-    + [_s("sl", QTY), _s("dj", QTY), _s("je", MONEY), _s("slv"), _s("se", MONEY), _s("jshj", MONEY)]
-    + [_s(c) for c in ["fply", "fppz", "fpzt", "sfzsfp", "fpfxdj", "kpr", "bz"]]
-    + [_s("invoice_year", T.IntegerType()), _s("source_sheet"), _s("row_no", T.IntegerType())]
-)
-
-# Side tables
-SHEET_MANIFEST_SCHEMA = "file string, sheet string, classification string, columns string, target_table string, rows bigint"
-CAST_STATS_SCHEMA = "file string, sheet string, column string, method string, total bigint, converted bigint, failed bigint"
-ERROR_LOG_SCHEMA = "file string, sheet string, stage string, error_type string, message string"
