@@ -27,8 +27,8 @@ CLASSES = ["lower", "upper", "digit", "space", "newline", "sentence", "symbol",
 COMMON_WORDS = 100
 #: a histogram is compared only when the document has so many characters / words
 MIN_CHARS, MIN_WORDS = 200, 50
-#: largest accepted Jensen-Shannon distances (0 to 1)
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.80
+#: largest accepted Jensen-Shannon distances (0 to 1), above those of documents labelled good
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.55
 SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\r\x0b\x0c"
 
@@ -162,18 +162,34 @@ def _counts(lang, seen: Counter):
         ["lang", "word", "bin", "n"])
 
 
-def judge(text: bytes, words: list[bytes], reference) -> tuple[float | None, float | None]:
-    """Distances to a reference; None where a guard keeps it from counting."""
-    char, common, freq = reference
-    by_char = by_word = None
-    if len(text) >= MIN_CHARS:
-        by_char = js_distance(char_histogram(text), char)
-    if len(words) >= MIN_WORDS:
-        own = np.zeros(len(freq))
-        for w, n in Counter(words).items():
-            own[common.get(plain_word(w), -1)] += n
-        by_word = js_distance(own, freq)
-    return by_char, by_word
+class Reference:
+    """One language's histograms; the bins of raw words are remembered up to a bound."""
+
+    class _Bins(dict):
+        BOUND = 300_000
+
+        def __init__(self, common: dict[bytes, int]):
+            super().__init__()
+            self.common = common
+
+        def __missing__(self, word: bytes) -> int:
+            if len(self) >= self.BOUND:
+                self.clear()
+            b = self[word] = self.common.get(plain_word(word), len(self.common))
+            return b
+
+    def __init__(self, char: np.ndarray, common: dict[bytes, int], freq: np.ndarray):
+        self.char, self.freq, self.bins = char, freq, self._Bins(common)
+
+    def distances(self, text: bytes, words: list[bytes]) -> tuple[float | None, float | None]:
+        """Distances of a document; None where a guard keeps it from counting."""
+        by_char = by_word = None
+        if len(text) >= MIN_CHARS:
+            by_char = js_distance(char_histogram(text), self.char)
+        if len(words) >= MIN_WORDS:
+            bins = np.fromiter(map(self.bins.__getitem__, words), dtype=np.int64, count=len(words))
+            by_word = js_distance(np.bincount(bins, minlength=len(self.freq)), self.freq)
+        return by_char, by_word
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -192,6 +208,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         learn_references(docs, lang_col, text_col) if references is None else references)
 
     def rules(batches):
+        known = {lang: Reference(*r) for lang, r in refs.value.items()}
         for b in batches:
             rows = []
             for lang, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
@@ -199,10 +216,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 n, chars, symbols, dup, repeat, words = base_metrics(text)
                 failed = n < 10 or 100 * repeat > 20 * n
                 by_char = by_word = None
-                known = refs.value
                 own = [known[lang]] if lang is not None and lang in known else list(known.values())
                 if own:
-                    by_char, by_word = min((judge(text, words, r) for r in own),
+                    by_char, by_word = min((r.distances(text, words) for r in own),
                                            key=lambda x: ((x[1] or 0.0), (x[0] or 0.0)))
                 good = (by_char or 0.0) <= MAX_CHAR_DISTANCE and (by_word or 0.0) <= MAX_WORD_DISTANCE
                 rows.append((n, chars, symbols, dup, repeat, failed, by_char, by_word, not failed and good))
