@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.dedup import group_flags, with_group_aggregates
 from ledgerlens.operators.joins import as_list, join_per_key
 
 # re-exported: the two rate rules live with the other filters
@@ -101,24 +100,25 @@ def number_gaps(df: DataFrame, series: str, number: str, bucket: int = 10_000) -
     """Gaps in the numbers of each series: (series, gap_after, next_number, missing).
 
     Exact and skew-safe: numbers are de-duplicated, the lag runs inside
-    fixed ranges of ``bucket`` numbers (so a window holds at most
-    ``bucket`` rows however large a series is), and gaps that straddle two
-    ranges come from per-range min/max rows joined to the previous
-    non-empty range.
+    fixed ranges of ``bucket`` numbers, each range is then one (least,
+    greatest) row and the lag runs over these inside ranges of ``bucket``
+    ranges, and last over the few rows that are left of a series. A window
+    holds at most ``bucket`` rows, but for series of more than ``bucket``**3
+    numbers.
     """
     n = F.col(number).cast("bigint")
-    nums = df.select(F.col(series), n.alias("__n")).filter(F.col("__n").isNotNull()).distinct() \
-        .withColumn("__b", F.floor(F.col("__n") / bucket))
-    w = Window.partitionBy(series, "__b").orderBy("__n")
-    inner = (nums.withColumn("__prev", F.lag("__n").over(w))
-             .filter(F.col("__n") - F.col("__prev") > 1)
-             .select(series, F.col("__prev").alias("gap_after"), F.col("__n").alias("next_number")))
-    ranges = nums.groupBy(series, "__b").agg(F.min("__n").alias("__lo"), F.max("__n").alias("__hi"))
-    wr = Window.partitionBy(series).orderBy("__b")
-    edges = (ranges.withColumn("__prev_hi", F.lag("__hi").over(wr))
-             .filter(F.col("__lo") - F.col("__prev_hi") > 1)
-             .select(series, F.col("__prev_hi").alias("gap_after"), F.col("__lo").alias("next_number")))
-    gaps = inner.unionByName(edges)
+    rows = df.select(F.col(series), n.alias("__lo")).filter(F.col("__lo").isNotNull()).distinct() \
+        .withColumn("__hi", F.col("__lo"))
+    gaps = None
+    for width in (bucket, bucket * bucket, None):
+        part = [series] if width is None else [series, "__b"]
+        if width is not None:
+            rows = rows.withColumn("__b", F.floor(F.col("__lo") / width))
+        w = Window.partitionBy(*part).orderBy("__lo")
+        found = (rows.withColumn("__prev", F.lag("__hi").over(w)).filter(F.col("__lo") - F.col("__prev") > 1)
+                 .select(series, F.col("__prev").alias("gap_after"), F.col("__lo").alias("next_number")))
+        gaps = found if gaps is None else gaps.unionByName(found)
+        rows = rows.groupBy(*part).agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")).drop("__b")
     return gaps.withColumn("missing", F.col("next_number") - F.col("gap_after") - 1)
 
 

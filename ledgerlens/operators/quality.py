@@ -146,13 +146,19 @@ def run_dq(header: DataFrame, detail: DataFrame, header_key="header_uuid",
     d = mark_uuid_duplicates(detail, detail_key, _with_place(detail, detail_order), DUPLICATE_KEY, hot=hot_d, **d_stamp)
     # both checks read the state after the uniqueness step
     d2 = flag_orphans(d, h, link_key, HEADER_MISSING, right_key=header_key, hot=hot_link, **d_stamp)
-    h2 = flag_orphans(h, d, header_key, DETAIL_MISSING, right_key=link_key, hot=hot_h, **h_stamp)
-    totals = detail_total_per_header(detail, link_key, detail_amount)
-    if as_list(link_key) != as_list(header_key):
-        totals = totals.select(*[F.col(a).alias(b) for a, b in
-                                 zip(as_list(link_key), as_list(header_key))], "detail_total_amount")
-    h3 = balance_check(h2, None, header_key, total=total, detail_totals=totals,
-                       checked_at=checked_at, checked_by=checked_by)
+    # one aggregate of the lines serves the headers: their total, and whether a clean line is there
+    lines = d.groupBy(*as_list(link_key)).agg(
+        F.coalesce(F.sum(F.col(detail_amount).cast(MONEY)), F.lit(0)).alias("detail_total_amount"),
+        F.bool_or(F.col("clean_status").isNull()).alias("__has_line"))
+    lines = lines.select(*[F.col(a).alias(b) for a, b in zip(as_list(link_key), as_list(header_key))],
+                         "detail_total_amount", "__has_line")
+    h2 = join_unique(h.drop("detail_total_amount"), lines, as_list(header_key), "left", hot=hot_h)
+    alone = F.col("clean_status").isNull() & ~F.coalesce("__has_line", F.lit(False))
+    stamps = {c: F.lit(v).cast(h2.schema[c].dataType) for c, v in h_stamp.items() if v is not None}
+    h2 = h2.withColumns({c: F.when(alone, v).otherwise(F.col(c)) for c, v in stamps.items()})
+    h2 = h2.withColumn("clean_status", F.when(alone, F.lit(DETAIL_MISSING)).otherwise(F.col("clean_status")))
+    h3 = balance_check(h2.drop("__has_line"), None, header_key, total=total, checked_at=checked_at,
+                       checked_by=checked_by)
     return h3, d2
 
 
