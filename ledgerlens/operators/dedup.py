@@ -215,30 +215,3 @@ def top_n_per_group(df: DataFrame, by, order, n: int, rank_col: str = "rank") ->
     w = Window.partitionBy(*as_list(by)).orderBy(*order) if not isinstance(order, str) \
         else Window.partitionBy(*as_list(by)).orderBy(order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
-
-
-def with_group_aggregates(df: DataFrame, keys, aggs: dict, hot=DETECT) -> DataFrame:
-    """``df`` plus per-group aggregates as columns, e.g.
-    ``{"group_amount": F.sum("amt")}``. Ordinary groups are bounded by the
-    hot-key threshold and use window aggregates (one shuffle, no join);
-    hot groups are aggregated map-side and their rows broadcast back."""
-    keys = as_list(keys)
-    cols = df.columns
-
-    def windowed(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys)
-        return part.withColumns({name: agg.over(w) for name, agg in aggs.items()})
-
-    if isinstance(hot, str):
-        hot = find_hot_keys(df, keys)
-    if hot is None:
-        return windowed(df)
-    hb = F.broadcast(hot)
-    hot_rows = df.join(hb, _null_safe_cond(df, hb, keys, keys), "left_semi")
-    cold_rows = df.join(hb, _null_safe_cond(df, hb, keys, keys), "left_anti")
-    stats = hot_rows.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    stats = stats.select(*[F.col(k).alias(f"__h_{i}") for i, k in enumerate(keys)], *aggs.keys())
-    sb = F.broadcast(stats)
-    hj = hot_rows.join(sb, _null_safe_cond(hot_rows, sb, keys, [f"__h_{i}" for i in range(len(keys))]), "left")
-    out_cols = cols + list(aggs)
-    return windowed(cold_rows).select(*out_cols).unionByName(hj.select(*out_cols))

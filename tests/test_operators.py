@@ -166,16 +166,22 @@ def test_hot_key_takes_broadcast_path(spark, sf_small, capsys, monkeypatch):
     assert D.quarantine(_hot_lines(spark, sf_small), keys)[1].count() == held0
 
 
-def test_group_aggregates_hot_path_equals_groupby(spark, sf_small, monkeypatch):
-    from ledgerlens.operators import joins as J
+def test_per_key_join_has_its_own_exchanges(spark, sf_small):
+    """A hot key's rows can be split only if both sides are dealt for the join."""
+    from ledgerlens.operators.joins import join_per_key
     from ledgerlens.plans.bind_dedup import _hot_lines
     li = _hot_lines(spark, sf_small).withColumn("amt", F.col("l_extendedprice").cast("decimal(18,2)"))
     sums = li.groupBy("hot_key").agg(F.sum("amt").alias("s"), F.count("amt").alias("n"))
     want = {tuple(r) for r in li.join(sums, "hot_key").select(*li.columns, "s", "n").collect()}
-    for threshold in (10 ** 12, 100):          # window path, then hot-key path
-        monkeypatch.setattr(J, "HOT_KEY_ROWS", threshold)
-        got = D.with_group_aggregates(li, "hot_key", {"s": F.sum("amt"), "n": F.count("amt")})
-        assert {tuple(r) for r in got.select(*li.columns, "s", "n").collect()} == want
+    got = join_per_key(li, sums, "hot_key")
+    assert {tuple(r) for r in got.select(*li.columns, "s", "n").collect()} == want
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = join_per_key(li, sums, "hot_key")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert plan.count("__key_hash") > 0 and plan.count("ENSURE_REQUIREMENTS") >= 3
 
 
 def test_results_independent_of_row_order_and_partitions(spark, sf_small):
