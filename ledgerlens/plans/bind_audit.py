@@ -480,14 +480,20 @@ def invoice_struct(spark, d):
 
 @bound("error_log_export", f"""
 WITH {_ERR_SQL}
-SELECT event_id, error_type, message, level, {_D_SUGGEST} AS suggestion, {_D_CATEGORY} AS category FROM errs
+SELECT f.log, event_id, error_type, message, level, nullif({_D_SUGGEST}, '') AS suggestion, {_D_CATEGORY} AS category
+FROM errs, (VALUES ('csv'), ('json')) AS f(log)
 """)
 def error_log_export(spark, d):
-    """Error rows written as CSV and JSON logs, read back from the JSON."""
+    """Error rows written as CSV and JSON logs, both read back."""
     import uuid
     from ledgerlens import sinks
     from ledgerlens.session import scratch_path
     path = scratch_path(spark, f"error-log-{uuid.uuid4().hex[:12]}")
     sinks.write_error_log(_errors(spark, d), path)
-    return spark.read.schema("event_id bigint, error_type string, message string, level string, "
-                             "suggestion string, category string").json(f"{path}/json")
+    names = ["event_id", "error_type", "message", "level", "suggestion", "category"]
+    js = spark.read.schema("event_id bigint, error_type string, message string, level string, "
+                           "suggestion string, category string").json(f"{path}/json")
+    text = spark.read.option("header", True).csv(f"{path}/csv")
+    both = text.select(F.lit("csv").alias("log"), F.col("event_id").cast("bigint"), *names[1:]) \
+        .union(js.select(F.lit("json"), *names))
+    return both.withColumn("suggestion", F.nullif("suggestion", F.lit("")))

@@ -18,7 +18,7 @@ from ledgerlens.plans.registry import bound
 from ledgerlens.plans.tables import table
 from ledgerlens.schemas import INVOICE_DATE
 from ledgerlens.session import scratch_path
-from ledgerlens.operators import sheets
+from ledgerlens.operators import dedup, sheets
 from ledgerlens.sources import charset, xlsx, xlsx_writer
 from ledgerlens.streaming.incremental import start_incremental_import
 
@@ -337,3 +337,20 @@ def header_workbook_ledger(spark, d):
     out = ingest.build_ledger_from_workbooks(spark, src, _scratch(spark, "header-ledger"), "2024-01-01 00:00:00",
                                              kind="header").ledger
     return out.select("发票代码", "发票号码", "数电发票号码", F.col(INVOICE_DATE).alias("invoice_day"), "invoice_year")
+
+
+@bound("duplicates_export", """
+SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_day, CAST(year(l_shipdate) AS INTEGER) AS invoice_year
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey) AS k
+      FROM lineitem) WHERE k > 1
+""")
+def duplicates_export(spark, d):
+    """Later copies of a line key exported as CSV by year and read back."""
+    path = _scratch(spark, "duplicates")
+    li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")
+    li = li.withColumn("invoice_year", F.year("l_shipdate"))
+    flagged = dedup.flag_duplicates(li, LINE_KEY, ["l_shipdate", "l_partkey", "l_suppkey"])
+    copies = flagged.filter("is_duplicate").select(*LINE_KEY, F.to_date("l_shipdate").alias("ship_day"), "invoice_year")
+    sinks.export_duplicates(copies, path)
+    return spark.read.schema("l_orderkey bigint, l_linenumber int, ship_day date, invoice_year int") \
+        .option("header", True).csv(path)

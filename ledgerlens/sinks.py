@@ -99,6 +99,11 @@ def write_side_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str =
         w.parquet(path)
 
 
+def export_duplicates(duplicates: DataFrame, path: str, by: str = "invoice_year") -> None:
+    """Duplicate or quarantined rows for people: CSV with a header, a folder per year."""
+    (duplicates.hint("rebalance", by).write.mode("overwrite").option("header", True).partitionBy(by).csv(path))
+
+
 def write_error_log(errors: DataFrame, path: str) -> None:
     """Error rows enriched with remedy and category, written as CSV (with a
     header) and as JSON lines under ``path``/csv and ``path``/json."""
