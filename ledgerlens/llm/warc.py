@@ -1,8 +1,9 @@
 """WARC archives with a two-level capture index.
 
-Writing: every partition writes gzip-member-per-record archives to the
-shared folder (a temporary name, then a rename, so a retried task replaces
-its own file) and hands out one index line per record. Index: lines are
+Writing: every task attempt writes gzip-member-per-record archives of its own
+name to the shared folder (a temporary name, then a rename) and hands out one
+index line per record. Only the lines of committed attempts are kept, so the
+files of a lost or doubled attempt are never read. Index: lines are
 sorted by reversed-host URL key over range partitions and packed into
 compressed blocks; each index file ends with its sparse block directory.
 Reading: a key's file is found by the files' bounds, its block by binary
@@ -135,13 +136,13 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     def write(batches):
         files, root = open_folder(folder)
         files.create_dir(root, recursive=True)
-        part = TaskContext.get().partitionId()
+        task = TaskContext.get()
         out, name, place, n = None, None, 0, 0
         for b in batches:
             lines = []
             for page_id, url, html, refers in zip(*(c.to_pylist() for c in b.columns)):
                 if out is None:
-                    name, place = f"part-{part:06d}-{n:04d}.warc.gz", 0
+                    name, place = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{n:04d}.warc.gz", 0
                     temp = f"{root}/_{name}.{uuid.uuid4().hex}"
                     out, n = files.open_output_stream(temp, compression=None), n + 1
                 digest = sha1_base32(html)
@@ -175,7 +176,8 @@ def write_index(lines: DataFrame, folder: str) -> DataFrame:
     def pack(batches):
         files, root = open_folder(folder)
         files.create_dir(root, recursive=True)
-        name = f"index-{TaskContext.get().partitionId():06d}.cdx"
+        task = TaskContext.get()
+        name = f"index-{task.partitionId():06d}-{task.taskAttemptId()}.cdx"
         temp = f"{root}/_{name}.{uuid.uuid4().hex}"
         out, place, block, directory, total, first, last = None, 0, [], [], 0, None, None
 
