@@ -164,3 +164,12 @@ def to_money(c) -> Column:
     """Numeric text or number -> DECIMAL(18,2), never through a double."""
     s = strip(F.translate(col_(c).cast("string"), ",，%", ""))
     return F.nullif(F.regexp_extract(s, NUMBER_RE, 0), F.lit("")).try_cast(T.DecimalType(18, 2))
+
+
+def stamp_in_file_name(c) -> Column:
+    """A time stamp's text in a form that file names allow."""
+    return F.translate(col_(c).cast("string"), ": ", "-_")
+
+
+def manifest_file_name(prefix: str, stamp) -> Column:
+    return F.concat(F.lit(f"{prefix}_"), stamp_in_file_name(stamp), F.lit(".csv"))

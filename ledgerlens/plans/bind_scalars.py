@@ -324,3 +324,14 @@ SELECT o_orderkey, raw, CASE WHEN trim(raw, {_DUCK_WS}) = '' THEN NULL ELSE trim
 def blank_to_null(spark, d):
     o = _raw(table(spark, d, "orders", "o_orderkey", "o_orderpriority"), raw=RAW_BLANK)
     return o.select("o_orderkey", "raw", L.blank_to_null("raw").alias("value"))
+
+
+@bound("manifest_file_name", """
+SELECT o_orderkey, 'manifest_' || replace(replace(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), ':', '-'), ' ', '_') || '.csv'
+       AS file_name
+FROM orders
+""")
+def manifest_file_name(spark, d):
+    o = table(spark, d, "orders", "o_orderkey", "o_orderdate")
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return o.select("o_orderkey", L.manifest_file_name("manifest", stamp).alias("file_name"))
