@@ -31,9 +31,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ledgerlens.llm.common import (
     SLOT_BITS, Stages, binary_text, by_key, connected_components, hash_words, in_bitmap, lower_ascii, slot_bitmap,
@@ -286,8 +285,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .where("holders > 1").groupBy("holders", "x", "s", "load")
              .agg(F.min(F.struct("lead", "gram")).getField("gram").alias("gram"), F.count("*").alias("weight"))
              .select("gram", "holders", "load", "weight"))
-    member = st.write(near.join(grams, "gram").groupBy("rep").agg(
-        F.max("size").alias("size"),
+    # (an id that stands for several sets has a row for each size)
+    member = st.write(near.join(grams, "gram").groupBy("rep", "size").agg(
         F.array_sort(F.collect_list(F.struct("pos", "gram", "holders", "load", "weight", "first"))).alias("kept")),
         "members")
 

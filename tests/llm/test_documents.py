@@ -53,6 +53,16 @@ def test_ngram_join_against_brute_force(spark, monkeypatch, n, num):
     assert got() == want
 
 
+def test_ngram_join_of_repeated_ids_with_other_texts(spark):
+    a, b = prose(1, 300), prose(2, 100)
+    rows = [(1, a), (1, b), (2, edited(b, 4, 0.012)), (3, edited(a, 5, 0.003)), (4, prose(3, 100)), (5, b), (5, prose(4, 60)),
+            (6, edited(prose(4, 60), 6, 0.02))]
+    out = ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id bigint, text string"), n=3, num=85, den=100)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=str)
+    assert got == components(rows, 3, 85, 100)
+    assert {c for i, _, c in got if i != 4} == {1}
+
+
 def test_ngram_join_edges(spark):
     out = ngram_join.ngram_jaccard_join(edge_docs(spark), n=3, num=90, den=100)
     rows = [r[:2] for r in edge_rows()]
