@@ -23,12 +23,69 @@ def op1_ngram_jaccard_join(spark, sf_dir):
                                          n=3, num=90, den=100)
 
 
+ORACLE["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 2], ' ')
+                                  for i in generate_series(1, greatest(len(w) - 2, 1))]) AS gram
+  FROM docs WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS same FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * same >= 90 * (p.n + q.n - same)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS low FROM docs UNION SELECT e.y, r.low FROM reach r JOIN edges e ON e.x = r.node)
+SELECT d.doc_id, coalesce(max(s.n), 0)::BIGINT AS n_shingles, min(r.low) AS component_id
+FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.node = d.doc_id GROUP BY d.doc_id
+"""
+
+
 @query
 def op2_benchmark_decontamination(spark, sf_dir):
     return decontaminate.find_leaks(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                     read_table(spark, sf_dir, "benchmark", "item_id", "text"), n=5, threshold=0.8)
 
 
+# A-Z to a-z and every ASCII punctuation mark to a blank
+_PLAIN_SQL = ("regexp_extract_all(translate(regexp_replace(coalesce(text, ''), '[\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]', ' ', 'g'), "
+              "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')")
+
+ORACLE["op2_benchmark_decontamination"] = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS rid, {_PLAIN_SQL} AS w FROM documents),
+items AS (SELECT item_id, {_PLAIN_SQL} AS w FROM benchmark),
+doc_words AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n FROM docs),
+doc_grams AS (SELECT rid, pos, g FROM (
+  SELECT rid, pos, n, string_agg(word, ' ') OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS g
+  FROM doc_words) WHERE pos + 4 <= n),
+item_words AS (SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n FROM items),
+item_grams AS (SELECT item_id, g, count(*) AS c FROM (
+  SELECT item_id, pos, n, string_agg(word, ' ') OVER (PARTITION BY item_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS g
+  FROM item_words) WHERE pos + 4 <= n GROUP BY 1, 2),
+pairs AS (SELECT DISTINCT rid, item_id FROM doc_grams JOIN item_grams USING (g)),
+starts AS (
+  SELECT rid, item_id, least(len(i.w), len(d.w)) AS words, len(i.w) - 4 AS total,
+         unnest(generate_series(1, len(d.w) - least(len(i.w), len(d.w)) + 1)) AS s
+  FROM pairs JOIN docs d USING (rid) JOIN items i USING (item_id)),
+counted AS (
+  SELECT t.rid, item_id, s, words, total, g, count(*) AS c FROM starts t
+  JOIN doc_grams d ON d.rid = t.rid AND d.pos BETWEEN s AND s + words - 5 GROUP BY ALL),
+shared AS (
+  SELECT rid, item_id, s, words, total, sum(least(w.c, coalesce(i.c, 0))) AS same
+  FROM counted w LEFT JOIN item_grams i USING (item_id, g) GROUP BY ALL),
+ranked AS (
+  SELECT rid, item_id, s, words, sim, row_number() OVER (PARTITION BY rid, item_id ORDER BY sim DESC, s) AS k
+  FROM (SELECT *, same::DOUBLE / (total + words - 4 - same)::DOUBLE AS sim FROM shared))
+SELECT doc_id, item_id, sim AS similarity, (s - 1)::BIGINT AS start_word, words::BIGINT AS n_words
+FROM ranked JOIN docs USING (rid) WHERE k = 1 AND sim >= 0.8
+UNION ALL
+SELECT doc_id, item_id, 1.0, 0, len(d.w) FROM docs d JOIN items i ON d.w = i.w WHERE len(d.w) BETWEEN 1 AND 4
+"""
+
+
 @query
 def op3_language_id(spark, sf_dir):
     return language.identify_documents(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
@@ -95,6 +152,25 @@ def op7_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+ORACLE["op7_substring_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n FROM docs),
+windows AS (
+  SELECT rid, pos, word, CASE WHEN pos + 34 <= n THEN string_agg(word, ' ') OVER (
+    PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) END AS win FROM words),
+counted AS (SELECT rid, pos, word, win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 AS again FROM windows),
+covered AS (
+  SELECT rid, pos, word, bool_or(again) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM counted),
+kept AS (
+  SELECT rid, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS text
+  FROM covered GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)
+"""
+
+
 @query
 def op9_html_extraction(spark, sf_dir):
     return htmltext.extract_main_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
@@ -108,3 +184,15 @@ def op10_quality_rules(spark, sf_dir):
 @query
 def op8_warc(spark, sf_dir):
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), min_bytes=0)
+
+
+ORACLE["op8_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS lead FROM p)
+SELECT page_id, payload_bytes, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1)::BIGINT, 1)
+         for i in generate_series(0, 31)], '') AS payload_digest,
+       CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> lead THEN lead END AS refers_to
+FROM d
+"""
