@@ -178,21 +178,64 @@ def op9_html_extraction(spark, sf_dir):
 
 @query
 def op10_quality_rules(spark, sf_dir):
-    return quality.quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
-
-
-@query
-def op8_warc(spark, sf_dir):
-    return warc.archive_round_trip(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), min_bytes=0)
-
-
-ORACLE["op8_warc"] = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS lead FROM p)
-SELECT page_id, payload_bytes, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-         (((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1)::BIGINT, 1)
-         for i in generate_series(0, 31)], '') AS payload_digest,
-       CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> lead THEN lead END AS refers_to
-FROM d
+    out = quality.quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _js_sql(own: str, ref: str, bins: str) -> str:
+    """Jensen-Shannon distance of every rid's histogram ``own(rid, lang, b, c)``
+    to its language's ``ref(lang, b, c)`` over the bins ``bins(lang, b)``."""
+    return f"""
+SELECT rid, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                                 + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS distance
+FROM (SELECT d.rid, b.b, coalesce(o.c, 0) / d.total AS p, coalesce(r.c, 0) / t.total AS q
+      FROM (SELECT rid, lang, sum(c)::DOUBLE AS total FROM {own} GROUP BY rid, lang) d
+      JOIN (SELECT lang, sum(c)::DOUBLE AS total FROM {ref} GROUP BY lang) t ON t.lang = d.lang
+      JOIN {bins} b ON b.lang = d.lang
+      LEFT JOIN {own} o ON o.rid = d.rid AND o.b = b.b LEFT JOIN {ref} r ON r.lang = d.lang AND r.b = b.b)
+GROUP BY rid"""
+
+
+_CLASS_SQL = ", ".join(f"len(t) - len(regexp_replace(t, '{c}', '', 'g'))" for c in (
+    "[a-z]", "[A-Z]", "[0-9]", "[\\x09\\x0B-\\x0D\\x1C-\\x1F ]", "\\n", "[.,;:!?\'\'\"()-]", "[#*$%&|<>]",
+    "[+/=@\\[\\]\\\\^_`{}~]", "[^\\x00-\\x7F]", "[\\x00-\\x08\\x0E-\\x1B\\x7F]"))
+
+ORACLE["op10_quality_rules"] = f"""
+WITH docs AS (SELECT doc_id, lang, coalesce(text, '') AS t, row_number() OVER () AS rid,
+                     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+words AS (SELECT rid, lang, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n FROM docs),
+windows AS (SELECT rid, pos, CASE WHEN pos + 4 <= n THEN string_agg(word, ' ') OVER (
+              PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) END AS g FROM words),
+again AS (SELECT rid, pos, g IS NOT NULL AND count(*) OVER (PARTITION BY rid, g) > 1 AS twice FROM windows),
+repeats AS (SELECT rid, count(*) FILTER (WHERE gone) AS n FROM (
+  SELECT rid, bool_or(twice) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS gone FROM again)
+  GROUP BY rid),
+lines AS (SELECT rid, count(*) - count(DISTINCT line) AS dup FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM docs)
+          WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY rid),
+base AS (
+  SELECT d.rid, doc_id, lang, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIGINT AS word_chars,
+         (len(t) - len(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(l.dup, 0)::BIGINT AS n_dup_lines,
+         coalesce(r.n, 0)::BIGINT AS n_repeat_words, strlen(t) AS bytes
+  FROM docs d LEFT JOIN lines l USING (rid) LEFT JOIN repeats r USING (rid)),
+char_lists AS (SELECT rid, lang, [{_CLASS_SQL}] AS h FROM docs WHERE t <> ''),
+chars AS (SELECT rid, lang, unnest(h) AS c, generate_subscripts(h, 1) AS b FROM char_lists),
+char_ref AS (SELECT lang, b, sum(c) AS c FROM chars GROUP BY lang, b),
+char_bins AS (SELECT lang, b FROM char_ref),
+plain AS (SELECT rid, lang, translate(trim(word, '.,;:!?\'\'"()-'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS p
+          FROM words),
+counts AS (SELECT lang, p, count(*) AS n FROM plain WHERE p <> '' GROUP BY lang, p),
+ranked AS (SELECT lang, p, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, encode(p)) AS k FROM counts),
+common AS (SELECT * FROM ranked WHERE k <= {quality.COMMON_WORDS}),
+word_ref AS (SELECT lang, least(k, {quality.COMMON_WORDS + 1}) AS b, sum(n) AS c FROM ranked GROUP BY 1, 2),
+own_words AS (SELECT rid, lang, coalesce(k, {quality.COMMON_WORDS + 1}) AS b, count(*) AS c
+              FROM plain LEFT JOIN common USING (lang, p) GROUP BY 1, 2, 3),
+word_bins AS (SELECT lang, b FROM word_ref UNION SELECT lang, b FROM own_words),
+by_char AS ({_js_sql("chars", "char_ref", "char_bins")}),
+by_word AS ({_js_sql("own_words", "word_ref", "word_bins")})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+       AND (bytes < {quality.MIN_CHARS} OR coalesce(c.distance, 0) <= {quality.MAX_CHAR_DISTANCE})
+       AND (n_words < {quality.MIN_WORDS} OR coalesce(v.distance, 0) <= {quality.MAX_WORD_DISTANCE}) AS kept
+FROM base LEFT JOIN by_char c USING (rid) LEFT JOIN by_word v USING (rid)
 """
