@@ -21,7 +21,7 @@ Every text becomes the set of its word n-grams. Two sets link when
 In both steps a probe walks the trie, shares the partial overlap of common
 paths and leaves a subtree when the overlap so far plus the remaining length
 cannot reach the required overlap. Pairs already connected in the block are
-skipped, so a block emits a spanning forest of its pairs, never all pairs.
+skipped, and a block emits one row per connected set, never all pairs.
 
 6. Connected components of the links.
 """
@@ -125,7 +125,8 @@ class _Trie:
 
 
 def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weights=None, spare=None):
-    """Spanning forest of the linked pairs inside one block, as index pairs.
+    """The connected sets inside one block, as index pairs of a set and the
+    one of smallest id it is connected with.
 
     ``sets``: arrays of n-grams in global order; ``weights``: how many n-grams
     each entry of a set stands for (default 1); ``spare``: n-grams of each set
@@ -152,7 +153,7 @@ def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weight
         flat[where] = np.concatenate(weights)
         weight_of = flat.tolist()
     cut = np.cumsum([0, *map(len, sets)])
-    trie, out = _Trie([]), []
+    trie = _Trie([])
     for x in sorted(range(len(reps)), key=lambda i: (sizes[i], reps[i])):
         w = where[cut[x]:cut[x + 1]]
         mine = w[shared[w]].tolist()
@@ -188,12 +189,14 @@ def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weight
                         a, b = find(x), find(y)
                         if a != b and (before is None or before[x].isdisjoint(before[y])):
                             root[max(a, b)] = min(a, b)
-                            out.append((x, y))
                 for kid in node.kids.values():
                     if overlap + min(kid.longest - depth, total) >= need(max(kid.least, least_y)):
                         stack.append((kid, overlap, depth))
         trie.insert(mine, total, nx, x)
-    return out
+    least: dict[int, int] = {}
+    for x in sorted(range(len(reps)), key=reps.__getitem__):
+        least.setdefault(find(x), x)
+    return [(x, least[find(x)]) for x in range(len(reps)) if least[find(x)] != x]
 
 
 def _with_partner(posts: DataFrame, num: int, den: int) -> DataFrame:
