@@ -18,8 +18,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+#: bytes of one Arrow batch handed to a Python worker: bounds its memory when texts are long
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def ready(spark: SparkSession) -> None:
+    """Ship the package to the workers and bound the session's Arrow batches."""
     ship_package(spark)
+    spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    ready(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 

@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import binary_text, hash_words, window_hashes
-from ledgerlens.session import ship_package
+from ledgerlens.llm.common import binary_text, hash_words, ready, window_hashes
 
 BLOCK_BYTES = 16 << 20
 RADIUS = 23
@@ -176,7 +175,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     its leaks again; other columns are ignored.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     kind = benchmark.schema[item_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), binary_text(text_col).alias("text"))
     doc_kind = texts.schema["doc_id"].dataType.simpleString()
@@ -209,7 +208,7 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The rows of ``docs``, all columns unchanged, that hold no window as
     similar to a benchmark item (see ``find_leaks``; null texts stay)."""
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     for block in _blocks(benchmark, item_col, item_text_col):
         index = spark.sparkContext.broadcast(BenchmarkIndex(block, n))
         place = docs.columns.index(text_col)

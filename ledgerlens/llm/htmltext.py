@@ -30,8 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import Stages
-from ledgerlens.session import ship_package
+from ledgerlens.llm.common import Stages, ready
 
 #: distinct pages of a host that must have a node before it is judged
 MIN_PAGES = 4
@@ -285,7 +284,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     ``MAX_BROADCAST`` of them; beyond, pages are joined to their host's.
     """
     spark = pages.sparkSession
-    ship_package(spark)
+    ready(spark)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     st = Stages(spark, "style-tree")
     furniture = st.write(style_tree(rows, st), "furniture")

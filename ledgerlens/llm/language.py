@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.session import ship_package
+from ledgerlens.llm.common import ready
+
 
 SLOTS = 1 << 15
 #: added to every slot count, so that unseen n-grams have a likelihood
@@ -61,7 +62,7 @@ def ngram_slots(text: str | None) -> np.ndarray:
 def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """Languages in code-point order and their log-likelihoods ``[slot, language]``
     from all rows with a language; null texts count for nothing."""
-    ship_package(rows.sparkSession)
+    ready(rows.sparkSession)
 
     def count(batches):
         total: dict[str, np.ndarray] = {}
@@ -140,7 +141,7 @@ def identify(docs: DataFrame, langs: list[str], loglik: np.ndarray, text_col: st
     the input, if any, are replaced.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     model = spark.sparkContext.broadcast((langs, loglik))
     docs = docs.drop("lang_pred", "score", "mixture")
     place = docs.columns.index(text_col)

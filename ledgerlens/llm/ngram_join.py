@@ -35,10 +35,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import (
-    SLOT_BITS, Stages, binary_text, by_key, connected_components, hash_words, in_bitmap, lower_ascii, slot_bitmap,
-    window_hashes,
+    SLOT_BITS, Stages, binary_text, by_key, connected_components, hash_words, in_bitmap, lower_ascii, ready,
+    slot_bitmap, window_hashes,
 )
-from ledgerlens.session import ship_package
 
 #: slots of the count sketch (2 bytes each when broadcast: 1 MB, whatever the input)
 SKETCH_BITS = 19
@@ -255,7 +254,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``docs`` are ignored, an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     st = Stages(spark, "ngram-join")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), binary_text(text_col).alias("text"))
     rank = spark.sparkContext.broadcast(sketch_ranks(texts, n))

@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import hash_words, window_hashes
-from ledgerlens.session import ship_package
+from ledgerlens.llm.common import hash_words, ready, window_hashes
 
 #: character classes, in this order
 CLASSES = ["lower", "upper", "digit", "space", "newline", "sentence", "symbol", "other_punct", "non_ascii_letter", "other"]
@@ -203,7 +202,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counts is above its limit; with no reference at all nothing is judged.
     Other columns are ignored; ids may be null or repeat.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     refs = docs.sparkSession.sparkContext.broadcast(
         learn_references(docs, lang_col, text_col) if references is None else references)
 

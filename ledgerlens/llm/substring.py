@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SLOT_BITS, binary_text, hash_words, in_bitmap, mix64, slot_bitmap, window_hashes
-from ledgerlens.session import ship_package
+from ledgerlens.llm.common import SLOT_BITS, binary_text, hash_words, in_bitmap, mix64, ready, slot_bitmap, window_hashes
 
 #: words of the runs among which a window's minimizer is chosen
 SHORT = 8
@@ -276,7 +275,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blank and short texts lose nothing (null: no words, empty kept text);
     a null id is allowed; other columns are ignored.
     """
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("th"),
                         binary_text(text_col).alias("text"))
     spans = (repeated_spans(texts, k).groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t"))

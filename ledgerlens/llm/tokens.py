@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.session import ship_package
+from ledgerlens.llm.common import ready
+
 
 #: the vocabulary file the query uses; a parameter of ``load_vocabulary``
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -112,7 +113,7 @@ def count_tokens(docs: DataFrame, vocabulary: list[bytes], id_col: str = "doc_id
     be null or repeat; other columns are ignored.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    ready(spark)
     automaton = spark.sparkContext.broadcast(Automaton(vocabulary))
 
     def count(batches):

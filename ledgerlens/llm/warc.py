@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Stages
-from ledgerlens.session import scratch_path, ship_package
+from ledgerlens.llm.common import Stages, ready
+from ledgerlens.session import scratch_path
 
 #: an archive is closed when it is so long
 ARCHIVE_BYTES = 1 << 30
@@ -131,7 +131,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     index lines (run once: stage it). Null html is an empty payload; a null
     id is written as a response with an empty record id; rows that repeat id
     and payload are written each."""
-    ship_package(pages.sparkSession)
+    ready(pages.sparkSession)
 
     def write(batches):
         files, root = open_folder(folder)
@@ -171,7 +171,7 @@ _LINE_TYPES = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), p
 def write_index(lines: DataFrame, folder: str) -> DataFrame:
     """Sorts index lines by key into block files; returns ``file, first_key,
     last_key, n_lines`` of each file, in no order (run once: stage it)."""
-    ship_package(lines.sparkSession)
+    ready(lines.sparkSession)
 
     def pack(batches):
         files, root = open_folder(folder)
@@ -264,7 +264,7 @@ def _record_batch(rows):
 
 def read_all(spark: SparkSession, bounds: DataFrame, archives: str, index: str) -> DataFrame:
     """Every record, block by block through the index."""
-    ship_package(spark)
+    ready(spark)
 
     def blocks(batches):
         files, root = open_folder(index)
@@ -306,7 +306,7 @@ def lookup(urls: DataFrame, bounds: DataFrame, archives: str, index: str, url_co
     checked number of them), then binary search and range reads. URLs without
     a capture give no row; a null URL finds the records without one."""
     spark = urls.sparkSession
-    ship_package(spark)
+    ready(spark)
     files = bounds.limit(MAX_INDEX_FILES + 1).collect()
     if len(files) > MAX_INDEX_FILES:
         raise ValueError(f"more than {MAX_INDEX_FILES} index files: pack the index into fewer")

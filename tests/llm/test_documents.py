@@ -10,7 +10,7 @@ import pytest
 from brute import (
     CLASH, components, edge_docs, edge_rows, edited, empty_docs, prose, removed_words, shingles, words,
 )
-from ledgerlens.llm import decontaminate, language, mixing, ngram_join, quality, sharding, substring, tokens
+from ledgerlens.llm import common, decontaminate, language, mixing, ngram_join, quality, sharding, substring, tokens
 from ledgerlens.llm.common import Stages
 
 
@@ -50,6 +50,7 @@ def test_ngram_join_against_brute_force(spark, monkeypatch, n, num):
     assert len({c for _, _, c in want}) < len(rows)
     # groups split by n-gram and into chunk pairs give the same components
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 3)
+    monkeypatch.setattr(common, "BATCH_BYTES", 2000)
     assert got() == want
 
 
@@ -71,7 +72,9 @@ def test_ngram_join_edges(spark):
     assert ngram_join.ngram_jaccard_join(empty_docs(spark)).collect() == []
 
 
-def test_substring_against_brute_force(spark, sf_small):
+@pytest.mark.parametrize("batch_bytes", [common.BATCH_BYTES, 700])
+def test_substring_against_brute_force(spark, sf_small, monkeypatch, batch_bytes):
+    monkeypatch.setattr(common, "BATCH_BYTES", batch_bytes)  # runs of equal rows cross small batches
     passage = prose(9, 45)
     rows = pairs(small(spark, sf_small))[:150]
     rows += [(10_000 + i, f"{prose(i, 20)} {passage} {prose(50 + i, i)}") for i in range(5)]
