@@ -65,12 +65,12 @@ class Stages:
 SLOT_BITS = 26
 
 
-def slot_bitmap(slots: DataFrame) -> np.ndarray:
-    """Bitmap of a ``slot`` column (0 to 2**SLOT_BITS - 1). Spark builds it in
-    pieces of 4 KB; the driver joins at most 2**SLOT_BITS bits."""
+def slot_bitmap(slots: DataFrame, slot_bits: int = SLOT_BITS) -> np.ndarray:
+    """Bitmap of a ``slot`` column (0 to 2**slot_bits - 1). Spark builds it in
+    pieces of 4 KB; the driver joins at most 2**slot_bits bits."""
     maps = (slots.groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")).toArrow())
-    out = np.zeros((1 << SLOT_BITS) // 8, dtype=np.uint8)
+    out = np.zeros((1 << slot_bits) // 8, dtype=np.uint8)
     # bit 0 of Spark's bucket b > 0 is slot (b - 1) * 32768 + 1; slot 0 alone is in bucket 0
     for bucket, bits in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist()):
         found = np.flatnonzero(np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little"))

@@ -29,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SLOT_BITS, binary_text, hash_words, in_bitmap, mix64, ready, slot_bitmap, window_hashes
+from ledgerlens.llm.common import binary_text, hash_words, in_bitmap, mix64, ready, slot_bitmap, window_hashes
 
+#: slots of the minimizer bitmap: 16 MB when broadcast, whatever the input
+SLOT_BITS = 27
 #: words of the runs among which a window's minimizer is chosen
 SHORT = 8
 _POS_BITS = 24
@@ -77,7 +79,7 @@ def repeated_slots(texts: DataFrame, k: int) -> np.ndarray:
 
     twice = (texts.select("text").mapInArrow(places, "slot long, n long")
              .groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1"))
-    return slot_bitmap(twice)
+    return slot_bitmap(twice, SLOT_BITS)
 
 
 def _paths(h: np.ndarray, k: int, bitmap: np.ndarray):
@@ -126,7 +128,7 @@ def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
     def settle(batches):
         """Equal paths pass whole; paths that differ under one minimizer are
         taken apart, with an example of each repeated one among them. Whole
-        paths go on dealt by their own place, windows by their hashes."""
+        paths go on dealt by their document, windows by their hashes."""
         held = src = None
         went = False  # a path equal to the held one went before
         under = False  # a different path under its minimizer went before
@@ -152,7 +154,7 @@ def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
             twice = same[:-1] | same[1:]
             apart = (same_m[:-1] & ~same[:-1]) | (same_m[1:] & ~same[1:])
             twice[last] = apart[last] = False
-            out.append(_piece_batch(doc[twice], start[twice], doc[twice], th[twice], start[twice], count[twice],
+            out.append(_piece_batch(doc[twice], th[twice], doc[twice], th[twice], start[twice], count[twice],
                                     s_doc[twice], s_pos[twice]))
             if apart.any():
                 out.append(_windows(b.filter(pa.array(apart))))
@@ -162,7 +164,7 @@ def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
         if held is not None:
             if went:
                 _, _, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in held.columns[:6])
-                yield _piece_batch(doc, start, doc, th, start, count, np.array([src[0]]), np.array([src[1]]))
+                yield _piece_batch(doc, th, doc, th, start, count, np.array([src[0]]), np.array([src[1]]))
             elif under:
                 yield _windows(held)
 
