@@ -90,6 +90,7 @@ def test_substring_against_brute_force(spark, sf_small, monkeypatch, batch_bytes
 
 
 def test_substring_spans_name_their_source(spark):
+    common.ready(spark)
     passage = prose(9, 60)
     rows = [(i, f"{prose(i, 10 + i)} {passage} {prose(50 + i, 12)}") for i in range(4)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
