@@ -37,9 +37,19 @@ def _orders_as_text(spark, d):
                       for t, c in ORDER_TITLES.items()])
 
 
-def _workbooks(spark, d, parts: int = 4):
+# rows of one workbook: some MB, far below the admission limit and the format's rows of a sheet
+WORKBOOK_ROWS = 50_000
+
+
+def _parts(rows) -> int:
+    """Number of workbooks that hold the rows: it grows with them."""
+    return max(4, -(-rows.count() // WORKBOOK_ROWS))
+
+
+def _workbooks(spark, d, parts: int | None = None):
     out = _scratch(spark, "workbooks")
-    src = _orders_as_text(spark, d).repartition(parts, "发票号码")
+    src = _orders_as_text(spark, d)
+    src = src.repartition(parts or _parts(src), "发票号码")
     xlsx_writer.write_workbooks(src, out, "信息汇总表").count()
     return out
 
@@ -231,7 +241,8 @@ FROM n WHERE copies = 1
 def workbook_import(spark, d):
     """Header workbooks written from orders, imported into a fresh ledger."""
     src = _scratch(spark, "header-export")
-    xlsx_writer.write_workbooks(header_export(spark, d).repartition(4), src, "发票基础信息").count()
+    rows = header_export(spark, d)
+    xlsx_writer.write_workbooks(rows.repartition(_parts(rows)), src, "发票基础信息").count()
     res = ingest.import_headers(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=_scratch(spark, "header-ledger"))
     return res.accepted.select("header_uuid", "invoice_date", "invoice_year", "je")
 
@@ -240,7 +251,8 @@ def workbook_import(spark, d):
 def workbook_reimport(spark, d):
     """The same workbooks imported twice: the second time nothing is accepted."""
     src, ledger = _scratch(spark, "header-export"), _scratch(spark, "header-ledger")
-    xlsx_writer.write_workbooks(header_export(spark, d).repartition(4), src, " 发票基础信息").count()
+    rows = header_export(spark, d)
+    xlsx_writer.write_workbooks(rows.repartition(_parts(rows)), src, " 发票基础信息").count()
     ingest.import_headers(spark, src, "batch-1", "2024-01-01 00:00:00", ledger=ledger)
     again = ingest.import_headers(spark, src, "batch-2", "2024-01-02 00:00:00", ledger=ledger)
     held = again.quarantined.groupBy("header_uuid").count().filter("count = 1")
@@ -265,13 +277,13 @@ DETAIL_EXPORT = {
 _LINE_PLACE = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_tax"]
 
 
-def detail_export(spark, d, parts: int = 4, twice: str | None = None):
+def detail_export(spark, d, parts: int | None = None, twice: str | None = None):
     """The export's rows, the lines of an order in one partition and in
     order; lines that meet ``twice`` stand in it twice."""
     li = table(spark, d, "lineitem", *_LINE_PLACE)
     if twice:
         li = li.union(li.filter(twice))
-    return (li.repartition(parts, "l_orderkey").sortWithinPartitions(*_LINE_PLACE)
+    return (li.repartition(parts or _parts(li), "l_orderkey").sortWithinPartitions(*_LINE_PLACE)
             .select(*[F.expr(e).alias(t) for t, e in DETAIL_EXPORT.items()]))
 
 
@@ -327,11 +339,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY {RAW_CODE.replace("STRING", "VAR
 WHERE k = 1
 """)
 def header_workbook_ledger(spark, d):
-    """The header ledger: orders written as header workbooks in one file, in
-    order, de-duplicated on the three invoice numbers."""
+    """The header ledger: orders written as header workbooks, in order within
+    and across the files, de-duplicated on the three invoice numbers."""
     src = _scratch(spark, "header-ledger-export")
-    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").repartition(1) \
-        .sortWithinPartitions("o_orderkey")
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    place = ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]
+    o = o.repartitionByRange(_parts(o), *place).sortWithinPartitions(*place)
     rows = o.select(*[F.expr(e).alias(t) for t, e in HEADER_EXPORT.items()])
     xlsx_writer.write_workbooks(rows, src, "发票基础信息").count()
     out = ingest.build_ledger_from_workbooks(spark, src, _scratch(spark, "header-ledger"), "2024-01-01 00:00:00",
