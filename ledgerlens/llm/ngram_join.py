@@ -20,10 +20,12 @@ Every text becomes the set of its word n-grams. Two sets link when
 
 In both steps a probe walks the trie, shares the partial overlap of common
 paths and leaves a subtree when the overlap so far plus the remaining length
-cannot reach the required overlap. Pairs already connected in the block are
-skipped, and a block emits one row per connected set, never all pairs.
+cannot reach the required overlap. A block emits one row per connected set,
+never all pairs; step 5 also counts the links of every set, each pair in the
+one block of the first prefix n-gram it shares (or of its group), a set as
+often as it has copies.
 
-6. Connected components of the links.
+6. Connected components of the links, and the sum of every set's counts.
 """
 
 from __future__ import annotations
@@ -123,7 +125,8 @@ class _Trie:
             node, at = kid, at + k
 
 
-def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weights=None, spare=None):
+def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weights=None, spare=None,
+                copies=None, links=None):
     """The connected sets inside one block, as index pairs of a set and the
     one of smallest id it is connected with.
 
@@ -133,7 +136,9 @@ def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weight
     not have fewer); ``before``: for a block that is one prefix n-gram, each
     set's kept n-grams ahead of it (a pair sharing one of those is met in that
     block), else None; ``side``: 0/1 of a block between two chunks, where only
-    pairs across are tested.
+    pairs across are tested. ``links`` (zeros) gets for each set the number of
+    ``copies`` of the sets it links with; without it, pairs already connected
+    are skipped.
     """
     root = list(range(len(reps)))
 
@@ -186,8 +191,11 @@ def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weight
                         if side is not None and side[x] == side[y]:
                             continue
                         a, b = find(x), find(y)
-                        if a != b and (before is None or before[x].isdisjoint(before[y])):
+                        if (a != b or links is not None) and (before is None or before[x].isdisjoint(before[y])):
                             root[max(a, b)] = min(a, b)
+                            if links is not None:
+                                links[x] += copies[y]
+                                links[y] += copies[x]
                 for kid in node.kids.values():
                     if overlap + min(kid.longest - depth, total) >= need(max(kid.least, least_y)):
                         stack.append((kid, overlap, depth))
@@ -199,7 +207,7 @@ def block_links(reps, sizes, sets, before, num: int, den: int, side=None, weight
 
 
 def _with_partner(posts: DataFrame, num: int, den: int) -> DataFrame:
-    """Rows (of ``rep, size, pos, gram``) that can link with another holder of
+    """Rows (of ``key, size, pos, gram``) that can link with another holder of
     the n-gram: linked sizes differ by ``num/den`` at most. ``first`` tells
     whether it can be the first one the two share: no more than the allowed
     difference of two linked sets stands ahead of that. Only neighbours by
@@ -213,11 +221,12 @@ def _with_partner(posts: DataFrame, num: int, den: int) -> DataFrame:
             .drop("below", "above", "lead"))
 
 
-ROUTED = pa.schema([("block", pa.string()), ("rep", pa.int64()), ("side", pa.int32()),
-                    ("before", pa.list_(pa.int64())), ("grams", pa.binary())])
+ROUTED = pa.schema([("block", pa.string()), ("key", pa.int64()), ("rep", pa.int64()), ("copies", pa.int64()),
+                    ("side", pa.int32()), ("before", pa.list_(pa.int64())), ("grams", pa.binary())])
+LINKED = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("key", pa.int64()), ("links", pa.int64())])
 
 
-PREFIXES = pa.schema([("block", pa.string()), ("rep", pa.int64()), ("size", pa.int32()), ("side", pa.int32()),
+PREFIXES = pa.schema([("block", pa.string()), ("key", pa.int64()), ("size", pa.int32()), ("side", pa.int32()),
                       ("ahead", pa.int32()), ("grams", pa.binary()), ("weight", pa.binary())])
 
 
@@ -242,15 +251,18 @@ class _Rows:
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3,
                        num: int = 90, den: int = 100) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id``.
+    """One row per input row: ``doc_id, n_shingles, component_id, n_links``.
 
     Words are runs without ASCII white space, A-Z lower-cased; a text of
     fewer than ``n`` words is one n-gram of all its words. Sets link when
     their Jaccard similarity is at least ``num/den``; ``component_id`` is the
-    smallest id reachable by links. Null or blank texts have 0 n-grams and
-    link with nothing (their component is their own id). Rows with a null id
-    keep their count and have a null component. Rows that repeat an id are
-    returned each; their links count for the id together. Other columns of
+    smallest id reachable by links. ``n_links`` is the number of other rows
+    whose set links with the row's, equal sets among them. Null or blank texts
+    have 0 n-grams and link with nothing (their component is their own id).
+    Rows with a null id keep their count of n-grams, have a null component and
+    null links and are no one's link. Rows that repeat an id are returned each,
+    with the links of their own set; the component is that of all their links
+    together. Other columns of
     ``docs`` are ignored, an empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -274,21 +286,27 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
                 ["doc_id", "size", "sid", "prefix"])
 
-    sets = st.write(texts.mapInArrow(prefixes, "doc_id long, size long, sid binary, prefix array<long>"), "sets")
+    sets = st.write(texts.mapInArrow(prefixes, "doc_id long, size long, sid binary, prefix array<long>")
+                    .withColumn("row", F.monotonically_increasing_id()), "sets")
     live = sets.where("size > 0 and doc_id is not null")
-    reps = live.groupBy("sid").agg(F.min("doc_id").alias("rep"))
-    posts = (live.join(reps, "sid").where("doc_id = rep")
-             .select("rep", F.col("size").cast("int"), F.posexplode("prefix").alias("pos", "gram")))
+    reps = live.groupBy("sid").agg(F.min(F.struct("doc_id", "row")).alias("low"), F.count("*").alias("copies")).select(
+        "sid", F.col("low.doc_id").alias("rep"), F.col("low.row").alias("rep_row"), "copies")
+    # a set goes by the id it is represented by, or by its digest where that id stands for several sets
+    several = reps.groupBy("rep").count().where("count > 1").select(F.col("rep").alias("shared_rep"))
+    reps = st.write(reps.join(several, reps.rep == several.shared_rep, "left").select(
+        "sid", "rep", "rep_row", "copies", F.when(F.col("shared_rep").isNull(), F.col("rep")).otherwise(F.xxhash64("sid")).alias("key")),
+        "reps")
+    posts = (live.join(reps, "sid").where("row = rep_row")
+             .select("key", F.col("size").cast("int"), F.posexplode("prefix").alias("pos", "gram")))
     near = st.write(_with_partner(posts, num, den), "near")
     # n-grams held by the same sets make the same pairs: keep the first of them
     grams = (near.groupBy("gram").agg(F.count("*").alias("holders"), F.sum("size").alias("load"),
-                                      F.min("pos").alias("lead"), F.bit_xor(F.xxhash64("rep")).alias("x"),
-                                      F.sum(F.xxhash64("rep", F.lit(7)).cast("decimal(38,0)")).alias("s"))
+                                      F.min("pos").alias("lead"), F.bit_xor(F.xxhash64("key")).alias("x"),
+                                      F.sum(F.xxhash64("key", F.lit(7)).cast("decimal(38,0)")).alias("s"))
              .where("holders > 1").groupBy("holders", "x", "s", "load")
              .agg(F.min(F.struct("lead", "gram")).getField("gram").alias("gram"), F.count("*").alias("weight"))
              .select("gram", "holders", "load", "weight"))
-    # (an id that stands for several sets has a row for each size)
-    member = st.write(near.join(grams, "gram").groupBy("rep", "size").agg(
+    member = st.write(near.join(grams, "gram").groupBy("key", "size").agg(
         F.array_sort(F.collect_list(F.struct("pos", "gram", "holders", "load", "weight", "first"))).alias("kept")),
         "members")
 
@@ -310,11 +328,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def route_prefixes(batches):
         for b in batches:
             out = _Rows(PREFIXES)
-            for rep, size, kept in zip(*(c.to_pylist() for c in b.columns)):
+            for key, size, kept in zip(*(c.to_pylist() for c in b.columns)):
                 grams = np.array([k["gram"] for k in kept], dtype=np.int64).tobytes()
                 weight = np.array([k["weight"] for k in kept], dtype=np.int32).tobytes()
-                for block, side, ahead in blocks_of(kept, rep.to_bytes(8, "big", signed=True)):
-                    yield from out.add((block, rep, size, side, len(ahead), grams, weight), len(grams) * 2)
+                for block, side, ahead in blocks_of(kept, key.to_bytes(8, "big", signed=True)):
+                    yield from out.add((block, key, size, side, len(ahead), grams, weight), len(grams) * 2)
             yield from out.rest()
 
     def join_prefixes(batches):
@@ -329,59 +347,75 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             if pairs:
                 yield pa.RecordBatch.from_pydict({"u": [ids[a] for a, _ in pairs], "v": [ids[b] for _, b in pairs]})
 
-    candidates = (member.mapInArrow(route_prefixes, "block string, rep long, size int, side int, ahead int, "
+    candidates = (member.mapInArrow(route_prefixes, "block string, key long, size int, side int, ahead int, "
                                                     "grams binary, weight binary")
                   .repartition("block").sortWithinPartitions("block").mapInArrow(join_prefixes, "u long, v long"))
     groups = st.write(connected_components(candidates, st), "groups")
-    sizes = member.join(groups, member.rep == groups.node).groupBy("component").agg(
+    sizes = member.join(groups, member.key == groups.node).groupBy("component").agg(
         F.count("*").alias("g_sets"), F.sum("size").alias("g_grams"))
     small = (F.col("g_sets") <= BLOCK_SETS) & (F.col("g_grams") <= BLOCK_GRAMS)
-    routed = (member.join(groups, member.rep == groups.node).join(sizes, "component")
-              .select("rep", F.when(small, F.col("component")).alias("grp"),
+    placed = st.write(groups.join(reps, groups.node == reps.key).select("key", "component", "sid", "rep", "copies"), "placed")
+    routed = (member.join(placed, "key").join(sizes, "component")
+              .select("key", "sid", "rep", "copies", F.when(small, F.col("component")).alias("grp"),
                       F.when(~small, F.col("kept")).alias("kept")))
     slot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - SLOT_BITS)
     grouped = spark.sparkContext.broadcast(slot_bitmap(
-        groups.withColumnRenamed("node", "doc_id").select(slot.alias("slot"))))
+        placed.select(F.col("rep").alias("doc_id")).select(slot.alias("slot"))))
 
     def only_grouped(batches):  # spares the shuffle most of the texts; the join decides
         for b in batches:
-            yield b.filter(pa.array(in_bitmap(grouped.value, b.column(2).to_numpy()))).select([0, 1])
+            b = b.filter(pa.array(in_bitmap(grouped.value, b.column(2).to_numpy()))).select([0, 1])
+            sids = [_digest(ngram_set(t, n)) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sids, pa.binary())], ["doc_id", "text", "text_sid"])
 
     some = (texts.where("doc_id is not null").select("doc_id", "text", slot.alias("slot"))
-            .mapInArrow(only_grouped, "doc_id long, text binary"))
-    wanted = some.join(routed, some.doc_id == routed.rep).select("rep", "grp", "kept", "text")
+            .mapInArrow(only_grouped, "doc_id long, text binary, text_sid binary"))
+    wanted = some.join(routed, (some.doc_id == routed.rep) & (some.text_sid == routed.sid)).select(
+        "key", "rep", "copies", "grp", "kept", "text")
 
     def route(batches):
         """One row per block of a set, with the set in global order."""
         for b in batches:
             out = _Rows(ROUTED)
-            for rep, grp, kept, text in zip(*(c.to_pylist() for c in b.columns)):
-                g = ngram_set(text, n)
-                if not len(g):
-                    continue  # another row of the id
-                body = _order(g, rank.value).tobytes()
+            for key, rep, copies, grp, kept, text in zip(*(c.to_pylist() for c in b.columns)):
+                body = _order(ngram_set(text, n), rank.value).tobytes()
                 if grp is not None:
-                    yield from out.add((f"g{grp}", rep, -1, [], body), len(body))
+                    yield from out.add((f"g{grp}", key, rep, copies, -1, [], body), len(body))
                 else:
-                    for block, side, ahead in blocks_of(kept, rep.to_bytes(8, "big", signed=True)):
-                        yield from out.add((block, rep, side, ahead, body), len(body))
+                    for block, side, ahead in blocks_of(kept, key.to_bytes(8, "big", signed=True)):
+                        yield from out.add((block, key, rep, copies, side, ahead, body), len(body))
             yield from out.rest()
 
     def join_blocks(batches):
         for block, rows in by_key(batches, 0):
-            _, ids, sides, before, grams = zip(*rows)
+            # a row that repeats id and text brings its set again
+            _, keys, ids, copies, sides, before, grams = zip(*{r[1]: r for r in rows}.values())
             bodies = [np.frombuffer(x, dtype=np.uint64) for x in grams]
+            links = [0] * len(keys)
             pairs = block_links(ids, [len(x) for x in bodies], bodies,
                                 [set(x) for x in before] if block.startswith("n") else None,
-                                num, den, None if sides[0] < 0 else sides)
+                                num, den, None if sides[0] < 0 else sides, copies=copies, links=links)
             if pairs:
-                yield pa.RecordBatch.from_pydict({"u": [ids[a] for a, _ in pairs], "v": [ids[b] for _, b in pairs]})
-
-    links = (wanted.mapInArrow(route, "block string, rep long, side int, before array<long>, grams binary")
-             .repartition("block").sortWithinPartitions("block").mapInArrow(join_blocks, "u long, v long"))
+                out = _Rows(LINKED)
+                for a, b in pairs:
+                    yield from out.add((ids[a], ids[b], None, None), 0)
+                for key, count in zip(keys, links):
+                    if count:
+                        yield from out.add((None, None, key, count), 0)
+                yield from out.rest()
+
+    linked = st.write(
+        wanted.mapInArrow(route, "block string, key long, rep long, copies long, side int, before array<long>, grams binary")
+        .repartition("block").sortWithinPartitions("block").mapInArrow(join_blocks, "u long, v long, key long, links long"),
+        "linked")
+    links = linked.where("u is not null").select("u", "v")
+    counts = linked.where("key is not null").groupBy("key").agg(F.sum("links").alias("links"))
+    of_set = reps.join(counts, "key", "left").select(
+        "sid", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     copies = live.join(reps, "sid").where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     found = connected_components(links.union(copies), st)
-    out = sets.join(found, sets.doc_id == found.node, "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    st.drop(near, member, groups)
+    out = (sets.join(found, sets.doc_id == found.node, "left").join(of_set, "sid", "left").select(
+        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links")))
+    st.drop(near, member, groups, placed)
     return out

@@ -19,8 +19,8 @@ def query(fn):
 
 @query
 def op1_ngram_jaccard_join(spark, sf_dir):
-    return ngram_join.ngram_jaccard_join(read_table(spark, sf_dir, "documents", "doc_id", "text"),
-                                         n=3, num=90, den=100)
+    out = ngram_join.ngram_jaccard_join(read_table(spark, sf_dir, "documents", "doc_id", "text"), n=3, num=90, den=100)
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 ORACLE["op1_ngram_jaccard_join"] = r"""
@@ -44,6 +44,21 @@ FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.node = d.
 """
 
 
+@query
+def op1_ngram_jaccard_links(spark, sf_dir):
+    """Class and number of links of every document."""
+    out = ngram_join.ngram_jaccard_join(read_table(spark, sf_dir, "documents", "doc_id", "text"), n=3, num=90, den=100)
+    return out.select("doc_id", "component_id", "n_links")
+
+
+# the same links, counted for each document
+ORACLE["op1_ngram_jaccard_links"] = ORACLE["op1_ngram_jaccard_join"].split("SELECT d.doc_id, coalesce")[0].rstrip() + r""",
+counts AS (SELECT x AS doc_id, count(*) AS n FROM edges GROUP BY x)
+SELECT d.doc_id, min(r.low) AS component_id, coalesce(max(c.n), 0)::BIGINT AS n_links
+FROM docs d LEFT JOIN counts c ON c.doc_id = d.doc_id JOIN reach r ON r.node = d.doc_id GROUP BY d.doc_id
+"""
+
+
 @query
 def op2_benchmark_decontamination(spark, sf_dir):
     return decontaminate.find_leaks(read_table(spark, sf_dir, "documents", "doc_id", "text"),
