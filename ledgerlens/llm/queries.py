@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerlens.llm import decontaminate, htmltext, language, mixing, ngram_join, quality, sharding, substring, tokens, warc
+from ledgerlens.llm import (centroids, decontaminate, htmltext, language, merkle, mixing, ngram_join, quality, sharding, substring,
+                            tokens, topk, warc)
 from ledgerlens.llm.common import Stages, read_table
 from pyspark.sql import functions as F
 
@@ -271,3 +272,133 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        AND (n_words < {quality.MIN_WORDS} OR coalesce(v.distance, 0) <= {quality.MAX_WORD_DISTANCE}) AS kept
 FROM base LEFT JOIN by_char c USING (rid) LEFT JOIN by_word v USING (rid)
 """
+
+
+@query
+def op11_exact_topk(spark, sf_dir):
+    """The 5 best inner products of every 50th vector, against all vectors."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), Stages(spark, "topk"),
+                      F.expr("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
+_USABLE_SQL = "embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0"
+
+ORACLE["op11_exact_topk"] = f"""
+WITH v AS (SELECT vec_id, row_number() OVER () AS rid, [floor(256 * x::DOUBLE) for x in embedding] AS x
+           FROM embeddings WHERE {_USABLE_SQL}),
+scored AS (SELECT q.rid AS q_rid, q.vec_id AS query_id, c.vec_id, c.rid, list_inner_product(q.x, c.x)::BIGINT AS score
+           FROM v q JOIN v c ON c.rid <> q.rid WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q_rid ORDER BY score DESC, vec_id NULLS LAST, rid)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op12_centroid_clustering(spark, sf_dir):
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), Stages(spark, "centroids"),
+                                     k=8, rounds=10, seed="3:", dims=64, scale=1024.0)
+
+
+def _kmeans_sql(k: int, rounds: int) -> str:
+    """All rounds as one chain of tables: c<i> centroids, a<i> assignments."""
+    out = [f"""WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS rid, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS x
+  FROM embeddings WHERE len(embedding) = 64 AND {_USABLE_SQL}),
+e AS MATERIALIZED (SELECT rid, unnest(x) AS x, generate_subscripts(x, 1) AS dim FROM v),
+c0 AS MATERIALIZED (
+  SELECT (k - 1)::INT AS c, x FROM (SELECT x, row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, x) AS k FROM v) WHERE k <= {k})"""]
+    for i in range(rounds + 1):
+        out.append(f"""a{i} AS MATERIALIZED (
+  SELECT rid, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.rid, c.c, list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(v.x, c.x)])::BIGINT AS d
+    FROM v, c{i} c) GROUP BY rid)""")
+        if i < rounds:
+            out.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(n.x, o.x) AS x FROM c{i} o LEFT JOIN (
+    SELECT c, list(m ORDER BY dim) AS x FROM (
+      SELECT c, dim, ((sum(x) - (((sum(x) % count(*)) + count(*)) % count(*))) // count(*))::BIGINT AS m
+      FROM a{i} JOIN e USING (rid) GROUP BY c, dim) GROUP BY c) n ON n.c = o.c)""")
+    return ",\n".join(out) + f"""
+SELECT v.vec_id, a.c AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(f.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (rid) JOIN c{rounds} f ON f.c = a.c
+"""
+
+
+ORACLE["op12_centroid_clustering"] = _kmeans_sql(8, 10)
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """Tampering lower-cases A-Z of the text of a fifth of the documents."""
+    out = merkle.manifest(
+        read_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"), Stages(spark, "merkle"),
+        ["doc_id", "source", "lang", "n_chars", "text"], tampered=F.expr("crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0"),
+        tamper={"text": F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")})
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+_FIELD_SQL = "CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}::VARCHAR) || ':' || {f}::VARCHAR END"
+_LEAF_SQL = " || ".join(_FIELD_SQL.format(f=f) for f in ("doc_id", "source", "lang", "n_chars"))
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# one bit of the CRC-32 of a byte
+_CRC_STEP_SQL = "xor(c >> 1, (CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Nodes (tree, lvl, pos, h, n) above ``leaves`` (tree, pos, h, n), and of
+    each node the joined digests of its run before and after it."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS lvl, pos, h, n FROM {leaves}
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 15) // 16)
+  FROM {name} WHERE n > 1 GROUP BY tree, lvl, pos // 16),
+{name}_run AS (
+  SELECT tree, lvl, pos, n,
+         coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, lvl, pos // 16 ORDER BY pos))"""
+
+
+def _walk_sql(name: str, tree: str, start: str) -> str:
+    """From ``start`` (rid, tree, pos, proof, folded) up to the root of ``tree``."""
+    return f"""
+{name} AS (
+  SELECT rid, tree, 0 AS lvl, pos, proof, folded FROM {start}
+  UNION ALL
+  SELECT w.rid, w.tree, w.lvl + 1, w.pos // 16, w.proof || r.before || r.after, sha256(r.before || w.folded || r.after)
+  FROM {name} w JOIN {tree}_run r ON r.tree = w.tree AND r.lvl = w.lvl AND r.pos = w.pos),
+{name}_end AS (SELECT rid, arg_max(proof, lvl) AS proof, arg_max(folded, lvl) AS folded FROM {name} GROUP BY rid)"""
+
+
+ORACLE["op13_merkle_manifest"] = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT b, b::BIGINT AS c, 0 AS i FROM range(256) t(b) UNION ALL SELECT b, {_CRC_STEP_SQL}, i + 1 FROM crc_table WHERE i < 8),
+crc_of AS (SELECT list(c ORDER BY b) AS t FROM crc_table WHERE i = 8),
+docs AS (SELECT row_number() OVER () AS rid, *, {_LEAF_SQL} AS head, 's' || source AS src FROM documents),
+crc AS (
+  SELECT rid, doc_id::VARCHAR AS s, 4294967295::BIGINT AS c, 1 AS i FROM docs WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT rid, s, xor(c >> 8, t[(xor(c, ascii(s[i])) & 255) + 1]), i + 1 FROM crc, crc_of WHERE i <= len(s)),
+hit AS (SELECT rid FROM crc WHERE i = len(s) + 1 AND xor(c, 4294967295) % 5 = 0),
+leaves AS (
+  SELECT rid, doc_id, coalesce(src, 'n') AS tree, sha256(head || {_FIELD_SQL.format(f='text')}) AS leaf,
+         CASE WHEN rid IN (SELECT rid FROM hit) THEN sha256(head || {_FIELD_SQL.format(f=_LOWER_SQL)}) END AS other
+  FROM docs),
+placed AS (
+  SELECT *, leaf AS h, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+{_tree_sql('inner_tree', 'placed')},
+subroots AS (SELECT tree AS source, h AS subroot FROM inner_tree WHERE n = 1),
+forest AS (SELECT source, subroot, subroot AS h, 'all' AS tree, row_number() OVER (ORDER BY encode(source)) - 1 AS pos,
+                  count(*) OVER () AS n FROM subroots),
+{_tree_sql('outer_tree', 'forest')},
+inner_start AS (SELECT rid, tree, pos, '' AS proof, coalesce(other, leaf) AS folded FROM placed),
+{_walk_sql('inner_walk', 'inner_tree', 'inner_start')},
+outer_start AS (SELECT e.rid, 'all' AS tree, f.pos, e.proof, e.folded
+                FROM inner_walk_end e JOIN placed p USING (rid) JOIN forest f ON f.source = p.tree),
+{_walk_sql('outer_walk', 'outer_tree', 'outer_start')}
+SELECT p.doc_id, p.leaf, f.subroot, r.h AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = r.h AS verified
+FROM placed p JOIN forest f ON f.source = p.tree JOIN outer_walk_end e USING (rid) JOIN (SELECT h FROM outer_tree WHERE n = 1) r ON true
+"""
