@@ -78,9 +78,11 @@ def positions(df: DataFrame, tree: str, order: list[Column], stages: Stages, nam
     """``df`` with ``pos`` (from 0 in ``order`` within ``tree``) and ``n`` (the
     tree's size). Rows are range-sorted over all trees; a tree's rows span any
     number of partitions, whose counts are summed up."""
-    ranged = df.repartitionByRange(*[F.col(tree).asc_nulls_first(), *order])
+    rows = stages.write(df, f"{name}-rows")  # the range sort reads its input twice, once for a sample
+    ranged = rows.repartitionByRange(F.col(tree).asc_nulls_first(), *order)
     ranged = stages.write(ranged.sortWithinPartitions(F.col(tree).asc_nulls_first(), *order)
-                          .withColumn("at", F.monotonically_increasing_id()), name)
+                          .withColumn("at", F.monotonically_increasing_id()), f"{name}-sorted")
+    stages.drop(rows)
     part = F.shiftright("at", 33)
     counts = ranged.groupBy(tree, part.alias("part")).agg(F.count("*").alias("c"), F.min("at").alias("first"))
     whole = Window.partitionBy(tree)
