@@ -43,13 +43,15 @@ class Stages:
         self.spark = spark
         self.base = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
         self.n = 0
+        self.live: list[DataFrame] = []
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
-        path = f"{self.base}/{self.n:03d}-{name}"
+        path = f"{self.base}/{self.n:04d}-{name}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stage_path = path
+        self.live.append(out)
         return out
 
     def drop(self, *frames: DataFrame) -> None:
@@ -59,6 +61,13 @@ class Stages:
         for f in frames:
             path = jvm.org.apache.hadoop.fs.Path(f._stage_path)
             path.getFileSystem(conf).delete(path, True)
+            self.live = [x for x in self.live if x is not f]
+
+    def drop_since(self, mark: int, *keep: DataFrame) -> None:
+        """Remove the tables written after ``self.n`` was ``mark``, but those
+        that the result reads."""
+        late = [f for f in self.live if int(f._stage_path.rsplit("/", 1)[1].split("-")[0]) > mark]
+        self.drop(*[f for f in late if all(f is not k for k in keep)])
 
 
 #: slots of a broadcast bitmap: 8 MB, whatever the input

@@ -94,25 +94,25 @@ def positions(df: DataFrame, tree: str, order: list[Column], stages: Stages, nam
             .select(*df.columns, (F.col("at") - F.col("first") + F.col("ahead")).alias("pos"), "n"))
 
 
-def _most(n: int) -> int | None:
+def _most(n: int, levels: int) -> int | None:
     """Levels that a block of a tree of ``n`` nodes builds (None: to the tree's root)."""
-    return BLOCK_LEVELS if n > FAN ** BLOCK_LEVELS else None
+    return levels if n > FAN ** levels else None
 
 
-def _tops(df: DataFrame) -> DataFrame:
+def _tops(df: DataFrame, block_levels: int) -> DataFrame:
     """(tree, block, n, nodes) -> (tree, block, n, top)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tops = [levels_of(nodes, _most(n))[-1][0] for nodes, n in zip(b.column("nodes").to_pylist(), b.column("n").to_pylist())]
+            tops = [levels_of(nodes, _most(n, block_levels))[-1][0] for nodes, n in zip(b.column("nodes").to_pylist(), b.column("n").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("tree"), b.column("block"), b.column("n"), pa.array(tops, pa.string())],
                                              ["tree", "block", "n", "top"])
 
     return df.select("tree", "block", "n", "nodes").mapInArrow(run, "tree string, block long, n long, top string")
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    """(tree, pos, n, hash) -> one row a block with its nodes in order, at most 16**BLOCK_LEVELS."""
-    return (nodes.groupBy("tree", F.expr(f"pos div {FAN ** BLOCK_LEVELS}").alias("block"))
+def _blocks(nodes: DataFrame, block_levels: int) -> DataFrame:
+    """(tree, pos, n, hash) -> one row a block with its nodes in order, at most 16**block_levels."""
+    return (nodes.groupBy("tree", F.expr(f"pos div {FAN ** block_levels}").alias("block"))
             .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "hash"))).alias("s"))
             .select("tree", "block", "n", F.col("s.hash").alias("nodes")))
 
@@ -120,7 +120,7 @@ def _blocks(nodes: DataFrame) -> DataFrame:
 _PATH = "array<struct<others:array<string>,place:int>>"
 
 
-def _paths(blocks: DataFrame, above: DataFrame | None) -> DataFrame:
+def _paths(blocks: DataFrame, above: DataFrame | None, block_levels: int) -> DataFrame:
     """Of every node of the blocks (tree, block, n, nodes): the siblings up to
     its tree's root, its block's part first; ``above`` has (tree, block, path)
     of the blocks' tops."""
@@ -133,10 +133,10 @@ def _paths(blocks: DataFrame, above: DataFrame | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                levels = levels_of(row["nodes"], _most(row["n"]))
+                levels = levels_of(row["nodes"], _most(row["n"], block_levels))
                 size = len(row["nodes"])
                 paths = [[{"others": o, "place": p} for o, p in siblings(levels, i)] + row["path"] for i in range(size)]
-                first = row["block"] * FAN ** BLOCK_LEVELS
+                first = row["block"] * FAN ** block_levels
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["tree"]] * size, pa.string()), pa.array(range(first, first + size), pa.int64()),
                      pa.array(paths, pa.list_(pa.struct([("others", pa.list_(pa.string())), ("place", pa.int32())])))],
@@ -146,22 +146,22 @@ def _paths(blocks: DataFrame, above: DataFrame | None) -> DataFrame:
         run, f"tree string, block long, path {_PATH}")
 
 
-def _upper(tops: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
+def _upper(tops: DataFrame, stages: Stages, block_levels: int) -> tuple[DataFrame, DataFrame]:
     """(tree, pos, n, hash) of trees' nodes -> ``(roots, paths)``: (tree, root)
     and, per node, (tree, block, path) up to the root. Steps grow with the
     logarithm of the largest tree's size."""
-    blocks = stages.write(_blocks(tops), "blocks")
-    done = stages.write(_tops(blocks), "tops")
-    size = FAN ** BLOCK_LEVELS
+    blocks = stages.write(_blocks(tops, block_levels), "blocks")
+    done = stages.write(_tops(blocks, block_levels), "tops")
+    size = FAN ** block_levels
     if done.where(F.col("n") > size).isEmpty():
-        return done.select("tree", F.col("top").alias("root")), stages.write(_paths(blocks, None), "paths")
+        return done.select("tree", F.col("top").alias("root")), stages.write(_paths(blocks, None, block_levels), "paths")
     open_ = done.select("tree", F.col("block").alias("pos"), F.expr(f"(n + {size - 1}) div {size}").alias("n"), F.col("top").alias("hash"))
-    roots, above = _upper(open_, stages)  # a finished tree is one node here: no siblings, its own root
-    return roots, stages.write(_paths(blocks, above), "paths")
+    roots, above = _upper(open_, stages, block_levels)  # a finished tree is one node here: no siblings, its own root
+    return roots, stages.write(_paths(blocks, above, block_levels), "paths")
 
 
 def manifest(docs: DataFrame, stages: Stages, fields: list[str], tampered: Column, tamper: dict[str, Column],
-             id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+             id_col: str = "doc_id", source_col: str = "source", block_levels: int = BLOCK_LEVELS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, source, leaf, subroot, root,
     proof_sha256, folded_root, verified, copied``.
 
@@ -181,44 +181,45 @@ def manifest(docs: DataFrame, stages: Stages, fields: list[str], tampered: Colum
     """
     changed = F.coalesce(tampered, F.lit(False))
     leaves = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("tree"),
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("tree"),
         leaf_digest(*[F.col(f) for f in fields]).alias("hash"),
         F.when(changed, leaf_digest(*[tamper.get(f, F.col(f)) for f in fields])).alias("new_hash"))
+    mark = stages.n
     placed = positions(leaves, "tree", [F.col("doc_id").asc_nulls_first(), F.col("hash")], stages, "leaves")
-    size = FAN ** BLOCK_LEVELS
+    size = FAN ** block_levels
     blocks = (placed.groupBy("tree", F.expr(f"pos div {size}").alias("block"))
               .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "hash", "doc_id", "new_hash"))).alias("s"))
               .select("tree", "block", "n", F.col("s.hash").alias("nodes"), F.col("s.doc_id").alias("ids"),
                       F.col("s.new_hash").alias("new")))
     blocks = stages.write(blocks, "leaf-blocks")
-    tops = stages.write(_tops(blocks), "leaf-tops")
-    subroots, above = _upper(
+    tops = stages.write(_tops(blocks, block_levels), "leaf-tops")
+    subroots, paths = _upper(
         tops.select("tree", F.col("block").alias("pos"),
-                    F.expr(f"(n + {size - 1}) div {size}").alias("n"), F.col("top").alias("hash")), stages)
+                    F.expr(f"(n + {size - 1}) div {size}").alias("n"), F.col("top").alias("hash")), stages, block_levels)
     subroots = stages.write(subroots, "subroots")
     forest = positions(subroots.select(F.lit("sources").alias("all"), "tree", "root"), "all",
                        [F.col("tree").asc_nulls_first()], stages, "sources")
     forest = stages.write(forest, "forest")
-    root, source_paths = _upper(forest.select(F.col("all").alias("tree"), "pos", "n", F.col("root").alias("hash")), stages)
+    roots, source_paths = _upper(forest.select(F.col("all").alias("tree"), "pos", "n", F.col("root").alias("hash")), stages, block_levels)
+    root = roots.first()  # one digest
     sources = (forest.select(F.col("tree").alias("s_tree"), F.col("root").alias("subroot"), F.col("pos").alias("s_pos"))
                .join(source_paths.select(F.col("block").alias("s_pos"), F.col("path").alias("s_path")), "s_pos")
-               .withColumn("one", F.lit("sources"))
-               .join(root.select(F.col("tree").alias("one"), "root"), "one")
-               .select("s_tree", "subroot", "root", "s_path"))
-    above = above.select(F.col("tree").alias("a_tree"), F.col("block").alias("a_block"), F.col("path").alias("a_path"))
+               .select("s_tree", "subroot", F.lit(root and root.root).cast("string").alias("root"), "s_path"))
+    stages.drop_since(mark, blocks, paths, forest, source_paths)
+    above = paths.select(F.col("tree").alias("a_tree"), F.col("block").alias("a_block"), F.col("path").alias("a_path"))
     whole = (blocks.join(above, F.col("tree").eqNullSafe(F.col("a_tree")) & (F.col("block") == F.col("a_block")))
              .join(sources, F.col("tree").eqNullSafe(F.col("s_tree")))
              .select("tree", "n", "nodes", "ids", "new", "subroot", "root", F.concat("a_path", "s_path").alias("path")))
-    return whole.mapInArrow(_versions, (
+    return whole.mapInArrow(lambda batches: _versions(batches, block_levels), (
         "doc_id long, source string, leaf string, subroot string, root string, proof_sha256 string, "
         "folded_root string, verified boolean, copied int"))
 
 
-def _versions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _versions(batches: Iterator[pa.RecordBatch], block_levels: int) -> Iterator[pa.RecordBatch]:
     """Proofs and versions of the leaves of whole blocks."""
     for b in batches:
         for row in b.to_pylist():
-            levels = levels_of(row["nodes"], _most(row["n"]))
+            levels = levels_of(row["nodes"], _most(row["n"], block_levels))
             upper = [(p["others"], p["place"]) for p in row["path"]]
             upper_text = "".join("".join(o) for o, _ in upper)
             out = []
