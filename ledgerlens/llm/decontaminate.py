@@ -16,7 +16,7 @@ words of every document are compared with it:
    the two shingle multisets.
 
 The benchmark is a stated query set: it is read in blocks of bounded size
-(``BLOCK_BYTES`` of text each), each block is broadcast and met by one scan
+(``BLOCK_BYTES``, so short items are bounded too), each block is broadcast and met by one scan
 of the documents, which are never shuffled.
 """
 
@@ -31,7 +31,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import binary_text, hash_words, ready, window_hashes
 
-BLOCK_BYTES = 16 << 20
+#: bytes of a block of items: their texts, and 64 more for each item
+BLOCK_BYTES = 8 << 20
+#: items whose fingerprints are compared with a stretch of windows at once
+TILE = 1024
 RADIUS = 23
 _PUNCT = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 #: A-Z lower-cased, ASCII punctuation to space
@@ -55,12 +58,13 @@ def _pack(sums: np.ndarray) -> np.ndarray:
 
 
 class BenchmarkIndex:
-    """Fingerprints, multi-index blocks and shingle multisets of one block of items."""
+    """Fingerprints and shingle multisets of one block of items, as flat
+    arrays: about 32 bytes a shingle and 60 an item."""
 
     def __init__(self, items: list[tuple], n: int):
-        self.n, self.items, self.whole = n, [], defaultdict(list)
+        self.n, self.ids, self.whole = n, [], defaultdict(list)
         by_length = defaultdict(list)
-        seeds = defaultdict(set)
+        values, counts, lengths, prints = [], [], [], []
         for item_id, text in items:
             h = word_hashes(text)
             if not len(h):
@@ -69,19 +73,25 @@ class BenchmarkIndex:
                 self.whole[h.tobytes()].append(item_id)
                 continue
             s = window_hashes(h, n)
-            values, counts = np.unique(s, return_counts=True)
-            by_length[len(h)].append(len(self.items))
-            for v in values.tolist():
-                seeds[v].add(len(h))
-            self.items.append((item_id, values, counts, len(s), _pack(_signs(s).sum(axis=0)[None, :])[0]))
-        self.lengths = {}
-        for m, members in by_length.items():
-            prints = np.stack([self.items[i][4] for i in members])
-            # near[block][value]: which of the items have a block within RADIUS // 8 bits of the value
-            near = np.stack([_NEAR[:, prints[:, b]] for b in range(8)])
-            self.lengths[m] = (np.array(members), prints, near)
-        self.seeds = np.array(sorted(seeds), dtype=np.uint64)
-        self.seed_lengths = [sorted(seeds[v]) for v in self.seeds.tolist()]
+            v, c = np.unique(s, return_counts=True)
+            by_length[len(h)].append(len(self.ids))
+            self.ids.append(item_id)
+            values.append(v)
+            counts.append(c.astype(np.int32))
+            lengths.append(len(h))
+            prints.append(_pack(_signs(s).sum(axis=0)[None, :])[0])
+        none = np.empty(0, dtype=np.uint64)
+        self.values, self.counts = np.concatenate([none, *values]), np.concatenate([none.astype(np.int32), *counts])
+        sizes = np.array([len(v) for v in values], dtype=np.int64)
+        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.total = np.array(lengths, dtype=np.int64) - n + 1
+        # of every length: its items and their fingerprints
+        self.lengths = {m: (np.array(at), np.stack([prints[i] for i in at])) for m, at in by_length.items()}
+        # shingle -> lengths of the items that hold it
+        pairs = np.unique(np.stack([self.values, np.repeat(np.array(lengths, dtype=np.uint64), sizes)]), axis=1)
+        self.seeds, start = np.unique(pairs[0], return_index=True)
+        self.seed_start = np.append(start, pairs.shape[1]).astype(np.int64)
+        self.seed_lengths = pairs[1].astype(np.int64)
         self.sieve = np.zeros(1 << 20, dtype=bool)
         self.sieve[(self.seeds >> np.uint64(44)).astype(np.int64)] = True
 
@@ -102,12 +112,12 @@ class BenchmarkIndex:
         real = self.seeds[found] == s[maybe]
         spans = defaultdict(list)
         for p, k in zip(maybe[real].tolist(), found[real].tolist()):
-            for m in self.seed_lengths[k]:
+            for m in self.seed_lengths[self.seed_start[k]:self.seed_start[k + 1]].tolist():
                 spans[m].append(p)
         best: dict[int, tuple] = {}
         for m, places in spans.items():
             self._windows(h, s, m, places, threshold, best)
-        return [(self.items[i][0], *v) for i, v in sorted(best.items())]
+        return [(self.ids[i], *v) for i, v in sorted(best.items())]
 
     def _windows(self, h, s, m, places, threshold, best):
         words = min(m, len(h))  # a shorter document is one window
@@ -120,7 +130,7 @@ class BenchmarkIndex:
         starts = np.flatnonzero(np.cumsum(wanted[:-1]))
         if not len(starts):
             return
-        members, prints, near = self.lengths[m]
+        members, prints = self.lengths[m]
         for cut in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
             for at in range(0, len(cut), 4096):  # running sums over bounded stretches
                 part = cut[at:at + 4096]
@@ -128,19 +138,22 @@ class BenchmarkIndex:
                 sums = np.zeros((part[-1] - low + width + 1, 64), dtype=np.int32)
                 np.cumsum(_signs(s[low:part[-1] + width]), axis=0, out=sums[1:])
                 fp = _pack(sums[part - low + width] - sums[part - low])
-                cand = np.zeros((len(part), len(members)), dtype=bool)
-                for b in range(8):
-                    cand |= near[b][fp[:, b]]
-                for w, i in zip(*np.nonzero(cand)):
-                    if int(_POP[fp[w] ^ prints[i]].sum()) > RADIUS:
-                        continue
-                    item, start = int(members[i]), int(part[w])
-                    sim = self._similarity(item, s[start:start + width])
-                    if sim >= threshold and (item not in best or sim > best[item][0]):
-                        best[item] = (sim, start, words)
+                for t in range(0, len(members), TILE):  # bounded numbers of items
+                    tile = prints[t:t + TILE]
+                    cand = np.zeros((len(part), len(tile)), dtype=bool)
+                    for b in range(8):
+                        cand |= _NEAR[fp[:, b]][:, tile[:, b]]
+                    for w, i in zip(*np.nonzero(cand)):
+                        if int(_POP[fp[w] ^ tile[i]].sum()) > RADIUS:
+                            continue
+                        item, start = int(members[t + i]), int(part[w])
+                        sim = self._similarity(item, s[start:start + width])
+                        if sim >= threshold and (item not in best or sim > best[item][0]):
+                            best[item] = (sim, start, words)
 
     def _similarity(self, item: int, shingles: np.ndarray) -> float:
-        _, values, counts, total, _ = self.items[item]
+        here = slice(self.first[item], self.first[item + 1])
+        values, counts, total = self.values[here], self.counts[here], int(self.total[item])
         own, n = np.unique(shingles, return_counts=True)
         at = np.searchsorted(values, own)
         at[at == len(values)] = 0
@@ -171,7 +184,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     Words are compared with A-Z lower-cased and ASCII punctuation ignored. A
     document shorter than the item is one window. An item of fewer than ``n``
     words has no shingle and is found only as a whole document. Null or blank
-    texts and items match nothing; null ids are carried; a repeated row gives
+    texts and items match nothing; null ids of documents and items are
+    carried, and ids may be of any simple type; a repeated row gives
     its leaks again; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -180,12 +194,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     texts = docs.select(F.col(id_col).alias("doc_id"), binary_text(text_col).alias("text"))
     doc_kind = texts.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_kind}, item_id {kind}, similarity double, start_word long, n_words long"
+    item_type = benchmark.select(item_col).limit(0).toArrow().schema.field(0).type
     out = spark.createDataFrame([], schema)
     for block in _blocks(benchmark, item_col, item_text_col):
         index = spark.sparkContext.broadcast(BenchmarkIndex(block, n))
-        item_type = pa.array([block[0][0]]).type
-
-        def scan(batches, index=index, item_type=item_type):
+        def scan(batches, index=index):
             for b in batches:
                 at, rows = [], []
                 for k, t in enumerate(b.column(1).to_pylist()):

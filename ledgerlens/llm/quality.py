@@ -4,7 +4,7 @@ References are learned from the whole corpus: per language, the histogram of
 character classes and the histogram of the most common words (ranked by the
 number of their occurrences over all documents of the language). A document
 is judged by the Jensen-Shannon distance of its own histograms to its
-language's references; short documents are not judged by a histogram they
+language's references, which need a minimum of words; short documents are not judged by a histogram they
 cannot fill (minimum-length guards).
 """
 
@@ -25,7 +25,9 @@ CLASSES = ["lower", "upper", "digit", "space", "newline", "sentence", "symbol",
 #: words of a language that its reference histogram names; all others are one more bin
 COMMON_WORDS = 100
 #: a histogram is compared only when the document has so many characters / words
-MIN_CHARS, MIN_WORDS = 200, 50
+MIN_CHARS, MIN_WORDS = 200, 50  # characters are counted as UTF-8 bytes
+#: words behind a language's reference, at least
+MIN_REFERENCE_WORDS = 5000
 #: largest accepted Jensen-Shannon distances (0 to 1), above those of documents labelled good
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.35, 0.55
 SYMBOLS = b"#*$%&|<>"
@@ -102,8 +104,8 @@ def _continuation(data: bytes) -> int:
 
 def learn_references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict:
     """language -> (character-class histogram, {common word: bin}, word
-    histogram with the rest last), from all rows. Rows without a language
-    make the reference of None."""
+    histogram with the rest last), from all rows of languages with
+    ``MIN_REFERENCE_WORDS`` words or more. Rows without a language make none."""
     def count(batches):
         chars: dict = {}
         words: dict = {}
@@ -125,8 +127,11 @@ def learn_references(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
                  pa.array(np.arange(len(n))), pa.array(n.astype(np.int64))], ["lang", "word", "bin", "n"])
 
     counts = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-              .mapInArrow(count, "lang string, word binary, bin long, n long")
+              .where("lang is not null").mapInArrow(count, "lang string, word binary, bin long, n long")
               .groupBy("lang", "word", "bin").agg(F.sum("n").alias("n")))
+    enough = (counts.where("bin < 0").groupBy("lang").agg(F.sum("n").alias("n"))
+              .where(F.col("n") >= MIN_REFERENCE_WORDS).select("lang"))
+    counts = counts.join(enough, "lang", "left_semi")
     words = counts.where("bin < 0")
     ranked = (words.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
               .where(F.col("rank") <= COMMON_WORDS).select("lang", "word", F.col("bin"), "n"))
@@ -197,8 +202,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_dup_lines, n_repeat_words, base_failed, char_distance, word_distance, kept``.
 
     Words are runs without ASCII white space. A null text has no words. A row
-    whose language is null, or has no reference, is judged by the closest
-    reference. ``kept`` is false when a base rule fails or a distance that
+    whose language is null, or has no reference because fewer than
+    ``MIN_REFERENCE_WORDS`` words are of it, is judged by the closest
+    reference (least word distance, then least character distance). ``kept`` is false when a base rule fails or a distance that
     counts is above its limit; with no reference at all nothing is judged.
     Other columns are ignored; ids may be null or repeat.
     """

@@ -216,17 +216,19 @@ def op10_quality_rules(spark, sf_dir):
 
 
 def _js_sql(own: str, ref: str, bins: str) -> str:
-    """Jensen-Shannon distance of every rid's histogram ``own(rid, lang, b, c)``
-    to its language's ``ref(lang, b, c)`` over the bins ``bins(lang, b)``."""
+    """Jensen-Shannon distance of every (rid, lang) to be judged: of the
+    document's histogram ``own(rid, lang, b, c)`` to the language's
+    ``ref(lang, b, c)`` over the bins ``bins(lang, b)``."""
     return f"""
-SELECT rid, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
-                                 + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS distance
-FROM (SELECT d.rid, b.b, coalesce(o.c, 0) / d.total AS p, coalesce(r.c, 0) / t.total AS q
+SELECT rid, lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+                                       + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS distance
+FROM (SELECT d.rid, d.lang, b.b, coalesce(o.c, 0) / d.total AS p, coalesce(r.c, 0) / t.total AS q
       FROM (SELECT rid, lang, sum(c)::DOUBLE AS total FROM {own} GROUP BY rid, lang) d
       JOIN (SELECT lang, sum(c)::DOUBLE AS total FROM {ref} GROUP BY lang) t ON t.lang = d.lang
       JOIN {bins} b ON b.lang = d.lang
-      LEFT JOIN {own} o ON o.rid = d.rid AND o.b = b.b LEFT JOIN {ref} r ON r.lang = d.lang AND r.b = b.b)
-GROUP BY rid"""
+      LEFT JOIN {own} o ON o.rid = d.rid AND o.lang = d.lang AND o.b = b.b
+      LEFT JOIN {ref} r ON r.lang = d.lang AND r.b = b.b)
+GROUP BY rid, lang"""
 
 
 _CLASS_SQL = ", ".join(f"len(t) - len(regexp_replace(t, '{c}', '', 'g'))" for c in (
@@ -252,25 +254,34 @@ base AS (
   FROM docs d LEFT JOIN lines l USING (rid) LEFT JOIN repeats r USING (rid)),
 char_lists AS (SELECT rid, lang, [{_CLASS_SQL}] AS h FROM docs WHERE t <> ''),
 chars AS (SELECT rid, lang, unnest(h) AS c, generate_subscripts(h, 1) AS b FROM char_lists),
-char_ref AS (SELECT lang, b, sum(c) AS c FROM chars GROUP BY lang, b),
-char_bins AS (SELECT lang, b FROM char_ref),
 plain AS (SELECT rid, lang, translate(trim(word, '.,;:!?\'\'"()-'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS p
           FROM words),
-counts AS (SELECT lang, p, count(*) AS n FROM plain WHERE p <> '' GROUP BY lang, p),
+enough AS (SELECT lang FROM plain WHERE p <> '' AND lang IS NOT NULL GROUP BY lang HAVING count(*) >= {quality.MIN_REFERENCE_WORDS}),
+judged AS (SELECT rid, lang FROM docs WHERE lang IN (FROM enough)
+           UNION ALL SELECT rid, e.lang FROM docs d, enough e WHERE d.lang IS NULL OR d.lang NOT IN (FROM enough)),
+char_ref AS (SELECT lang, b, sum(c) AS c FROM chars WHERE lang IN (FROM enough) GROUP BY lang, b),
+char_bins AS (SELECT lang, b FROM char_ref),
+own_chars AS (SELECT rid, j.lang, b, c FROM judged j JOIN chars USING (rid)),
+counts AS (SELECT lang, p, count(*) AS n FROM plain WHERE p <> '' AND lang IN (FROM enough) GROUP BY lang, p),
 ranked AS (SELECT lang, p, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, encode(p)) AS k FROM counts),
 common AS (SELECT * FROM ranked WHERE k <= {quality.COMMON_WORDS}),
 word_ref AS (SELECT lang, least(k, {quality.COMMON_WORDS + 1}) AS b, sum(n) AS c FROM ranked GROUP BY 1, 2),
-own_words AS (SELECT rid, lang, coalesce(k, {quality.COMMON_WORDS + 1}) AS b, count(*) AS c
-              FROM plain LEFT JOIN common USING (lang, p) GROUP BY 1, 2, 3),
+own_words AS (SELECT j.rid, j.lang, coalesce(k, {quality.COMMON_WORDS + 1}) AS b, count(*) AS c
+              FROM judged j JOIN plain w USING (rid) LEFT JOIN common o ON o.lang = j.lang AND o.p = w.p GROUP BY 1, 2, 3),
 word_bins AS (SELECT lang, b FROM word_ref UNION SELECT lang, b FROM own_words),
-by_char AS ({_js_sql("chars", "char_ref", "char_bins")}),
-by_word AS ({_js_sql("own_words", "word_ref", "word_bins")})
+by_char AS ({_js_sql("own_chars", "char_ref", "char_bins")}),
+by_word AS ({_js_sql("own_words", "word_ref", "word_bins")}),
+distances AS (
+  SELECT rid, CASE WHEN bytes >= {quality.MIN_CHARS} THEN coalesce(c.distance, 0) ELSE 0 END AS by_char,
+         CASE WHEN n_words >= {quality.MIN_WORDS} THEN coalesce(v.distance, 0) ELSE 0 END AS by_word
+  FROM (SELECT rid, bytes, n_words FROM base) JOIN judged j USING (rid) LEFT JOIN by_char c USING (rid, lang) LEFT JOIN by_word v USING (rid, lang)),
+closest AS (SELECT rid, by_char, by_word FROM (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY by_word, by_char) AS k FROM distances) WHERE k = 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-       AND (bytes < {quality.MIN_CHARS} OR coalesce(c.distance, 0) <= {quality.MAX_CHAR_DISTANCE})
-       AND (n_words < {quality.MIN_WORDS} OR coalesce(v.distance, 0) <= {quality.MAX_WORD_DISTANCE}) AS kept
-FROM base LEFT JOIN by_char c USING (rid) LEFT JOIN by_word v USING (rid)
+       AND coalesce(by_char, 0) <= {quality.MAX_CHAR_DISTANCE} AND coalesce(by_word, 0) <= {quality.MAX_WORD_DISTANCE} AS kept
+FROM base LEFT JOIN closest USING (rid)
 """
 
 

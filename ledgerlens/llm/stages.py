@@ -34,15 +34,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked texts, that of the smallest
-    id (of rows that repeat it, one). Blank texts and rows without an id link
-    with nothing and stay."""
-    groups = ngram_join.ngram_jaccard_join(docs, n=NEAR_WORDS, num=NEAR_NUM, den=NEAR_DEN)
-    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("stay_id")).distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("whole")))
-    kept = (_packed(docs, "doc_id").where("doc_id is not null")
-            .join(stay, F.col("doc_id") == F.col("stay_id"), "left_semi").withColumn("nth", first).where("nth = 1"))
-    return kept.select("whole.*").union(docs.where("doc_id is null"))
+    """Keeps one row of each group of linked texts, that of the smallest id.
+    Rows are linked one by one: an id that comes with several texts keeps each
+    text that links with no other, and of equal rows one stays. Blank texts
+    and rows without an id link with nothing and stay."""
+    st = Stages(spark, "near-duplicates")
+    rows = st.write(_packed(docs.where("doc_id is not null")).withColumn("rid", F.monotonically_increasing_id()), "rows")
+    groups = ngram_join.ngram_jaccard_join(rows.select("rid", "whole.text"), id_col="rid", n=NEAR_WORDS, num=NEAR_NUM, den=NEAR_DEN)
+    groups = groups.select(F.col("doc_id").alias("rid"), "component_id")
+    stay = (groups.join(rows.select("rid", "whole.doc_id"), "rid").groupBy("component_id")
+            .agg(F.min(F.struct("doc_id", "rid")).alias("least")).select(F.col("least.rid").alias("rid")))
+    return rows.join(stay, "rid", "left_semi").select("whole.*").union(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
