@@ -9,27 +9,33 @@ word-level De Bruijn graph; an edge walked from two places is repeated.
    are counted over the whole corpus into slots of a bitmap of fixed size
    (a slot shared by chance only lets a few more windows through; when a
    corpus fills the bitmap, all windows pass and the result is the same).
-2. Consecutive windows with one minimizer are a locally compacted path. The
-   paths, not their windows, are shuffled by minimizer. Sorted runs of equal
-   paths are repeated as a whole; only paths that share a minimizer with a
-   different path are taken apart into windows, and one more shuffle by
-   window finds the repeated ones. Both scans look at neighbouring rows of a
-   sorted stream, so a passage in any number of documents costs no memory.
-3. Each repeated piece carries its *source coordinates*, the first place that
-   walks it. Per document, pieces whose source coordinates advance together
-   are a nonbranching path and are compacted to one span; spans are joined
-   back to their documents. Identity of a window is 80 bits of independent
-   hashes (minimizer and window), of a whole path 104 bits.
+2. Consecutive windows with one minimizer are a locally compacted path. A
+   path equal to one met before in the same task refers to it at once. The
+   others are shuffled by minimizer; sorted runs of equal paths refer to the
+   first one, and only paths that share a minimizer with a different path
+   are taken apart into windows, which one more shuffle by window compares.
+   Windows of a minimizer with ``HOT`` places or more skip the shuffle by
+   minimizer: a common passage is reduced per task, then dealt by window.
+3. Each reference carries its *source coordinates*, the first place found.
+   Per document, references whose source coordinates advance together are a
+   nonbranching path and are compacted to one span.
+4. A span is verified: a 128-bit digest of its words and of the words at its
+   source coordinates, each read from the document itself, must be equal
+   (a join of the two digests). Only then both places are removed. What
+   hashes alone put together (80 bits for a window, 104 for a path) stays.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import binary_text, hash_words, in_bitmap, mix64, ready, slot_bitmap, window_hashes
+from ledgerlens.llm.common import Stages, binary_text, hash_words, in_bitmap, mix64, ready, slot_bitmap, window_hashes
 
 #: slots of the minimizer bitmap: 16 MB when broadcast, whatever the input
 SLOT_BITS = 27
@@ -38,6 +44,14 @@ SHORT = 8
 _POS_BITS = 24
 #: bytes kept of a window's hash beside its 40-bit minimizer
 _KEPT = 5
+#: places of a slot from which its paths are dealt by window
+HOT = 1 << 17
+#: paths and windows that a task remembers to find repeats by itself
+SEEN = 1 << 17
+#: kinds of rows: a path, a reference to its source, a single window
+_PATH, _REFERENCE, _WINDOW = 0, 1, 2
+#: stands for a null id inside the spans
+NO_ID = -(1 << 63)
 
 
 def _slide_min(a: np.ndarray, width: int) -> np.ndarray:
@@ -63,8 +77,9 @@ def _slot(packed: np.ndarray) -> np.ndarray:
     return (packed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def repeated_slots(texts: DataFrame, k: int) -> np.ndarray:
-    """Bitmap of the slots that two or more minimizer places fall into."""
+def repeated_slots(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmap of the slots that two or more minimizer places fall into, and
+    the slots with ``HOT`` places or more."""
     def places(batches):
         for b in batches:
             found = []
@@ -79,12 +94,21 @@ def repeated_slots(texts: DataFrame, k: int) -> np.ndarray:
 
     twice = (texts.select("text").mapInArrow(places, "slot long, n long")
              .groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1"))
-    return slot_bitmap(twice, SLOT_BITS)
-
-
-def _paths(h: np.ndarray, k: int, bitmap: np.ndarray):
+    size = 1 << SLOT_BITS  # hot slots are in a second bitmap behind the first
+    slots = twice.select(F.explode(F.when(F.col("n") >= HOT, F.array("slot", F.col("slot") + size))
+                                   .otherwise(F.array("slot"))).alias("slot"))
+    both = slot_bitmap(slots, SLOT_BITS + 1)
+    hot = both[size // 8:]
+    bytes_ = np.flatnonzero(hot)
+    bits = np.unpackbits(hot[bytes_], bitorder="little").reshape(-1, 8)
+    row, bit = np.nonzero(bits)
+    return both[:size // 8].copy(), bytes_[row] * 8 + bit
+
+
+def _paths(h: np.ndarray, k: int, bitmap: np.ndarray, hot: np.ndarray):
     """The locally compacted paths of one document that may repeat: minimizer,
-    digest, start, number of windows, and the kept bytes of their windows."""
+    digest, start, number of windows, the kept bytes of their windows, and
+    whether the minimizer is hot."""
     packed = minimizers(h, k)
     start = np.flatnonzero(np.diff(packed, prepend=~packed[:1]))
     slot = _slot(packed[start])
@@ -100,173 +124,302 @@ def _paths(h: np.ndarray, k: int, bitmap: np.ndarray):
                    + w[start + count - 1] * np.uint64(0xC2B2AE3D27D4EB4F) + count.astype(np.uint64))
     body = np.ascontiguousarray(w[flagged].view(np.uint8).reshape(-1, 8)[:, :_KEPT])
     return ((packed[start] >> np.uint64(_POS_BITS)).view(np.int64), digest.view(np.int64),
-            start.astype(np.int32), count.astype(np.int32), body)
+            start.astype(np.int32), count.astype(np.int32), body, np.isin(slot[pick], hot))
+
+
+def _window_keys(raw: np.ndarray) -> np.ndarray:
+    w = np.zeros((len(raw), 8), dtype=np.uint8)
+    w[:, :_KEPT] = raw
+    return w.view(np.int64)[:, 0]
+
+
+class _Seen(dict):
+    """Places of the paths and windows that one task has met, up to ``SEEN``."""
+
+    def source(self, key, place):
+        """Where ``key`` was met before; None if it was not."""
+        at = self.get(key)
+        if at is None:
+            if len(self) >= SEEN:
+                self.clear()
+            self[key] = place
+        return at
+
+
+_ROWS = "kind byte, deal long, m long, w long, doc_id long, th long, pos int, windows int, s_doc long, s_th long, s_pos int"
+_TYPES = (np.int8, np.int64, np.int64, np.int64, np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int32)
+_NAMES = [c.split()[0] for c in _ROWS.split(", ")]
+
+
+def _rows(kind, deal, m, w, doc, th, pos, windows, s_doc, s_th, s_pos, body=None) -> pa.RecordBatch:
+    n = len(pos)
+    columns = [pa.array(np.broadcast_to(np.asarray(x), n).astype(t))
+               for x, t in zip((kind, deal, m, w, doc, th, pos, windows, s_doc, s_th, s_pos), _TYPES)]
+    if body is None:
+        return pa.RecordBatch.from_arrays(columns, _NAMES)
+    return pa.RecordBatch.from_arrays([*columns, body], [*_NAMES, "body"])
+
+
+def _no_bodies(n: int) -> pa.Array:
+    return pa.array([None] * n, pa.binary())
+
+
+def _document_rows(doc: int, th: int, found, seen: _Seen):
+    """Rows of one document: paths, windows of hot paths, and references of
+    those that this task has met before."""
+    m, digest, start, count, body, hot = found
+    first = np.concatenate([[0], np.cumsum(count)])
+    fresh, apart, refs = [], [], []
+    for i, (mm, dd, at, n, is_hot) in enumerate(zip(m.tolist(), digest.tolist(), start.tolist(), count.tolist(), hot.tolist())):
+        src = seen.source((mm, dd), (doc, th, at))
+        if src is not None:
+            refs.append((at, n, *src))
+        else:
+            (apart if is_hot else fresh).append(i)
+    out = []
+    if fresh:
+        i = np.array(fresh)
+        pick = np.zeros(len(m), dtype=bool)
+        pick[i] = True
+        raw = body[np.repeat(pick, count)]
+        offsets = np.concatenate([[0], np.cumsum(count[i] * _KEPT)]).astype(np.int32)
+        bodies = pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())])
+        out.append(_rows(_PATH, m[i], m[i], digest[i], doc, th, start[i], count[i], 0, 0, 0, bodies))
+    for i in apart:
+        mm, at = int(m[i]), int(start[i])
+        keys = _window_keys(body[first[i]:first[i + 1]])
+        new = []
+        for j, w in enumerate(keys.tolist()):
+            src = seen.source((mm, w, _WINDOW), (doc, th, at + j))
+            if src is None:
+                new.append(j)
+            else:
+                refs.append((at + j, 1, *src))
+        if new:
+            j = np.array(new)
+            out.append(_rows(_WINDOW, keys[j], mm, keys[j], doc, th, at + j, 0, 0, 0, 0, _no_bodies(len(j))))
+    if refs:
+        at, n, s_doc, s_th, s_pos = (np.array(x) for x in zip(*refs))
+        out.append(_rows(_REFERENCE, th ^ doc, 0, 0, doc, th, at, n, s_doc, s_th, s_pos, _no_bodies(len(at))))
+    return out
+
+
+def _columns(b: pa.RecordBatch):
+    return [c.to_numpy(zero_copy_only=False) for c in b.columns[:len(_NAMES)]]
+
+
+def _references(doc, th, pos, windows, s_doc, s_th, s_pos) -> pa.RecordBatch:
+    return _rows(_REFERENCE, np.asarray(th) ^ np.asarray(doc), 0, 0, doc, th, pos, windows, s_doc, s_th, s_pos)
+
+
+def _windows(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The single windows of paths."""
+    _, _, m, _, doc, th, start, count, *_ = _columns(b)
+    w = _window_keys(np.frombuffer(b"".join(b.column(len(_NAMES)).to_pylist()), dtype=np.uint8).reshape(-1, _KEPT))
+    at = np.repeat(np.arange(len(m)), count)
+    step = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+    return _rows(_WINDOW, w, m[at], w, doc[at], th[at], start[at] + step, 0, 0, 0, 0)
+
+
+def _settle(batches):
+    """Rows by minimizer, sorted: a path equal to the one before it refers to
+    the first of its run; paths that differ under one minimizer are taken
+    apart, with an example of each repeated one among them. References and
+    single windows go on as they are."""
+    held = src = None
+    went = False  # the held path equals one before it
+    under = False  # a different path under its minimizer went before
+    for b in batches:
+        others = pa.compute.not_equal(b.column(0), pa.scalar(_PATH, pa.int8()))
+        passed = b.filter(others)
+        if passed.num_rows:
+            yield pa.RecordBatch.from_arrays(passed.columns[:len(_NAMES)], _NAMES)
+        b = b.filter(pa.compute.invert(others))
+        if held is not None:
+            b = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns, b.columns)], schema=b.schema)
+        if b.num_rows == 0:
+            continue
+        _, _, m, digest, doc, th, start, count, *_ = _columns(b)
+        same_m = np.zeros(len(m) + 1, dtype=bool)
+        same = np.zeros(len(m) + 1, dtype=bool)
+        same_m[1:-1] = m[1:] == m[:-1]
+        same[1:-1] = same_m[1:-1] & (digest[1:] == digest[:-1])
+        same_m[0], same[0] = went or under, went
+        first = np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(m))))
+        s_doc, s_th, s_pos = doc[first], th[first], start[first]
+        if went:
+            own = first == 0
+            s_doc[own], s_th[own], s_pos[own] = src
+        last = len(m) - 1
+        again = same[:-1].copy()
+        apart = (same_m[:-1] & ~same[:-1]) | (same_m[1:] & ~same[1:])
+        again[last] = apart[last] = False  # judged with the rows that follow
+        if again.any():
+            yield _references(doc[again], th[again], start[again], count[again], s_doc[again], s_th[again], s_pos[again])
+        if apart.any():
+            yield _windows(b.filter(pa.array(apart)))
+        held, src = b.slice(last), (s_doc[last], s_th[last], s_pos[last])
+        went, under = bool(same[last]), bool(same_m[last] and not same[last])
+    if held is not None:
+        if went:
+            _, _, _, _, doc, th, start, count, *_ = _columns(held)
+            yield _references(doc, th, start, count, *(np.array([x]) for x in src))
+        elif under:
+            yield _windows(held)
+
+
+def _repeated(batches):
+    """Rows by window, sorted: a window equal to the one before it refers to
+    the first of its run."""
+    before = src = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        kind, _, m, w, doc, th, pos, windows, s_doc, s_th, s_pos = (c.copy() for c in _columns(b))
+        window = kind == _WINDOW
+        same = np.zeros(len(m), dtype=bool)
+        same[1:] = window[1:] & window[:-1] & (m[1:] == m[:-1]) & (w[1:] == w[:-1])
+        same[0] = bool(window[0]) and before == (m[0], w[0])
+        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(m))))
+        own = same & (first == 0) if same[0] else np.zeros(len(m), dtype=bool)
+        s_doc[same], s_th[same], s_pos[same] = doc[first[same]], th[first[same]], pos[first[same]]
+        if own.any():
+            s_doc[own], s_th[own], s_pos[own] = src
+        windows[same] = 1
+        out = same | ~window
+        if out.any():
+            yield _span_batch(doc[out], th[out], pos[out], windows[out], s_doc[out], s_th[out], s_pos[out])
+        if window[-1]:
+            src = (s_doc[-1], s_th[-1], s_pos[-1]) if same[-1] else (doc[-1], th[-1], pos[-1])
+            before = (m[-1], w[-1])
+        else:
+            before = None
+
+
+_SPAN = "doc_id long, th long, pos int, windows int, s_doc long, s_th long, s_pos int"
+
+
+def _span_batch(*columns) -> pa.RecordBatch:
+    kinds = (np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x).astype(t)) for x, t in zip(columns, kinds)],
+                                      ["doc_id", "th", "pos", "windows", "s_doc", "s_th", "s_pos"])
 
 
 def repeated_spans(texts: DataFrame, k: int) -> DataFrame:
-    """``doc_id, th, start, words, src_doc, src_start`` of the compacted
-    repeated paths; ``texts`` has ``doc_id, th, text``."""
-    bitmap = texts.sparkSession.sparkContext.broadcast(repeated_slots(texts, k))
+    """``doc_id, th, start, words, src_doc, src_th, src_start`` of the
+    compacted repeated paths by their hashes, each source as a span of its
+    own; ``texts`` has ``doc_id, th, text`` (``NO_ID`` for a null id)."""
+    found = linked_spans(texts, k)
+    sources = found.select("src_doc", "src_th", "src_start", "words").distinct()
+    return found.union(sources.select("src_doc", "src_th", "src_start", "words", "src_doc", "src_th", "src_start"))
+
+
+def linked_spans(texts: DataFrame, k: int) -> DataFrame:
+    """The spans of ``repeated_spans`` that lie at another place than their source."""
+    bits, hot = repeated_slots(texts, k)
+    bitmap = texts.sparkSession.sparkContext.broadcast((bits, hot))
 
     def paths(batches):
+        seen = _Seen()
+        bits, hot = bitmap.value
         for b in batches:
             rows, size = [], 0
             for doc, th, t in zip(*(c.to_pylist() for c in b.columns)):
                 words = t.split() if t else []
-                if len(words) < k:
-                    continue
-                found = _paths(hash_words(words), k, bitmap.value)
+                found = _paths(hash_words(words), k, bits, hot) if len(words) >= k else None
                 if found is not None:
-                    rows.append((NO_ID if doc is None else doc, th, *found))
+                    rows += _document_rows(doc, th, found, seen)
                     size += found[4].size
                     if size > 1 << 22:
-                        yield _path_batch(rows)
+                        yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
                         rows, size = [], 0
             if rows:
-                yield _path_batch(rows)
-
-    def settle(batches):
-        """Equal paths pass whole; paths that differ under one minimizer are
-        taken apart, with an example of each repeated one among them. Whole
-        paths go on dealt by their document, windows by their hashes."""
-        held = src = None
-        went = False  # a path equal to the held one went before
-        under = False  # a different path under its minimizer went before
-        for b in batches:
-            if held is not None:
-                b = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns, b.columns)],
-                                               schema=b.schema)
-            if b.num_rows == 0:
-                continue
-            m, digest, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in b.columns[:6])
-            same_m = np.zeros(len(m) + 1, dtype=bool)
-            same = np.zeros(len(m) + 1, dtype=bool)
-            same_m[1:-1] = m[1:] == m[:-1]
-            same[1:-1] = same_m[1:-1] & (digest[1:] == digest[:-1])
-            same_m[0], same[0] = went or under, went
-            first = np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(m))))
-            s_doc, s_pos = doc[first], start[first]
-            if held is not None:
-                own = first == 0
-                s_doc[own], s_pos[own] = src
-            last = len(m) - 1
-            out = []
-            twice = same[:-1] | same[1:]
-            apart = (same_m[:-1] & ~same[:-1]) | (same_m[1:] & ~same[1:])
-            twice[last] = apart[last] = False
-            out.append(_piece_batch(doc[twice], th[twice], doc[twice], th[twice], start[twice], count[twice],
-                                    s_doc[twice], s_pos[twice]))
-            if apart.any():
-                out.append(_windows(b.filter(pa.array(apart))))
-            yield from out
-            held, src = b.slice(last), (s_doc[last], s_pos[last])
-            went, under = bool(same[last]), bool(same_m[last] and not same[last])
-        if held is not None:
-            if went:
-                _, _, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in held.columns[:6])
-                yield _piece_batch(doc, th, doc, th, start, count, np.array([src[0]]), np.array([src[1]]))
-            elif under:
-                yield _windows(held)
-
-    def repeated(batches):
-        held = src = None
-        went = ends = False
-        for b in batches:
-            if held is not None:
-                b = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns, b.columns)],
-                                               schema=b.schema)
-            if b.num_rows == 0:
-                continue
-            m, w, doc, th, pos, count, s_doc, s_pos = (c.to_numpy(zero_copy_only=False).copy() for c in b.columns)
-            piece = count == 0  # a single window; whole paths pass as they are
-            same = np.zeros(len(m) + 1, dtype=bool)
-            same[1:-1] = (m[1:] == m[:-1]) & (w[1:] == w[:-1]) & piece[1:] & piece[:-1]
-            same[0] = went
-            first = np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(m))))
-            own = (first == 0) & went
-            s_doc = np.where(piece, doc[first], s_doc)
-            s_pos = np.where(piece, pos[first], s_pos)
-            if went:
-                s_doc[own & piece], s_pos[own & piece] = src
-            last = len(m) - 1
-            out = ~piece | same[:-1] | same[1:]
-            keep = out.copy()
-            keep[last] = False
-            yield _span_batch(doc[keep], th[keep], pos[keep], np.maximum(count[keep], 1), s_doc[keep], s_pos[keep])
-            held, src, went = b.slice(last), (s_doc[last], s_pos[last]), bool(same[last])
-            ends = bool(not piece[last])
-        if held is not None and (went or ends):
-            _, _, doc, th, pos, count = (c.to_numpy(zero_copy_only=False) for c in held.columns[:6])
-            yield _span_batch(doc, th, pos, np.maximum(count, 1), np.array([src[0]]), np.array([src[1]]))
+                yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
 
     def compact(batches):
         for b in batches:
-            doc, th, pos, count, src, src_pos = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            doc, th, pos, count, s_doc, s_th, s_pos = (c.to_numpy(zero_copy_only=False) for c in b.columns)
             if not len(doc):
                 continue
             new = np.ones(len(doc), dtype=bool)  # a path starts here
             new[1:] = ~((doc[1:] == doc[:-1]) & (th[1:] == th[:-1]) & (pos[1:] == pos[:-1] + count[:-1])
-                        & (src[1:] == src[:-1]) & (src_pos[1:] == src_pos[:-1] + count[:-1]))
+                        & (s_doc[1:] == s_doc[:-1]) & (s_th[1:] == s_th[:-1]) & (s_pos[1:] == s_pos[:-1] + count[:-1]))
             at = np.flatnonzero(new)
             end = np.append(at[1:], len(doc)) - 1
             words = (pos[end] + count[end] - pos[at] + k - 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[at], th[at], pos[at], words, src[at], src_pos[at])],
-                                             ["doc_id", "th", "start", "words", "src_doc", "src_start"])
-
-    found = (texts.mapInArrow(paths, "m long, digest long, doc_id long, th int, start int, windows int, body binary")
-             .repartition("m").sortWithinPartitions("m", "digest", "doc_id", "start")
-             .mapInArrow(settle, "m long, w long, doc_id long, th int, pos int, windows int, src_doc long, src_pos int")
-             .repartition("m", "w").sortWithinPartitions("m", "w", "windows", "doc_id", "pos")
-             .mapInArrow(repeated, "doc_id long, th int, pos int, windows int, src_doc long, src_pos int"))
-    return (found.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "pos", "windows")
-            .mapInArrow(compact, "doc_id long, th int, start int, words int, src_doc long, src_start int"))
-
-
-#: stands for a null id inside the spans
-NO_ID = -(1 << 63)
-
-
-def _path_batch(rows):
-    lengths = [len(r[2]) for r in rows]
-    counts = np.concatenate([r[5] for r in rows])
-    offsets = np.concatenate([[0], np.cumsum(counts * _KEPT)]).astype(np.int32)
-    body = pa.Array.from_buffers(pa.binary(), len(counts),
-                                 [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate([r[6] for r in rows]).tobytes())])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([r[2] for r in rows])), pa.array(np.concatenate([r[3] for r in rows])),
-         pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), lengths)),
-         pa.array(np.repeat(np.array([r[1] for r in rows], np.int32), lengths)),
-         pa.array(np.concatenate([r[4] for r in rows])), pa.array(counts), body],
-        ["m", "digest", "doc_id", "th", "start", "windows", "body"])
-
-
-def _piece_batch(m, w, doc, th, pos, count, src, src_pos):
-    kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(x).astype(t)) for x, t in zip((m, w, doc, th, pos, count, src, src_pos), kinds)],
-        ["m", "w", "doc_id", "th", "pos", "windows", "src_doc", "src_pos"])
-
-
-def _windows(b: pa.RecordBatch) -> pa.RecordBatch:
-    """The single windows of paths."""
-    m, _, doc, th, start, count = (c.to_numpy(zero_copy_only=False) for c in b.columns[:6])
-    raw = np.frombuffer(b"".join(b.column(6).to_pylist()), dtype=np.uint8).reshape(-1, _KEPT)
-    w = np.zeros((len(raw), 8), dtype=np.uint8)
-    w[:, :_KEPT] = raw
-    at = np.repeat(np.arange(len(m)), count)
-    step = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-    zero = np.zeros(len(at))
-    return _piece_batch(m[at], w.view(np.int64)[:, 0], doc[at], th[at], start[at] + step, zero, zero, zero)
-
-
-def _span_batch(doc, th, pos, count, src, src_pos):
-    kinds = (np.int64, np.int32, np.int32, np.int32, np.int64, np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(x).astype(t)) for x, t in zip((doc, th, pos, count, src, src_pos), kinds)],
-        ["doc_id", "th", "pos", "windows", "src_doc", "src_pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[at], th[at], pos[at], words, s_doc[at], s_th[at], s_pos[at])],
+                                             ["doc_id", "th", "start", "words", "src_doc", "src_th", "src_start"])
+
+    found = (texts.mapInArrow(paths, _ROWS + ", body binary")
+             .repartition("deal").sortWithinPartitions("kind", "m", "w", "doc_id", "th", "pos")
+             .mapInArrow(_settle, _ROWS)
+             .repartition("m", "deal").sortWithinPartitions("kind", "m", "w", "doc_id", "th", "pos")
+             .mapInArrow(_repeated, _SPAN))
+    return (found.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "s_doc", "s_th", "pos", "windows")
+            .mapInArrow(compact, "doc_id long, th long, start int, words int, src_doc long, src_th long, src_start int"))
+
+
+_CUT = "doc_id long, th long, n_words long, n_removed long, kept_text string, start int, words int, digest binary"
+
+
+def _cut(batches):
+    """Sorted rows of texts (start -1), each followed by the spans asked of
+    it: a digest row per span, and the text without the spans once for every
+    equal row."""
+    types = [pa.int64()] * 4 + [pa.string(), pa.int32(), pa.int32(), pa.binary()]
+    names = [c.split()[0] for c in _CUT.split(", ")]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    def kept(key, texts):
+        for words, edge, copies in texts:
+            if edge is None:
+                row = (*key, len(words), 0, b" ".join(words).decode(), None, None, None)
+            else:
+                keep = np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()
+                row = (*key, len(words), len(words) - len(keep), b" ".join([words[i] for i in keep]).decode(), None, None, None)
+            for _ in range(copies):
+                yield row
+
+    key, texts, rows, size = None, [], [], 0  # texts: of one key, different ones only where their hashes clash
+    for b in batches:
+        for doc, th, start, n, text in zip(*(c.to_pylist() for c in b.columns)):
+            if (doc, th) != key:
+                for row in kept(key, texts):
+                    rows.append(row)
+                    size += len(row[4]) + 64
+                    if size > 1 << 22:
+                        yield batch(rows)
+                        rows, size = [], 0
+                key, texts, last = (doc, th), [], None
+            if start < 0:
+                if texts and last == text:
+                    texts[-1][2] += 1
+                else:
+                    texts.append([text.split() if text else [], None, 1])
+                    last = text
+                continue
+            for t in texts:
+                words = t[0]
+                digest = hashlib.blake2b(b" ".join(words[start:start + n]), digest_size=16).digest()
+                rows.append((doc, th, None, None, None, start, n, digest))
+                size += 100
+                if start + n <= len(words):
+                    if t[1] is None:
+                        t[1] = np.zeros(len(words) + 1, dtype=np.int32)
+                    t[1][start] += 1
+                    t[1][start + n] -= 1
+        if size > 1 << 22:
+            yield batch(rows)
+            rows, size = [], 0
+    rows += kept(key, texts)
+    if rows:
+        yield batch(rows)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 35) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 35,
+                   stages: Stages | None = None) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text``: every input row with the
     words outside all repeated ``k``-word windows, joined by one space.
 
@@ -275,36 +428,30 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     another place of any document, the same one included. Rows that repeat
     (same id and text) are places of their own, so their windows go. Null,
     blank and short texts lose nothing (null: no words, empty kept text);
-    a null id is allowed; other columns are ignored.
+    a null id is allowed, and rows of one id (or of null) are told apart by a
+    64-bit hash of their texts; spans that such a clash would mix up fail the
+    comparison of their words and stay. Ids must be integers. Other columns
+    are ignored.
     """
     ready(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("th"),
-                        binary_text(text_col).alias("text"))
-    spans = (repeated_spans(texts, k).groupBy(F.col("doc_id").alias("d"), F.col("th").alias("t"))
-             .agg(F.collect_list(F.struct("start", "words")).alias("spans")))
-    joined = texts.join(spans, (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("d")) & (F.col("th") == F.col("t")), "left")
-
-    def cut(batches):
-        for b in batches:
-            total, gone, kept = [], [], []
-            for t, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                words = t.split() if t else []
-                total.append(len(words))
-                if spans:
-                    edge = np.zeros(len(words) + 1, dtype=np.int64)
-                    for s in spans:
-                        edge[s["start"]] += 1
-                        edge[s["start"] + s["words"]] -= 1
-                    keep = np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()
-                    gone.append(len(words) - len(keep))
-                    words = [words[i] for i in keep]
-                else:
-                    gone.append(0)
-                kept.append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
-
-    return joined.select("doc_id", "text", "spans").mapInArrow(
-        cut, "doc_id long, n_words long, n_removed long, kept_text string")
-
+    stages = stages or Stages(docs.sparkSession, "substring")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
+                        F.xxhash64(text_col).alias("th"), binary_text(text_col).alias("text"))
+    spans = stages.write(linked_spans(texts, k), "spans")
+    own, source = ["doc_id", "th", "start", "words"], ["src_doc", "src_th", "src_start", "words"]
+    while True:
+        asked = spans.select(own).union(spans.select(source)).distinct()
+        rows = (texts.select("doc_id", "th", F.lit(-1).alias("start"), F.lit(0).alias("words"), "text")
+                .unionByName(asked.withColumn("text", F.lit(None).cast("binary"))))
+        cut = stages.write(rows.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "start", "words", "text")
+                           .mapInArrow(_cut, _CUT), "cut")
+        digests = cut.where("digest is not null").select(*own, "digest")
+        place = digests.select(*[F.col(a).alias(b) for a, b in zip(own, source)], F.col("digest").alias("src_digest"))
+        unlike = spans.join(digests, own).join(place, source).where("digest <> src_digest").select(spans.columns).distinct()
+        if unlike.isEmpty():
+            break
+        right = stages.write(spans.join(unlike, spans.columns, "left_anti"), "spans")
+        stages.drop(cut)
+        spans = right
+    stages.drop(spans)
+    return cut.where("digest is null").select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_words", "n_removed", "kept_text")

@@ -12,6 +12,7 @@ from brute import (
 )
 from ledgerlens.llm import common, decontaminate, language, mixing, ngram_join, quality, sharding, substring, tokens
 from ledgerlens.llm.common import Stages
+from pyspark.sql import functions as F
 
 
 def small(spark, sf_small):
@@ -403,3 +404,84 @@ def test_js_distance():
     kl = sum(x * np.log2(x / y) for x, y in zip(p, m) if x) + sum(x * np.log2(x / y) for x, y in zip(q, m) if x)
     assert abs(quality.js_distance(p, q) - np.sqrt(kl / 2)) < 1e-12
     assert shingles("A b", 3) == {("a", "b")} and hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def removed(spark, rows, **more):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = substring.remove_repeats(df, k=35, **more).collect()
+    return sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in out)
+
+
+def wanted(rows):
+    return sorted((str(i), *w) for (i, _), w in zip(rows, removed_words([t for _, t in rows], 35)))
+
+
+def test_substring_tells_rows_of_one_id_apart(spark):
+    numbers = spark.range(300_000).selectExpr(
+        "id", "concat_ws(' ', transform(sequence(1, 40), i -> concat('w', CAST(id * 41 + i AS STRING)))) AS text")
+    clash = (numbers.selectExpr("id", "hash(text) AS h").groupBy("h").agg(F.collect_list("id").alias("ids"))
+             .where("size(ids) > 1").first().ids[:2])
+    a, b = (r.text for r in numbers.where(F.col("id").isin(clash)).collect())
+    rows = [(None, a), (None, b), (1, a), (7, b + " " + prose(3, 50)), (7, prose(4, 80)), (7, prose(4, 80)), (None, prose(5, 70))]
+    assert removed(spark, rows) == wanted(rows)
+    rows = [(None, a), (None, b), (1, a)]  # unlike texts of equal 32-bit hash
+    assert removed(spark, rows) == wanted(rows) and sorted(w[2] for w in wanted(rows)) == [0, 40, 40]
+
+
+def test_substring_of_hot_minimizers_by_window(spark, monkeypatch):
+    passage = prose(9, 50)
+    rows = [(i, f"{prose(i, 20 + i % 7)} {passage} {prose(500 + i, 25)}") for i in range(40)]
+    rows += [(100 + i, rows[i][1]) for i in range(5)] + [(200, "again " * 120), (201, passage), (None, passage), (None, rows[3][1])]
+    monkeypatch.setattr(substring, "HOT", 3)
+    assert removed(spark, rows) == wanted(rows)
+
+
+def test_substring_spans_unlike_their_source_stay(spark, monkeypatch):
+    """Hashes that put unlike words together: nothing is removed on their word."""
+    rows = [(i, prose(i, 60)) for i in range(6)] + [(10, prose(70, 45)), (11, prose(70, 45))]
+    right = substring.linked_spans
+
+    def wrong(texts, k):
+        found = right(texts, k)
+        rows = texts.select("doc_id", "th").orderBy("doc_id").collect()
+        false = [(a.doc_id, a.th, 3, 40, b.doc_id, b.th, 5) for a, b in zip(rows[:3], rows[1:4])]
+        return found.union(spark.createDataFrame(false, found.schema))
+
+    monkeypatch.setattr(substring, "linked_spans", wrong)
+    assert removed(spark, rows) == wanted(rows)
+
+
+def test_leaks_of_items_without_id_and_of_int_ids(spark):
+    docs = spark.createDataFrame([(1, f"{prose(1, 20)} {prose(50, 30)}"), (2, prose(51, 30)), (3, prose(3, 40))], "doc_id bigint, text string")
+    for kind, ids in (("int", (None, 7)), ("string", (None, "b"))):
+        items = spark.createDataFrame([(ids[0], prose(50, 30)), (ids[1], prose(51, 30))], f"item_id {kind}, text string")
+        got = decontaminate.find_leaks(docs, items)
+        assert got.schema["item_id"].dataType.simpleString() == kind
+        assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(1, ids[0]), (2, ids[1])]
+
+
+def test_quality_of_null_and_rare_languages(spark):
+    import random
+    r = random.Random(2)
+    junk = " ".join("".join(r.choice("0123456789{}[]=+~^_@/") for _ in range(6)) for _ in range(300))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    some = docs.where("doc_id % 10 = 3").withColumn("lang", F.lit(None).cast("string"))
+    bad = spark.createDataFrame([(90_000, junk + " a", "zz"), (90_001, junk + " b", None), (90_002, junk + " c", "en")],
+                                "doc_id bigint, text string, lang string")
+    before = {x.doc_id: x.kept for x in quality.quality_rules(docs).collect()}
+    out = {x.doc_id: x for x in quality.quality_rules(docs.where("doc_id % 10 <> 3").union(some).union(bad)).collect()}
+    assert not any(out[i].kept for i in (90_000, 90_001, 90_002))
+    assert all(out[x.doc_id].kept == before[x.doc_id] for x in some.collect())
+    few = spark.createDataFrame([(1, prose(1, 100), "en"), (2, junk, None)], "doc_id bigint, text string, lang string")
+    assert [x.kept for x in quality.quality_rules(few).orderBy("doc_id").collect()] == [True, True]  # no reference: not judged
+
+
+def test_near_duplicates_keep_unlike_texts_of_one_id(spark, sf_small):
+    from ledgerlens.llm import stages
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a), (1, b), (2, edited(a, 1, 0.005)), (2, c), (3, c), (3, c), (4, ""), (4, None), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = stages.near_duplicates(spark, docs, sf_small)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(1, a), (1, b), (2, c), (4, ""), (4, None), (None, a)], key=str)
