@@ -10,12 +10,12 @@ word-level De Bruijn graph; an edge walked from two places is repeated.
    (a slot shared by chance only lets a few more windows through; when a
    corpus fills the bitmap, all windows pass and the result is the same).
 2. Consecutive windows with one minimizer are a locally compacted path. A
-   path equal to one met before in the same task refers to it at once. The
-   others are shuffled by minimizer; sorted runs of equal paths refer to the
+   path equal to one of the documents before it in the task's batch refers
+   to that one at once. The others are shuffled by minimizer; sorted runs of equal paths refer to the
    first one, and only paths that share a minimizer with a different path
    are taken apart into windows, which one more shuffle by window compares.
    Windows of a minimizer with ``HOT`` places or more skip the shuffle by
-   minimizer: a common passage is reduced per task, then dealt by window.
+   minimizer: a common passage is reduced per batch, then dealt by window.
 3. Each reference carries its *source coordinates*, the first place found.
    Per document, references whose source coordinates advance together are a
    nonbranching path and are compacted to one span.
@@ -46,8 +46,8 @@ _POS_BITS = 24
 _KEPT = 5
 #: places of a slot from which its paths are dealt by window
 HOT = 1 << 17
-#: paths and windows that a task remembers to find repeats by itself
-SEEN = 1 << 17
+#: bytes of windows among which a task finds repeats by itself
+REDUCED = 4 << 20
 #: kinds of rows: a path, a reference to its source, a single window
 _PATH, _REFERENCE, _WINDOW = 0, 1, 2
 #: stands for a null id inside the spans
@@ -133,19 +133,6 @@ def _window_keys(raw: np.ndarray) -> np.ndarray:
     return w.view(np.int64)[:, 0]
 
 
-class _Seen(dict):
-    """Places of the paths and windows that one task has met, up to ``SEEN``."""
-
-    def source(self, key, place):
-        """Where ``key`` was met before; None if it was not."""
-        at = self.get(key)
-        if at is None:
-            if len(self) >= SEEN:
-                self.clear()
-            self[key] = place
-        return at
-
-
 _ROWS = "kind byte, deal long, m long, w long, doc_id long, th long, pos int, windows int, s_doc long, s_th long, s_pos int"
 _TYPES = (np.int8, np.int64, np.int64, np.int64, np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int32)
 _NAMES = [c.split()[0] for c in _ROWS.split(", ")]
@@ -164,52 +151,52 @@ def _no_bodies(n: int) -> pa.Array:
     return pa.array([None] * n, pa.binary())
 
 
-def _document_rows(doc: int, th: int, found, seen: _Seen):
-    """Rows of one document: paths, windows of hot paths, and references of
-    those that this task has met before."""
-    m, digest, start, count, body, hot = found
-    first = np.concatenate([[0], np.cumsum(count)])
-    fresh, apart, refs = [], [], []
-    for i, (mm, dd, at, n, is_hot) in enumerate(zip(m.tolist(), digest.tolist(), start.tolist(), count.tolist(), hot.tolist())):
-        src = seen.source((mm, dd), (doc, th, at))
-        if src is not None:
-            refs.append((at, n, *src))
-        else:
-            (apart if is_hot else fresh).append(i)
-    out = []
-    if fresh:
-        i = np.array(fresh)
-        pick = np.zeros(len(m), dtype=bool)
-        pick[i] = True
-        raw = body[np.repeat(pick, count)]
-        offsets = np.concatenate([[0], np.cumsum(count[i] * _KEPT)]).astype(np.int32)
-        bodies = pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())])
-        out.append(_rows(_PATH, m[i], m[i], digest[i], doc, th, start[i], count[i], 0, 0, 0, bodies))
-    for i in apart:
-        mm, at = int(m[i]), int(start[i])
-        keys = _window_keys(body[first[i]:first[i + 1]])
-        new = []
-        for j, w in enumerate(keys.tolist()):
-            src = seen.source((mm, w, _WINDOW), (doc, th, at + j))
-            if src is None:
-                new.append(j)
-            else:
-                refs.append((at + j, 1, *src))
-        if new:
-            j = np.array(new)
-            out.append(_rows(_WINDOW, keys[j], mm, keys[j], doc, th, at + j, 0, 0, 0, 0, _no_bodies(len(j))))
-    if refs:
-        at, n, s_doc, s_th, s_pos = (np.array(x) for x in zip(*refs))
-        out.append(_rows(_REFERENCE, th ^ doc, 0, 0, doc, th, at, n, s_doc, s_th, s_pos, _no_bodies(len(at))))
-    return out
+def _first_equal(m: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Of every entry the first one with equal ``m`` and ``key`` (itself, if
+    it is the first, or if another ``m`` has the first equal key)."""
+    _, first, back = np.unique(key, return_index=True, return_inverse=True)
+    at = first[back]
+    return np.where(m[at] == m, at, np.arange(len(m)))
+
+
+def _batch_rows(found: list[tuple]):
+    """Rows of some documents, each ``(doc, th, m, digest, start, count, body,
+    hot)``: paths, windows of hot paths, and references of those that occurred
+    before among these documents."""
+    sizes = [len(f[2]) for f in found]
+    doc, th = (np.repeat(np.array([f[j] for f in found], dtype=np.int64), sizes) for j in (0, 1))
+    m, digest, start, count, body, hot = (np.concatenate([f[j] for f in found]) for j in range(2, 8))
+    src = _first_equal(m, digest)
+    again = src != np.arange(len(m))
+    if again.any():
+        yield _references(doc[again], th[again], start[again], count[again], doc[src[again]], th[src[again]], start[src[again]], True)
+    fresh = ~again & ~hot
+    if fresh.any():
+        raw = body[np.repeat(fresh, count)]
+        offsets = np.concatenate([[0], np.cumsum(count[fresh] * _KEPT)]).astype(np.int32)
+        bodies = pa.Array.from_buffers(pa.binary(), int(fresh.sum()), [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())])
+        yield _rows(_PATH, m[fresh], m[fresh], digest[fresh], doc[fresh], th[fresh], start[fresh], count[fresh], 0, 0, 0, bodies)
+    apart = ~again & hot
+    if apart.any():
+        n = count[apart]
+        at = np.repeat(np.flatnonzero(apart), n)
+        pos = start[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        w, mw, d, t = _window_keys(body[np.repeat(apart, count)]), m[at], doc[at], th[at]
+        src = _first_equal(mw, w)
+        again = src != np.arange(len(w))
+        if again.any():
+            yield _references(d[again], t[again], pos[again], 1, d[src[again]], t[src[again]], pos[src[again]], True)
+        new = ~again
+        yield _rows(_WINDOW, w[new], mw[new], w[new], d[new], t[new], pos[new], 0, 0, 0, 0, _no_bodies(int(new.sum())))
 
 
 def _columns(b: pa.RecordBatch):
     return [c.to_numpy(zero_copy_only=False) for c in b.columns[:len(_NAMES)]]
 
 
-def _references(doc, th, pos, windows, s_doc, s_th, s_pos) -> pa.RecordBatch:
-    return _rows(_REFERENCE, np.asarray(th) ^ np.asarray(doc), 0, 0, doc, th, pos, windows, s_doc, s_th, s_pos)
+def _references(doc, th, pos, windows, s_doc, s_th, s_pos, with_body: bool = False) -> pa.RecordBatch:
+    return _rows(_REFERENCE, np.asarray(th) ^ np.asarray(doc), 0, 0, doc, th, pos, windows, s_doc, s_th, s_pos,
+                 _no_bodies(len(doc)) if with_body else None)
 
 
 def _windows(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -320,21 +307,20 @@ def linked_spans(texts: DataFrame, k: int) -> DataFrame:
     bitmap = texts.sparkSession.sparkContext.broadcast((bits, hot))
 
     def paths(batches):
-        seen = _Seen()
         bits, hot = bitmap.value
+        found, size = [], 0
         for b in batches:
-            rows, size = [], 0
             for doc, th, t in zip(*(c.to_pylist() for c in b.columns)):
                 words = t.split() if t else []
-                found = _paths(hash_words(words), k, bits, hot) if len(words) >= k else None
-                if found is not None:
-                    rows += _document_rows(doc, th, found, seen)
-                    size += found[4].size
-                    if size > 1 << 22:
-                        yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
-                        rows, size = [], 0
-            if rows:
-                yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
+                own = _paths(hash_words(words), k, bits, hot) if len(words) >= k else None
+                if own is not None:
+                    found.append((doc, th, *own))
+                    size += own[4].size
+                    if size > REDUCED:
+                        yield from _batch_rows(found)
+                        found, size = [], 0
+        if found:
+            yield from _batch_rows(found)
 
     def compact(batches):
         for b in batches:
