@@ -3,6 +3,7 @@ shingle hashing, connected components."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -70,6 +71,13 @@ class Stages:
         self.drop(*[f for f in late if all(f is not k for k in keep)])
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files behind tables that are
+    written: it does so when the JVM collects the frames that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: slots of a broadcast bitmap: 8 MB, whatever the input
 SLOT_BITS = 26
 

@@ -35,7 +35,8 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Stages, binary_text, hash_words, in_bitmap, mix64, ready, slot_bitmap, window_hashes
+from ledgerlens.llm.common import (
+    Stages, binary_text, free_shuffles, hash_words, in_bitmap, mix64, ready, slot_bitmap, window_hashes)
 
 #: slots of the minimizer bitmap: 16 MB when broadcast, whatever the input
 SLOT_BITS = 27
@@ -105,10 +106,9 @@ def repeated_slots(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     return both[:size // 8].copy(), bytes_[row] * 8 + bit
 
 
-def _paths(h: np.ndarray, k: int, bitmap: np.ndarray, hot: np.ndarray):
+def _paths(h: np.ndarray, k: int, bitmap: np.ndarray):
     """The locally compacted paths of one document that may repeat: minimizer,
-    digest, start, number of windows, the kept bytes of their windows, and
-    whether the minimizer is hot."""
+    digest, start, number of windows, and the kept bytes of their windows."""
     packed = minimizers(h, k)
     start = np.flatnonzero(np.diff(packed, prepend=~packed[:1]))
     slot = _slot(packed[start])
@@ -124,7 +124,7 @@ def _paths(h: np.ndarray, k: int, bitmap: np.ndarray, hot: np.ndarray):
                    + w[start + count - 1] * np.uint64(0xC2B2AE3D27D4EB4F) + count.astype(np.uint64))
     body = np.ascontiguousarray(w[flagged].view(np.uint8).reshape(-1, 8)[:, :_KEPT])
     return ((packed[start] >> np.uint64(_POS_BITS)).view(np.int64), digest.view(np.int64),
-            start.astype(np.int32), count.astype(np.int32), body, np.isin(slot[pick], hot))
+            start.astype(np.int32), count.astype(np.int32), body)
 
 
 def _window_keys(raw: np.ndarray) -> np.ndarray:
@@ -148,7 +148,7 @@ def _rows(kind, deal, m, w, doc, th, pos, windows, s_doc, s_th, s_pos, body=None
 
 
 def _no_bodies(n: int) -> pa.Array:
-    return pa.array([None] * n, pa.binary())
+    return pa.nulls(n, pa.binary())
 
 
 def _first_equal(m: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -159,13 +159,14 @@ def _first_equal(m: np.ndarray, key: np.ndarray) -> np.ndarray:
     return np.where(m[at] == m, at, np.arange(len(m)))
 
 
-def _batch_rows(found: list[tuple]):
-    """Rows of some documents, each ``(doc, th, m, digest, start, count, body,
-    hot)``: paths, windows of hot paths, and references of those that occurred
-    before among these documents."""
+def _batch_rows(found: list[tuple], hot_slots: np.ndarray):
+    """Rows of some documents, each ``(doc, th, m, digest, start, count,
+    body)``: paths, windows of hot paths, and references of those that
+    occurred before among these documents."""
     sizes = [len(f[2]) for f in found]
     doc, th = (np.repeat(np.array([f[j] for f in found], dtype=np.int64), sizes) for j in (0, 1))
-    m, digest, start, count, body, hot = (np.concatenate([f[j] for f in found]) for j in range(2, 8))
+    m, digest, start, count, body = (np.concatenate([f[j] for f in found]) for j in range(2, 7))
+    hot = np.isin(m >> (64 - SLOT_BITS - _POS_BITS), hot_slots)
     src = _first_equal(m, digest)
     again = src != np.arange(len(m))
     if again.any():
@@ -312,15 +313,15 @@ def linked_spans(texts: DataFrame, k: int) -> DataFrame:
         for b in batches:
             for doc, th, t in zip(*(c.to_pylist() for c in b.columns)):
                 words = t.split() if t else []
-                own = _paths(hash_words(words), k, bits, hot) if len(words) >= k else None
+                own = _paths(hash_words(words), k, bits) if len(words) >= k else None
                 if own is not None:
                     found.append((doc, th, *own))
                     size += own[4].size
                     if size > REDUCED:
-                        yield from _batch_rows(found)
+                        yield from _batch_rows(found, hot)
                         found, size = [], 0
         if found:
-            yield from _batch_rows(found)
+            yield from _batch_rows(found, hot)
 
     def compact(batches):
         for b in batches:
@@ -424,6 +425,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
                         F.xxhash64(text_col).alias("th"), binary_text(text_col).alias("text"))
     spans = stages.write(linked_spans(texts, k), "spans")
+    free_shuffles(docs.sparkSession)
     own, source = ["doc_id", "th", "start", "words"], ["src_doc", "src_th", "src_start", "words"]
     while True:
         asked = spans.select(own).union(spans.select(source)).distinct()
