@@ -46,10 +46,10 @@ class Stages:
         self.n = 0
         self.live: list[DataFrame] = []
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n:04d}-{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stage_path = path
         self.live.append(out)

@@ -133,15 +133,15 @@ def _window_keys(raw: np.ndarray) -> np.ndarray:
     return w.view(np.int64)[:, 0]
 
 
-_ROWS = "kind byte, deal long, m long, w long, doc_id long, th long, pos int, windows int, s_doc long, s_th long, s_pos int"
-_TYPES = (np.int8, np.int64, np.int64, np.int64, np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int32)
+_ROWS = "kind byte, m long, w long, doc_id long, th long, pos int, windows int, s_doc long, s_th long, s_pos int"
+_TYPES = (np.int8, np.int64, np.int64, np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int32)
 _NAMES = [c.split()[0] for c in _ROWS.split(", ")]
 
 
-def _rows(kind, deal, m, w, doc, th, pos, windows, s_doc, s_th, s_pos, body=None) -> pa.RecordBatch:
+def _rows(kind, m, w, doc, th, pos, windows, s_doc, s_th, s_pos, body=None) -> pa.RecordBatch:
     n = len(pos)
     columns = [pa.array(np.broadcast_to(np.asarray(x), n).astype(t))
-               for x, t in zip((kind, deal, m, w, doc, th, pos, windows, s_doc, s_th, s_pos), _TYPES)]
+               for x, t in zip((kind, m, w, doc, th, pos, windows, s_doc, s_th, s_pos), _TYPES)]
     if body is None:
         return pa.RecordBatch.from_arrays(columns, _NAMES)
     return pa.RecordBatch.from_arrays([*columns, body], [*_NAMES, "body"])
@@ -176,7 +176,7 @@ def _batch_rows(found: list[tuple], hot_slots: np.ndarray):
         raw = body[np.repeat(fresh, count)]
         offsets = np.concatenate([[0], np.cumsum(count[fresh] * _KEPT)]).astype(np.int32)
         bodies = pa.Array.from_buffers(pa.binary(), int(fresh.sum()), [None, pa.py_buffer(offsets), pa.py_buffer(raw.tobytes())])
-        yield _rows(_PATH, m[fresh], m[fresh], digest[fresh], doc[fresh], th[fresh], start[fresh], count[fresh], 0, 0, 0, bodies)
+        yield _rows(_PATH, m[fresh], digest[fresh], doc[fresh], th[fresh], start[fresh], count[fresh], 0, 0, 0, bodies)
     apart = ~again & hot
     if apart.any():
         n = count[apart]
@@ -188,7 +188,7 @@ def _batch_rows(found: list[tuple], hot_slots: np.ndarray):
         if again.any():
             yield _references(d[again], t[again], pos[again], 1, d[src[again]], t[src[again]], pos[src[again]], True)
         new = ~again
-        yield _rows(_WINDOW, w[new], mw[new], w[new], d[new], t[new], pos[new], 0, 0, 0, 0, _no_bodies(int(new.sum())))
+        yield _rows(_WINDOW, mw[new], w[new], d[new], t[new], pos[new], 0, 0, 0, 0, _no_bodies(int(new.sum())))
 
 
 def _columns(b: pa.RecordBatch):
@@ -196,17 +196,17 @@ def _columns(b: pa.RecordBatch):
 
 
 def _references(doc, th, pos, windows, s_doc, s_th, s_pos, with_body: bool = False) -> pa.RecordBatch:
-    return _rows(_REFERENCE, np.asarray(th) ^ np.asarray(doc), 0, 0, doc, th, pos, windows, s_doc, s_th, s_pos,
+    return _rows(_REFERENCE, np.asarray(th) ^ np.asarray(doc), 0, doc, th, pos, windows, s_doc, s_th, s_pos,
                  _no_bodies(len(doc)) if with_body else None)
 
 
 def _windows(b: pa.RecordBatch) -> pa.RecordBatch:
     """The single windows of paths."""
-    _, _, m, _, doc, th, start, count, *_ = _columns(b)
+    _, m, _, doc, th, start, count, *_ = _columns(b)
     w = _window_keys(np.frombuffer(b"".join(b.column(len(_NAMES)).to_pylist()), dtype=np.uint8).reshape(-1, _KEPT))
     at = np.repeat(np.arange(len(m)), count)
     step = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-    return _rows(_WINDOW, w, m[at], w, doc[at], th[at], start[at] + step, 0, 0, 0, 0)
+    return _rows(_WINDOW, m[at], w, doc[at], th[at], start[at] + step, 0, 0, 0, 0)
 
 
 def _settle(batches):
@@ -227,7 +227,7 @@ def _settle(batches):
             b = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns, b.columns)], schema=b.schema)
         if b.num_rows == 0:
             continue
-        _, _, m, digest, doc, th, start, count, *_ = _columns(b)
+        _, m, digest, doc, th, start, count, *_ = _columns(b)
         same_m = np.zeros(len(m) + 1, dtype=bool)
         same = np.zeros(len(m) + 1, dtype=bool)
         same_m[1:-1] = m[1:] == m[:-1]
@@ -250,7 +250,7 @@ def _settle(batches):
         went, under = bool(same[last]), bool(same_m[last] and not same[last])
     if held is not None:
         if went:
-            _, _, _, _, doc, th, start, count, *_ = _columns(held)
+            _, _, _, doc, th, start, count, *_ = _columns(held)
             yield _references(doc, th, start, count, *(np.array([x]) for x in src))
         elif under:
             yield _windows(held)
@@ -263,7 +263,7 @@ def _repeated(batches):
     for b in batches:
         if not b.num_rows:
             continue
-        kind, _, m, w, doc, th, pos, windows, s_doc, s_th, s_pos = (c.copy() for c in _columns(b))
+        kind, m, w, doc, th, pos, windows, s_doc, s_th, s_pos = (c.copy() for c in _columns(b))
         window = kind == _WINDOW
         same = np.zeros(len(m), dtype=bool)
         same[1:] = window[1:] & window[:-1] & (m[1:] == m[:-1]) & (w[1:] == w[:-1])
@@ -337,10 +337,11 @@ def linked_spans(texts: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[at], th[at], pos[at], words, s_doc[at], s_th[at], s_pos[at])],
                                              ["doc_id", "th", "start", "words", "src_doc", "src_th", "src_start"])
 
+    # references are spread by their document (m), windows of hot minimizers by their hash (w)
     found = (texts.mapInArrow(paths, _ROWS + ", body binary")
-             .repartition("deal").sortWithinPartitions("kind", "m", "w", "doc_id", "th", "pos")
+             .repartition(F.when(F.col("kind") == _WINDOW, F.col("w")).otherwise(F.col("m"))).sortWithinPartitions("kind", "m", "w", "doc_id", "th", "pos")
              .mapInArrow(_settle, _ROWS)
-             .repartition("m", "deal").sortWithinPartitions("kind", "m", "w", "doc_id", "th", "pos")
+             .repartition("m", "w").sortWithinPartitions("kind", "m", "w", "doc_id", "th", "pos")
              .mapInArrow(_repeated, _SPAN))
     return (found.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "s_doc", "s_th", "pos", "windows")
             .mapInArrow(compact, "doc_id long, th long, start int, words int, src_doc long, src_th long, src_start int"))
@@ -432,7 +433,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         rows = (texts.select("doc_id", "th", F.lit(-1).alias("start"), F.lit(0).alias("words"), "text")
                 .unionByName(asked.withColumn("text", F.lit(None).cast("binary"))))
         cut = stages.write(rows.repartition("doc_id", "th").sortWithinPartitions("doc_id", "th", "start", "words", "text")
-                           .mapInArrow(_cut, _CUT), "cut")
+                           .mapInArrow(_cut, _CUT), "cut", compression="zstd")
         digests = cut.where("digest is not null").select(*own, "digest")
         place = digests.select(*[F.col(a).alias(b) for a, b in zip(own, source)], F.col("digest").alias("src_digest"))
         unlike = spans.join(digests, own).join(place, source).where("digest <> src_digest").select(spans.columns).distinct()
