@@ -4,80 +4,62 @@
 sheet, row number, or any total order the caller gives); Spark rows have
 no inherent order.
 
-Skew: a group of copies may hold a large share of all rows. Group flags
-(``group_flags``: group size and first-row flag) are computed in two
-paths. Hot keys, found from a sample of the key columns (at most
-``joins.MAX_HOT_KEYS`` of them), are aggregated map-side (partial count and
-min/max of the order struct, one small row per key and task) and their few
-result rows are broadcast back to the hot rows, which never cross a
-shuffle. Every other key holds fewer than ``joins.HOT_KEY_ROWS`` rows, so a
-window over it is bounded: one shuffle and one sort, cheaper than an
-aggregate joined back.
+Skew: a group of copies may hold a large share of all rows, so no window
+is partitioned by the key alone. Group flags (``group_flags``) take two
+levels for every key alike: rows are first compared within (key, salt), the
+salt being a hash of the row, and only the first row of each salt, at most
+``SALTS`` a key, is compared within the key. Line numbers work the same way
+over ranges of the order (``logic_line_no``).
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import DETECT, as_list, find_hot_keys, join_unique
+from ledgerlens.operators.joins import as_list, join_per_key
+from ledgerlens.session import scratch_path
 
-_FIRST = "__first_ord"
-_COUNT = "__group_rows"
+_REPEATED = "__repeated"
 _IS_FIRST = "__is_first"
 
+#: parts into which the rows of one key are split; the second level sees one row of each
+SALTS = 1 << 14
 
-def _ord(order) -> F.Column:
-    return F.struct(*[F.col(c) for c in as_list(order)])
 
+def _row_hash(df: DataFrame) -> F.Column:
+    """A hash of the whole row (maps, which Spark cannot hash, left out)."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
 
-def _null_safe_cond(left: DataFrame, right: DataFrame, lkeys, rkeys) -> F.Column:
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in zip(lkeys, rkeys)])
 
+def group_flags(df: DataFrame, keys, order=None, keep: str = "first") -> DataFrame:
+    """``df`` plus ``__repeated`` (other rows share the key; null keys form
+    one group) and ``__is_first`` (the first row of its group by ``order``,
+    or the last with ``keep='last'``; of rows equal in ``order``, or without
+    an order, exactly one).
 
-def group_flags(df: DataFrame, keys, order=None, keep: str = "first", hot=DETECT) -> DataFrame:
-    """``df`` plus ``__group_rows`` (rows sharing the key; null keys form one
-    group) and, with ``order``, ``__is_first`` (the first row of its group by
-    ``order``, or the last with ``keep='last'``; of rows equal in ``order``
-    exactly one)."""
+    Rows meet within (key, salt) first. Later rows of a salt are settled
+    there; the first ones, at most ``SALTS`` a key, meet again within the key.
+    A key with any share of the rows is thus spread over ``SALTS`` groups at
+    both levels (rows equal in all columns fall into one).
+    """
     keys = as_list(keys)
-    order = as_list(order) if order is not None else []
-    cols = df.columns
-
-    def windowed(part: DataFrame) -> DataFrame:
-        if not order:
-            return part.withColumn(_COUNT, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        sort = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in order]
-        w = Window.partitionBy(*keys).orderBy(*sort)
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return part.withColumns({_COUNT: F.count(F.lit(1)).over(whole),
-                                 _IS_FIRST: F.row_number().over(w) == 1})
-
-    if isinstance(hot, str):
-        hot = find_hot_keys(df, keys)
-    if hot is None:
-        return windowed(df)
-    hb = F.broadcast(hot)
-    hot_rows = df.join(hb, _null_safe_cond(df, hb, keys, keys), "left_semi")
-    cold_rows = df.join(hb, _null_safe_cond(df, hb, keys, keys), "left_anti")
-    aggs = [F.count(F.lit(1)).alias(_COUNT)]
-    if order:
-        aggs.append((F.max if keep == "last" else F.min)(_ord(order)).alias(_FIRST))
-    stats = hot_rows.groupBy(*keys).agg(*aggs)          # one row per hot key
-    stats = stats.select(*[F.col(k).alias(f"__h_{i}") for i, k in enumerate(keys)], *[a for a in stats.columns
-                                                                                      if a not in keys])
-    sb = F.broadcast(stats)
-    hj = hot_rows.join(sb, _null_safe_cond(hot_rows, sb, keys, [f"__h_{i}" for i in range(len(keys))]), "left")
-    if order:
-        # of rows equal in the order columns one is first, as in the window
-        ties = Window.partitionBy(*keys, "__at_first").orderBy(F.lit(0))
-        hj = hj.withColumn("__at_first", _ord(order).eqNullSafe(F.col(_FIRST)))
-        at = hj.filter("__at_first").withColumn(_IS_FIRST, F.row_number().over(ties) == 1)
-        hj = at.unionByName(hj.filter(~F.col("__at_first")).withColumn(_IS_FIRST, F.lit(False)))
-    out_cols = cols + [_COUNT] + ([_IS_FIRST] if order else [])
-    return windowed(cold_rows).select(*out_cols).unionByName(hj.select(*out_cols))
+    sort = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in as_list(order)] or [F.lit(0)]
+    salted = df.withColumn("__salt", F.pmod(_row_hash(df), F.lit(SALTS)))
+    w = Window.partitionBy(*keys, "__salt").orderBy(*sort)
+    local = salted.withColumns({"__nth": F.row_number().over(w), "__more": F.lead(F.lit(True), 1, False).over(w)})
+    # the first rows of all salts meet under -1, the others stay under their salt
+    local = local.withColumn("__level", F.when(F.col("__nth") == 1, F.lit(-1)).otherwise(F.col("__salt")))
+    w = Window.partitionBy(*keys, "__level").orderBy(*sort)
+    whole = Window.partitionBy(*keys, "__level")
+    alone = (F.count(F.lit(1)).over(whole) == 1) & ~F.max("__more").over(whole)
+    return local.withColumns({
+        _REPEATED: (F.col("__nth") > 1) | ~alone,
+        _IS_FIRST: (F.col("__nth") == 1) & (F.row_number().over(w) == 1),
+    }).select(*df.columns, _REPEATED, _IS_FIRST)
 
 
 def _keys_present(keys) -> F.Column:
@@ -97,7 +79,7 @@ def flag_duplicates(df: DataFrame, keys, order, keep: str = "first",
     dup = ~F.col(_IS_FIRST)
     if not null_safe:
         dup = _keys_present(keys) & dup
-    return out.withColumn(flag, dup).drop(_IS_FIRST, _COUNT)
+    return out.withColumn(flag, dup).drop(_IS_FIRST, _REPEATED)
 
 
 def keep_first(df: DataFrame, keys, order, keep: str = "first", null_safe: bool = True) -> DataFrame:
@@ -134,14 +116,14 @@ def dedup_metrics(flagged: DataFrame, year: str, flag: str = "is_duplicate",
 
 
 def mark_uuid_duplicates(df: DataFrame, key, order, label: str, clean: str = "clean_status",
-                         updated_at=None, updated_by=None, hot=DETECT) -> DataFrame:
+                         updated_at=None, updated_by=None) -> DataFrame:
     """Earliest row per key stays as is; later copies get ``clean = label``.
 
     Rows with a null key are never marked (pandas groupby drops null keys).
     ``updated_at`` / ``updated_by`` are stamped on marked rows when given.
     """
     keys = as_list(key)
-    out = group_flags(df, keys, order, "first", hot=hot)
+    out = group_flags(df, keys, order, "first")
     # rows with a null key are never marked (pandas groupby drops null keys)
     hit = _keys_present(keys) & ~F.col(_IS_FIRST)
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
@@ -150,7 +132,7 @@ def mark_uuid_duplicates(df: DataFrame, key, order, label: str, clean: str = "cl
                              .otherwise(F.col("updated_at")))
     if updated_by is not None:
         out = out.withColumn("updated_by", F.when(hit, F.lit(updated_by)).otherwise(F.col("updated_by")))
-    return out.drop(_IS_FIRST, _COUNT)
+    return out.drop(_IS_FIRST, _REPEATED)
 
 
 def repeated_keys(df: DataFrame, key, by=(), min_count: int = 2) -> DataFrame:
@@ -170,9 +152,8 @@ def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_ke
     = input, always.
     """
     keys = as_list(key)
-    hot = find_hot_keys(df, keys)        # once, for the flags and the known-key join
-    out = group_flags(df, keys, order if mode == "keep_first" else None, "first", hot=hot)
-    repeated = _keys_present(keys) & (F.col(_COUNT) > 1)
+    out = group_flags(df, keys, order if mode == "keep_first" else None, "first")
+    repeated = _keys_present(keys) & F.col(_REPEATED)
     if mode == "keep_first":
         repeated = repeated & ~F.col(_IS_FIRST)
     if known_keys is not None:
@@ -182,13 +163,13 @@ def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_ke
         marks = (known_keys.select(*[F.col(a).alias(b) for a, b in zip(kk, keys)])
                  .join(df.select(*keys).distinct(), keys, "left_semi")
                  .distinct().withColumn("__known", F.lit(True)))
-        out = join_unique(out, marks, keys, "left", hot=hot)
+        out = join_per_key(out, marks, keys, "left")
         known = F.coalesce(F.col("__known"), F.lit(False))
     else:
         known = F.lit(False)
     out = out.withColumn(reason, F.when(known, "already_imported")
                          .when(repeated, "repeated_in_batch"))
-    drop = [c for c in (_COUNT, _IS_FIRST, "__known") if c in out.columns]
+    drop = [c for c in (_REPEATED, _IS_FIRST, "__known") if c in out.columns]
     out = out.drop(*drop)
     return out.filter(F.col(reason).isNull()).drop(reason), out.filter(F.col(reason).isNotNull())
 
@@ -198,16 +179,40 @@ def logic_line_no(df: DataFrame, key, order, scope=("source_file", "source_sheet
     """Line number 1, 2, ... of each row inside its invoice, in ``order``.
 
     ``scope`` restricts numbering to one file/sheet (a re-delivered file then
-    reproduces the same numbers and collides on the detail key); ``scope=()``
-    numbers across the whole batch. With the default scope a group is
-    bounded by one sheet (at most 1,048,576 rows in the xlsx format), so a
-    window is safe against skew.
+    reproduces the same numbers and collides on the detail key); a group is
+    then bounded by one sheet (at most 1,048,576 rows in the xlsx format).
+    ``scope=()`` numbers across the whole batch, where one invoice may hold
+    any share of the rows: ``numbered``.
     """
     part = [c for c in as_list(scope) if c in df.columns] + as_list(key)
+    if not as_list(scope):
+        return numbered(df, part, order, out)
     w = Window.partitionBy(*part).orderBy(*[F.col(c) for c in as_list(order)])
     return df.withColumn(out, F.row_number().over(w))
 
 
+def numbered(df: DataFrame, key, order, out: str) -> DataFrame:
+    """``row_number`` within ``key`` for keys of any size, in two levels: rows
+    are sorted over all tasks by key and order, numbered within (key, task),
+    and the key's rows in earlier tasks are added, from one count per key and
+    task. The sorted rows are written to the shared checkpoint folder, so
+    both levels see the same tasks."""
+    spark, key = df.sparkSession, as_list(key)
+    sort = [F.col(c).asc() for c in [*key, *as_list(order)]]
+    path = scratch_path(spark, f"numbered-{uuid.uuid4().hex[:12]}")
+    (df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+     .withColumn("__at", F.monotonically_increasing_id()).write.parquet(path))
+    rows = spark.read.parquet(path).withColumn("__task", F.shiftright("__at", 33))
+    counts = rows.groupBy(*key, "__task").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    before = Window.partitionBy(*key).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__ahead", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    names = [f"__k{i}" for i in range(len(key))]
+    counts = counts.select(*[F.col(k).alias(n) for k, n in zip(key, names)], F.col("__task").alias("__t"), "__first", "__ahead")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(key, names)], F.col("__task") == F.col("__t"))
+    number = F.col("__at") - F.col("__first") + 1 + F.col("__ahead")
+    return rows.join(counts, same).select(*df.columns, number.cast("int").alias(out))
+
+
 def top_n_per_group(df: DataFrame, by, order, n: int, rank_col: str = "rank") -> DataFrame:
     """First ``n`` rows per group. ``row_number() <= n`` lets Spark insert a
     partial per-partition limit before the shuffle (WindowGroupLimit), so a

@@ -1,4 +1,4 @@
-"""Join helpers: key-set membership, null-safe equi-joins, hot keys.
+"""Join helpers: key-set membership, joins to per-key rows, coverage.
 
 Invoice keys are high-cardinality, so key-set joins are shuffle joins that
 AQE may split when one key is hot.
@@ -6,8 +6,6 @@ AQE may split when one key is hot.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,78 +83,3 @@ def red_blue_link(red: DataFrame, blue: DataFrame, ref: str, blue_key: str,
 def distinct_keys(df: DataFrame, keys) -> DataFrame:
     """Distinct key tuples (null tuples included, as in a set of keys)."""
     return df.select(*as_list(keys)).distinct()
-
-
-# A key with at least this many rows on the streamed side is "hot": its rows
-# are joined through a broadcast of its (few) partner rows instead of being
-# funnelled through one shuffle partition. At most MAX_HOT_KEYS such keys
-# are handled this way (their partner rows are then a proven-small side).
-HOT_KEY_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-
-
-def _cond(left: DataFrame, right: DataFrame, keys, null_safe: bool) -> Column:
-    conds = [left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys]
-    return reduce(lambda a, b: a & b, conds)
-
-
-def find_hot_keys(rows: DataFrame, keys, hot_rows: int | None = None,
-                  max_hot: int | None = None, seed: int = 17) -> DataFrame | None:
-    """Keys holding at least ``hot_rows`` rows of ``rows``, as a small frame
-    (at most ``max_hot`` rows, fetched with a limit), or None when there are
-    none or too many to broadcast.
-
-    Detection reads only the key columns of a sample sized so that a hot key
-    shows up about 100 times. A missed borderline key only takes the shuffle
-    path; results never depend on the detection.
-    """
-    hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
-    max_hot = MAX_HOT_KEYS if max_hot is None else max_hot
-    fraction = min(1.0, 100.0 / hot_rows)
-    sample = rows.select(*keys)
-    if fraction < 1.0:
-        sample = sample.sample(fraction=fraction, seed=seed)
-    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.filter(F.col("__n") >= hot_rows * fraction).select(*keys).limit(max_hot + 1).collect()
-    if not hot or len(hot) > max_hot:
-        return None
-    return rows.sparkSession.createDataFrame(hot, rows.select(*keys).schema)
-
-
-DETECT = "detect"
-
-
-def join_unique(rows: DataFrame, right: DataFrame, keys, how: str = "left", null_safe: bool = False,
-                hot_rows: int | None = None, max_hot: int | None = None, hot=DETECT) -> DataFrame:
-    """``rows`` joined to ``right`` on ``keys`` where ``right`` holds at most
-    one row per key (per-key stats, distinct key sets). Output columns: all
-    of ``rows`` then the non-key columns of ``right``.
-
-    Hot keys of ``rows`` (``find_hot_keys``, or ``hot`` when the caller
-    already knows them; None = none) are split off: their rows meet their partner
-    rows in a broadcast join and never cross a shuffle, so one key holding a
-    large share of the data does not land in a single task. The remaining
-    keys take an ordinary shuffle join.
-    """
-    keys = as_list(keys)
-    extra = [c for c in right.columns if c not in keys]
-    if isinstance(hot, str):
-        hot = find_hot_keys(rows, keys, hot_rows, max_hot)
-
-    def plain(left, r):
-        if null_safe:
-            rr = r.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *extra)
-            cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(rr[f"__r_{k}"]) for k in keys])
-            return left.join(rr, cond, how).drop(*[f"__r_{k}" for k in keys])
-        return left.join(r, keys, how)
-
-    if hot is None:
-        return plain(rows, right)
-    hb = F.broadcast(hot)
-    hot_rows_df = rows.join(hb, _cond(rows, hb, keys, True), "left_semi")
-    cold_rows_df = rows.join(hb, _cond(rows, hb, keys, True), "left_anti")
-    hot_right = right.join(hb, _cond(right, hb, keys, True), "left_semi")
-    cold_right = right.join(hb, _cond(right, hb, keys, True), "left_anti")
-    # hot_right has at most max_hot rows (one per hot key): a proven-small side
-    hot_part = plain(hot_rows_df, F.broadcast(hot_right))
-    return hot_part.unionByName(plain(cold_rows_df, cold_right))

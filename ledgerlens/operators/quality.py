@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.dedup import mark_uuid_duplicates
-from ledgerlens.operators.joins import DETECT, as_list, find_hot_keys, join_unique
+from ledgerlens.operators.joins import as_list, join_per_key
 from ledgerlens.schemas import (
     BALANCED, DEFAULT_TOLERANCE, DETAIL_MISSING, DUPLICATE_KEY, HEADER_MISSING, MONEY, UNBALANCED,
     UNCHECKED, WITHIN_TOLERANCE,
@@ -31,19 +31,19 @@ def detail_total_per_header(detail: DataFrame, key, amount: str,
 
 def flag_orphans(left: DataFrame, right: DataFrame, key, label: str,
                  clean: str = "clean_status", right_key=None, updated_at=None,
-                 updated_by=None, hot=DETECT) -> DataFrame:
+                 updated_by=None) -> DataFrame:
     """Mark clean ``left`` rows whose key is absent from clean ``right`` rows.
 
     Only rows with null ``clean`` take part on either side; already flagged
     rows keep their flag. The right side is reduced to its distinct keys
-    (an aggregate, skew-safe); hot keys of ``left`` are joined by broadcast.
+    (an aggregate, skew-safe), and AQE can split the rows of a hot key of ``left``.
     """
     keys = as_list(key)
     rkeys = as_list(right_key) or keys
     present = (right.filter(F.col(clean).isNull())
                .select(*[F.col(a).alias(b) for a, b in zip(rkeys, keys)])
                .distinct().withColumn("__present", F.lit(True)))
-    out = join_unique(left, present, keys, "left", hot=hot)
+    out = join_per_key(left, present, keys, "left")
     hit = F.col(clean).isNull() & F.col("__present").isNull()
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
     if updated_at is not None:
@@ -133,26 +133,21 @@ def run_dq(header: DataFrame, detail: DataFrame, header_key="header_uuid",
     a clean status keeps it. Orphan checks use only rows still clean after
     the uniqueness step; detail totals include every detail row.
     """
-    # hot keys are found once, on the raw inputs' key columns: sampling a
-    # derived frame would compute its windows twice
-    hot_h = find_hot_keys(header, as_list(header_key))
-    hot_d = find_hot_keys(detail, as_list(detail_key))
-    hot_link = find_hot_keys(detail, as_list(link_key))
     h_stamp = dict(updated_at=checked_at if "updated_at" in header.columns else None,
                    updated_by=checked_by if "updated_by" in header.columns else None)
     d_stamp = dict(updated_at=checked_at if "updated_at" in detail.columns else None,
                    updated_by=checked_by if "updated_by" in detail.columns else None)
-    h = mark_uuid_duplicates(header, header_key, _with_place(header, header_order), DUPLICATE_KEY, hot=hot_h, **h_stamp)
-    d = mark_uuid_duplicates(detail, detail_key, _with_place(detail, detail_order), DUPLICATE_KEY, hot=hot_d, **d_stamp)
+    h = mark_uuid_duplicates(header, header_key, _with_place(header, header_order), DUPLICATE_KEY, **h_stamp)
+    d = mark_uuid_duplicates(detail, detail_key, _with_place(detail, detail_order), DUPLICATE_KEY, **d_stamp)
     # both checks read the state after the uniqueness step
-    d2 = flag_orphans(d, h, link_key, HEADER_MISSING, right_key=header_key, hot=hot_link, **d_stamp)
+    d2 = flag_orphans(d, h, link_key, HEADER_MISSING, right_key=header_key, **d_stamp)
     # one aggregate of the lines serves the headers: their total, and whether a clean line is there
     lines = d.groupBy(*as_list(link_key)).agg(
         F.coalesce(F.sum(F.col(detail_amount).cast(MONEY)), F.lit(0)).alias("detail_total_amount"),
         F.bool_or(F.col("clean_status").isNull()).alias("__has_line"))
     lines = lines.select(*[F.col(a).alias(b) for a, b in zip(as_list(link_key), as_list(header_key))],
                          "detail_total_amount", "__has_line")
-    h2 = join_unique(h.drop("detail_total_amount"), lines, as_list(header_key), "left", hot=hot_h)
+    h2 = join_per_key(h.drop("detail_total_amount"), lines, as_list(header_key), "left")
     alone = F.col("clean_status").isNull() & ~F.coalesce("__has_line", F.lit(False))
     stamps = {c: F.lit(v).cast(h2.schema[c].dataType) for c, v in h_stamp.items() if v is not None}
     h2 = h2.withColumns({c: F.when(alone, v).otherwise(F.col(c)) for c, v in stamps.items()})

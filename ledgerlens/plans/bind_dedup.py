@@ -297,3 +297,14 @@ FROM lineitem GROUP BY 1
 def detail_total_hot_key(spark, d):
     from ledgerlens.operators.quality import detail_total_per_header
     return detail_total_per_header(_hot_lines(spark, d), "hot_key", "l_extendedprice")
+
+
+@bound("hot_invoice_line_numbers", f"""
+SELECT l_orderkey, l_linenumber, {", ".join(line_order())}, {_HOT.replace("STRING", "VARCHAR")} AS hot_key,
+       CAST(row_number() OVER (PARTITION BY {_HOT.replace("STRING", "VARCHAR")}
+                               ORDER BY {LINE_ORDER_SQL}, l_linenumber, l_orderkey) AS INTEGER) AS logic_line_no
+FROM lineitem
+""")
+def hot_invoice_line_numbers(spark, d):
+    """Lines numbered across the whole batch, a third of them in one invoice."""
+    return D.logic_line_no(_hot_lines(spark, d), "hot_key", [*line_order(), "l_linenumber", "l_orderkey"], scope=())

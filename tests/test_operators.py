@@ -147,23 +147,55 @@ def test_top_n_uses_window_group_limit(spark, sf_small, capsys):
     assert "WindowGroupLimit" in capsys.readouterr().out
 
 
-def test_hot_key_takes_broadcast_path(spark, sf_small, capsys, monkeypatch):
-    """A third of the lines share one key. With a low hot-key threshold that
-    key's rows go through a broadcast join (no shuffle of the hot rows) and
-    the results equal the plain shuffle-join run."""
-    from ledgerlens.operators import joins as J
+def task_rows(spark, df, columns):
+    """Rows of ``df`` per group of the given window partitioning, largest first."""
+    return [r[0] for r in df.groupBy(*columns).count().select("count").orderBy(F.desc("count")).collect()]
+
+
+def test_hot_key_is_spread_over_salts(spark, sf_small, capsys):
+    """A third of the lines share one key. Every window is partitioned by the
+    key and a salt or a level, no job runs while the plan is built, and the
+    flags equal those of a window over the whole key."""
+    from pyspark.sql import Window
     from ledgerlens.plans.bind_dedup import _hot_lines
-    keys, order = "hot_key", line_order() + ["l_linenumber"]
-    monkeypatch.setattr(J, "HOT_KEY_ROWS", 10 ** 12)
-    base = {tuple(r) for r in D.flag_duplicates(_hot_lines(spark, sf_small), keys, order).collect()}
-    held0 = D.quarantine(_hot_lines(spark, sf_small), keys)[1].count()
-    monkeypatch.setattr(J, "HOT_KEY_ROWS", 100)
-    flagged = D.flag_duplicates(_hot_lines(spark, sf_small), keys, order)
+    li, order = _hot_lines(spark, sf_small), line_order() + ["l_linenumber"]
+    total = li.count()
+    for keep, sort in (("first", [F.asc(c) for c in order]), ("last", [F.desc(c) for c in order])):
+        flagged = D.group_flags(li, "hot_key", order, keep)
+        w = Window.partitionBy("hot_key")
+        plain = li.withColumns({"__repeated": F.count(F.lit(1)).over(w) > 1,
+                                "__is_first": F.row_number().over(w.orderBy(*sort)) == 1})
+        assert flagged.columns == plain.columns
+        assert sorted(map(str, flagged.collect())) == sorted(map(str, plain.collect()))
     flagged.explain()
     plan = capsys.readouterr().out
-    assert {tuple(r) for r in flagged.collect()} == base
-    assert "Union" in plan and "BroadcastHashJoin" in plan
-    assert D.quarantine(_hot_lines(spark, sf_small), keys)[1].count() == held0
+    assert "__salt" in plan and "__level" in plan and "Join" not in plan
+    salted = li.withColumn("s", F.pmod(D._row_hash(li), F.lit(D.SALTS)))
+    assert task_rows(spark, li, ["hot_key"])[0] >= 0.3 * total and task_rows(spark, salted, ["hot_key", "s"])[0] < total / 100
+
+
+def test_group_flags_of_ties_and_nulls(spark):
+    rows = [("a", 1, "x"), ("a", 1, "x"), ("a", 1, "x"), ("b", 2, "y"), (None, 1, "z"), (None, 2, "z"), ("c", 1, "p"), ("c", 1, "q")]
+    df = spark.createDataFrame(rows, "k string, o int, v string").repartition(3)
+    out = D.group_flags(df, "k", ["o"]).collect()
+    assert [sum(r["__is_first"] for r in out if r.k == k) for k in ("a", "b", "c", None)] == [1, 1, 1, 1]
+    assert {r.k for r in out if r["__repeated"]} == {"a", "c", None}
+    assert [r.o for r in out if r.k is None and r["__is_first"]] == [1]
+    alone = D.group_flags(df, "k").collect()
+    assert sum(r["__is_first"] for r in alone) == 4 and sum(r["__repeated"] for r in alone) == 7
+    assert D.group_flags(df.limit(0), "k", ["o"]).collect() == []
+
+
+def test_line_numbers_of_a_hot_invoice(spark, sf_small):
+    from pyspark.sql import Window
+    from ledgerlens.plans.bind_dedup import _hot_lines
+    li, order = _hot_lines(spark, sf_small), line_order() + ["l_linenumber", "l_orderkey"]
+    li = li.withColumn("hot_key", F.when(F.col("l_orderkey") % 11 != 5, F.col("hot_key")))  # null keys too
+    w = Window.partitionBy("hot_key").orderBy(*order)
+    want = li.withColumn("n", F.row_number().over(w))
+    got = D.logic_line_no(li.repartition(6), "hot_key", order, scope=(), out="n")
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert D.logic_line_no(li.limit(0), "hot_key", order, scope=(), out="n").collect() == []
 
 
 def test_per_key_join_has_its_own_exchanges(spark, sf_small):
