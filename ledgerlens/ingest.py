@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as L
+from ledgerlens.keyindex import KeyIndex
 from ledgerlens.operators.dedup import logic_line_no, quarantine
 from ledgerlens.operators.filters import split_missing_year, valid_invoice_keys
 from ledgerlens.operators.sheets import best_sheet_by_overlap
@@ -61,12 +62,6 @@ def _chosen_rows(rows: DataFrame, chosen: DataFrame, title_map: dict[str, str])
                        *[F.col("cells")[i].alias(c) for i, c in enumerate(title_map.values())])
 
 
-def _known_keys(spark: SparkSession, ledger: str | None, key: str) -> DataFrame | None:
-    if not ledger or not path_exists(spark, ledger):
-        return None
-    return spark.read.parquet(ledger).select(key)
-
-
 def _common(df: DataFrame, batch_id: str, batch_ts: str) -> DataFrame:
     for c in ("fpdm", "fphm", "sdfphm"):
         df = df.withColumn(c, F.when(~L.is_blank(c), L.clean_identifier(c)))
@@ -93,30 +88,35 @@ def _paths(*staged: DataFrame) -> tuple[str, ...]:
 
 def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write the keyed rows once to the shared checkpoint folder and read
-    them back: quarantine reads them twice (hot-key sample, final join), and
-    the parse, line numbers and keys must not be computed twice."""
+    them back: the key index and quarantine read them, and the parse, line
+    numbers and keys must not be computed twice."""
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id, rows) -> ImportResult:
+def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id, rows, tolerant) -> ImportResult:
     df = _stage(spark, df, f"keyed-{batch_id}")
-    accepted, held = quarantine(df, key, known_keys=_known_keys(spark, ledger, key), mode=mode,
-                                order=["source_file", "source_sheet", "row_no"])
+    known = None
+    if ledger and path_exists(spark, ledger):
+        known = _stage(spark, KeyIndex(spark, ledger, key).known(df, tolerant), f"known-{batch_id}")
+    accepted, held = quarantine(df, key, known_keys=known, mode=mode, order=["source_file", "source_sheet", "row_no"], reduced=True)
     accepted = accepted.withColumn("invoice_year", L.invoice_year("invoice_date"))
     with_year, no_year = split_missing_year(accepted, "invoice_year")
     if ledger:
         write_partitioned(with_year, ledger, mode="append")
         # the written rows, read back (no second evaluation of the import)
         with_year = spark.read.parquet(ledger).filter(F.col("import_batch_id") == batch_id)
-    return ImportResult(with_year, held, rejected, no_year, chosen, xlsx.error_rows(rows), _paths(rows, df))
+    return ImportResult(with_year, held, rejected, no_year, chosen, xlsx.error_rows(rows),
+                        _paths(rows, df, *([known] if known is not None else [])))
 
 
 def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
-                   min_overlap: int = 5, mode: str = "reject_all", max_mb: float | None = 500.0) -> ImportResult:
+                   min_overlap: int = 5, mode: str = "reject_all", max_mb: float | None = 500.0,
+                   tolerant: bool = False) -> ImportResult:
     """Import the header sheet ('发票基础信息…') of every workbook under ``path``
-    (files above ``max_mb`` are reported in ``errors``)."""
+    (files above ``max_mb`` are reported in ``errors``). With ``tolerant`` a
+    key is known when its trimmed, lower-cased text is that of a ledger key."""
     rows = _rows(spark, path, batch_id, list(HEADER_TITLE_MAP), max_mb)
     cat = xlsx.sheet_catalogue(rows).filter(F.col("sheet").contains(HEADER_SHEET_MARK))
     chosen = best_sheet_by_overlap(cat, list(HEADER_TITLE_MAP), min_overlap, prefer_prefix=None)
@@ -128,15 +128,17 @@ def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
         "created_at": F.lit(batch_ts).cast("timestamp_ntz"), "created_by": F.lit(DEFAULT_CREATED_BY),
         "is_balanced": F.lit(UNCHECKED), "balance_tolerance": F.lit(DEFAULT_TOLERANCE).cast("decimal(18,2)"),
     })
-    return _finish(spark, h, "header_uuid", ledger, mode, rejected, chosen, batch_id, rows)
+    return _finish(spark, h, "header_uuid", ledger, mode, rejected, chosen, batch_id, rows, tolerant)
 
 
 def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
                    min_overlap: int = 3, mode: str = "reject_all",
-                   line_scope=("source_file", "source_sheet"), max_mb: float | None = 500.0) -> ImportResult:
+                   line_scope=("source_file", "source_sheet"), max_mb: float | None = 500.0,
+                   tolerant: bool = False) -> ImportResult:
     """Import the detail sheet of every workbook under ``path``: a sheet named
     '信息汇总表…' wins, else the sheet sharing most detail titles (≥ min_overlap);
-    files above ``max_mb`` are reported in ``errors``."""
+    files above ``max_mb`` are reported in ``errors``; ``tolerant`` as in
+    ``import_headers``."""
     rows = _rows(spark, path, batch_id, list(DETAIL_TITLE_MAP), max_mb)
     chosen = best_sheet_by_overlap(xlsx.sheet_catalogue(rows), list(DETAIL_TITLE_MAP), min_overlap,
                                    prefer_prefix=SUMMARY_SHEET_PREFIX)
@@ -150,7 +152,7 @@ def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
         "sl": L.truncate_decimals("sl", 8), "dj": L.truncate_decimals("dj", 8),
         "updated_at": F.lit(None).cast("timestamp_ntz"), "updated_by": F.lit(None).cast("string"),
     }).drop("__inv")
-    return _finish(spark, d, "detail_uuid", ledger, mode, rejected, chosen, batch_id, rows)
+    return _finish(spark, d, "detail_uuid", ledger, mode, rejected, chosen, batch_id, rows, tolerant)
 
 
 

@@ -143,13 +143,14 @@ def repeated_keys(df: DataFrame, key, by=(), min_count: int = 2) -> DataFrame:
 
 
 def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_key=None,
-               mode: str = "reject_all", order=None, reason: str = "quarantine_reason"):
+               mode: str = "reject_all", order=None, reason: str = "quarantine_reason", reduced: bool = False):
     """Split an import batch into (accepted, quarantined).
 
     Quarantined: every copy of a key repeated inside the batch
     (``mode='reject_all'``; ``'keep_first'`` admits the first copy), and every
-    row whose key is already known (``known_keys``). Accepted + quarantined
-    = input, always.
+    row whose key is already known (``known_keys``; ``reduced`` when these are
+    distinct keys of the batch, as a key index gives them). Accepted +
+    quarantined = input, always.
     """
     keys = as_list(key)
     out = group_flags(df, keys, order if mode == "keep_first" else None, "first")
@@ -158,11 +159,12 @@ def quarantine(df: DataFrame, key, known_keys: DataFrame | None = None, known_ke
         repeated = repeated & ~F.col(_IS_FIRST)
     if known_keys is not None:
         kk = as_list(known_key) or keys
-        # only the batch's keys matter: reduced by them before anything is shuffled
-        # when the batch is small enough for Spark to broadcast its keys
-        marks = (known_keys.select(*[F.col(a).alias(b) for a, b in zip(kk, keys)])
-                 .join(df.select(*keys).distinct(), keys, "left_semi")
-                 .distinct().withColumn("__known", F.lit(True)))
+        marks = known_keys.select(*[F.col(a).alias(b) for a, b in zip(kk, keys)])
+        if not reduced:
+            # only the batch's keys matter: reduced by them before anything is shuffled
+            # when the batch is small enough for Spark to broadcast its keys
+            marks = marks.join(df.select(*keys).distinct(), keys, "left_semi").distinct()
+        marks = marks.withColumn("__known", F.lit(True))
         out = join_per_key(out, marks, keys, "left")
         known = F.coalesce(F.col("__known"), F.lit(False))
     else:

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ledgerlens import ingest, sinks
+from ledgerlens.keyindex import KeyIndex
 from ledgerlens.plans.bind_scalars import RAW_CODE, RAW_ENO, RAW_NUMBER, RAW_REMARK
 from ledgerlens.plans.bind_scalars import _duck_key as duck_key
 from ledgerlens.plans.registry import bound
@@ -367,3 +368,30 @@ def duplicates_export(spark, d):
     sinks.export_duplicates(copies, path)
     return spark.read.schema("l_orderkey bigint, l_linenumber int, ship_day date, invoice_year int") \
         .option("header", True).csv(path)
+
+
+@bound("known_key_index", """
+WITH ledger AS (SELECT 'K' || CAST(o_orderkey AS VARCHAR) AS k FROM orders WHERE o_orderkey % 3 <> 1),
+batch AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN ' k' WHEN 1 THEN 'K' ELSE 'k' END || CAST(o_orderkey AS VARCHAR) AS k
+          FROM orders WHERE o_orderkey % 5 < 2)
+SELECT o_orderkey, k IN (SELECT k FROM ledger) AS known, lower(trim(k)) IN (SELECT lower(k) FROM ledger) AS known_tolerant
+FROM batch
+""")
+def known_key_index(spark, d):
+    """Keys of a batch that a stored ledger holds, exactly and after trimming
+    and lower-casing, by the index beside the ledger. The ledger is written in
+    two appends, the index refreshed in between."""
+    o = table(spark, d, "orders", "o_orderkey", "o_orderdate")
+    rows = o.filter("o_orderkey % 3 <> 1").select(F.expr("'K' || CAST(o_orderkey AS STRING)").alias("k"),
+                                                  F.year("o_orderdate").alias("invoice_year"), "o_orderkey")
+    path = _scratch(spark, "indexed-ledger")
+    index = KeyIndex(spark, path, "k", expected_keys=1_000_000, buckets=16)
+    for part in (0, 1):
+        sinks.write_partitioned(rows.filter(F.col("o_orderkey") % 2 == part), path, mode="append")
+        index.refresh()
+    batch = o.filter("o_orderkey % 5 < 2").select("o_orderkey", F.expr(
+        "CASE o_orderkey % 4 WHEN 0 THEN ' k' WHEN 1 THEN 'K' ELSE 'k' END || CAST(o_orderkey AS STRING)").alias("k"))
+    exact, tolerant = index.known(batch), index.known(batch, tolerant=True)
+    out = batch.join(exact.withColumn("e", F.lit(True)), "k", "left").join(tolerant.withColumn("t", F.lit(True)), "k", "left")
+    no = F.lit(False)
+    return out.select("o_orderkey", F.coalesce("e", no).alias("known"), F.coalesce("t", no).alias("known_tolerant"))

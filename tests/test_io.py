@@ -184,13 +184,11 @@ def test_reports_on_empty_tables(spark):
     assert len(report) == 1 and report[0].is_total and report[0].issue_level == "ERROR"
 
 
-def test_ties_mark_all_but_one_on_either_path(spark):
+def test_ties_mark_all_but_one(spark):
     from ledgerlens.operators.dedup import mark_uuid_duplicates
     df = spark.createDataFrame([(1, 5, None)] * 3 + [(2, 5, None)], "k int, t int, clean_status string")
-    hot = spark.createDataFrame([(1,)], "k int")
-    for path in (None, hot):
-        out = mark_uuid_duplicates(df, "k", ["t"], "dup", hot=path)
-        assert sorted((r.k, r.clean_status or "") for r in out.collect()) == [(1, ""), (1, "dup"), (1, "dup"), (2, "")]
+    out = mark_uuid_duplicates(df, "k", ["t"], "dup")
+    assert sorted((r.k, r.clean_status or "") for r in out.collect()) == [(1, ""), (1, "dup"), (1, "dup"), (2, "")]
 
 
 def test_overwrite_years_replaces_only_touched_years(spark, sf_small):
@@ -349,3 +347,20 @@ def test_ledger_from_workbooks(spark, sf_small):
     assert res.anomalies.count() >= 0 and res.cast_stats.count() > 0
     man = res.manifest.collect()
     assert len(man) == 3 and all(r.classification == "summary" and r.target_table == "detail" for r in man)
+
+
+def test_import_with_tolerant_key_check(spark, sf_small):
+    """Keys that differ in case only: new for the exact check, known for the tolerant one."""
+    import os
+    from ledgerlens import ingest
+    from ledgerlens.sources import xlsx_writer
+    src, ledger = os.path.join(local_scratch_dir(), "x"), os.path.join(local_scratch_dir(), "ledger")
+    rows = bind_io.header_export(spark, sf_small).limit(60)
+    xlsx_writer.write_workbooks(rows.repartition(2), src, "发票基础信息").count()
+    first = ingest.import_headers(spark, src, "b1", "2024-01-01 00:00:00", ledger=ledger, mode="keep_first").accepted.count()
+    upper = os.path.join(local_scratch_dir(), "upper")
+    stored = spark.read.parquet(ledger).withColumn("header_uuid", F.upper("header_uuid"))
+    stored.write.partitionBy("invoice_year").parquet(upper)
+    again = ingest.import_headers(spark, src, "b2", "2024-01-02 00:00:00", ledger=upper, mode="keep_first", tolerant=True)
+    assert first > 0 and again.accepted.count() == 0
+    assert ingest.import_headers(spark, src, "b3", "2024-01-03 00:00:00", ledger=upper, mode="keep_first").accepted.count() == first
