@@ -6,9 +6,12 @@ AQE may split when one key is hot.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.session import scratch_path
 
 
 def as_list(cols) -> list[str]:
@@ -69,15 +72,72 @@ def year_coverage(left: DataFrame, right: DataFrame, year: str,
 
 
 def red_blue_link(red: DataFrame, blue: DataFrame, ref: str, blue_key: str,
-                  blue_cols=()) -> DataFrame:
+                  blue_cols=(), blue_order=None) -> DataFrame:
     """Attach the original (blue) invoice to each red invoice by its remark key.
 
     Only rows with a non-null ``ref`` take part; a red invoice whose blue
-    one is absent keeps null blue columns (left join).
+    one is absent keeps null blue columns (left join). With ``blue_order`` a
+    blue key that comes several times is reduced to its first row, so no red
+    invoice multiplies; without it every blue row is attached. Only blue rows
+    that a red one refers to are shuffled with their columns, and AQE can
+    split the red rows of a popular blue invoice.
     """
     r = red.filter(F.col(ref).isNotNull())
-    b = blue.select(F.col(blue_key).alias("__blue_key"), *[F.col(c).alias(f"blue_{c}") for c in blue_cols])
-    return r.join(b, r[ref] == b["__blue_key"], "left").drop("__blue_key")
+    b = blue.join(r.select(F.col(ref).alias(blue_key)).distinct(), blue_key, "left_semi")
+    if blue_order is not None:
+        b = first_of_key(b, blue_key, blue_order, list(blue_cols)) if blue_cols else b.select(blue_key).distinct()
+    b = b.select(F.col(blue_key).alias(ref), *[F.col(c).alias(f"blue_{c}") for c in blue_cols])
+    return join_per_key(r, b, ref, "left")
+
+
+def first_of_key(df: DataFrame, key: str, order, columns) -> DataFrame:
+    """One row per non-null ``key``: ``columns`` of its first row by ``order``
+    (ties: the least columns). A minimum, so a repeated key is reduced before
+    the shuffle."""
+    order, columns = as_list(order), as_list(columns)
+    least = F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.struct(*columns).alias("row")))
+    return (df.filter(F.col(key).isNotNull()).groupBy(key).agg(least.alias("__least"))
+            .select(key, *[F.col(f"__least.row.{c}").alias(c) for c in columns]))
+
+
+#: steps of a chain of corrections that are followed
+MAX_STEPS = 1 << 10
+
+
+def correction_chains(invoices: DataFrame, key: str, ref: str, order, max_steps: int = MAX_STEPS) -> DataFrame:
+    """For every key that corrects another one (``ref``, of its first row by
+    ``order``): ``key, first_key, steps, complete``. The chain of references
+    is followed while the referred invoice is itself a correction; it ends at
+    the first key that is none, stored or not. A chain that runs in a circle,
+    or on after ``max_steps``, is not ``complete`` and stays where it is then.
+
+    Every round doubles the steps: a join of the still open chains with the
+    chains so far, written to the checkpoint folder, so a chain of n
+    corrections takes log2(n) rounds. A row that refers to itself corrects
+    nothing.
+    """
+    spark = invoices.sparkSession
+    base = scratch_path(spark, f"corrections-{uuid.uuid4().hex[:12]}")
+
+    def written(df: DataFrame, n: int) -> DataFrame:
+        df.write.parquet(f"{base}/{n}")
+        return spark.read.parquet(f"{base}/{n}")
+
+    links = first_of_key(invoices.filter(F.col(ref).isNotNull() & (F.col(ref) != F.col(key))), key, order, [ref])
+    cur = written(links.select(F.col(key).alias("key"), F.col(ref).alias("at"), F.lit(1).cast("long").alias("steps")), 0)
+    reached, n = 1, 0
+    while reached < max_steps:
+        ahead = cur.select(F.col("key").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"))
+        # a popular invoice is referred to by many: its referrers are split
+        joined = join_per_key(cur, ahead, "at", "left")
+        if joined.filter("next is not null").isEmpty():
+            break
+        n, reached = n + 1, 2 * reached
+        cur = written(joined.select("key", F.coalesce("next", "at").alias("at"),
+                                    (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), n)
+    open_ = cur.select(F.col("key").alias("at"), F.lit(True).alias("open"))
+    out = join_per_key(cur, open_, "at", "left")
+    return out.select(F.col("key").alias(key), F.col("at").alias("first_key"), "steps", F.col("open").isNull().alias("complete"))
 
 
 def distinct_keys(df: DataFrame, keys) -> DataFrame:

@@ -197,3 +197,21 @@ def blacklist_hits(spark, d):
     black = table(spark, d, "supplier", "s_suppkey", "s_acctbal").filter(F.col("s_acctbal") < 0)
     li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey")
     return A.blacklist_hits(li, black, "l_suppkey", "s_suppkey")
+
+
+# names of customers: one text for three of them, with no, one or several characters changed
+_TYPO = ("CASE c_custkey % 3 WHEN 0 THEN {h} WHEN 1 THEN substr({h}, 1, 4) || substr({h}, 6, 20) "
+         "ELSE 'x' || substr({h}, 1, 6) || 'y' || substr({h}, 8, 20) END")
+_TYPO_SPARK = _TYPO.format(h="substr(md5(CAST(CAST(c_custkey DIV 3 AS STRING) AS BINARY)), 1, 14)")
+_TYPO_DUCK = _TYPO.format(h="substr(md5(CAST(c_custkey // 3 AS VARCHAR)), 1, 14)")
+
+
+@bound("similar_names_distance", f"""
+WITH n AS (SELECT nm, COUNT(*) AS c FROM (SELECT {_TYPO_DUCK} AS nm FROM customer) GROUP BY nm)
+SELECT a.nm AS name_a, b.nm AS name_b, a.c AS rows_a, b.c AS rows_b, levenshtein(a.nm, b.nm) AS distance
+FROM n a JOIN n b ON a.nm < b.nm WHERE abs(length(a.nm) - length(b.nm)) <= 2 AND levenshtein(a.nm, b.nm) <= 2
+""")
+def similar_names_distance(spark, d):
+    """Names of customers that two edits or fewer make equal."""
+    c = table(spark, d, "customer", "c_custkey").select(F.expr(_TYPO_SPARK).alias("nm"))
+    return A.similar_names(c, "nm", 2)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens import functions as L
 from ledgerlens.functions import keys
 from ledgerlens.operators import dedup as D
+from ledgerlens.operators import identity as ID
 from ledgerlens.operators import joins as J
 from ledgerlens.plans.registry import bound
 from ledgerlens.plans.tables import LINE_ORDER_SQL, line_order, table
@@ -308,3 +309,65 @@ FROM lineitem
 def hot_invoice_line_numbers(spark, d):
     """Lines numbered across the whole batch, a third of them in one invoice."""
     return D.logic_line_no(_hot_lines(spark, d), "hot_key", [*line_order(), "l_linenumber", "l_orderkey"], scope=())
+
+
+# ---- identity by either of two keys: runs of ten orders are linked link by link ----
+_PRIMARY = "CASE WHEN o_orderkey % 10 <> 9 THEN CAST(o_orderkey DIV 2 AS STRING) END"
+_ALTERNATIVE = "CASE WHEN o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 3 THEN CAST((o_orderkey + 1) DIV 2 AS STRING) END"
+
+
+@bound("alternative_key_ledger", f"""
+WITH RECURSIVE r AS (SELECT o_orderkey, o_orderdate, 'p' || {_PRIMARY.replace("STRING", "VARCHAR").replace("DIV", "//")} AS p,
+                  'a' || {_ALTERNATIVE.replace("STRING", "VARCHAR").replace("DIV", "//")} AS a FROM orders),
+links AS (SELECT p AS x, a AS y FROM r WHERE p IS NOT NULL AND a IS NOT NULL
+          UNION SELECT a, p FROM r WHERE p IS NOT NULL AND a IS NOT NULL),
+reach AS (SELECT k AS node, k AS other FROM (SELECT p AS k FROM r UNION SELECT a FROM r) WHERE k IS NOT NULL
+          UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.other),
+low AS (SELECT node, min(other) AS root FROM reach GROUP BY node)
+SELECT o_orderkey, root IS NOT NULL AND row_number() OVER (PARTITION BY root ORDER BY o_orderdate, o_orderkey) > 1 AS is_duplicate
+FROM r LEFT JOIN low ON node = coalesce(p, a)
+""")
+def alternative_key_ledger(spark, d):
+    """Duplicates by the invoice code and number or by the electronic number."""
+    o = table(spark, d, "orders", "o_orderkey", "o_orderdate")
+    o = o.withColumns({"fphm": F.expr(_PRIMARY), "sdfphm": F.expr(_ALTERNATIVE)})
+    out = ID.keep_first_of_identity(o, ["fphm", "sdfphm"], ["o_orderdate", "o_orderkey"])
+    return out.select("o_orderkey", "is_duplicate")
+
+
+# ---- corrections of corrections, and blue invoices that come several times ----
+_CORRECTS = "CASE WHEN o_orderkey % 7 <> 0 OR o_orderkey BETWEEN 1 AND 99 THEN 'K' || CAST(o_orderkey - 1 AS STRING) END"
+
+
+@bound("correction_chains", f"""
+WITH RECURSIVE l AS (
+  SELECT k, ref FROM (SELECT k, ref, row_number() OVER (PARTITION BY k ORDER BY nth) AS n FROM (
+    SELECT 'K' || CAST(o_orderkey AS VARCHAR) AS k, {_CORRECTS.replace("STRING", "VARCHAR")} AS ref, 0 AS nth FROM orders
+    UNION ALL SELECT 'K' || CAST(o_orderkey AS VARCHAR), 'X', 1 FROM orders WHERE o_orderkey % 5 = 0) WHERE ref IS NOT NULL) WHERE n = 1),
+walk AS (SELECT k, ref AS place, 1::BIGINT AS steps FROM l UNION ALL SELECT w.k, l.ref, w.steps + 1 FROM walk w JOIN l ON l.k = w.place)
+SELECT k, arg_max(place, steps) AS first_key, max(steps) AS steps, true AS complete FROM walk GROUP BY k
+""")
+def correction_chains(spark, d):
+    """Red invoices followed over further red ones to the first invoice; a
+    fifth of the keys come twice, with another reference."""
+    o = table(spark, d, "orders", "o_orderkey")
+    k = F.expr("'K' || CAST(o_orderkey AS STRING)").alias("k")
+    rows = o.select(k, F.expr(_CORRECTS).alias("ref"), F.lit(0).alias("nth")).union(
+        o.filter("o_orderkey % 5 = 0").select(k, F.lit("X"), F.lit(1)))
+    return J.correction_chains(rows, "k", "ref", ["nth"])
+
+
+@bound("red_blue_first", f"""
+WITH blue AS (SELECT 'K' || CAST(o_orderkey % 500 AS VARCHAR) AS k, o_orderdate, o_orderkey FROM orders),
+one AS (SELECT k, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM blue GROUP BY k)
+SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, one.o_orderkey AS blue_o_orderkey
+FROM lineitem LEFT JOIN one ON k = CASE WHEN l_orderkey % 3 = 0 THEN 'K7' ELSE 'K' || CAST(l_orderkey % 700 AS VARCHAR) END
+""")
+def red_blue_first(spark, d):
+    """A third of the red rows refer to one blue invoice; blue keys come many times."""
+    o = table(spark, d, "orders", "o_orderkey", "o_orderdate")
+    blue = o.withColumn("k", F.expr("'K' || CAST(o_orderkey % 500 AS STRING)"))
+    red = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate").withColumn(
+        "ref", F.expr("CASE WHEN l_orderkey % 3 = 0 THEN 'K7' ELSE 'K' || CAST(l_orderkey % 700 AS STRING) END"))
+    out = J.red_blue_link(red, blue, "ref", "k", blue_cols=["o_orderkey"], blue_order=["o_orderdate", "o_orderkey"])
+    return out.drop("ref")

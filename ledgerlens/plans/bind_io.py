@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ledgerlens import ingest, sinks
+from ledgerlens import ingest, routing, sinks
 from ledgerlens.keyindex import KeyIndex
 from ledgerlens.plans.bind_scalars import RAW_CODE, RAW_ENO, RAW_NUMBER, RAW_REMARK
 from ledgerlens.plans.bind_scalars import _duck_key as duck_key
@@ -395,3 +395,51 @@ def known_key_index(spark, d):
     out = batch.join(exact.withColumn("e", F.lit(True)), "k", "left").join(tolerant.withColumn("t", F.lit(True)), "k", "left")
     no = F.lit(False)
     return out.select("o_orderkey", F.coalesce("e", no).alias("known"), F.coalesce("t", no).alias("known_tolerant"))
+
+
+ROUTED = {
+    "header": ["发票代码", "发票号码", "数电发票号码", "开票日期", "价税合计"],
+    "detail": ["发票代码", "发票号码", "货物或应税劳务名称", "单价", "数量", "金额"],
+    "special_railway": ["数电发票号码", "车次", "乘车日期", "出行人"],
+    "special_toll": ["通行日期起", "车牌号", "发票号码"],
+}
+# sheet name, condition on orders, titles; values are texts of the order key
+_SENT = [
+    ("HEADER__2024", "o_orderkey % 6 = 0", ["发票代码", "发票号码", "备注"]),
+    ("Sheet1", "o_orderkey % 6 = 1", ["发票号码", "单价", "数量", "金额", "别的"]),
+    ("任意", "o_orderkey % 6 = 2", ["车次", "乘车日期", "数电发票号码"]),
+    ("TOLL__1", "o_orderkey % 6 = 3", ["发票代码", "发票号码", "通行日期起", "价税合计"]),
+    ("杂项", "o_orderkey % 6 = 4", ["备用一", "备用二"]),
+    ("TEMP__x", "o_orderkey % 6 = 5", ["发票代码", "发票号码", "单价"]),
+]
+_ROUTES = [("header", "prefix", "发票号码"), ("detail", "overlap", "发票号码"), ("special_railway", "overlap", "数电发票号码"),
+           ("special_toll", "prefix", "发票号码"), ("transit", "transit", "备用一"), ("transit", "prefix", "发票号码")]
+
+
+@bound("routed_import", " UNION ALL ".join(
+    f"SELECT '{target}' AS target_table, '{route}' AS route, 'v{titles.index(shown)}-' || o_orderkey AS value, "
+    f"{len(titles) if target == 'transit' else sum(t in ROUTED[target] for t in titles)} AS filled FROM orders WHERE {where}"
+    for (_, where, titles), (target, route, shown) in zip(_SENT, _ROUTES)))
+def routed_import(spark, d):
+    """Workbooks of six kinds of sheets routed to four tables and the transit
+    table, by sheet prefix or by shared titles, and read back."""
+    folder, path = _scratch(spark, "routed-export"), _scratch(spark, "routed")
+    o = table(spark, d, "orders", "o_orderkey")
+    for i, (sheet, where, titles) in enumerate(_SENT):
+        rows = o.filter(where).select(*[F.concat(F.lit(f"v{j}-"), F.col("o_orderkey").cast("string")).alias(t)
+                                        for j, t in enumerate(titles)])
+        xlsx_writer.write_workbooks(rows.repartition(_parts(rows) // 4 or 1), f"{folder}/{i}", sheet).count()
+    _, folders, _ = routing.import_routed(spark, folder, path, ROUTED, "batch-1", _scratch(spark, "routed-rows"))
+    shown = {target: title for target, _, title in reversed(_ROUTES)}
+    out = None
+    for target, stored in folders.items():
+        t = spark.read.parquet(stored)
+        if target == routing.TRANSIT:
+            value = F.coalesce(F.col("values").getItem("备用一"), F.col("values").getItem("发票号码"))
+            filled = F.size(F.map_filter("values", lambda _, v: v.isNotNull()))
+        else:
+            value = F.col(shown[target])
+            filled = sum((F.col(c).isNotNull().cast("int") for c in ROUTED[target]), F.lit(0))
+        part = t.select(F.lit(target).alias("target_table"), "route", value.alias("value"), filled.cast("int").alias("filled"))
+        out = part if out is None else out.union(part)
+    return out
