@@ -111,13 +111,10 @@ def _finish(spark, df, key, ledger, mode, rejected, chosen, batch_id, rows, tole
                         _paths(rows, df, *([known] if known is not None else [])))
 
 
-def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
-                   min_overlap: int = 5, mode: str = "reject_all", max_mb: float | None = 500.0,
-                   tolerant: bool = False) -> ImportResult:
-    """Import the header sheet ('发票基础信息…') of every workbook under ``path``
-    (files above ``max_mb`` are reported in ``errors``). With ``tolerant`` a
-    key is known when its trimmed, lower-cased text is that of a ledger key."""
-    rows = _rows(spark, path, batch_id, list(HEADER_TITLE_MAP), max_mb)
+def header_frame(rows: DataFrame, batch_id: str, batch_ts: str, min_overlap: int = 5):
+    """``(keyed, rejected, sheets)`` of workbook rows read with the header
+    titles: the header sheet ('发票基础信息…') of every workbook, its rows with
+    keys and parsed values, and the rows without a usable key."""
     cat = xlsx.sheet_catalogue(rows).filter(F.col("sheet").contains(HEADER_SHEET_MARK))
     chosen = best_sheet_by_overlap(cat, list(HEADER_TITLE_MAP), min_overlap, prefer_prefix=None)
     df = _chosen_rows(rows, chosen, HEADER_TITLE_MAP)
@@ -128,18 +125,13 @@ def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
         "created_at": F.lit(batch_ts).cast("timestamp_ntz"), "created_by": F.lit(DEFAULT_CREATED_BY),
         "is_balanced": F.lit(UNCHECKED), "balance_tolerance": F.lit(DEFAULT_TOLERANCE).cast("decimal(18,2)"),
     })
-    return _finish(spark, h, "header_uuid", ledger, mode, rejected, chosen, batch_id, rows, tolerant)
+    return h, rejected, chosen
 
 
-def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
-                   min_overlap: int = 3, mode: str = "reject_all",
-                   line_scope=("source_file", "source_sheet"), max_mb: float | None = 500.0,
-                   tolerant: bool = False) -> ImportResult:
-    """Import the detail sheet of every workbook under ``path``: a sheet named
-    '信息汇总表…' wins, else the sheet sharing most detail titles (≥ min_overlap);
-    files above ``max_mb`` are reported in ``errors``; ``tolerant`` as in
-    ``import_headers``."""
-    rows = _rows(spark, path, batch_id, list(DETAIL_TITLE_MAP), max_mb)
+def detail_frame(rows: DataFrame, batch_id: str, batch_ts: str, min_overlap: int = 3,
+                 line_scope=("source_file", "source_sheet")):
+    """As ``header_frame``, for the detail sheet: one named '信息汇总表…' wins,
+    else the sheet sharing most detail titles (≥ min_overlap)."""
     chosen = best_sheet_by_overlap(xlsx.sheet_catalogue(rows), list(DETAIL_TITLE_MAP), min_overlap,
                                    prefer_prefix=SUMMARY_SHEET_PREFIX)
     df = _chosen_rows(rows, chosen, DETAIL_TITLE_MAP)
@@ -152,9 +144,31 @@ def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str,
         "sl": L.truncate_decimals("sl", 8), "dj": L.truncate_decimals("dj", 8),
         "updated_at": F.lit(None).cast("timestamp_ntz"), "updated_by": F.lit(None).cast("string"),
     }).drop("__inv")
-    return _finish(spark, d, "detail_uuid", ledger, mode, rejected, chosen, batch_id, rows, tolerant)
+    return d, rejected, chosen
 
 
+def import_headers(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
+                   min_overlap: int = 5, mode: str = "reject_all", max_mb: float | None = 500.0,
+                   tolerant: bool = False) -> ImportResult:
+    """Import the header sheet ('发票基础信息…') of every workbook under ``path``
+    (files above ``max_mb`` are reported in ``errors``). With ``tolerant`` a
+    key is known when its trimmed, lower-cased text is that of a ledger key."""
+    rows = _rows(spark, path, batch_id, list(HEADER_TITLE_MAP), max_mb)
+    h, rejected, chosen = header_frame(rows, batch_id, batch_ts, min_overlap)
+    return _finish(spark, h, "header_uuid", ledger, mode, rejected, chosen, batch_id, rows, tolerant)
+
+
+def import_details(spark: SparkSession, path: str, batch_id: str, batch_ts: str, ledger: str | None = None,
+                   min_overlap: int = 3, mode: str = "reject_all",
+                   line_scope=("source_file", "source_sheet"), max_mb: float | None = 500.0,
+                   tolerant: bool = False) -> ImportResult:
+    """Import the detail sheet of every workbook under ``path`` (see
+    ``detail_frame``); files above ``max_mb`` are reported in ``errors``;
+    ``tolerant`` as in ``import_headers``."""
+    rows = _rows(spark, path, batch_id, list(DETAIL_TITLE_MAP), max_mb)
+    d, rejected, chosen = detail_frame(rows, batch_id, batch_ts, min_overlap, line_scope)
+    return _finish(spark, d, "detail_uuid", ledger, mode, rejected, chosen, batch_id, rows, tolerant)
+
 
 @dataclass
 class LedgerBuild:

@@ -215,3 +215,44 @@ def similar_names_distance(spark, d):
     """Names of customers that two edits or fewer make equal."""
     c = table(spark, d, "customer", "c_custkey").select(F.expr(_TYPO_SPARK).alias("nm"))
     return A.similar_names(c, "nm", 2)
+
+
+# sellers are suppliers, buyers customers, and a quarter of the invoices run the other way; tax ids and names are shared now and then
+_PARTY = """SELECT 'S' || CAST(s_suppkey AS {t}) AS party, CASE WHEN s_suppkey % 4 = 0 THEN 'T' || CAST(s_suppkey {div} 8 AS {t}) END AS tax_id,
+       CASE WHEN s_suppkey % 3 <> 1 THEN 'N' || CAST(s_suppkey {div} 5 AS {t}) END AS name FROM supplier
+UNION ALL SELECT 'C' || CAST(c_custkey AS {t}), CASE WHEN c_custkey % 5 = 0 THEN 'T' || CAST(c_custkey {div} 25 AS {t}) END,
+       CASE WHEN c_custkey % 6 = 2 THEN 'N' || CAST(c_custkey {div} 30 AS {t}) END FROM customer"""
+_TRADE = """SELECT CASE WHEN l_linenumber % 4 = 0 THEN 'C' || CAST(o_custkey AS {t}) ELSE 'S' || CAST(l_suppkey AS {t}) END AS seller,
+       CASE WHEN l_linenumber % 4 = 0 THEN 'S' || CAST(l_suppkey AS {t}) ELSE 'C' || CAST(o_custkey AS {t}) END AS buyer,
+       CAST(l_extendedprice AS DECIMAL(18,2)) AS amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+
+@bound("related_party_pairs", f"""
+WITH p AS ({_PARTY.format(t="VARCHAR", div="//")}), t AS ({_TRADE.format(t="VARCHAR")}),
+m AS (SELECT DISTINCT party, mark FROM (SELECT party, 'tax:' || tax_id AS mark FROM p UNION ALL SELECT party, 'name:' || name FROM p)
+      WHERE mark IS NOT NULL),
+pairs AS (SELECT seller, buyer, COUNT(*) AS invoices, SUM(amount) AS amount FROM t GROUP BY seller, buyer),
+beside AS (SELECT DISTINCT a.mark AS x, b.mark AS y FROM m a JOIN m b USING (party)),
+near AS (SELECT seller, buyer, min(CASE WHEN s.mark = b.mark THEN 0 ELSE 1 END) AS far
+         FROM pairs JOIN m s ON s.party = seller JOIN m b ON b.party = buyer
+         WHERE s.mark = b.mark OR (s.mark, b.mark) IN (SELECT (x, y) FROM beside) GROUP BY seller, buyer)
+SELECT p.seller, p.buyer, p.invoices, CAST(p.amount AS DECIMAL(28,2)) AS amount, COALESCE(r.invoices, 0) AS reverse_invoices,
+       CAST(COALESCE(r.amount, 0) AS DECIMAL(28,2)) AS reverse_amount, CASE far WHEN 0 THEN 'direct' ELSE 'one_between' END AS relation
+FROM near JOIN pairs p USING (seller, buyer) LEFT JOIN pairs r ON r.seller = p.buyer AND r.buyer = p.seller
+""")
+def related_party_pairs(spark, d):
+    """Trade between parties that share a tax id or name, or are one party apart."""
+    from ledgerlens.operators.parties import related_party_pairs as related
+    frames = {"supplier": table(spark, d, "supplier", "s_suppkey"), "customer": table(spark, d, "customer", "c_custkey"),
+              "orders": table(spark, d, "orders", "o_orderkey", "o_custkey"),
+              "lineitem": table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")}
+
+    def run(q: str):
+        q = q.format(t="STRING", div="DIV")
+        used = {n: f for n, f in frames.items() if f" {n}" in q}
+        for n in used:
+            q = q.replace(f"FROM {n}", f"FROM {{{n}}}").replace(f"JOIN {n}", f"JOIN {{{n}}}")
+        return spark.sql(q, **used)
+
+    parties, trade = run(_PARTY), run(_TRADE)
+    return related(trade, parties, "seller", "buyer", "amount", "party", ["tax_id", "name"], max_between=1)

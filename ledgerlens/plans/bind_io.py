@@ -22,6 +22,7 @@ from ledgerlens.session import scratch_path
 from ledgerlens.operators import dedup, sheets
 from ledgerlens.sources import charset, xlsx, xlsx_writer
 from ledgerlens.streaming.incremental import start_incremental_import
+from ledgerlens.streaming.workbooks import start_workbook_import
 
 # spreadsheet titles for the orders columns written to workbooks
 ORDER_TITLES = {"发票号码": "o_orderkey", "购买方名称": "o_custkey", "发票状态": "o_orderstatus",
@@ -443,3 +444,20 @@ def routed_import(spark, d):
         part = t.select(F.lit(target).alias("target_table"), "route", value.alias("value"), filled.cast("int").alias("filled"))
         out = part if out is None else out.union(part)
     return out
+
+
+@bound("streaming_workbook_import", f"""
+WITH r AS (SELECT o_orderdate, {_duck_clean(f"({RAW_CODE})")} AS code, {_duck_clean(f"({RAW_NUMBER})")} AS num,
+                  {_duck_clean(f"({RAW_ENO})")} AS eno FROM orders)
+SELECT DISTINCT md5({duck_key('code', 'num', 'eno')}) AS header_uuid FROM r
+WHERE eno IS NOT NULL OR (code IS NOT NULL AND num IS NOT NULL)
+""")
+def streaming_workbook_import(spark, d, max_files_per_trigger: int = 2):
+    """Header workbooks picked up by a stream in several micro-batches: one
+    row of every key is accepted, as in one batch import."""
+    landing, base = _scratch(spark, "landing-workbooks"), _scratch(spark, "streamed")
+    rows = header_export(spark, d)
+    xlsx_writer.write_workbooks(rows.repartition(_parts(rows)), landing, "发票基础信息").count()
+    start_workbook_import(spark, landing, "header", f"{base}/ledger", f"{base}/side", f"{base}/checkpoint", "stream",
+                          "2024-01-01 00:00:00", max_files_per_trigger=max_files_per_trigger).awaitTermination()
+    return spark.read.parquet(f"{base}/ledger").select("header_uuid")
