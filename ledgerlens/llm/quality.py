@@ -129,9 +129,6 @@ def learn_references(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     counts = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"))
               .where("lang is not null").mapInArrow(count, "lang string, word binary, bin long, n long")
               .groupBy("lang", "word", "bin").agg(F.sum("n").alias("n")))
-    enough = (counts.where("bin < 0").groupBy("lang").agg(F.sum("n").alias("n"))
-              .where(F.col("n") >= MIN_REFERENCE_WORDS).select("lang"))
-    counts = counts.join(enough, "lang", "left_semi")
     words = counts.where("bin < 0")
     ranked = (words.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
               .where(F.col("rank") <= COMMON_WORDS).select("lang", "word", F.col("bin"), "n"))
@@ -148,6 +145,8 @@ def learn_references(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
             common[bytes(word)] = n
     out = {}
     for lang, (char, common, totals) in refs.items():
+        if totals[0] < MIN_REFERENCE_WORDS:
+            continue
         names = sorted(common, key=lambda w: (-common[w], w))
         out[lang] = (char, {w: i for i, w in enumerate(names)},
                      np.array([*(common[w] for w in names), totals[0] - sum(common.values())], dtype=np.float64))
