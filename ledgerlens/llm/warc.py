@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import Stages, ready
+from ledgerlens.operators.joins import join_per_key
 from ledgerlens.session import scratch_path
 
 #: an archive is closed when it is so long
@@ -114,7 +115,8 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, min
     thin = rows.select("page_id", F.sha1("html").alias("digest"), F.octet_length("html").alias("n"))
     leaders = (thin.where((F.col("n") >= min_bytes) & F.col("page_id").isNotNull())
                .groupBy("digest").agg(F.max("page_id").alias("lead"), F.count("*").alias("copies")).where("copies > 1"))
-    revisits = (thin.where("page_id is not null").join(leaders, "digest").where("page_id < lead")
+    # both sides are dealt for the join, so the copies of a hot payload can be split
+    revisits = (join_per_key(thin.where("page_id is not null"), leaders, "digest").where("page_id < lead")
                 .select(F.col("page_id").alias("r_id"), F.col("digest").alias("r_digest"), F.col("lead").alias("refers_to"))
                 .distinct())
     return rows.withColumn("digest", F.sha1("html")).join(
