@@ -1,22 +1,33 @@
 """Main text of web pages by a site style tree.
 
-All pages of a host are merged into one style tree: a node is a path of
-elements with their presentation (tag, class, role), and every text block is
-content under a node. Over the pages of the host,
-
-* the *presentation importance* of a node is the entropy of the blocks found
-  under it, scaled to 0..1 by the number of pages that have the node, and
-* the *content importance* of one block there falls with the share of those
-  pages that repeat it.
-
-Branches of low importance (the same block at the same node on most pages)
-are menus, notices and other site furniture and are removed from each page.
-Pages with equal blocks count once, so copies of one page do not make its
-article look like furniture, and a node needs ``MIN_PAGES`` pages before it
-is judged. What HTML itself names as furniture (navigation, headers and
-footers of the page, asides, forms, scripts, adverts, comment sections) goes
-before that. The statistics are gathered by Spark per host, node and block;
-no host is collected anywhere.
+All pages of a host, whole, are merged into one style tree: a node is a path
+of elements with their presentation (tag, class, role), and every text block
+is content under a node. Over the ``m`` pages of the host that have a node,
+
+* the *content importance* of a block found there on ``n`` pages is
+  ``1 - log n / log m``: the entropy of its spread over the pages, as a share
+  of the greatest (0: it stands on all of them, 1: on one),
+* the *presentation importance* of the node is the entropy of its child
+  elements' sequences (runs of equal ones count once), scaled in the same way, and
+* the importance of the node's branch is nine tenths the mean content
+  importance of its blocks, weighted by their characters, and one tenth its
+  presentation importance.
+
+A branch of low importance goes from each page with all its blocks, those
+that vary too (a page number, the day's links); in a branch that stays, a
+block goes if most of the node's pages repeat it. A branch is noise only when
+all content below it is, so judging the nodes that hold text judges every
+branch. Pages with equal blocks count once, so copies of one page do not make
+its article look like furniture, and a node needs ``MIN_PAGES`` pages before
+it is judged. The tree is built before any list is asked and sees menus and
+adverts as it sees the article.
+
+What repetition cannot tell (an advert or a reader's comment found once) is
+left to a prior: branches that HTML itself names as furniture (navigation,
+headers and footers of the page, asides, forms, adverts, comment sections),
+and blocks outside the article where there is one. Scripts, styles and hidden
+elements are no text at all. The statistics are gathered by Spark per host,
+node and block; no host is collected anywhere.
 """
 
 from __future__ import annotations
@@ -38,10 +49,12 @@ MIN_PAGES = 4
 MAX_SHARE = 0.5
 #: the same for a block inside an article
 MIN_ARTICLE_PAGES, MAX_ARTICLE_SHARE = 10, 0.9
-#: a node is judged only when its presentation importance is below this
-MAX_IMPORTANCE = 0.7
-#: furniture blocks (8 bytes each) that may be broadcast; beyond, hosts are joined
-MAX_BROADCAST = 1_000_000
+#: repeated blocks go only from nodes whose blocks have less entropy than this share of the greatest
+MAX_SPREAD = 0.7
+#: a branch of less importance goes whole
+MIN_IMPORTANCE = 0.2
+#: share of the content in a branch's importance
+CONTENT_WEIGHT = 0.9
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -81,14 +94,17 @@ def _classes(attrs: dict[str, str]):
         yield set(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
 
 
+def _is_hidden(attrs: dict[str, str]) -> bool:
+    return ("hidden" in attrs or attrs.get("aria-hidden") == "true"
+            or re.search(r"display\s*:\s*none", attrs.get("style", "")) is not None)
+
+
 def _is_furniture(tag: str, attrs: dict[str, str], level: int) -> bool:
     if tag in _FURNITURE_TAGS or tag == "footer" or (tag == "header" and not level):
         return True
     if not attrs:
         return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in _FURNITURE_ROLES:
-        return True
-    if re.search(r"display\s*:\s*none", attrs.get("style", "")):
+    if attrs.get("role", "").lower() in _FURNITURE_ROLES:
         return True
     if tag in ("body", "html", "main"):
         return False
@@ -98,22 +114,27 @@ def _is_furniture(tag: str, attrs: dict[str, str], level: int) -> bool:
 
 
 class _Open:
-    __slots__ = ("tag", "node", "drop", "level")
+    __slots__ = ("tag", "node", "drop", "level", "named")
+
+    def __init__(self, tag, node, drop, level, named):
+        self.tag, self.node, self.drop, self.level, self.named = tag, node, drop, level, named
 
-    def __init__(self, tag, node, drop, level):
-        self.tag, self.node, self.drop, self.level = tag, node, drop, level
 
+def parse(page: str | None) -> tuple[list[tuple[int, int, bool, str]], dict[int, int]]:
+    """Text blocks of a page in order, and the presentation of its nodes.
 
-def blocks(page: str | None) -> list[tuple[int, int, str]]:
-    """Text blocks of a page in order: hash of the node (path of elements with
-    their presentation), 2 inside an article, 1 inside the main element, else
-    0, and the text with references decoded and white space runs as one blank.
-    Furniture named by the markup is left out. Unclosed and stray tags are
-    tolerated."""
+    A block: hash of the node (path of elements with their presentation), 2
+    inside an article, 1 inside the main element, else 0, whether the markup
+    names it as furniture, and the text with references decoded and white
+    space runs as one blank. Hidden elements, and furniture inside a line of
+    text, are no blocks. Presentation: a hash of the node's child elements in
+    order. Unclosed and stray tags are tolerated."""
     if not page:
-        return []
-    out: list[tuple[int, int, str]] = []
-    stack = [_Open("", 0, False, 0)]
+        return [], {}
+    out: list[tuple[int, int, bool, str]] = []
+    shown: dict[int, int] = {}
+    last: dict[int, int] = {}
+    stack = [_Open("", 0, False, 0, False)]
     text: list[str] = []
     at, size = 0, len(page)
 
@@ -122,7 +143,7 @@ def blocks(page: str | None) -> list[tuple[int, int, str]]:
             if not top.drop:
                 t = " ".join(htmllib.unescape("".join(text)).split())
                 if t:
-                    out.append((top.node, top.level, t))
+                    out.append((top.node, top.level, top.named, t))
             text.clear()
 
     def block_of():
@@ -199,25 +220,29 @@ def blocks(page: str | None) -> list[tuple[int, int, str]]:
                     break
         attrs = {k.lower(): htmllib.unescape(a or b or c) for k, a, b, c in _ATTR.findall(m[3])} if m[3] and m[3] != "/" else {}
         parent = stack[-1]
-        drop = parent.drop or _is_furniture(tag, attrs, parent.level)
+        furniture = _is_furniture(tag, attrs, parent.level)
+        drop = parent.drop or _is_hidden(attrs) or (furniture and tag not in _BLOCK)
         level = 2 if tag == "article" else max(parent.level, tag == "main")
         node = parent.node
         if tag in _BLOCK:
             flush(block_of())
             style = f"{tag}.{attrs.get('class', '')}@{attrs.get('role', '')}"
             node = xxhash.xxh3_64_intdigest(f"{parent.node}/{style}".encode("utf-8", "replace"))
-        stack.append(_Open(tag, node, drop, level))
+            if not drop and last.get(parent.node) != node:
+                last[parent.node] = node
+                shown[parent.node] = (shown.get(parent.node, 0) * 1_000_003 ^ node) & _MASK
+        stack.append(_Open(tag, node, drop, level, parent.named or furniture))
     flush(block_of())
-    return out
+    return out, shown
 
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#]*@)?([^/?#:]*)"
-_HOST = re.compile(HOST)
+_MASK = (1 << 64) - 1
 
 
-def host_of(url: str | None) -> str:
-    m = _HOST.match(url or "")
-    return m[1].lower() if m else ""
+def with_host(pages: DataFrame) -> DataFrame:
+    """``pages`` and the lower-case ``host`` of their ``url``, '' without one."""
+    return pages.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1)))
 
 
 def _signed(text: str) -> int:
@@ -225,51 +250,76 @@ def _signed(text: str) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _node_hash(host: str, node: int) -> int:
+    return _signed(f"{host}\n{node}")
+
+
 def _block_hash(host: str, node: int, text: str) -> int:
     return _signed(f"{host}\n{node}\n{text}")
 
 
+#: kinds of the tree's rows: text outside articles, text inside, presentation
+_TEXT, _ARTICLE, _STYLE = 0, 1, 2
+
+
 def style_tree(pages: DataFrame, stages: Stages) -> DataFrame:
-    """``host, block`` of the furniture of ``pages`` (``url, html``): blocks
-    whose node has little presentation importance and whose own importance is
-    low because most of the node's pages repeat them."""
+    """``host, low`` of the furniture of ``pages`` (``host, html``): hashes of
+    the nodes whose branch has little importance, and of the blocks that most
+    pages of their node repeat."""
     def content(batches):
-        """The distinct (node, block) of each page; ``body`` is the same for
-        pages of a host with equal blocks."""
+        """The distinct blocks and the presentation of each page's nodes;
+        ``body`` is the same for pages of a host with equal blocks (those that
+        the markup does not name as furniture, if there are any)."""
         for b in batches:
             rows = []
-            for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                host = host_of(url)
-                found = blocks(page)
-                body = _signed("\n".join(t for _, _, t in found))
-                rows += {(host, _signed(f"{host}\n{n}"), _block_hash(host, n, t), body, level == 2)
-                         for n, level, t in found}
+            for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found, shown = parse(page)
+                body = _signed("\n".join([t for _, _, named, t in found if not named] or [t for *_, t in found]))
+                at = {n: _node_hash(host, n) for n, *_ in found}
+                rows += {(host, at[n], _block_hash(host, n, t), body, _ARTICLE if level == 2 else _TEXT, len(t))
+                         for n, level, _, t in found}
+                rows += [(host, at[n], _signed(str(shown.get(n, 0))), body, _STYLE, 0) for n in at]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), *[pa.int64()] * 3, pa.bool_()))],
-                    ["host", "node", "block", "body", "article"])
-
-    rows = stages.write(pages.select("url", "html").mapInArrow(
-        content, "host string, node long, block long, body long, article boolean").distinct(), "content")
-    n = F.col("pages")
-    per_block = rows.groupBy("host", "node", "block", "article").agg(F.count("*").alias("pages"))
-    of_node = rows.select("node", "body").distinct().groupBy(F.col("node").alias("n_node")).agg(F.count("*").alias("of"))
-    spread = per_block.groupBy(F.col("node").alias("s_node")).agg(
-        F.sum("pages").alias("all"), F.sum(n * F.log2(n.cast("double"))).alias("plogp"))
-    # entropy of the blocks under the node, over the greatest it could have
-    share = (F.log2(F.col("all").cast("double")) - F.col("plogp") / F.col("all")) / F.log2(F.col("all").cast("double"))
-    spread = spread.withColumn("importance", F.when(F.col("all") > 1, share).otherwise(1.0))
-    low = ((n >= MIN_PAGES) & (n >= MAX_SHARE * F.col("of")) & ~F.col("article")
-           | (n >= MIN_ARTICLE_PAGES) & (n >= MAX_ARTICLE_SHARE * F.col("of")) & F.col("article"))
-    return (per_block.join(of_node, F.col("node") == F.col("n_node")).join(spread, F.col("node") == F.col("s_node"))
-            .where(low & (F.col("importance") < MAX_IMPORTANCE)).select("host", "block").distinct())
-
-
-def main_text(page: str | None, host: str, furniture) -> str:
-    """The blocks of a page that are not furniture, one per line: those of its
-    articles, else of its main element, else all."""
-    kept = [(level, t) for node, level, t in blocks(page)
-            if not furniture or _block_hash(host, node, t) not in furniture]
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), *[pa.int64()] * 3, pa.int32(), pa.int64()))],
+                    ["host", "node", "block", "body", "kind", "chars"])
+
+    rows = stages.write(pages.select("host", "html").mapInArrow(
+        content, "host string, node long, block long, body long, kind int, chars long").distinct(), "content")
+    n, text = F.col("pages"), F.col("kind") != _STYLE
+    per_block = rows.groupBy("host", "node", "block", "kind", "chars").agg(F.count("*").alias("pages"))
+    of_node = (rows.where(text).select("node", "body").distinct()
+               .groupBy(F.col("node").alias("n_node")).agg(F.count("*").alias("of")))
+    plogp = n * F.log2(n.cast("double"))
+    sums = per_block.groupBy(F.col("node").alias("s_node")).agg(
+        F.sum(F.when(text, n)).alias("all"), F.sum(F.when(text, plogp)).alias("plogp"),
+        F.sum(F.when(text, n * F.col("chars"))).alias("c_all"), F.sum(F.when(text, plogp * F.col("chars"))).alias("c_plogp"),
+        F.sum(F.when(~text, n)).alias("s_all"), F.sum(F.when(~text, plogp)).alias("s_plogp"))
+    log_all, log_s, log_of = (F.log2(F.col(c).cast("double")) for c in ("all", "s_all", "of"))
+    spread = F.when(F.col("all") > 1, (log_all - F.col("plogp") / F.col("all")) / log_all).otherwise(1.0)
+    of_content = 1 - F.col("c_plogp") / F.col("c_all") / log_of
+    of_style = F.when(F.col("s_all") > 1, (log_s - F.col("s_plogp") / F.col("s_all")) / log_s).otherwise(1.0)
+    importance = CONTENT_WEIGHT * of_content + (1 - CONTENT_WEIGHT) * of_style
+    judged = (per_block.where(text).join(of_node, F.col("node") == F.col("n_node"))
+              .join(sums, F.col("node") == F.col("s_node")))
+    article, of = F.col("kind") == _ARTICLE, F.col("of")
+    branch = ~article & (of >= MIN_PAGES) & (importance < MIN_IMPORTANCE)
+    repeated = (~article & (n >= MIN_PAGES) & (n >= MAX_SHARE * of)
+                | article & (n >= MIN_ARTICLE_PAGES) & (n >= MAX_ARTICLE_SHARE * of)) & (spread < MAX_SPREAD)
+    return (judged.select("host", F.when(branch, F.col("node")).when(repeated, F.col("block")).alias("low"))
+            .where("low IS NOT NULL").distinct())
+
+
+def main_text(page: str | None, host: str, low) -> str:
+    """The blocks of a page that stay, one per line. The tree speaks first
+    (``low``: hashes of low nodes and blocks), then the prior: no furniture
+    that the markup names, and the blocks of the articles, else of the main
+    element, else all."""
+    found, _ = parse(page)
+    if low:
+        out = {n for n in {n for n, *_ in found} if _node_hash(host, n) in low}
+        found = [x for x in found if x[0] not in out and _block_hash(host, x[0], x[3]) not in low]
+    kept = [(level, t) for _, level, named, t in found if not named]
     top = max((level for level, _ in kept), default=0)
     return "\n".join(t for level, t in kept if level == top)
 
@@ -280,40 +330,30 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     A null html gives an empty text; pages without a host in the URL (null
     too) form one host of their own; ids and rows may repeat; other columns
-    are ignored. Furniture blocks are broadcast while there are at most
-    ``MAX_BROADCAST`` of them; beyond, pages are joined to their host's.
+    are ignored. Each page meets its host's furniture in a join with a written
+    table, one row per host: a node has at most 1 / ``MAX_SHARE`` repeated
+    blocks for each block that a page has there. Spark broadcasts that table
+    while its bytes allow it, else the pages are dealt by host and a hot host
+    is split.
     """
     spark = pages.sparkSession
     ready(spark)
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    rows = with_host(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
     st = Stages(spark, "style-tree")
-    furniture = st.write(style_tree(rows, st), "furniture")
+    by_host = style_tree(rows, st).groupBy(F.col("host").alias("f_host")).agg(F.collect_list("low").alias("low"))
+    by_host = st.write(by_host, "furniture")
+    st.drop(st.live[0])
     out = T.StructType([T.StructField("page_id", rows.schema["page_id"].dataType), T.StructField("url", T.StringType()),
                         T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
-    def batch(b, texts):
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
-            ["page_id", "url", "text", "n_chars"])
-
-    known = furniture.select("block").limit(MAX_BROADCAST + 1).toArrow()["block"].to_numpy()
-    if len(known) <= MAX_BROADCAST:
-        shared = spark.sparkContext.broadcast(known)
-
-        def extract(batches):
-            blocks_out = set(shared.value.tolist())
-            for b in batches:
-                yield batch(b, [main_text(h, host_of(u), blocks_out)
-                                for u, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist())])
-
-        return rows.mapInArrow(extract, out)
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
-    by_host = furniture.groupBy(F.col("host").alias("f_host")).agg(F.collect_list("block").alias("out"))
-
-    def extract_joined(batches):
+    def extract(batches):
         for b in batches:
-            yield batch(b, [main_text(h, host_of(u), set(f or ())) for u, h, f in
-                            zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist())])
-
-    return rows.join(by_host, host == F.col("f_host"), "left").select("page_id", "url", "html", "out").mapInArrow(
-        extract_joined, out)
+            low = [frozenset(x or ()) for x in b.column(4).to_pylist()]
+            texts = [main_text(page, host, x) for page, host, x in
+                     zip(b.column(2).to_pylist(), b.column(3).to_pylist(), low)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
+                ["page_id", "url", "text", "n_chars"])
+
+    return (rows.join(by_host, F.col("host") == F.col("f_host"), "left")
+            .select("page_id", "url", "html", "host", "low").mapInArrow(extract, out))

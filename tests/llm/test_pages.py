@@ -3,7 +3,10 @@
 import base64
 import hashlib
 import html as htmllib
+import math
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -114,17 +117,89 @@ def styled(i, host):
             f'<p>{prose(1000 + i, 40)}</p></div><div class="tail">Imprint of {host} 2024</div>')
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_style_tree_removes_what_a_host_repeats(spark, monkeypatch, limit):
-    monkeypatch.setattr(htmltext, "MAX_BROADCAST", limit)
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_style_tree_removes_what_a_host_repeats(spark, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     rows = [styled(i, "a.example.com") for i in range(12)] + [styled(100 + i, "b.example.com") for i in range(2)]
     got = texts(htmltext.extract_main_text(pages_of(spark, rows)))
     for i in range(12):
         assert got[i] == f"{prose(i, 5)}\n{prose(1000 + i, 40)}"
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # a host with two pages is not judged
     assert got[100].startswith("Welcome to b.example.com\n")
 
 
+def plain_site(rng, host, n):
+    """Pages whose markup names nothing: a menu (one item marked, by page), at
+    times a box, a text, now and then with a line that many pages share."""
+    for i in range(n):
+        menu = "".join(f"<li>{w}{' now' if rng.random() < .1 else ''}</li>" for w in ("Home", "News", "Shop", "Contact us today"))
+        box = "<section><p>Weather for the day</p><p>sunny</p></section>" if rng.random() < .6 else ""
+        text = "".join(f"<p>{prose(rng.randrange(10**6), rng.randrange(3, 30))}</p>" for _ in range(rng.randrange(1, 5)))
+        shared = "<p>All rights reserved by the publisher of this page</p>" if rng.random() < .7 else ""
+        yield f"http://{host}/{i}", f"<div class=m><ul>{menu}</ul></div><div class=t>{text}{shared}</div>{box}<div class=z>page {i} of {host}, all of it free to read</div>"
+
+
+def brute_tree(pages):
+    """Texts by the tree's definition, host by host with counters."""
+    hosts, out = {}, []
+    for url, page in pages:
+        hosts.setdefault(url.split("/")[2], []).append((url, *htmltext.parse(page)))
+    for host, found in hosts.items():
+        seen = {}
+        for _, blocks, shown in found:
+            seen[tuple(t for *_, t in blocks)] = (blocks, shown)
+        counts, of, styles = {}, Counter(), {}
+        for blocks, shown in seen.values():
+            for node, _, _, t in set(blocks):
+                counts.setdefault(node, Counter())[t] += 1
+            for node in {b[0] for b in blocks}:
+                of[node] += 1
+                styles.setdefault(node, Counter())[shown.get(node, 0)] += 1
+
+        def entropy(c):
+            total = sum(c.values())
+            return 1 if total <= 1 else -sum(k / total * math.log(k / total) for k in c.values()) / math.log(total)
+
+        def low(node, t):
+            c, m = counts[node], of[node]
+            if m < 4:
+                return False
+            weight = sum(k * len(x) for x, k in c.items())
+            content = sum(k * len(x) * (1 - math.log(k) / math.log(m)) for x, k in c.items()) / weight
+            return (.9 * content + .1 * entropy(styles[node]) < .2
+                    or c[t] >= 4 and c[t] >= m / 2 and entropy(c) < .7)
+
+        out += [(url, "\n".join(t for node, _, _, t in blocks if not low(node, t))) for url, blocks, _ in found]
+    return sorted(out)
+
+
+def test_tree_equals_brute_force_where_the_markup_names_nothing(spark):
+    rng = random.Random(9)
+    pages = [p for k in range(8) for p in plain_site(rng, f"h{k}.example.com", [2, 3, 4, 5, 8, 12, 30, 60][k])]
+    rows = [(i, *p) for i, p in enumerate(pages)]
+    got = sorted((r.url, r.text) for r in htmltext.extract_main_text(pages_of(spark, rows).repartition(5)).collect())
+    assert got == brute_tree(pages)
+    plain = {u: htmltext.main_text(h, "", None) for u, h in pages}
+    assert sum(plain[u] != t for u, t in got) > 100
+    # the menu's varied items go with their branch; texts stay, as do a line repeated amid much text of its node
+    # and one that differs on each page
+    big = [(u, t) for u, t in got if "//h7." in u]
+    assert not any("Contact us today" in t for _, t in big)
+    assert all(line in t for u, t in big for line in re.findall(r"<p>([^<]*)</p>", dict(pages)[u])
+               if line not in ("Weather for the day", "sunny"))
+
+
+def test_tree_sees_what_the_markup_names(spark):
+    # the same menu under <nav> and its blocks count as one content, whatever the prior says of them
+    rows = [(i, f"http://s.example.com/{i}", f"<nav><p>Home and news</p></nav><article><p>{prose(i, 20)}</p></article>")
+            for i in range(6)]
+    st = Stages(spark, "t")
+    low = htmltext.style_tree(htmltext.with_host(pages_of(spark, rows)), st).collect()
+    nav = next(n for n, _, named, _ in htmltext.parse(rows[0][2])[0] if named)
+    assert [(r.host, r.low) for r in low] == [("s.example.com", htmltext._node_hash("s.example.com", nav))]
+
+
 def test_copies_of_a_page_keep_their_article(spark):
     one = styled(1, "c.example.com")
     rows = [(i, f"http://c.example.com/{i}", one[2]) for i in range(50)]
