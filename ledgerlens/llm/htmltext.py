@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.common import Stages, ready
+from ledgerlens.operators.joins import join_per_key
 
 #: distinct pages of a host that must have a node before it is judged
 MIN_PAGES = 4
@@ -300,14 +301,16 @@ def style_tree(pages: DataFrame, stages: Stages) -> DataFrame:
     of_content = 1 - F.col("c_plogp") / F.col("c_all") / log_of
     of_style = F.when(F.col("s_all") > 1, (log_s - F.col("s_plogp") / F.col("s_all")) / log_s).otherwise(1.0)
     importance = CONTENT_WEIGHT * of_content + (1 - CONTENT_WEIGHT) * of_style
-    judged = (per_block.where(text).join(of_node, F.col("node") == F.col("n_node"))
-              .join(sums, F.col("node") == F.col("s_node")))
+    branch, varied = importance < MIN_IMPORTANCE, spread >= MAX_SPREAD
+    nodes = (of_node.join(sums, F.col("n_node") == F.col("s_node")).where(F.col("of") >= MIN_PAGES)
+             .select(F.col("n_node").alias("node"), "of", branch.alias("branch"), varied.alias("varied"))
+             .where("branch OR NOT varied"))
+    judged = join_per_key(per_block.where(text), nodes, "node")
     article, of = F.col("kind") == _ARTICLE, F.col("of")
-    branch = ~article & (of >= MIN_PAGES) & (importance < MIN_IMPORTANCE)
     repeated = (~article & (n >= MIN_PAGES) & (n >= MAX_SHARE * of)
-                | article & (n >= MIN_ARTICLE_PAGES) & (n >= MAX_ARTICLE_SHARE * of)) & (spread < MAX_SPREAD)
-    return (judged.select("host", F.when(branch, F.col("node")).when(repeated, F.col("block")).alias("low"))
-            .where("low IS NOT NULL").distinct())
+                | article & (n >= MIN_ARTICLE_PAGES) & (n >= MAX_ARTICLE_SHARE * of)) & ~F.col("varied")
+    low = F.when(F.col("branch") & ~article, F.col("node")).when(repeated, F.col("block"))
+    return judged.select("host", low.alias("low")).where("low IS NOT NULL").distinct()
 
 
 def main_text(page: str | None, host: str, low) -> str:
