@@ -1,11 +1,16 @@
 """Sources, sinks and the incremental import."""
 
+import csv
+import io
 import os
+import random
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens import sinks
+from ledgerlens.operators.align import clean_name
 from ledgerlens.operators.dedup import quarantine
 from ledgerlens.plans import bind_io
 from scratch import local_scratch_dir
@@ -140,6 +145,44 @@ def test_charset_of_the_whole_content_and_own_headers(spark):
     assert counts == {("GB18030", "x", "1"): 4000, ("GB18030", "办公", "2"): 1, ("UTF-8", "办公用品", "3"): 4001}
 
 
+def _csv_by_hand(content, encoding):
+    records = list(csv.reader(io.TextIOWrapper(io.BytesIO(content), encoding, newline="")))
+    return [tuple(c or None for c in (r + [""] * 9)[:3]) for r in records[1:] if r]
+
+
+@pytest.mark.parametrize("chunk,part", [(1, 700), (400, 1 << 20)])
+def test_csv_files_are_cut_at_any_byte(spark, monkeypatch, chunk, part):
+    """Quoted line ends, doubled and stray quotes, letters whose bytes look like others, cut into ranges and chunks."""
+    monkeypatch.setattr(charset, "CHUNK_BYTES", chunk)
+    rng = random.Random(chunk)
+    cells = ["x", "", "办公，用品", '"办\n公"', '"a ""b"", c"', 'st"ray', '"\r\n\n,"', "镕㐀", '"" "', '"q"tail"', '"""\n"""']
+    d = local_scratch_dir()
+    want = []
+    for name, enc in [("u.csv", "utf-8"), ("b.csv", "utf-8-sig"), ("g.csv", "gb18030"), ("one.csv", "gb18030")]:
+        n = 1 if name == "one.csv" else 80
+        body = "".join(",".join(rng.choice(cells) for _ in range(3)) + rng.choice(["\n", "\r\n"]) for _ in range(n))
+        content = ('"编 号",b,c\r\n' + body + "末,尾,办\n").encode(enc)
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(content)
+        want += [(name, "GB18030" if enc == "gb18030" else "UTF-8", *r) for r in _csv_by_hand(content, enc)]
+    open(os.path.join(d, "empty.csv"), "wb").close()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(part))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        title = charset.csv_titles(spark, d)
+        df = charset.read_csv_any_charset(spark, d)
+        got = [(os.path.basename(r.source_file), r.charset, r[clean_name("编 号")], r.b, r.c) for r in df.collect()]
+        prof = {os.path.basename(r.path): (r.charset, r.has_bom) for r in charset.charset_profile(spark, d).collect()}
+    finally:
+        for c in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{c}")
+    assert title == sorted(["b", "c", clean_name("编 号")])
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert prof == {"u.csv": ("UTF-8", False), "b.csv": ("UTF-8", True), "g.csv": ("GB18030", False),
+                    "one.csv": ("GB18030", False)}
+
+
 def test_stored_delete_of_a_whole_year(spark):
     path = local_scratch_dir() + "/t"
     sinks.write_partitioned(spark.createDataFrame([(1, 2020), (2, 2020), (3, 2021), (4, 2021)], "id int, invoice_year int"), path)
