@@ -213,9 +213,11 @@ def build_ledger_from_workbooks(spark: SparkSession, path: str, ledger: str, bat
                                ("单价", audit.NUMERIC), ("数量", audit.NUMERIC), ("价税合计", audit.NUMERIC),
                                ("税率", audit.TAX_RATE)) if c in titles}
     keys_present = [c for c in ("发票代码", "发票号码") if c in titles]
-    stats = audit.cast_stats(data, specs)
-    failures = audit.cast_failures(data, specs, keys=keys_present)
-    typed = audit.typed_frame(data, specs).withColumn("invoice_year", L.invoice_year(INVOICE_DATE))
+    # parsed once and written: the typed rows, the statistics and the failures read it
+    parsed = _stage(spark, audit.parse_once(data, specs), "parsed")
+    stats = audit.stats_from(parsed, specs)
+    failures = audit.failures_from(parsed, specs, keys=keys_present)
+    typed = audit.typed_from(parsed, specs).withColumn("invoice_year", L.invoice_year(INVOICE_DATE))
     typed, no_year = filters.split_missing_year(typed, "invoice_year")
     default_keys = HEADER_DEDUP_COLUMNS if kinds == ["header"] else DETAIL_DEDUP_COLUMNS
     dedup_keys = ["target_table", *[c for c in (keys or default_keys) if c in titles]]

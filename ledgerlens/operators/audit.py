@@ -103,6 +103,63 @@ def cast_stats(df: DataFrame, specs: dict[str, str], by=("file", "sheet"), text_
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+PARSED = "__parsed_"
+
+
+def parse_once(df: DataFrame, specs: dict[str, str], text_to_zero: bool = True) -> DataFrame:
+    """``df`` with a parsed column beside each spec column. Written to a stage
+    table, it serves the typed frame, the statistics and the failures, which
+    then parse nothing again (``typed_from``, ``stats_from``, ``failures_from``)."""
+    return df.withColumns({PARSED + c: _parsed(c, kind, text_to_zero) for c, kind in specs.items()})
+
+
+def typed_from(parsed: DataFrame, specs: dict[str, str]) -> DataFrame:
+    """``typed_frame`` of the rows that ``parse_once`` prepared."""
+    rates = [c for c, kind in specs.items() if kind == TAX_RATE]
+    cols = {c: F.col(PARSED + c) for c in specs if c not in rates} | {c + RATE_NUM_SUFFIX: F.col(PARSED + c) for c in rates}
+    return parsed.withColumns(cols).drop(*[PARSED + c for c in specs])
+
+
+def failures_from(parsed: DataFrame, specs: dict[str, str], by=("file", "sheet"), row: str = "row_index",
+                  keys=()) -> DataFrame:
+    """``cast_failures`` of the rows that ``parse_once`` prepared: one scan,
+    whose rows without a failure are filtered before the failures unfold.
+    Needs ``text_to_zero`` (a token that counts as zero is no failure)."""
+    failed = {c: ~is_blank(c) & F.col(PARSED + c).isNull() for c in specs}
+    found = F.array_compact(F.array(*[F.when(f, F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("orig_value")))
+                                      for c, f in failed.items()]))
+    return (parsed.filter(reduce(lambda a, b: a | b, failed.values()))
+            .select(*as_list(by), F.col(row), *as_list(keys), F.explode(found).alias("__f"))
+            .select(*as_list(by), "__f.column", row, "__f.orig_value", *as_list(keys)))
+
+
+def stats_from(parsed: DataFrame, specs: dict[str, str], by=("file", "sheet")) -> DataFrame:
+    """``cast_stats`` (with ``text_to_zero``) of the rows that ``parse_once``
+    prepared: one aggregation for all columns, unfolded per group."""
+    by = as_list(by)
+    sums, rows = [F.count(F.lit(1)).alias("__n")], []
+
+    def row(column, method, converted, failed):
+        return F.struct(F.lit(column).alias("column"), F.lit(method).alias("method"), F.col("__n").alias("total"),
+                        converted.alias("converted"), failed.alias("failed"))
+
+    for i, (c, kind) in enumerate(specs.items()):
+        there, conv = F.col(PARSED + c).isNotNull(), F.col(f"__c{i}")
+        if kind == TAX_RATE:
+            token = is_tax_free_token(c)
+            sums += [F.count_if(there & ~token).alias(f"__c{i}"), F.count_if(token).alias(f"__t{i}"),
+                     F.count_if(~there & ~token & ~is_blank(c)).alias(f"__f{i}")]
+            tok = F.col(f"__t{i}")
+            rows += [row(c + RATE_NUM_SUFFIX, "tax_parse", conv, F.col(f"__f{i}")),
+                     F.when(tok > 0, row(c + RATE_NUM_SUFFIX, "map_tax_text_to_zero", tok, F.lit(0).cast("bigint"))),
+                     F.when(tok > 0, row(c, "tax_text_tokens", tok, F.col("__n") - tok - conv))]
+        else:
+            sums.append(F.count_if(there).alias(f"__c{i}"))
+            rows.append(row(c, "date_parse" if kind == DATE else "numeric_parse", conv, F.col("__n") - conv))
+    return (parsed.groupBy(*by).agg(*sums).select(*by, F.explode(F.array_compact(F.array(*rows))).alias("__s"))
+            .select(*by, "__s.*"))
+
+
 def cast_and_record(df: DataFrame, specs: dict[str, str], by=("file", "sheet"), row: str = "row_index",
                     keys=(), text_to_zero: bool = True):
     """(typed, stats, failures) for the spec columns of a sheet frame."""

@@ -234,3 +234,19 @@ def test_results_independent_of_row_order_and_partitions(spark, sf_small):
     names = table(spark, sf_small, "supplier", "s_name")
     assert {tuple(r) for r in similar_names(names, "s_name").collect()} == \
         {tuple(r) for r in similar_names(names.repartition(3), "s_name").collect()}
+
+
+def test_parsing_once_gives_the_same_records(spark, sf_small):
+    from ledgerlens.operators import audit
+    from ledgerlens.plans import bind_audit as B
+    rows = B._sheet_rows(spark, sf_small)
+    odd = [("f", "s", 1, None, "x", "免税", "9"), ("f", "s", 2, "", " ", "", None), ("g", "s", 3, "2024-02-30", "1,5e", "13%%", ""),
+           ("g", "t", 4, "20240229", "-1.5", "不征税", "1"), ("g", "t", 5, "nope", None, "abc", "2")]
+    cols = ["file", "sheet", "row_index", "开票日期", "金额", "税率", "发票号码"]
+    rows = rows.select(*cols).union(spark.createDataFrame(odd, rows.select(*cols).schema))
+    typed, stats, failures = audit.cast_and_record(rows, B.SPECS, keys=["发票号码"])
+    parsed = audit.parse_once(rows, B.SPECS)
+    for got, want in ((audit.typed_from(parsed, B.SPECS), typed), (audit.stats_from(parsed, B.SPECS), stats),
+                      (audit.failures_from(parsed, B.SPECS, keys=["发票号码"]), failures)):
+        assert got.columns == want.columns and got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
