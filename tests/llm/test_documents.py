@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -182,6 +183,88 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def brute_slots(text):
+    """Hashed 1- to 3-grams of the lower-cased letters, a pad before and after each word, gram by gram."""
+    words, word = [], ""
+    for c in text.lower() + " ":
+        if c.isalpha():
+            word += c
+        elif word:
+            words.append([ord(x) for x in word])
+            word = ""
+    out, mask = collections.Counter(), (1 << 64) - 1
+
+    def add(value):
+        out[(value * 0x9E3779B97F4A7C15 & mask) >> 49] += 1
+
+    # pads are shared: one between two words, one at either end
+    code = [0]
+    for w in words:
+        code += [*w, 0]
+    for a, b, c in zip(code, code[1:], code[2:]):
+        add(a * (1 << 21) + b)
+        if b:
+            add(b + (1 << 62))
+            add((a * (1 << 42) + b * (1 << 21) + c + (1 << 63)) & mask)
+    return out
+
+
+def brute_mixture(counts, loglik, penalty, steps):
+    """Languages and proportions by the definition, n-gram by n-gram."""
+    k = loglik.shape[1]
+    total = sum(counts.values())
+
+    def em(chosen):
+        share = [1 / len(chosen)] * len(chosen)
+        for _ in range(steps):
+            new = [0.0] * len(chosen)
+            for s, n in counts.items():
+                p = [share[i] * math.exp(loglik[s, c]) for i, c in enumerate(chosen)]
+                for i, x in enumerate(p):
+                    new[i] += n * x / sum(p)
+            share = [x / total for x in new]
+        return share, sum(n * math.log(sum(share[i] * math.exp(loglik[s, c]) for i, c in enumerate(chosen)))
+                          for s, n in counts.items())
+
+    single = [sum(n * loglik[s, c] for s, n in counts.items()) for c in range(k)]
+    chosen = [max(range(k), key=single.__getitem__)]
+    share, score = [1.0], single[chosen[0]]
+    while len(chosen) < k:
+        slope = {c: sum(n * math.exp(loglik[s, c]) / sum(share[i] * math.exp(loglik[s, x]) for i, x in enumerate(chosen))
+                        for s, n in counts.items()) - total for c in range(k) if c not in chosen}
+        nxt = max(slope, key=slope.get)
+        if slope[nxt] <= 0:
+            break
+        new_share, new_score = em([*chosen, nxt])
+        if new_score - score <= penalty * math.log(total):
+            break
+        chosen, share, score = [*chosen, nxt], new_share, new_score
+    return chosen, share
+
+
+def test_language_inference_equals_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    langs, table = language.train(docs)
+    by = collections.defaultdict(list)
+    for r in docs.where("length(text) > 200").orderBy("doc_id").collect():
+        by[r.lang].append(r.text[:300])
+    texts = [t[0] for t in by.values()] + [f"{by['en'][k]} {by['fr'][k]}" for k in range(3)]
+    texts += [f"{by['en'][1]} {by['fr'][1]} {by['de'][1]}" if "de" in by else by["en"][1], "a", "Ünï c0de, 漢字 x1y", "the the"]
+    several = 0
+    for t in texts:
+        slots = language.ngram_slots(t)
+        counts = collections.Counter(slots.tolist())
+        assert counts == brute_slots(t), t
+        chosen, share = language.infer(slots, table, 8.0)
+        want, want_share = brute_mixture(counts, table, 8.0, language.STEPS)
+        assert chosen == want and all(abs(a - b) < 1e-6 for a, b in zip(share, want_share)), t
+        several += len(chosen) > 1
+        # the steps come near where EM ends: many more of them move no proportion by a hundredth, nor the set
+        far, far_share = brute_mixture(counts, table, 8.0, 10 * language.STEPS)
+        assert far == chosen and all(abs(a - b) < 0.01 for a, b in zip(share, far_share)), t
+    assert several >= 3
+
+
 def test_language_mixtures_and_edges(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     langs, table = language.train(docs)
