@@ -183,7 +183,8 @@ SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_shipdate, invoice
 def incremental_import(spark, d, max_files_per_trigger: int | None = 1000):
     """Three landing drops (lines by ship year; of one key, lines may stand
     in all of them), imported in two stream runs; the target holds the first
-    line of every key."""
+    line of every key. A drop is as many files as Spark makes of it; a key's
+    lines stand in one of them, so their order is that of the order columns."""
     base = _scratch(spark, "incremental")
     landing, target, held, ckpt = (f"{base}/landing", f"{base}/target", f"{base}/quarantine", f"{base}/_ckpt")
     li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate")
@@ -195,10 +196,10 @@ def incremental_import(spark, d, max_files_per_trigger: int | None = 1000):
                                  max_files_per_trigger=max_files_per_trigger,
                                  order=["l_shipdate", "l_suppkey", "l_extendedprice"]).awaitTermination()
 
-    li.filter(drops[0]).repartition(1).write.parquet(f"{landing}/drop_1")
+    li.filter(drops[0]).repartition(*LINE_KEY).write.parquet(f"{landing}/drop_1")
     run()
     for i, cond in enumerate(drops[1:], start=2):
-        li.filter(cond).repartition(1).write.parquet(f"{landing}/drop_{i}")
+        li.filter(cond).repartition(*LINE_KEY).write.parquet(f"{landing}/drop_{i}")
     run()
     return spark.read.parquet(target).drop("import_epoch")
 
