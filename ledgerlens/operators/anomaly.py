@@ -72,9 +72,13 @@ def similar_names(df: DataFrame, name: str, max_distance: int = 1) -> DataFrame:
     variants = _deletion_variants(F.col("nm"))
     for _ in range(max_distance - 1):
         variants = F.array_distinct(F.flatten(F.transform(variants, _deletion_variants)))
-    v = names.select("nm", "rows", F.explode(variants).alias("variant"))
+    # the names are few bytes and their variants a hundred times as many: dealt to tasks before they
+    # unfold, met by a hash of the text, and never broadcast, whatever size Spark measures for the names
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = (names.repartition(tasks, F.xxhash64("nm")).select("nm", "rows", F.explode(variants).alias("variant"))
+         .select("nm", "rows", F.xxhash64("variant").alias("variant")))
     a = v.select(F.col("nm").alias("name_a"), F.col("rows").alias("rows_a"), "variant")
-    b = v.select(F.col("nm").alias("name_b"), F.col("rows").alias("rows_b"), "variant")
+    b = v.select(F.col("nm").alias("name_b"), F.col("rows").alias("rows_b"), "variant").hint("merge")
     near = F.levenshtein("name_a", "name_b", max_distance)
     pairs = (a.join(b, "variant").filter((F.col("name_a") < F.col("name_b")) & (near >= 0))
              .select("name_a", "name_b", "rows_a", "rows_b").distinct())

@@ -83,6 +83,14 @@ def test_similar_names_by_brute_force(spark, distance):
     assert all(x.distance <= distance for x in got)
 
 
+def test_name_variants_are_not_broadcast(spark):
+    df = spark.range(500).select(F.substring(F.md5(F.col("id").cast("string")), 1, 12).alias("name"))
+    out = similar_names(df, "name", 2)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()  # what ran in the end
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 SCHEMAS = {"header": ["code", "number", "total"], "detail": ["code", "number", "price", "amount"], "special_toll": ["plate"]}
 
 
