@@ -10,6 +10,7 @@ from __spark_entry__ import oracle_sql, queries
 from ledgerlens.plans import bind_io
 from ledgerlens.plans.tables import TABLES
 from ledgerlens.sources import xlsx, xlsx_writer
+from scratch import local_scratch_dir
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
@@ -33,3 +34,27 @@ def test_part_names_sort_as_the_partitions_do():
     parts = [0, 9, 10, 99_999, 100_000, 999_999, 1_000_000, 12_345_678]
     names = [xlsx_writer._part_name(p) for p in parts]
     assert names == sorted(names) and names[0] == "part-00000.xlsx"
+
+
+def test_import_shuffles_no_sheet_row_for_its_files_or_repeats(spark, sf_small):
+    """Failed files and chosen sheets are broadcast however large Spark takes them for;
+    repeated keys given as such part the batch as grouping its rows does."""
+    from ledgerlens import ingest
+    from ledgerlens.operators.dedup import quarantine, repeated_keys
+    folder = local_scratch_dir()
+    xlsx_writer.write_workbooks(bind_io.detail_export(spark, sf_small, parts=2), folder, "信息汇总表").count()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = ingest._rows(spark, folder, "b", list(ingest.DETAIL_TITLE_MAP))
+        chosen = xlsx.sheet_catalogue(rows).select("file", "sheet")
+        plan = ingest._chosen_rows(rows, chosen, ingest.DETAIL_TITLE_MAP)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5), ("c", 6)], "k string, n int")
+    known = spark.createDataFrame([("c",)], "k string")
+    repeats = repeated_keys(df.filter("k is not null"), "k").select("k")
+    out = [[sorted(tuple(r) for r in f.select("n", *f.columns[2:]).collect()) for f in quarantine(df, "k", known, repeats=x)]
+           for x in (repeats, None)]
+    assert out[0] == out[1] == [[(3,), (4,), (5,)], [(1, "repeated_in_batch"), (2, "repeated_in_batch"), (6, "already_imported")]]
