@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import scratch_path
+from ledgerlens.session import STAGE_CODEC, path_exists, scratch_path, stored_bytes
 
 
 def as_list(cols) -> list[str]:
@@ -102,6 +102,8 @@ def first_of_key(df: DataFrame, key: str, order, columns) -> DataFrame:
 
 #: steps of a chain of corrections that are followed
 MAX_STEPS = 1 << 10
+#: bytes of open chains (compressed) that are broadcast
+FEW_BYTES = 4 << 20
 
 
 def correction_chains(invoices: DataFrame, key: str, ref: str, order, max_steps: int = MAX_STEPS) -> DataFrame:
@@ -112,32 +114,46 @@ def correction_chains(invoices: DataFrame, key: str, ref: str, order, max_steps:
     or on after ``max_steps``, is not ``complete`` and stays where it is then.
 
     Every round doubles the steps: a join of the still open chains with the
-    chains so far, written to the checkpoint folder, so a chain of n
-    corrections takes log2(n) rounds. A row that refers to itself corrects
-    nothing.
+    chains so far, so a chain of n corrections takes log2(n) rounds. A chain
+    that has reached its end is written once and takes no part in later
+    rounds; only the open ones are dealt and written again. A row that refers
+    to itself corrects nothing.
     """
     spark = invoices.sparkSession
     base = scratch_path(spark, f"corrections-{uuid.uuid4().hex[:12]}")
 
     def written(df: DataFrame, n: int) -> DataFrame:
-        df.write.parquet(f"{base}/{n}")
-        return spark.read.parquet(f"{base}/{n}")
+        df.write.option(*STAGE_CODEC).partitionBy("ended").parquet(f"{base}/{n}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{n}")
 
     links = first_of_key(invoices.filter(F.col(ref).isNotNull() & (F.col(ref) != F.col(key))), key, order, [ref])
-    cur = written(links.select(F.col(key).alias("key"), F.col(ref).alias("at"), F.lit(1).cast("long").alias("steps")), 0)
+    open_ = written(links.select(F.col(key).alias("key"), F.col(ref).alias("at"), F.lit(1).cast("long").alias("steps"),
+                                 F.lit(False).alias("ended")), 0).drop("ended")
+    done = open_.limit(0)
     reached, n = 1, 0
-    while reached < max_steps:
-        ahead = cur.select(F.col("key").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"))
+    while True:
+        # every chain so far; one that has ended leads a chain that meets it to the end
+        ahead = (done.withColumn("ended", F.lit(True)).unionByName(open_.withColumn("ended", F.lit(False)))
+                 .select(F.col("key").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"), "ended"))
+        if n and stored_bytes(spark, f"{base}/{n}/ended=false") < FEW_BYTES:
+            # few are open: only the chains that they meet are dealt
+            ahead = ahead.join(F.broadcast(open_.select("at")), "at", "left_semi")
         # a popular invoice is referred to by many: its referrers are split
-        joined = join_per_key(cur, ahead, "at", "left")
-        if joined.filter("next is not null").isEmpty():
+        met = join_per_key(open_, ahead, "at", "left")
+        if reached >= max_steps:
+            out = done.withColumn("complete", F.lit(True)).unionByName(
+                met.select("key", "at", "steps", F.col("next").isNull().alias("complete")))
             break
         n, reached = n + 1, 2 * reached
-        cur = written(joined.select("key", F.coalesce("next", "at").alias("at"),
-                                    (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), n)
-    open_ = cur.select(F.col("key").alias("at"), F.lit(True).alias("open"))
-    out = join_per_key(cur, open_, "at", "left")
-    return out.select(F.col("key").alias(key), F.col("at").alias("first_key"), "steps", F.col("open").isNull().alias("complete"))
+        moved = written(met.select("key", F.coalesce("next", "at").alias("at"),
+                                   (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+                                   F.coalesce("ended", F.lit(True)).alias("ended")), n)
+        done = done.unionByName(moved.filter("ended").drop("ended"))
+        open_ = moved.filter(~F.col("ended")).drop("ended")
+        if not path_exists(spark, f"{base}/{n}/ended=false"):
+            out = done.withColumn("complete", F.lit(True))
+            break
+    return out.select(F.col("key").alias(key), F.col("at").alias("first_key"), "steps", "complete")
 
 
 def distinct_keys(df: DataFrame, keys) -> DataFrame:

@@ -122,3 +122,19 @@ def test_routed_rows_once_and_a_batch_replaces_itself(spark):
     waiting = spark.read.parquet(folders["transit"]).orderBy("row_no").first()
     assert waiting["values"] == {"p": "p-0", "q": "q-0"} and errors.count() == 0 and routed.count() == 3
     assert xlsx.sheet_catalogue(spark.read.schema(xlsx.ROW_SCHEMA).parquet(f"{staged}/rows")).count() == 3
+
+
+def test_ended_chains_take_no_part_in_later_rounds(spark, monkeypatch):
+    dealt, join = [], J.join_per_key
+
+    def counted(rows, *a):
+        dealt.append(rows.count())
+        return join(rows, *a)
+
+    monkeypatch.setattr(J, "join_per_key", counted)
+    rows = [(f"k{i}", f"k{i - 1}", 0) for i in range(1, 41)] + [(f"s{i}", f"t{i}", 0) for i in range(100)] + [("a", "b", 0), ("b", "a", 0)]
+    df = spark.createDataFrame(rows, "k string, ref string, nth int")
+    out = {r.k: (r.first_key, r.steps, r.complete) for r in J.correction_chains(df, "k", "ref", ["nth"], max_steps=64).collect()}
+    assert all(out[f"k{i}"] == ("k0", i, True) for i in range(1, 41)) and all(out[f"s{i}"] == (f"t{i}", 1, True) for i in range(100))
+    assert not out["a"][2] and not out["b"][2] and len(out) == 142
+    assert dealt[0] == 142 and dealt[1] <= 41 and dealt[-1] == 2
