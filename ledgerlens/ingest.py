@@ -254,11 +254,17 @@ def check_quality(spark: SparkSession, header: str, detail: str, checked_at: str
     write both back, year by year; returns them read again. ``options`` are
     those of ``quality.run_dq``."""
     from ledgerlens.operators.quality import run_dq
+    staged = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        staged.append(_stage(spark, df, name))
+        return staged[-1]
+
     h, d = run_dq(spark.read.parquet(header), spark.read.parquet(detail), checked_at=checked_at,
-                  checked_by=checked_by, **options)
-    h, d = _stage(spark, h, "dq-header"), _stage(spark, d, "dq-detail")  # both before either ledger changes
+                  checked_by=checked_by, stage=stage, **options)
+    h = stage(h, "dq-header")  # both are stored before either ledger changes
     for frame, path in ((h, header), (d, detail)):
-        write_partitioned(frame, path)
-    for path in _paths(h, d):
+        write_partitioned(frame, path, rebalance=_bytes(spark, frame) < LARGE_BATCH)
+    for path in _paths(*staged):
         remove_path(spark, path)
     return spark.read.parquet(header), spark.read.parquet(detail)

@@ -35,7 +35,11 @@ def _row_hash(df: DataFrame) -> F.Column:
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
 
 
-def group_flags(df: DataFrame, keys, order=None, keep: str = "first") -> DataFrame:
+#: rows from which a key of a stored frame is split
+HOT_ROWS = 100_000
+
+
+def group_flags(df: DataFrame, keys, order=None, keep: str = "first", stored: bool = False) -> DataFrame:
     """``df`` plus ``__repeated`` (other rows share the key; null keys form
     one group) and ``__is_first`` (the first row of its group by ``order``,
     or the last with ``keep='last'``; of rows equal in ``order``, or without
@@ -45,12 +49,26 @@ def group_flags(df: DataFrame, keys, order=None, keep: str = "first") -> DataFra
     there; the first ones, at most ``SALTS`` a key, meet again within the key.
     A key with any share of the rows is thus spread over ``SALTS`` groups at
     both levels (rows equal in all columns fall into one).
+
+    ``stored``: ``df`` is a stored table, cheap to read again. Its keys are
+    counted first, over the key columns alone, and only rows of keys with
+    ``HOT_ROWS`` rows take two levels; the others are shuffled once.
     """
     keys = as_list(keys)
     sort = [F.col(c).desc() if keep == "last" else F.col(c).asc() for c in as_list(order)] or [F.lit(0)]
-    salted = df.withColumn("__salt", F.pmod(_row_hash(df), F.lit(SALTS)))
+    rows, cold = df, None
+    if stored:
+        hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= HOT_ROWS)
+        hot = F.broadcast(hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot")))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)])
+        marked = df.join(hot, same, "left")
+        rows = marked.filter("__hot").select(*df.columns)
+        cold = marked.filter("__hot is null").select(*df.columns)
+    salted = rows.withColumn("__salt", F.pmod(_row_hash(rows), F.lit(SALTS)))
     w = Window.partitionBy(*keys, "__salt").orderBy(*sort)
     local = salted.withColumns({"__nth": F.row_number().over(w), "__more": F.lead(F.lit(True), 1, False).over(w)})
+    if cold is not None:
+        local = local.unionByName(cold.withColumns({"__salt": F.lit(0).cast("long"), "__nth": F.lit(1), "__more": F.lit(False)}))
     # the first rows of all salts meet under -1, the others stay under their salt
     local = local.withColumn("__level", F.when(F.col("__nth") == 1, F.lit(-1)).otherwise(F.col("__salt")))
     w = Window.partitionBy(*keys, "__level").orderBy(*sort)
@@ -116,14 +134,14 @@ def dedup_metrics(flagged: DataFrame, year: str, flag: str = "is_duplicate",
 
 
 def mark_uuid_duplicates(df: DataFrame, key, order, label: str, clean: str = "clean_status",
-                         updated_at=None, updated_by=None) -> DataFrame:
+                         updated_at=None, updated_by=None, stored: bool = False) -> DataFrame:
     """Earliest row per key stays as is; later copies get ``clean = label``.
 
     Rows with a null key are never marked (pandas groupby drops null keys).
     ``updated_at`` / ``updated_by`` are stamped on marked rows when given.
     """
     keys = as_list(key)
-    out = group_flags(df, keys, order, "first")
+    out = group_flags(df, keys, order, "first", stored)
     # rows with a null key are never marked (pandas groupby drops null keys)
     hit = _keys_present(keys) & ~F.col(_IS_FIRST)
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))

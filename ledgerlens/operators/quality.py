@@ -6,6 +6,8 @@ layout is replaced by the ``invoice_year`` column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,21 +31,33 @@ def detail_total_per_header(detail: DataFrame, key, amount: str,
             .agg(F.coalesce(F.sum(F.col(amount).cast(dtype)), F.lit(0)).alias(out)))
 
 
+#: keys without a partner that are broadcast
+FEW_KEYS = 1 << 20
+
+
+def _clean_keys(df: DataFrame, clean: str, columns, names) -> DataFrame:
+    return df.filter(F.col(clean).isNull()).select(*[F.col(a).alias(b) for a, b in zip(columns, names)]).distinct()
+
+
 def flag_orphans(left: DataFrame, right: DataFrame, key, label: str,
                  clean: str = "clean_status", right_key=None, updated_at=None,
-                 updated_by=None) -> DataFrame:
+                 updated_by=None, missing: DataFrame | None = None) -> DataFrame:
     """Mark clean ``left`` rows whose key is absent from clean ``right`` rows.
 
     Only rows with null ``clean`` take part on either side; already flagged
     rows keep their flag. The right side is reduced to its distinct keys
     (an aggregate, skew-safe), and AQE can split the rows of a hot key of ``left``.
+    ``missing`` may give the distinct keys of ``left`` that ``right`` lacks, when
+    they are few: they are broadcast, and no row of ``left`` is shuffled.
     """
     keys = as_list(key)
     rkeys = as_list(right_key) or keys
-    present = (right.filter(F.col(clean).isNull())
-               .select(*[F.col(a).alias(b) for a, b in zip(rkeys, keys)])
-               .distinct().withColumn("__present", F.lit(True)))
-    out = join_per_key(left, present, keys, "left")
+    if missing is not None:
+        out = left.join(F.broadcast(missing.select(*keys).withColumn("__missing", F.lit(True))), keys, "left")
+        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        out = out.select(*left.columns, F.when(F.col("__missing").isNull() & ~null_key, F.lit(True)).alias("__present"))
+    else:
+        out = join_per_key(left, _clean_keys(right, clean, rkeys, keys).withColumn("__present", F.lit(True)), keys, "left")
     hit = F.col(clean).isNull() & F.col("__present").isNull()
     out = out.withColumn(clean, F.when(hit, F.lit(label)).otherwise(F.col(clean)))
     if updated_at is not None:
@@ -126,23 +140,35 @@ def _with_place(df: DataFrame, order) -> list[str]:
 def run_dq(header: DataFrame, detail: DataFrame, header_key="header_uuid",
            detail_key="detail_uuid", link_key="header_uuid", header_order=("created_at",),
            detail_order=("updated_at",), total: str = "jshj", detail_amount: str = "jshj",
-           checked_at=None, checked_by: str | None = None):
+           checked_at=None, checked_by: str | None = None, stage=None):
     """The whole quality pass: key uniqueness, orphans, totals, balance.
 
     Returns ``(header', detail')``. Flags are sticky: a row already carrying
     a clean status keeps it. Orphan checks use only rows still clean after
-    the uniqueness step; detail totals include every detail row.
+    the uniqueness step; detail totals include every detail row. ``stage``
+    (frame, name -> frame) may store the flagged headers and lines, so that
+    neither is flagged once more for the other's sake; ``header`` and
+    ``detail`` are stored tables then.
     """
+    stage, stored = stage or (lambda df, name: df), stage is not None
     h_stamp = dict(updated_at=checked_at if "updated_at" in header.columns else None,
                    updated_by=checked_by if "updated_by" in header.columns else None)
     d_stamp = dict(updated_at=checked_at if "updated_at" in detail.columns else None,
                    updated_by=checked_by if "updated_by" in detail.columns else None)
-    h = mark_uuid_duplicates(header, header_key, _with_place(header, header_order), DUPLICATE_KEY, **h_stamp)
-    d = mark_uuid_duplicates(detail, detail_key, _with_place(detail, detail_order), DUPLICATE_KEY, **d_stamp)
+    h = stage(mark_uuid_duplicates(header, header_key, _with_place(header, header_order), DUPLICATE_KEY, stored=stored, **h_stamp),
+              "dq-header-keys")
+    d = mark_uuid_duplicates(detail, detail_key, _with_place(detail, detail_order), DUPLICATE_KEY, stored=stored, **d_stamp)
     # both checks read the state after the uniqueness step
-    d2 = flag_orphans(d, h, link_key, HEADER_MISSING, right_key=header_key, **d_stamp)
-    # one aggregate of the lines serves the headers: their total, and whether a clean line is there
-    lines = d.groupBy(*as_list(link_key)).agg(
+    missing = None
+    if stored:
+        link = as_list(link_key)
+        missing = stage(detail.select(*link).distinct().join(_clean_keys(h, "clean_status", as_list(header_key), link), link, "left_anti"),
+                        "dq-missing")
+        missing = missing if missing.count() <= FEW_KEYS else None
+    d2 = stage(flag_orphans(d, h, link_key, HEADER_MISSING, right_key=header_key, missing=missing, **d_stamp), "dq-detail")
+    # one aggregate of the lines serves the headers: their total, and whether a clean line is there. Lines
+    # that are flagged as orphans have no clean header, and a header that is flagged takes no part
+    lines = d2.groupBy(*as_list(link_key)).agg(
         F.coalesce(F.sum(F.col(detail_amount).cast(MONEY)), F.lit(0)).alias("detail_total_amount"),
         F.bool_or(F.col("clean_status").isNull()).alias("__has_line"))
     lines = lines.select(*[F.col(a).alias(b) for a, b in zip(as_list(link_key), as_list(header_key))],

@@ -195,7 +195,7 @@ def dq_write_back(spark, d):
     header, detail = _dq_inputs(spark, d)
     base = scratch_path(spark, f"dq-{uuid.uuid4().hex[:12]}")
     for frame, date, name in ((header, "created_at", "header"), (detail, "l_shipdate", "detail")):
-        sinks.write_partitioned(frame.withColumn("invoice_year", F.year(date)), f"{base}/{name}")
+        sinks.write_partitioned(frame.withColumn("invoice_year", F.year(date)), f"{base}/{name}", rebalance=False)
     h, _ = ingest.check_quality(spark, f"{base}/header", f"{base}/detail", CHECKED_AT, CHECKED_BY,
                                 header_key="header_uuid", detail_key=["header_uuid", "l_linenumber"],
                                 link_key="header_uuid", header_order=["created_at"], detail_order=line_order())

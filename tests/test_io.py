@@ -407,3 +407,34 @@ def test_import_with_tolerant_key_check(spark, sf_small):
     again = ingest.import_headers(spark, src, "b2", "2024-01-02 00:00:00", ledger=upper, mode="keep_first", tolerant=True)
     assert first > 0 and again.accepted.count() == 0
     assert ingest.import_headers(spark, src, "b3", "2024-01-03 00:00:00", ledger=upper, mode="keep_first").accepted.count() == first
+
+
+def test_stored_ledgers_are_flagged_once_and_as_run_dq_flags_them(spark, monkeypatch):
+    """The stored pass (hot keys split, few missing keys broadcast, stages) against the plain one."""
+    from ledgerlens import ingest, sinks
+    from ledgerlens.operators import dedup, quality
+    header = spark.createDataFrame(
+        [(None if i == 7 else f"h{i % 30}", i % 5, None, "未校验", None, 3, 2024) for i in range(40)],
+        "header_uuid string, created_at int, clean_status string, is_balanced string, balance_tolerance decimal(18,2), jshj int, invoice_year int")
+    detail = spark.createDataFrame(
+        [(None if i % 50 == 9 else f"h{1 if i < 120 else i % 33}", f"d{0 if i < 60 else i % 150}", i, None, 1, 2023 + i % 2) for i in range(300)],
+        "header_uuid string, detail_uuid string, nth int, clean_status string, jshj int, invoice_year int")
+    header = header.withColumn("row_no", F.monotonically_increasing_id())
+    kinds = dict(header_order=["created_at", "row_no"], detail_order=["nth"])
+    base = local_scratch_dir()
+    sinks.write_partitioned(header, f"{base}/h")
+    sinks.write_partitioned(detail, f"{base}/d")
+    h, d = spark.read.parquet(f"{base}/h").cache(), spark.read.parquet(f"{base}/d").cache()
+    text = lambda df: sorted(str(sorted(r.asDict().items())) for r in df.collect())
+    want = [text(x) for x in quality.run_dq(h, d, checked_at="2024-01-01 00:00:00", checked_by="t", **kinds)]
+    assert sum("明细缺失" in x for x in want[0]) > 0 and sum("主表缺失" in x for x in want[1]) > 0
+    for hot, few in ((3, 0), (50, 1 << 20)):
+        monkeypatch.setattr(dedup, "HOT_ROWS", hot)
+        monkeypatch.setattr(quality, "FEW_KEYS", few)
+        sinks.write_partitioned(h, f"{base}/h{hot}")
+        sinks.write_partitioned(d, f"{base}/d{hot}")
+        flagged, mark = [], dedup.group_flags
+        monkeypatch.setattr(dedup, "group_flags", lambda *a: flagged.append(a[-1]) or mark(*a))
+        got = ingest.check_quality(spark, f"{base}/h{hot}", f"{base}/d{hot}", "2024-01-01 00:00:00", "t", **kinds)
+        assert [text(x) for x in got] == want and flagged == [True, True]
+        monkeypatch.setattr(dedup, "group_flags", mark)
