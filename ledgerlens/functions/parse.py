@@ -45,7 +45,8 @@ def is_blank(c) -> Column:
 def _guarded_double(s: Column) -> Column:
     # anchored extract returns s itself or '' -> one reference to s, so the
     # expression stays cheap when Catalyst inlines it into a filter
-    return F.nullif(F.regexp_extract(s, NUMBER_RE, 0), F.lit("")).try_cast(T.DoubleType())
+    # and '' casts to null
+    return F.regexp_extract(s, NUMBER_RE, 0).try_cast(T.DoubleType())
 
 
 def parse_numeric(c) -> Column:
@@ -97,12 +98,13 @@ def parse_invoice_date(c, serial_base: str = "1899-12-30", min_serial: int = 100
     """
     s = strip(c)
     ymd = F.regexp_replace(s, _DATE_LAYOUTS, _TO_YMD)
-    serial_num = F.nullif(F.regexp_extract(ymd, _SERIAL, 0), F.lit("")).try_cast(T.DoubleType())
+    serial_num = F.regexp_extract(ymd, _SERIAL, 0).try_cast(T.DoubleType())
     serial = F.when(serial_num.between(min_serial, max_serial),
                     F.date_add(F.to_date(F.lit(serial_base)), F.floor(serial_num).cast("int")))
     # the cast's own date parser (no formatter, no exceptions) on text of
-    # exactly y-m-d shape; the shape test keeps '2023' from becoming 2023-01-01
-    as_date = F.when(ymd.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), ymd.try_cast(T.DateType()))
+    # exactly y-m-d shape; the shape test keeps '2023' from becoming 2023-01-01.
+    # One reference to ymd: a filter would rewrite the text once per reference
+    as_date = F.regexp_extract(ymd, r"^\d{4}-\d{1,2}-\d{1,2}\z", 0).try_cast(T.DateType())
     return F.coalesce(as_date, serial)
 
 

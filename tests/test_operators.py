@@ -250,3 +250,20 @@ def test_parsing_once_gives_the_same_records(spark, sf_small):
                       (audit.failures_from(parsed, B.SPECS, keys=["发票号码"]), failures)):
         assert got.columns == want.columns and got.count() == want.count() > 0
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_failures_read_their_column_once_per_test(spark):
+    """A filter evaluates an expression once per reference to it: the raw text is built at most
+    three times (as date, as serial day, as blank), not once per comparison."""
+    from ledgerlens.functions.parse import parse_invoice_date
+    from ledgerlens.operators import audit
+    df = spark.createDataFrame([(1, "2024-1-5"), (2, " "), (3, None), (4, "x"), (5, "00012345"), (6, "45000"), (7, "20241301")], "n int, t string")
+    raw = df.select("n", F.lit("f").alias("file"), F.lit("s").alias("sheet"), F.upper("t").alias("d"), F.upper("t").alias("m"))
+    for column, kind, most in (("d", audit.DATE, 3), ("m", audit.NUMERIC, 2)):
+        out = audit.cast_failures(raw, {column: kind}, row="n")
+        lines = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+        assert sum(x.count("upper(") for x in lines) <= most, lines
+    assert sorted((r.n, r.orig_value) for r in audit.cast_failures(raw, {"d": audit.DATE}, row="n").collect()) == \
+        [(4, "X"), (5, "00012345"), (7, "20241301")]
+    assert [str(r[0]) for r in df.orderBy("n").select(parse_invoice_date("t")).collect()] == \
+        ["2024-01-05", "None", "None", "None", "None", "2023-03-15", "None"]
