@@ -20,7 +20,7 @@ from ledgerlens import functions as L
 from ledgerlens import ingest
 from ledgerlens.operators.filters import split_missing_year
 from ledgerlens.schemas import DETAIL_TITLE_MAP, HEADER_TITLE_MAP
-from ledgerlens.session import remove_path, scratch_path
+from ledgerlens.session import STAGE_CODEC, remove_path, scratch_path
 from ledgerlens.sources import xlsx
 from ledgerlens.streaming.incremental import FILE_ORDER, import_batch
 
@@ -43,14 +43,19 @@ def import_workbooks(files: DataFrame, epoch: int, kind: str, target: str, side:
     spark = files.sparkSession
     titles, keyed, key = _KINDS[kind]
     stage = scratch_path(spark, f"{batch}-{epoch}-{uuid.uuid4().hex[:12]}")
-    # a workbook is read whole or not at all: its rows go with its error
-    xlsx.parse_files(files, list(titles), max_mb, whole=True).union(xlsx.unread(files, max_mb)).write.parquet(stage)
-    rows = spark.read.schema(xlsx.ROW_SCHEMA).parquet(stage)
+    # each workbook is parsed once; it is taken whole or not at all, its rows go with its error
+    (xlsx.parse_files(files, list(titles), max_mb, whole=False).union(xlsx.unread(files, max_mb))
+     .write.option(*STAGE_CODEC).parquet(f"{stage}/rows"))
+    stored = spark.read.schema(xlsx.ROW_SCHEMA).parquet(f"{stage}/rows")
+    rows = xlsx.without_failed(stored)
     df, rejected, _ = keyed(rows, f"{batch}-{epoch}", batch_ts)
-    times = files.select(F.col("path").alias(FILE_ORDER[1]), F.col("modificationTime").alias(FILE_ORDER[0]))
+    times = F.broadcast(files.select(F.col("path").alias(FILE_ORDER[1]), F.col("modificationTime").alias(FILE_ORDER[0])))
     df = df.withColumn("invoice_year", L.invoice_year("invoice_date")).join(times, F.col("source_file") == F.col(FILE_ORDER[1]))
+    # keyed once: what has no year, the repeated keys and the accepted rows all read this
+    df.write.option(*STAGE_CODEC).parquet(f"{stage}/keyed")
+    df = spark.read.schema(df.schema).parquet(f"{stage}/keyed")
     with_year, no_year = split_missing_year(df, "invoice_year")
-    _write_epoch(xlsx.error_rows(rows), f"{side}/errors", epoch)
+    _write_epoch(xlsx.error_rows(stored), f"{side}/errors", epoch)
     place = ["source_file", "source_sheet", "row_no"]
     reason = rejected.columns[-1]
     _write_epoch(rejected.select(*place, F.col(reason).alias("reason"))

@@ -93,3 +93,24 @@ def test_related_parties_by_brute_force(spark):
         limit = 2 if most is None else most
         assert got == {k: v for k, v in want.items() if names.index(v[-1]) <= limit} and len(out) == len(got)
     assert P.related_party_pairs(t.limit(0), p.filter(F.lit(False)), "s", "b", "a", "party", ["tax"]).collect() == []
+
+
+def test_stream_parses_a_workbook_once_and_takes_none_of_a_late_failure(spark, sf_small, monkeypatch):
+    import io
+    import zipfile
+
+    from ledgerlens.sources import xlsx
+    landing, base = local_scratch_dir(), local_scratch_dir()
+    rows = bind_io.header_export(spark, sf_small)
+    xlsx_writer.write_workbooks(rows.limit(300).repartition(1), landing, "发票基础信息").count()
+    whole = xlsx_writer.workbook_bytes(rows.toPandas().iloc[[*range(1000)] * 6], "发票基础信息")
+    with zipfile.ZipFile(io.BytesIO(whole)) as z, zipfile.ZipFile(f"{landing}/late.xlsx", "w") as out:
+        for n in z.namelist():  # a cell of the last row names a text that is not there, after a full batch of rows
+            tail = b'<row r="9999"><c r="A9999" t="s"><v>7</v></c></row></sheetData>'
+            out.writestr(n, z.read(n).replace(b"</sheetData>", tail))
+    asked, parse = [], xlsx.parse_files
+    monkeypatch.setattr(xlsx, "parse_files", lambda f, t, m, whole=True: asked.append(whole) or parse(f, t, m, whole))
+    got = stream(spark, landing, base, files=2)
+    assert asked == [False]  # not read through beforehand
+    assert [os.path.basename(r.file) for r in spark.read.parquet(f"{base}/side/errors").collect()] == ["late.xlsx"]
+    assert {os.path.basename(r.source_file) for r in got.select("source_file").collect()} == {"part-00000.xlsx"}
