@@ -58,3 +58,25 @@ def test_import_shuffles_no_sheet_row_for_its_files_or_repeats(spark, sf_small):
     out = [[sorted(tuple(r) for r in f.select("n", *f.columns[2:]).collect()) for f in quarantine(df, "k", known, repeats=x)]
            for x in (repeats, None)]
     assert out[0] == out[1] == [[(3,), (4,), (5,)], [(1, "repeated_in_batch"), (2, "repeated_in_batch"), (6, "already_imported")]]
+
+
+def test_rows_written_by_spark_are_those_of_the_row_writer(spark):
+    import zipfile
+
+    import pandas as pd
+    rows = [("a&b<c>d", None, "有限 ' \""), (None, None, None), ("", "&amp;", "x\ny")] * 7
+    df = spark.createDataFrame(rows, "a string, `b.c` string, d string").coalesce(1)
+    folder, cols = local_scratch_dir(), df.columns
+    assert [r.rows for r in xlsx_writer.write_workbooks(df, folder, "s").collect()] == [21]
+    with zipfile.ZipFile(f"{folder}/part-00000.xlsx") as z:
+        got = z.read("xl/worksheets/sheet1.xml").decode()
+    want = "".join(xlsx_writer._row_xml(i, r) for i, r in enumerate([cols, *rows], 1))
+    assert got == xlsx_writer._SHEET_HEAD + want + xlsx_writer._SHEET_TAIL
+    assert len(xlsx_writer.workbook_bytes(pd.DataFrame(rows, columns=cols), "s")) > 500
+    asked, row = [], xlsx_writer._row_xml
+    xlsx_writer._row_xml = lambda i, r: asked.append(i) or row(i, r)
+    try:  # in this process: only the titles are made by Python, the rows come as they are
+        xlsx_writer.write_rows(os.path.join(folder, "x.xlsx"), [["<row/>"]], cols, "s")
+    finally:
+        xlsx_writer._row_xml = row
+    assert asked == [1]
