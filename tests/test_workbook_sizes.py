@@ -80,3 +80,29 @@ def test_rows_written_by_spark_are_those_of_the_row_writer(spark):
     finally:
         xlsx_writer._row_xml = row
     assert asked == [1]
+
+
+def test_ledger_build_shuffles_no_sheet_row_for_its_sheets(spark, sf_small, monkeypatch):
+    """However large Spark takes the chosen sheets for, they are broadcast, and rows of cold keys meet once."""
+    from ledgerlens import ingest
+    from ledgerlens.operators import dedup
+    folder, plans, stage = local_scratch_dir(), {}, ingest._stage
+    xlsx_writer.write_workbooks(bind_io.detail_export(spark, sf_small, parts=2, twice="l_orderkey % 10 = 3"), folder, "信息汇总表").count()
+
+    def seen(spark, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(spark, df, name)
+
+    monkeypatch.setattr(ingest, "_stage", seen)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = []
+        for hot in (100_000, 2):  # all keys cold, and repeated ones hot
+            monkeypatch.setattr(dedup, "HOT_ROWS", hot)
+            out = ingest.build_ledger_from_workbooks(spark, folder, local_scratch_dir(), "2024-01-01 00:00:00")
+            kept.append(sorted(str(r) for r in out.ledger.drop("file", "sheet", "row_index").collect()))
+        assert kept[0] == kept[1] and len(kept[0]) == len(set(kept[0]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" not in plans["parsed"] and "BroadcastHashJoin" in plans["parsed"]
