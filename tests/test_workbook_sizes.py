@@ -106,3 +106,13 @@ def test_ledger_build_shuffles_no_sheet_row_for_its_sheets(spark, sf_small, monk
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "SortMergeJoin" not in plans["parsed"] and "BroadcastHashJoin" in plans["parsed"]
+
+
+def test_rows_by_pieces_are_those_of_the_pattern():
+    import random
+    r = random.Random(3)
+    parts = ['<row r="1"><c r="A1"/></row>', "<row><c/>\n</row>", '<row r="2"/>', '<row r="3" />', "<row></row>", "</sheetData>",
+             '<row\n r="4">x</row>', "<rowBreaks a='1'/>", '<sheetData>', ' ', '<x:row r="5"><x:c/></x:row>', "&lt;row&gt;"]
+    for n in range(400):
+        text = "".join(r.choice(parts[:None if n % 4 == 0 else 10]) for _ in range(r.randrange(0, 9)))
+        assert list(xlsx._rows_of(text)) == [m.groups() for m in xlsx._ROW.finditer(text)], text
