@@ -93,3 +93,45 @@ def test_a_micro_batch_leaves_few_files_and_settings_as_they_were(spark, sf_smal
     years = glob.glob(f"{base}/ledger/import_epoch=0/invoice_year=*")
     assert len(years) > 5 and all(len(glob.glob(f"{y}/*.parquet")) == 1 for y in years)
     assert {f.name for f in spark.read.parquet(f"{base}/ledger").schema} >= {"import_epoch", "invoice_year", "header_uuid"}
+
+
+def test_rows_of_an_arrow_array_are_packed_as_they_lie():
+    import io
+    import zipfile
+    rows = [f'<row r="{i}">有限{i}</row>' for i in range(2, 30)]
+    whole, packed = pa.array(["<row/>", *rows, "<row/>"]), []
+    for chunks in ([rows], [whole[1:5], whole[5:5], pa.array(rows[4:], pa.large_string())]):
+        buf = io.BytesIO()
+        assert xlsx_writer.write_rows(buf, chunks, ["a"], "s") == len(rows)
+        packed.append(zipfile.ZipFile(buf).read("xl/worksheets/sheet1.xml"))
+    assert packed[0] == packed[1]
+
+
+def test_line_numbers_sort_by_a_hash_and_import_stages_compile(spark, monkeypatch):
+    """The sort before the line numbers begins with a number, whatever the files' names share; stage tables are
+    written with methods that the JVM compiles, in any session, and its setting stays."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from ledgerlens import ingest
+    from ledgerlens.operators.dedup import logic_line_no
+    r = random.Random(2)
+    rows = [(r.choice(["file:/a/1", "file:/a/2", None]), r.choice(["s", "t"]), r.choice(["x", "y", None]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "source_file string, source_sheet string, k string, row_no int").repartition(3)
+    out = logic_line_no(df, "k", ["source_file", "source_sheet", "row_no"])
+    w = Window.partitionBy("source_file", "source_sheet", "k").orderBy("row_no")
+    want = df.withColumn("logic_line_no", F.row_number().over(w))
+    assert out.columns == want.columns and sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "windowspecdefinition(__part" in plan
+    name, seen, lower = "spark.sql.codegen.hugeMethodLimit", [], ingest.compilable_methods
+    before = spark.conf.get(name)
+    spark.conf.set(name, "65535")
+    monkeypatch.setattr(ingest, "compilable_methods", lambda s: seen.append(True) or lower(s))
+    try:
+        assert ingest._stage(spark, df, "t").count() == 300 and seen == [True]
+        with lower(spark):
+            assert spark.conf.get(name) == "8000"
+        assert spark.conf.get(name) == "65535"
+    finally:
+        spark.conf.set(name, before)
