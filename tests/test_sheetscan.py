@@ -135,3 +135,29 @@ def test_line_numbers_sort_by_a_hash_and_import_stages_compile(spark, monkeypatc
         assert spark.conf.get(name) == "65535"
     finally:
         spark.conf.set(name, before)
+
+
+def test_cells_in_place_are_those_of_the_titles(spark, monkeypatch):
+    """The ledger build stores no map per row; titles are found once per sheet, the last of a repeated one."""
+    import pandas as pd
+
+    from ledgerlens import ingest
+    folder = local_scratch_dir()
+    frames = [pd.DataFrame([["1", "x", None, "9"], [None, None, "q", None]], columns=["发票代码", "金额", "", "发票代码"]),
+              pd.DataFrame([["7", "2024-01-02"]], columns=["金额", "开票日期"])]
+    for i, pdf in enumerate(frames):
+        with open(f"{folder}/{i}.xlsx", "wb") as f:
+            head = xlsx_writer.write_rows(f, [[xlsx_writer._row_xml(n, row) for n, row in enumerate(pdf.itertuples(index=False), 2)]],
+                                          list(pdf.columns), "信息汇总表")
+            assert head == len(pdf)
+    titles = ["开票日期", "发票代码", "金额", "没有"]
+    want = xlsx.sheet_table(xlsx.read_workbooks(spark, folder), titles)
+    rows = xlsx.read_workbooks(spark, folder, titles=xlsx.IN_PLACE)
+    got = xlsx.in_place_table(rows, xlsx.sheet_catalogue(rows), titles)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r["发票代码"] for r in got.collect()} == {"9", None}
+    asked, stage = [], xlsx.stage_workbooks
+    monkeypatch.setattr(xlsx, "stage_workbooks", lambda *a, **k: asked.append(k["titles"]) or stage(*a, **k))
+    out = ingest.build_ledger_from_workbooks(spark, folder, local_scratch_dir(), "2024-01-01 00:00:00")
+    assert asked == [xlsx.IN_PLACE] and out.ledger.count() == 1 and out.missing_year.count() == 2
+    assert sorted((r.columns, r.rows) for r in out.manifest.collect()) == [("发票代码;金额;;发票代码", 2), ("金额;开票日期", 1)]
