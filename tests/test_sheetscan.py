@@ -161,3 +161,21 @@ def test_cells_in_place_are_those_of_the_titles(spark, monkeypatch):
     out = ingest.build_ledger_from_workbooks(spark, folder, local_scratch_dir(), "2024-01-01 00:00:00")
     assert asked == [xlsx.IN_PLACE] and out.ledger.count() == 1 and out.missing_year.count() == 2
     assert sorted((r.columns, r.rows) for r in out.manifest.collect()) == [("发票代码;金额;;发票代码", 2), ("金额;开票日期", 1)]
+
+
+def test_stage_tables_are_read_in_small_tasks(spark, monkeypatch):
+    """What a stage table is written from is cut into tasks of ``TASK_BYTES`` at most; a session's own setting,
+    whatever its form, comes back, and a smaller one stays."""
+    from ledgerlens import ingest, session
+    name = "spark.sql.files.maxPartitionBytes"
+    before, entered, small = spark.conf.get(name), [], ingest.small_scans
+    try:
+        for own, inside in (("128MB", str(session.TASK_BYTES)), ("134217728b", str(session.TASK_BYTES)), ("1m", "1m")):
+            spark.conf.set(name, own)
+            with small(spark):
+                assert spark.conf.get(name).removesuffix("b") == inside
+            assert spark.conf.get(name) == own
+    finally:
+        spark.conf.set(name, before)
+    monkeypatch.setattr(ingest, "small_scans", lambda s: entered.append(True) or small(s))
+    assert ingest._stage(spark, spark.range(5).toDF("n"), "t").count() == 5 and entered == [True]
